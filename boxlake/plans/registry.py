@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from boxlake.plans import labels
+
 Query = Callable[[SparkSession, str], DataFrame]
+_ALL = labels.QUERIES
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {k: q for k, (q, _) in _ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: sql for k, (_, sql) in _ALL.items() if sql}
