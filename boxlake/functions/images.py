@@ -93,7 +93,8 @@ def bits_to_hex(pixels: str, n: int = 16) -> Column:
 
 
 def population_std(pixels: str) -> Column:
-    """Population standard deviation of an array column."""
+    """Population standard deviation of an array column, in one pass over it."""
+    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
+    one = lambda a, x: F.struct((a["s"] + x).alias("s"), (a["q"] + x * x).alias("q"))
     n = F.size(pixels)
-    total = F.aggregate(pixels, F.lit(0.0), lambda a, x: a + x)
-    return F.sqrt(F.aggregate(pixels, F.lit(0.0), lambda a, x: a + (x - total / n) * (x - total / n)) / n)
+    return F.aggregate(pixels, zero, one, lambda a: F.sqrt(F.greatest(n * a["q"] - a["s"] * a["s"], F.lit(0.0))) / n)

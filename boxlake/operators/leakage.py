@@ -12,7 +12,7 @@ from boxlake.functions.images import MAX_DIFFERENCE, MIN_CORRELATION, MIN_STD, p
 
 def _sides(signatures: DataFrame, differ: str) -> tuple[DataFrame, DataFrame]:
     """Left and right rows of the self-join: contrast first (both sides need it), then buckets with more than one group."""
-    rows = signatures.withColumn("std", population_std("pixels")).filter(F.col("std") >= MIN_STD) if "std" not in signatures.columns else signatures.filter(F.col("std") >= MIN_STD)
+    rows = signatures.filter(F.col("std") >= MIN_STD)
     keys = ["source_dataset", "dhash"]
     mixed = rows.groupBy(*keys).agg(F.min(differ).alias("a"), F.max(differ).alias("b")).filter("a < b").select(*keys)
     rows = rows.join(mixed, keys, "left_semi")
@@ -20,7 +20,9 @@ def _sides(signatures: DataFrame, differ: str) -> tuple[DataFrame, DataFrame]:
     return tuple(rows.select(*keys, *(F.col(c).alias(f"{side}_{c}") for c in names if c in rows.columns)) for side in ("left", "right"))
 
 
-def _pairs(signatures: DataFrame, differ: str) -> DataFrame:
+def _pairs(signatures: DataFrame, differ: str, slack: float = 0.0) -> DataFrame:
+    # written once: whatever makes the pixels isn't run for each side and each filter
+    signatures = _cut(_cut(signatures).withColumn("std", population_std("pixels") + slack))
     left, right = _sides(signatures, differ)
     near = left.join(right, ["source_dataset", "dhash"]).filter(f"left_output_name < right_output_name and left_{differ} <> right_{differ}")
     return near.withColumn("m", pixel_similarity("left_pixels", "right_pixels")).drop("left_pixels", "right_pixels")
@@ -41,7 +43,7 @@ def near_duplicate_pairs(signatures: DataFrame) -> DataFrame:
 def cross_split_leak_pairs(signatures: DataFrame) -> DataFrame:
     """Pairs of one source with equal hashes in different splits; thresholds on measures rounded to 6 digits."""
     # rounding can lift a deviation just below the limit, so the filter before the join is a little wider
-    rows = _pairs(signatures.withColumn("std", population_std("pixels") + 1e-6), "split")
+    rows = _pairs(signatures, "split", 1e-6)
     measures = {"correlation": F.round("m.correlation", 6), "mean_absolute_error": F.round("m.mean_absolute_error", 6), "minimum_contrast_stddev": F.round(F.least("m.left_std", "m.right_std"), 6)}
     rows = rows.withColumns(measures).filter((F.col("minimum_contrast_stddev") >= MIN_STD) & (F.col("correlation") >= MIN_CORRELATION) & (F.col("mean_absolute_error") <= MAX_DIFFERENCE))
     return rows.select("source_dataset", "dhash", "left_output_name", "right_output_name", "left_split", "right_split", *measures)

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from boxlake.plans import labels
+from boxlake.plans import datasets, labels, videos
 
 Query = Callable[[SparkSession, str], DataFrame]
-_ALL = labels.QUERIES
+_ALL = labels.QUERIES | datasets.QUERIES | videos.QUERIES
 
 
 def queries() -> dict[str, Query]:
