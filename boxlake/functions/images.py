@@ -12,12 +12,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 THUMBNAIL = (32, 24)
 HASH_SIZE = (9, 8)
 MIN_STD, MIN_CORRELATION, MAX_DIFFERENCE = 10.0, 0.95, 10.0
-SIGNATURE = "dhash string, pixels array<double>, pixel_std double"
-SIMILARITY = "correlation double, mean_absolute_error double, left_std double, right_std double"
+# types, not text: text is parsed by a session, which importing must not need
+SIGNATURE = T.StructType([T.StructField("dhash", T.StringType()), T.StructField("pixels", T.ArrayType(T.DoubleType())), T.StructField("pixel_std", T.DoubleType())])
+SIMILARITY = T.StructType([T.StructField(k, T.DoubleType()) for k in ("correlation", "mean_absolute_error", "left_std", "right_std")])
 
 
 def luminance(data: bytes, width: int, height: int, channels: int) -> np.ndarray:
@@ -76,7 +78,7 @@ def pixel_similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator
     """Correlation (0 where one side is constant), mean absolute error and both population deviations."""
     for left, right in batches:
         if not len(left):
-            yield pd.DataFrame({k.split()[0]: pd.Series(dtype="float64") for k in SIMILARITY.split(", ")})
+            yield pd.DataFrame({k: pd.Series(dtype="float64") for k in SIMILARITY.names})
             continue
         a, b = np.stack(left.to_numpy()).astype(float), np.stack(right.to_numpy()).astype(float)
         da, db = a - a.mean(1, keepdims=True), b - b.mean(1, keepdims=True)

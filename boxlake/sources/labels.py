@@ -6,6 +6,8 @@ throughout, since ANSI casts fail the job.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,12 @@ def file_stem(path: Column | str) -> Column:
 
 
 def list_images(spark: SparkSession, folder: str, glob: str = "*", split: str | None = None) -> DataFrame:
-    """path, file_name, stem and raw_split of the files of a folder, without their content."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder).select("path", "length")
+    """path, file_name, stem and raw_split of the files of a folder, empty ones too, without their content.
+
+    A scan leaves empty files out, so the names come from Spark's own listing, which the driver holds for every scan anyway.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder).inputFiles()
+    files = spark.createDataFrame([(unquote(f),) for f in listed], "path string").withColumn("path", normal_path("path"))
     name = F.element_at(F.split("path", "/"), -1)
     return files.select("path", name.alias("file_name"), file_stem("path").alias("stem"), F.lit(split).alias("raw_split"))
 
