@@ -261,7 +261,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     kept = stored(near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
     once, more = kept.filter("n = 1"), kept.filter("n > 1 or doc_id is null")
     same = F.col("k.doc_id").eqNullSafe(F.col("d.doc_id"))
-    single = docs.alias("d").join(once.filter("doc_id is not null").alias("k"), F.col("k.doc_id") == F.col("d.doc_id"), "left_semi")
+    # always by a shuffle of both sides: the ids grow with the documents
+    single = docs.alias("d").join(once.filter("doc_id is not null").hint("merge").alias("k"), F.col("k.doc_id") == F.col("d.doc_id"), "left_semi")
     if more.isEmpty():
         return single
     again = docs.alias("d").join(more.alias("k"), same, "left_semi")
