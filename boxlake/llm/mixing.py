@@ -7,8 +7,8 @@ then take it. So budgets go top down, each level filled up like connected vessel
 
 A leaf with budget b and t tokens gives floor(b / t) whole epochs and, from the next epoch, a prefix: documents in the
 order of md5(seed|epoch|doc_id), as many as stay within the rest. The prefix is found without sorting a leaf in one task:
-token sums of ranges of the order (about ``RANGE_ROWS`` documents each) show the range in which the budget ends, and only
-that range is sorted. A document then needs only its leaf's row to be selected.
+token sums of ranges of the order (about the square root of the number of documents) show the range in which the budget
+ends, and only that range is sorted. A document then needs only its leaf's row to be selected.
 
 Nulls: a null text has no tokens, a null domain, lang or source is the empty name, a null doc_id the empty text. Rows
 that repeat a doc_id within a leaf are taken together or not at all. Weights of zero give nothing. Budgets are rounded down to whole tokens. An empty table gives
@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from boxlake.llm.common import WORD, free_name, stored
 
 LEVELS = ("domain", "lang", "source")
-RANGE_ROWS = 8192
 #: Leaf tables of so many rows at most (each under 1 KB) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_LEAVES = 20_000
 SEED = 42
@@ -91,9 +90,12 @@ def _order(seed: int, doc_id: str) -> Column:
 
 
 def _range(h: str) -> Column:
-    """Which of a leaf's ranges of the order h lies in; there are about n / RANGE_ROWS of equal width."""
-    count = F.ceil(F.col("n") / F.lit(RANGE_ROWS))
-    return F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * count / F.lit(1 << 32)).cast("int")
+    """Which of a leaf's ranges of the order h lies in; n documents have about sqrt(n) ranges of equal width."""
+    return _range_of(F.col(h), F.col("n"))
+
+
+def _range_of(h: Column, n: Column) -> Column:
+    return F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * F.ceil(F.sqrt(n)) / F.lit(1 << 32)).cast("int")
 
 
 def _by_leaf(rows: DataFrame, leaves: DataFrame, small: bool) -> DataFrame:
@@ -129,8 +131,7 @@ def select(docs: DataFrame, share: float = 0.5, weights: dict = WEIGHTS, max_epo
     on = [v == F.col(keys[c]) for c, v in named.items()]
     near = docs.join(F.broadcast(leaf) if small else leaf, on)
     h = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col(keys["epochs"]) + 1).cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    count = F.ceil(F.col(keys["n"]) / F.lit(RANGE_ROWS))
-    place = F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * count / F.lit(1 << 32)).cast("int")
+    place = _range_of(h, F.col(keys["n"]))
     in_prefix = (place < F.col(keys["end_range"])) | ((place == F.col(keys["end_range"])) & (h <= F.col(keys["end_order"])))
     e = F.col(keys["epochs"])
     whole = F.when(e > 0, F.sequence(F.lit(1), e)).otherwise(F.array().cast("array<int>"))

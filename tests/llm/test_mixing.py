@@ -73,7 +73,6 @@ def test_matches_brute_force(spark, monkeypatch):
     want = brute(rows)
     assert want and {e for *_, e in want} > {1}
     assert selected(spark, rows) == want
-    monkeypatch.setattr(mixing, "RANGE_ROWS", 3)
     monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
     assert selected(spark, rows) == want
 
