@@ -280,3 +280,21 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage:
     found, (n_words, spans, _) = annotate(docs, items, window)
     found = found.filter(_hits(spans) <= F.col(n_words) * F.lit(max_coverage))
     return found.mapInArrow(run, docs.schema) if max_coverage > 0 else found.drop(*found.columns[width:])
+
+
+def oracle(window: int = WINDOW) -> str:
+    """DuckDB SQL for report(): windows of every length that an item has, as text."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    split = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {split} AS ws FROM documents),
+i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {split} AS ws FROM benchmark),
+s AS (SELECT item, ws, least(len(ws), {window}) AS n FROM i WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item, n, array_to_string(ws[p:p + n - 1], ' ') AS g FROM (SELECT item, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM s) x),
+l AS (SELECT DISTINCT n FROM w),
+o AS (SELECT rid, p, n, array_to_string(ws[p:p + n - 1], ' ') AS g FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS p FROM d JOIN l ON len(ws) >= n) y),
+h AS (SELECT rid, p, n, item FROM o JOIN w USING (n, g)),
+c AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM h) z GROUP BY rid),
+m AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, item FROM h) v GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN m USING (rid)"""

@@ -49,4 +49,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _WARC, "op6_mixture": mixing.oracle()}
+    return {"op1_warc": _WARC, "op2_decontaminate": decontaminate.oracle(), "op6_mixture": mixing.oracle(), "op7_quality_rules": quality_rules.oracle()}
