@@ -1,14 +1,15 @@
 """Token counts of a public tokenizer, with overlap resynchronisation for huge documents.
 
-The tokenizer treats white space as a boundary that no token crosses: its normaliser turns runs of it into one
-blank and its splitter drops blanks. So a text has as many tokens as its pieces between blanks have together, and
-counts of pieces are remembered in each worker (at most ``MEMORY`` of them).
+A document of more than ``HUGE`` characters is encoded in chunks that overlap. The tokens of both encodings of an overlap are
+compared by their offsets in the text. A place is a proven stable boundary if the same token (id and offsets) begins there in both and
+either white space stands before it, which no token and no rule of the splitter crosses, or a letter meets another kind of character there,
+where the splitter always cuts, the tokens before it are equal too, and no special token can reach over a chunk's end. The left chunk counts up to the boundary, the right one from it. If an
+overlap has none, it is doubled, up to the whole chunk, and then the chunks are joined; a text without any boundary is encoded whole, as the library
+would. So memory is bounded by the chunk unless the text is one unbroken run.
 
-A piece of more than ``CHUNK`` characters has no such boundary inside, and is encoded in chunks that overlap.
-Tokens of both encodings of an overlap are compared by their offsets in the text: a place is a proven stable boundary if
-both have tokens ending and beginning there, with at least ``AGREE`` equal tokens (same ids and offsets) on either side. The
-left chunk counts up to it and the right one from it. If there is none, the overlap is doubled, up to the whole
-piece. Memory is bounded by the chunk, unless a piece defeats every overlap.
+A smaller document is counted by its pieces between blanks: the tokenizer's normaliser turns white space into blanks and its splitter
+drops them, so a text has as many tokens as its pieces have together. Counts of pieces are remembered in each worker (at most
+``MEMORY`` of them).
 
 A null text is empty and has no tokens. Only doc_id and text are read.
 """
@@ -22,77 +23,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 8192
-OVERLAP = 256
-AGREE = 8
+HUGE, CHUNK, OVERLAP = 32_768, 16_384, 256
+#: More than the length of any special token, which could lie across a chunk's end.
+MARGIN = 32
 MEMORY = 200_000
 LIMIT = 2048
-#: A text longer than this is cut at blanks into parts that are counted one after the other.
-PART = 1 << 20
+_BLANKS = " \n\t\r"
 
 Encoded = tuple[list[int], list[tuple[int, int]]]
 
 
-def spliced(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK, overlap: int = OVERLAP, agree: int = AGREE) -> int:
+def spliced(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """The number of tokens of text, encoded in overlapping chunks."""
-    if len(text) <= chunk:
-        return len(encode(text)[0])
-    total, start, end = 0, 0, chunk
-    ids, spans = encode(text[:end])
-    begin = 0  # tokens of the open chunk before this one are counted
+    first, end = 0, min(chunk, len(text))  # tokens before `first` are counted
+    ids, spans = _absolute(encode(text[:end]), 0)
+    total = 0
     while end < len(text):
-        wide = overlap
-        while True:
-            at = max(end - wide, start)
+        wide, cut = overlap, None
+        while cut is None:
+            at = max(end - wide, first)
             stop = min(at + max(chunk, 2 * wide), len(text))
-            next_ids, next_spans = encode(text[at:stop])
-            cut = _boundary(ids, spans, start, next_ids, next_spans, at, end, begin, agree)
-            if cut:
+            right_ids, right_spans = _absolute(encode(text[at:stop]), at)
+            cut = _boundary(text, ids, spans, right_ids, right_spans, at, end)
+            if at == first:
                 break
-            if at == start:  # the overlap is the whole open chunk: one chunk instead of the two
-                if stop == len(text) or begin == 0:
-                    cut = None
-                    break
             wide *= 2
-        if cut is None or not cut:
-            # no stable boundary: start over from the open chunk with all that has been read
-            ids, spans = encode(text[start:stop])
-            end = stop
-            chunk = max(chunk, 2 * (end - start))
-            continue
-        left, right = cut
-        total += left - begin
-        ids, spans, start, end, begin = next_ids, next_spans, at, stop, right
-    return total + len(ids) - begin
+        if cut is None:  # the right chunk begins where the open one does and takes its place
+            ids, spans, chunk = right_ids, right_spans, 2 * chunk
+        else:
+            i, j = cut
+            total += i
+            ids, spans, first = right_ids[j:], right_spans[j:], right_spans[j][0]
+        end = stop
+    return total + len(ids)
+
 
+def _absolute(encoded: Encoded, at: int) -> Encoded:
+    return encoded[0], [(a + at, b + at) for a, b in encoded[1]]
 
-def _boundary(ids, spans, start, next_ids, next_spans, at, end, begin, agree) -> tuple[int, int] | None:
+
+def _boundary(text: str, ids: list[int], spans: list, right_ids: list[int], right_spans: list, at: int, end: int) -> tuple[int, int] | None:
     """Numbers of the tokens (left chunk, right chunk) that begin at the stable boundary nearest to the overlap's middle."""
-    where = {(a + at, b + at): i for i, (a, b) in enumerate(next_spans) if b + at <= end}
-    run, best, middle = 0, None, (at + end) / 2
-    pairs = []
-    for i in range(len(ids) - 1, -1, -1):
-        a, b = spans[i][0] + start, spans[i][1] + start
-        if a < at:
+    where = {s: j for j, s in enumerate(right_spans)}
+    best, middle = None, (at + end) / 2
+    for i in range(len(ids) - 1, 0, -1):
+        a = spans[i][0]
+        if a <= at:
             break
-        j = where.get((a, b))
-        pairs.append((i, j if j is not None and next_ids[j] == ids[i] else None))
-    pairs.reverse()
-    same = 0
-    ends = []  # for each pair, equal tokens up to it in one run
-    for k, (i, j) in enumerate(pairs):
-        follows = k and j is not None and pairs[k - 1][1] is not None and pairs[k - 1][1] == j - 1
-        same = same + 1 if follows else int(j is not None)
-        ends.append(same)
-    run = 0
-    for k in range(len(pairs) - 1, -1, -1):
-        i, j = pairs[k]
-        follows = j is not None and k + 1 < len(pairs) and pairs[k + 1][1] == j + 1
-        run = run + 1 if follows else int(j is not None)
-        if j is not None and run >= agree and ends[k] > agree and i >= begin:
-            off = abs(spans[i][0] + start - middle)
-            if best is None or off < best[0]:
-                best = (off, i, j)
+        j = where.get(spans[i])
+        if j is None or right_ids[j] != ids[i]:
+            continue
+        proven = text[a - 1] in _BLANKS
+        if not proven and text[a - 1].isalpha() != text[a].isalpha() and j > 0 and min(a - at, end - a) >= MARGIN:
+            proven = spans[i - 1][1] == a and right_spans[j - 1] == spans[i - 1] and right_ids[j - 1] == ids[i - 1]
+        if proven and (best is None or abs(a - middle) < best[0]):
+            best = (abs(a - middle), i, j)
     return best and best[1:]
 
 
@@ -112,28 +97,14 @@ class Counter:
         x = self.tokenizer.encode(text, add_special_tokens=False)
         return x.ids, x.offsets
 
-    def _piece(self, piece: str) -> int:
-        if len(piece) > CHUNK:
-            return spliced(piece, self.encode)
-        return len(self.tokenizer.encode(piece, add_special_tokens=False))
-
     def count(self, text: str) -> int:
-        total, at = 0, 0
-        while at < len(text):
-            end = at + PART
-            if end < len(text):
-                end = text.rfind(" ", at, end) + 1 or text.find(" ", end) + 1 or len(text)
-            total += self._count(text[at:end])
-            at = end
-        return total
-
-    def _count(self, text: str) -> int:
+        if len(text) > HUGE:
+            return spliced(text, self.encode)
         known, total = self.known, 0
-        pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        for p in pieces:
+        for p in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
             n = known.get(p)
             if n is None:
-                n = self._piece(p)
+                n = len(self.tokenizer.encode(p, add_special_tokens=False))
                 if len(p) <= 64:
                     if len(known) >= MEMORY:
                         known.clear()

@@ -28,18 +28,20 @@ def test_counts_match_the_library(spark):
     assert tokencount.counts(docs(spark, []), PATH).count() == 0
 
 
-@pytest.mark.parametrize("chunk, overlap, agree", [(64, 8, 2), (200, 16, 3), (900, 64, 8)])
-def test_splicing(chunk, overlap, agree):
+@pytest.mark.parametrize("chunk, overlap", [(64, 8), (200, 16), (900, 64), (16_384, 256)])
+def test_splicing(chunk, overlap):
     c = tokencount.Counter(PATH)
     r = random.Random(chunk)
-    texts = ["x" * 5000, "ab" * 3000, "".join(r.choice("abcdefghij") for _ in range(6000)), ("unbelievable" * 9 + "!!") * 40, prose(7, 900), "a" * 63 + "," * 2000, "日本語" * 700]
+    texts = ["x" * 5000, "ab" * 3000, "".join(r.choice("abcdefghij") for _ in range(6000)), ("unbelievable" * 9 + "!!") * 40, prose(7, 900), "a" * 63 + "," * 2000, "日本語。" * 700, "<|endoftext|>" * 300, "don't " * 900]
+    texts += ["".join(r.choice("abcXYZ 0'é\u0301.,<|>\n") for _ in range(5000)) for _ in range(10)]
     for t in texts:
-        assert tokencount.spliced(t, c.encode, chunk, overlap, agree) == len(c.encode(t)[0]), t[:30]
+        assert tokencount.spliced(t, c.encode, chunk, overlap) == len(c.encode(t)[0]), t[:30]
 
 
-def test_parts(monkeypatch):
+def test_huge_documents(monkeypatch):
     c = tokencount.Counter(PATH)
-    text = prose(8, 3000)
+    text = prose(8, 3000) + "\n\n" + "é" * 400 + prose(9, 3000)
     want = len(c.encode(text)[0])
-    monkeypatch.setattr(tokencount, "PART", 100)
+    assert c.count(text) == want
+    monkeypatch.setattr(tokencount, "HUGE", 100)
     assert c.count(text) == want and c.count(text.replace(" ", "\n")) == want
