@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions.images import MAX_DIFFERENCE, MIN_CORRELATION, MIN_STD, pixel_similarity, population_std
+from boxlake.scratch import stored
 
 
 def _sides(signatures: DataFrame, differ: str) -> tuple[DataFrame, DataFrame]:
@@ -22,7 +21,7 @@ def _sides(signatures: DataFrame, differ: str) -> tuple[DataFrame, DataFrame]:
 
 def _pairs(signatures: DataFrame, differ: str, slack: float = 0.0) -> DataFrame:
     # written once: whatever makes the pixels isn't run for each side and each filter
-    signatures = _cut(_cut(signatures).withColumn("std", population_std("pixels") + slack))
+    signatures = stored(stored(signatures).withColumn("std", population_std("pixels") + slack))
     left, right = _sides(signatures, differ)
     near = left.join(right, ["source_dataset", "dhash"]).filter(f"left_output_name < right_output_name and left_{differ} <> right_{differ}")
     return near.withColumn("m", pixel_similarity("left_pixels", "right_pixels")).drop("left_pixels", "right_pixels")
@@ -49,36 +48,19 @@ def cross_split_leak_pairs(signatures: DataFrame) -> DataFrame:
     return rows.select("source_dataset", "dhash", "left_output_name", "right_output_name", "left_split", "right_split", *measures)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """The table written to spark.checkpoint.dir and read again (a checkpoint of its own in a local session without one)."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-boxlake-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base}/groups-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def merge_groups(pairs: DataFrame) -> DataFrame:
     """sequence_group, merged_group: each group that a pair links, with the least name of its component.
 
     Least-label spreading over the distinct edges between groups, with labels followed to their own label in each round.
     """
     edges = pairs.select(F.col("left_sequence_group").alias("a"), F.col("right_sequence_group").alias("b")).filter("a <> b")
-    both = _cut(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = _cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")))
+    both = stored(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")))
     while True:
         around = both.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         jump = labels.select(F.col("a").alias("label"), F.col("label").alias("far"))
         new = labels.join(around, "a").join(jump, "label", "left").select("a", "label", F.least("label", "near", "far").alias("new"))
-        new = _cut(new)
+        new = stored(new)
         changed = not new.filter("new < label").isEmpty()
         labels = new.select("a", F.col("new").alias("label"))
         if not changed:

@@ -7,12 +7,14 @@ smoothing needs Python.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRACK = ["video_id", "tracker_id"]
 SPEED_WINDOW, STATIONARY = 0.5, 5.0
@@ -56,19 +58,30 @@ def trailing_velocity(rows: DataFrame, fps: float, speed_window: float = SPEED_W
     return rows.withColumn("raw_speed_px_s", F.when(raw < stationary, 0.0).otherwise(raw))
 
 
+def _in_order(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Rows of a key in one partition, sorted: helpers stream through them in batches and hold no whole group."""
+    return rows.repartition(*by).sortWithinPartitions(*by, *order)
+
+
 def smoothed_speed(rows: DataFrame) -> DataFrame:
     """rows with speed_px_s: 0.25 of the raw speed and 0.75 of the last smoothed one; nulls stay null and don't count."""
-    from pyspark.sql import types as T
-
     schema = T.StructType([*rows.schema.fields, T.StructField("speed_px_s", T.DoubleType())])
+    key = [*TRACK, "session"]
 
-    def smooth(x: pd.DataFrame) -> pd.DataFrame:
-        x = x.sort_values(["session", "frame_number"])
-        known = x[x.raw_speed_px_s.notna()]
-        ewm = known.groupby("session").raw_speed_px_s.transform(lambda v: v.ewm(alpha=ALPHA, adjust=False).mean())
-        return x.assign(speed_px_s=ewm.reindex(x.index))
+    def smooth(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, value = None, None  # the open track's session, and its last smoothed speed
+        for x in batches:
+            out = pd.Series(np.nan, x.index)
+            known = x[x.raw_speed_px_s.notna()]
+            for k, v in known.groupby(key, sort=False).raw_speed_px_s:
+                if k == last:
+                    v = pd.concat([pd.Series([value]), v])
+                y = v.ewm(alpha=ALPHA, adjust=False).mean()
+                out.loc[y.index[1 if k == last else 0 :]] = y.to_numpy()[1 if k == last else 0 :]
+                last, value = k, float(y.iloc[-1])
+            yield x.assign(speed_px_s=out)
 
-    return rows.groupBy(*TRACK).applyInPandas(smooth, schema)
+    return _in_order(rows, TRACK, ["session", "frame_number"]).mapInPandas(smooth, schema)
 
 
 def speeds(rows: DataFrame, fps: float, speed_window: float = SPEED_WINDOW, stationary: float = STATIONARY) -> DataFrame:
@@ -198,10 +211,25 @@ class Tracker:
 def link_tracks(rows: DataFrame, fps: float = 30.0, **settings) -> DataFrame:
     """rows (video_id, frame_number, det_no, x1, y1, x2, y2, confidence) with tracker_id, -1 where untracked.
 
-    Sequential within a video, so a video is one task; the stream form bounds what a task holds.
+    Sequential within a video, so a video is one task; its rows are streamed, and only its tracks and one frame are held.
     """
-    from pyspark.sql import types as T
-
     schema = T.StructType([*rows.schema.fields, T.StructField("tracker_id", T.LongType())])
     Tracker(fps, **settings)  # wrong settings fail here
-    return rows.groupBy("video_id").applyInPandas(lambda x: Tracker(fps, **settings).run(x), schema)
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        video, tracker, held = None, None, None
+        for x in batches:
+            if held is not None:
+                x = pd.concat([held, x], ignore_index=True)
+            for v, part in x.groupby("video_id", sort=False):
+                if v != video:
+                    video, tracker = v, Tracker(fps, **settings)
+                if v == x.video_id.iloc[-1]:  # the last frame may go on in the next batch
+                    open_ = part.frame_number == part.frame_number.iloc[-1]
+                    held, part = part[open_], part[~open_]
+                if len(part):
+                    yield tracker.run(part)
+        if held is not None and len(held):
+            yield tracker.run(held)
+
+    return _in_order(rows, ["video_id"], ["frame_number", "det_no"]).mapInPandas(link, schema)

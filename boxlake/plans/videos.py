@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions.geometry import box_center, format_speed_label
 from boxlake.operators import detections as det
 from boxlake.operators import evaluate, tracks
 from boxlake.plans.fixtures import ctes, frame
+from boxlake.scratch import scratch_dir
 from boxlake.sources.labels import read_detections
 from boxlake.streaming import frames
 
@@ -152,14 +150,9 @@ def video_summary(s, d):
 _SUMMARY = ctes("fx_tracks") + "SELECT video_id, count(DISTINCT frame_number) AS frames, count(DISTINCT tracker_id) AS tracks FROM fx_tracks GROUP BY video_id"
 
 
-def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-boxlake-", dir="/tmp")
-    return f"{base}/stream-{uuid.uuid4().hex}"
-
-
 def _streamed(rows: DataFrame, how) -> DataFrame:
     """rows written to the shared folder, streamed through how() and read again."""
-    spark, path = rows.sparkSession, _folder(rows.sparkSession)
+    spark, path = rows.sparkSession, scratch_dir(rows.sparkSession)
     rows.write.parquet(f"{path}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
     out = how(stream)
@@ -180,7 +173,7 @@ def frame_status_stream(s, d):
 
 def nms_stream(s, d):
     """R6."""
-    rows, path = _detections(s, d), _folder(s)
+    rows, path = _detections(s, d), scratch_dir(s)
     rows.write.parquet(f"{path}/in")
     stream = s.readStream.schema(rows.schema).parquet(f"{path}/in")
     frames.nms_stream(stream, f"{path}/out", f"{path}/log").awaitTermination()
