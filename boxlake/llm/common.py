@@ -1,42 +1,20 @@
-"""What the training-data operators share: the shared scratch folder, word splitting and id folds."""
+"""What the training-data operators share: scratch tables, word patterns and id folds."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxlake.scratch import scratch_dir, stored
+
+__all__ = ["ASCII_LOWER", "WORD", "as_bytes", "fold", "free_name", "scratch_dir", "stored", "table"]
+
 #: A-Z to a-z over UTF-8 bytes; other bytes stay.
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Java's form of the word pattern of the quality rules and fingerprints.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder name below ``spark.checkpoint.dir``, which driver and executors share.
-
-    Only a session in one local process may go without the setting (tests); it gets a folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-boxlake-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/boxlake-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = path or scratch_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fold(id_column: str, k: int) -> Column:
     """crc32 of the id's text modulo k; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % k
