@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.functions.geometry import clip_box, corners_to_box, keep_min_side, yolo_to_pixels
+from boxlake.functions.geometry import BORDER, INNER_HEIGHT, INNER_WIDTH, clip_box, corners_to_box, keep_min_side, yolo_to_pixels
 from boxlake.functions.naming import DRONEVEHICLE_NAMES, VISDRONE_VEHICLES, strip
 
 KEY = ["raw_split", "stem"]
@@ -76,7 +76,8 @@ def voc_boxes(objects: DataFrame) -> DataFrame:
     is_vehicle = filter_dronevehicle_class("object.name")
     has_polygon, has_bndbox = F.col("object.polygon").isNotNull(), F.col("object.bndbox").isNotNull()
     from_polygon = corners_to_box([f"_x{i}" for i in range(1, 5)], [f"_y{i}" for i in range(1, 5)])
-    from_bndbox = corners_to_box(["_xmin", "_xmax"], ["_ymin", "_ymax"])
+    # corners in the wrong order leave nothing, unlike a polygon's
+    from_bndbox = clip_box(F.col("_xmin") - BORDER, F.col("_ymin") - BORDER, F.col("_xmax") - F.col("_xmin"), F.col("_ymax") - F.col("_ymin"), F.lit(INNER_WIDTH), F.lit(INNER_HEIGHT))
     box = F.when(has_polygon, from_polygon).when(has_bndbox, from_bndbox)
     rows = rows.withColumn("box", F.when(is_vehicle, box))
     status = (
@@ -106,6 +107,44 @@ def source_stats(rows: DataFrame, flags: dict[str, Column]) -> DataFrame:
     return one.selectExpr(f"stack({len(flags)}, {pairs}) as (metric, value)")
 
 
+def _kept(x: str, y: str, w: str, h: str) -> Column:
+    return keep_min_side(clip_box(x, y, w, h, "width", "height"))
+
+
+def visdrone_metric() -> Column:
+    """The counter of a parsed row with its picture's size: bad_rows, class_<id>_boxes or invalid_boxes; null for rows that are left out silently."""
+    kept = F.concat(F.lit("visdrone_class_"), F.col("class_id").cast("string"), F.lit("_boxes"))
+    out = (F.col("score") == 0) | ~F.col("class_id").isin(VISDRONE_VEHICLES)
+    return F.when(F.col("bad_row"), "visdrone_bad_rows").when(out, F.lit(None)).when(_kept("x", "y", "w", "h"), kept).otherwise("visdrone_invalid_boxes")
+
+
+def yolo_metric() -> Column:
+    """The counter of a parsed row with its picture's size: bad_rows, source_class_<id>_boxes or invalid_boxes."""
+    kept = F.concat(F.lit("uavdt_source_class_"), F.col("class_id").cast("string"), F.lit("_boxes"))
+    p = yolo_to_pixels("cx", "cy", "w", "h", "width", "height")
+    fits = keep_min_side(clip_box(p["x"], p["y"], p["w"], p["h"], "width", "height"))
+    return F.when(F.col("bad_row"), "uavdt_bad_rows").when(fits, kept).otherwise("uavdt_invalid_boxes")
+
+
+def voc_metrics() -> Column:
+    """The counters, as an array, of an object of voc_boxes()."""
+    name = F.coalesce(F.lower(strip("object.name")), F.lit(""))
+    named = {"skipped_class": F.concat(F.lit("dronevehicle_skipped_class:"), name), "point_only": F.lit("dronevehicle_point_only_skipped"), "invalid_box": F.lit("dronevehicle_invalid_boxes")}
+    status = F.lit(None).cast("string")
+    for k, v in named.items():
+        status = F.when(F.col("status") == k, v).otherwise(status)
+    status = F.when(F.col("status").isin("bad_polygon", "bad_bndbox"), F.concat(F.lit("dronevehicle_"), F.col("status"))).otherwise(status)
+    return F.array_compact(F.array(status, F.when(F.col("converted"), "dronevehicle_bndbox_converted")))
+
+
+def counted(rows: DataFrame, metric: Column) -> DataFrame:
+    """metric, value of the rows' counters (a text or an array of texts); null counts nothing."""
+    named = rows.select(metric.alias("metric"))
+    if dict(named.dtypes)["metric"].startswith("array"):
+        named = named.select(F.explode("metric").alias("metric"))
+    return named.filter("metric is not null").groupBy("metric").agg(F.count("*").alias("value"))
+
+
 def box_counts(images: DataFrame, boxes: DataFrame, key: str = "image_id") -> DataFrame:
     """images with n_boxes; zero for those without any."""
     n = boxes.groupBy(key).agg(F.count("*").alias("n_boxes"))

@@ -63,6 +63,32 @@ SELECT annotation_id, status, vehicle AND NOT poly AND NOT point AND NOT broken
 FROM (SELECT *, status IN ('ok', 'invalid_box') AND cw > 0 AND ch > 0 AS b FROM t)"""
 
 
+def reader_stats(s, d):
+    """A1: the counters of all three readers."""
+    lines, images = frame(s, d, "fx_lines").select("annotation_id", "image_id", "visdrone_line", "yolo_line"), frame(s, d, "fx_images")
+    sized = an.boxes_with_image_size(lines, images)
+    one = an.counted(labels.read_visdrone_labels(sized, "visdrone_line"), an.visdrone_metric())
+    two = an.counted(labels.read_yolo_labels(sized, "yolo_line"), an.yolo_metric())
+    xml = labels.read_voc_xml_labels(frame(s, d, "fx_xml").select("xml"), keep=[])
+    three = an.counted(an.voc_boxes(xml.filter(~F.col("bad_xml"))), an.voc_metrics())
+    bad = an.counted(xml.filter("bad_xml"), F.lit("dronevehicle_bad_xml"))
+    return an.union_sources(one, two, three, bad)
+
+
+_READER_STATS = f"""WITH a AS ({_VISDRONE_LINES.replace('SELECT annotation_id, bad_row, CASE WHEN k THEN class_id END AS class_id', 'SELECT sc, class_id AS ci, k, bad_row, CASE WHEN k THEN class_id END AS class_id')}),
+b AS ({_YOLO_LINES.replace('SELECT annotation_id, class_id, cx AS x, cy AS y, cw AS w, ch AS h FROM c WHERE cw >= 2 AND ch >= 2', 'SELECT class_id, cw >= 2 AND ch >= 2 AS k FROM c')}),
+o AS ({_VOC.replace('SELECT annotation_id, status,', 'SELECT name, status,')}),
+lk AS ({ctes('fx_lines', 'fx_images')} SELECT part FROM fx_lines JOIN fx_images USING (image_id)),
+xb AS ({ctes('fx_lines')} SELECT part FROM fx_lines WHERE part % 59 = 0),
+m AS (SELECT CASE WHEN bad_row THEN 'visdrone_bad_rows' WHEN sc = 0 OR ci NOT IN (4, 5, 6, 9, 10) THEN NULL WHEN k THEN 'visdrone_class_' || ci || '_boxes' ELSE 'visdrone_invalid_boxes' END AS metric FROM a
+UNION ALL SELECT CASE WHEN k THEN 'uavdt_source_class_' || class_id || '_boxes' ELSE 'uavdt_invalid_boxes' END FROM b
+UNION ALL SELECT 'uavdt_bad_rows' FROM lk WHERE part % 47 = 0 OR part % 53 = 0
+UNION ALL SELECT CASE status WHEN 'skipped_class' THEN 'dronevehicle_skipped_class:' || lower(trim(name)) WHEN 'point_only' THEN 'dronevehicle_point_only_skipped' WHEN 'invalid_box' THEN 'dronevehicle_invalid_boxes' WHEN 'ok' THEN NULL ELSE 'dronevehicle_' || status END FROM o
+UNION ALL SELECT 'dronevehicle_bndbox_converted' FROM o WHERE converted
+UNION ALL SELECT 'dronevehicle_bad_xml' FROM xb)
+SELECT metric, count(*) AS value FROM m WHERE metric IS NOT NULL GROUP BY metric"""
+
+
 def group_names(s, d):
     """F5, F6, F7, F8, P8."""
     x = dronevehicle_group("folder", "filename", "path", "raw_split")
@@ -179,6 +205,7 @@ QUERIES = {
     "visdrone_lines": (visdrone_lines, _VISDRONE_LINES),
     "yolo_lines": (yolo_lines, _YOLO_LINES),
     "voc_xml_objects": (voc_xml_objects, _VOC),
+    "reader_stats": (reader_stats, _READER_STATS),
     "group_names": (group_names, _GROUP_NAMES),
     "label_join": (label_join, _LABEL_JOIN),
     "exact_dedup": (exact_dedup, _EXACT_DEDUP),

@@ -123,3 +123,9 @@ def test_parameters(spark):
     videos = spark.createDataFrame([(1, 0.0, 10, 10, 100)], "video_id long, fps double, width int, height int, frames long")
     with pytest.raises(Exception, match="unusable video 1"):
         labels.check_videos(videos).collect()
+
+
+def test_bndbox_corners_in_the_wrong_order(spark):
+    xml = "<annotation><object><name>car</name><bndbox><xmin>150</xmin><ymin>110</ymin><xmax>110</xmax><ymax>140</ymax></bndbox></object></annotation>"
+    rows = an.voc_boxes(labels.read_voc_xml_labels(spark.createDataFrame([(xml,)], "xml string"), keep=[])).first()
+    assert (rows.status, rows.converted, rows.box) == ("invalid_box", True, None)
