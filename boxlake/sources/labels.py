@@ -75,8 +75,8 @@ def read_visdrone_labels(lines: DataFrame, line: str = "line") -> DataFrame:
     rows = lines.withColumn("_n", numbers)
     bad = F.col(line).isNull() | (F.size("_n") < 8) | F.exists("_n", lambda v: v.isNull())
     names = ["x", "y", "w", "h", "score", "class_id"]
-    fields = {k: F.when(~bad, F.get("_n", F.lit(i))) for i, k in enumerate(names)}
-    return rows.withColumns(fields | {"bad_row": bad}).drop("_n")
+    rows = rows.withColumn("bad_row", bad)  # a column of its own, so that it is tested once and not per field
+    return rows.withColumns({k: F.when(~F.col("bad_row"), F.get("_n", F.lit(i))) for i, k in enumerate(names)}).drop("_n")
 
 
 def read_yolo_labels(lines: DataFrame, line: str = "line") -> DataFrame:
@@ -86,9 +86,10 @@ def read_yolo_labels(lines: DataFrame, line: str = "line") -> DataFrame:
     bad = F.col(line).isNull() | (F.size("_n") != 5) | F.exists("_n", lambda v: v.isNull())
     bad = bad | ~all_finite(*(F.get("_n", F.lit(i)) for i in range(5)))
     names = ["class_value", "cx", "cy", "w", "h"]
-    fields = {k: F.when(~bad, F.get("_n", F.lit(i))) for i, k in enumerate(names)}
+    rows = rows.withColumn("bad_row", bad)
+    fields = {k: F.when(~F.col("bad_row"), F.get("_n", F.lit(i))) for i, k in enumerate(names)}
     whole = F.when(F.col("class_value") < 0, F.ceil("class_value")).otherwise(F.floor("class_value"))
-    return rows.withColumns(fields | {"bad_row": bad}).withColumn("class_id", whole.cast("bigint")).drop("_n", "class_value")
+    return rows.withColumns(fields).withColumn("class_id", whole.cast("bigint")).drop("_n", "class_value")
 
 
 def read_voc_xml_labels(files: DataFrame, text: str = "xml", keep: list[str] | None = None) -> DataFrame:
