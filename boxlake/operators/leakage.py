@@ -9,30 +9,59 @@ from boxlake.functions.images import MAX_DIFFERENCE, MIN_CORRELATION, MIN_STD, p
 from boxlake.scratch import stored
 
 
-def _sides(signatures: DataFrame, differ: str) -> tuple[DataFrame, DataFrame]:
-    """Left and right rows of the self-join: contrast first (both sides need it), then buckets with more than one group."""
-    rows = signatures.filter(F.col("std") >= MIN_STD)
-    keys = ["source_dataset", "dhash"]
-    mixed = rows.groupBy(*keys).agg(F.min(differ).alias("a"), F.max(differ).alias("b")).filter("a < b").select(*keys)
-    rows = rows.join(mixed, keys, "left_semi")
-    names = ["output_name", "sequence_group", "split", "pixels"]
-    return tuple(rows.select(*keys, *(F.col(c).alias(f"{side}_{c}") for c in names if c in rows.columns)) for side in ("left", "right"))
+KEYS = ["source_dataset", "dhash", "digest"]
 
 
-def _pairs(signatures: DataFrame, differ: str, slack: float = 0.0) -> DataFrame:
-    # written once: whatever makes the pixels isn't run for each side and each filter
-    signatures = stored(stored(signatures).withColumn("std", population_std("pixels") + slack))
-    left, right = _sides(signatures, differ)
-    near = left.join(right, ["source_dataset", "dhash"]).filter(f"left_output_name < right_output_name and left_{differ} <> right_{differ}")
-    return near.withColumn("m", pixel_similarity("left_pixels", "right_pixels")).drop("left_pixels", "right_pixels")
+def _measured(signatures: DataFrame) -> DataFrame:
+    """Signatures with a digest of their pixels, their mean and deviation; written once, so that pixels aren't made again for each use."""
+    n = F.size("pixels")
+    mean = F.aggregate("pixels", F.lit(0.0), lambda a, x: a + x) / n
+    return stored(signatures.withColumns({"digest": F.md5(F.to_json("pixels").cast("binary")), "mean": mean, "std": population_std("pixels")}))
+
+
+def picture_classes(signatures: DataFrame) -> DataFrame:
+    """output_name, representative: pictures of one source with equal hashes and pixels are one class, named by its least output_name."""
+    rows = stored(signatures.select("output_name", "source_dataset", "dhash", F.md5(F.to_json("pixels").cast("binary")).alias("digest")))
+    least = stored(rows.groupBy(*KEYS).agg(F.min("output_name").alias("representative")))
+    return rows.join(least, KEYS).select("output_name", "representative")
+
+
+def _links(signatures: DataFrame, differ: str, slack: float = 0.0) -> DataFrame:
+    """Pairs between representatives whose column `differ` is not the same, with their measures.
+
+    A class of equal pictures gives one pair for each further value of `differ`, from its least picture to the least one with that value.
+    Two classes give one pair, of pictures with different values where they have such. So copies are never paired with each
+    other, and no link between different pictures is lost. Within a hash, classes meet by bands of their mean: mean absolute error is at least the
+    difference of means, so only neighbouring bands can be similar.
+    """
+    seen = _measured(signatures).filter(F.col("std") >= MIN_STD - slack)
+    each = stored(seen.groupBy(*KEYS, differ).agg(F.min("output_name").alias("name"), *(F.any_value(c).alias(c) for c in ("pixels", "mean", "std"))))
+    first = stored(each.groupBy(*KEYS).agg(F.min_by(F.struct("name", differ, "pixels", "mean", "std"), "name").alias("f"), F.count("*").alias("n")).select(*KEYS, "f.*", "n"))
+    heads = first.filter("n > 1").select(*KEYS, F.col("name").alias("left_output_name"), F.col(differ).alias(f"left_{differ}"))
+    within = each.drop("pixels").join(heads, KEYS).filter(F.col(differ) != F.col(f"left_{differ}"))
+    within = stored(within.select(*KEYS, "left_output_name", F.col("name").alias("right_output_name"), f"left_{differ}", F.col(differ).alias(f"right_{differ}"), F.struct(F.lit(1.0).alias("correlation"), F.lit(0.0).alias("mean_absolute_error"), F.col("std").alias("left_std"), F.col("std").alias("right_std")).alias("m")))
+
+    second = within.groupBy(*KEYS).agg(F.min(F.struct(F.col("right_output_name").alias("name"), F.col(f"right_{differ}").alias(differ))).alias("s"))
+    many = first.groupBy(*KEYS[:2]).agg(F.count("*").alias("k")).filter("k > 1").select(*KEYS[:2])
+    sides = first.join(many, KEYS[:2], "left_semi").join(second, KEYS, "left")
+    band = F.floor(F.col("mean") / MAX_DIFFERENCE)
+    left, right = (sides.select(*KEYS[:2], b.alias("band"), *(F.col(c).alias(f"{x}_{c}") for c in ("name", differ, "pixels", "s"))) for x, b in (("a", band), ("b", F.explode(F.array(band - 1, band, band + 1)))))
+    near = left.join(right, [*KEYS[:2], "band"]).filter(f"a_name < b_name and (a_{differ} <> b_{differ} or a_s is not null or b_s is not null)")
+    apart = F.col(f"a_{differ}") != F.col(f"b_{differ}")
+    b_second = ~apart & F.col("b_s").isNotNull()
+    a_second = ~apart & ~b_second
+    pick = lambda x, second: F.when(second, F.col(f"{x}_s")).otherwise(F.struct(F.col(f"{x}_name").alias("name"), F.col(f"{x}_{differ}").alias(differ)))
+    near = near.withColumns({"l": pick("a", a_second), "r": pick("b", b_second), "m": pixel_similarity("a_pixels", "b_pixels")})
+    between = near.select(*KEYS[:2], F.col("l.name").alias("left_output_name"), F.col("r.name").alias("right_output_name"), F.col(f"l.{differ}").alias(f"left_{differ}"), F.col(f"r.{differ}").alias(f"right_{differ}"), "m")
+    return between.unionByName(within.drop("digest"))
 
 
 def near_duplicate_pairs(signatures: DataFrame) -> DataFrame:
-    """Pairs of one source with equal hashes, different groups and similar pixels; thresholds on unrounded measures.
+    """Pairs (see _links) of one source with equal hashes, different groups and similar pixels; thresholds on unrounded measures.
 
-    signatures: output_name, source_dataset, sequence_group, dhash, pixels.
+    signatures: output_name, source_dataset, sequence_group, dhash, pixels. picture_classes() gives the members of each class.
     """
-    rows = _pairs(signatures, "sequence_group")
+    rows = _links(signatures, "sequence_group")
     low = F.least("m.left_std", "m.right_std")
     rows = rows.filter((low >= MIN_STD) & (F.col("m.correlation") >= MIN_CORRELATION) & (F.col("m.mean_absolute_error") <= MAX_DIFFERENCE))
     measures = [F.round("m.correlation", 6).alias("correlation"), F.round("m.mean_absolute_error", 6).alias("mean_absolute_error"), F.round(low, 6).alias("minimum_contrast_stddev")]
@@ -40,9 +69,9 @@ def near_duplicate_pairs(signatures: DataFrame) -> DataFrame:
 
 
 def cross_split_leak_pairs(signatures: DataFrame) -> DataFrame:
-    """Pairs of one source with equal hashes in different splits; thresholds on measures rounded to 6 digits."""
+    """Pairs (see _links) of one source with equal hashes in different splits; thresholds on measures rounded to 6 digits."""
     # rounding can lift a deviation just below the limit, so the filter before the join is a little wider
-    rows = _pairs(signatures, "split", 1e-6)
+    rows = _links(signatures, "split", 1e-6)
     measures = {"correlation": F.round("m.correlation", 6), "mean_absolute_error": F.round("m.mean_absolute_error", 6), "minimum_contrast_stddev": F.round(F.least("m.left_std", "m.right_std"), 6)}
     rows = rows.withColumns(measures).filter((F.col("minimum_contrast_stddev") >= MIN_STD) & (F.col("correlation") >= MIN_CORRELATION) & (F.col("mean_absolute_error") <= MAX_DIFFERENCE))
     return rows.select("source_dataset", "dhash", "left_output_name", "right_output_name", "left_split", "right_split", *measures)

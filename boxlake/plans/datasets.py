@@ -11,12 +11,25 @@ from boxlake.operators import audit, leakage, splits
 from boxlake.plans.fixtures import ctes, frame
 from boxlake.sources import labels, sinks
 
-SIGNATURES = """, sig0 AS (SELECT output_name, lang AS source_dataset, sequence_group, split, force_train, n_boxes, list_transform(range(1, 65), lambda i: CASE WHEN i <= length(text) THEN CAST(unicode(text[i]) AS DOUBLE) ELSE 0e0 END) AS px FROM fx_files),
-sig AS (SELECT *, (SELECT sum(CASE WHEN px[i + 1] > px[i] THEN CAST(pow(2, 16 - i) AS BIGINT) ELSE 0 END) FROM (SELECT unnest(range(1, 17)) AS i)) AS bits, list_sum(px) / 64 AS m FROM sig0),
+
+def _grey_sql(n: int) -> str:
+    lo, hi = f"len(sizes) * i // {n}", f"len(sizes) * (i + 1) // {n}"
+    return f"list_transform(range(0, {n}), lambda i: CASE WHEN {hi} > {lo} THEN least(255e0, 25e0 * list_sum(sizes[{lo} + 1:{hi}]) / ({hi} - {lo})) ELSE 0e0 END)"
+
+
+def _signatures_sql(differ: str) -> str:
+    """Classes of equal pictures, then links (source_dataset, dhash, l, r, lg, rg, low, corr, mae) of pictures that differ in a column."""
+    return f""", sig0 AS (SELECT output_name, lang AS source_dataset, {differ} AS g, {_grey_sql(64)} AS px, {_grey_sql(17)} AS hx FROM (SELECT *, list_transform(string_split(coalesce(text, ''), ' '), lambda w: length(w)) AS sizes FROM fx_files)),
+sig AS (SELECT *, (SELECT sum(CASE WHEN hx[i + 1] > hx[i] THEN CAST(pow(2, 16 - i) AS BIGINT) ELSE 0 END) FROM (SELECT unnest(range(1, 17)) AS i)) AS bits, list_sum(px) / 64 AS m FROM sig0),
 st AS (SELECT *, printf('%04x', CAST(bits AS BIGINT)) AS dhash, list_transform(px, lambda v: v - m) AS c FROM sig), s2 AS (SELECT *, list_sum(list_transform(c, lambda v: v * v)) AS ss FROM st), s3 AS (SELECT *, sqrt(ss / 64) AS std FROM s2),
-pr AS (SELECT a.source_dataset, a.dhash, a.output_name AS l, b.output_name AS r, a.sequence_group AS lg, b.sequence_group AS rg, a.split AS ls, b.split AS rs, least(a.std, b.std) AS low,
+cl AS (SELECT source_dataset, dhash, px, any_value(c) AS c, any_value(ss) AS ss, any_value(std) AS std, min(output_name) AS n1, arg_min(g, output_name) AS g1 FROM s3 GROUP BY source_dataset, dhash, px),
+sx AS (SELECT cl.source_dataset, cl.dhash, cl.px, n1, g1, cl.std, g, min(output_name) AS name FROM cl JOIN s3 ON s3.source_dataset = cl.source_dataset AND s3.dhash = cl.dhash AND s3.px = cl.px AND s3.g <> g1 GROUP BY ALL),
+c2 AS (SELECT cl.*, n2, g2 FROM cl LEFT JOIN (SELECT source_dataset, dhash, px, min(name) AS n2, arg_min(g, name) AS g2 FROM sx GROUP BY ALL) z ON z.source_dataset = cl.source_dataset AND z.dhash = cl.dhash AND z.px = cl.px),
+pr AS (SELECT a.source_dataset, a.dhash, CASE WHEN a.g1 = b.g1 AND b.n2 IS NULL THEN a.n2 ELSE a.n1 END AS l, CASE WHEN a.g1 = b.g1 AND b.n2 IS NOT NULL THEN b.n2 ELSE b.n1 END AS r,
+  CASE WHEN a.g1 = b.g1 AND b.n2 IS NULL THEN a.g2 ELSE a.g1 END AS lg, CASE WHEN a.g1 = b.g1 AND b.n2 IS NOT NULL THEN b.g2 ELSE b.g1 END AS rg, least(a.std, b.std) AS low,
   CASE WHEN a.ss * b.ss > 0 THEN list_dot_product(a.c, b.c) / sqrt(a.ss * b.ss) ELSE 0 END AS corr, list_sum(list_transform(range(1, 65), lambda i: abs(a.px[i] - b.px[i]))) / 64 AS mae
-  FROM s3 a JOIN s3 b ON a.source_dataset = b.source_dataset AND a.dhash = b.dhash AND a.output_name < b.output_name)"""
+  FROM c2 a JOIN c2 b ON a.source_dataset = b.source_dataset AND a.dhash = b.dhash AND a.n1 < b.n1 WHERE a.g1 <> b.g1 OR a.n2 IS NOT NULL OR b.n2 IS NOT NULL
+  UNION ALL SELECT source_dataset, dhash, n1, name, g1, g, std, 1e0, 0e0 FROM sx)"""
 
 
 def split_stats(s, d):
@@ -126,10 +139,31 @@ def review_sample(s, d):
 _REVIEW = ctes("fx_counted") + "SELECT source_dataset, n_boxes = 0 AS is_negative, file_name FROM fx_counted QUALIFY row_number() OVER (PARTITION BY source_dataset, n_boxes = 0 ORDER BY md5('42|' || file_name), file_name) <= 12"
 
 
+def _grey(n: int):
+    """An array of word lengths as n grey levels: 25 times the mean of each of n parts of equal length."""
+    words = F.size("sizes").cast("bigint")
+
+    def level(i):
+        lo, hi = (F.floor(words * k / n).cast("int") for k in (i, i + 1))
+        total = F.aggregate(F.slice("sizes", lo + 1, hi - lo), F.lit(0), lambda a, x: a + x)
+        return F.when(hi > lo, F.least(F.lit(255.0), F.lit(25.0) * total / (hi - lo))).otherwise(F.lit(0.0))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), level)
+
+
 def _signatures(s, d):
-    codes = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: F.when(i <= F.length("text"), F.ascii(F.substring("text", i, F.lit(1)))).otherwise(0).cast("double"))
-    rows = frame(s, d, "fx_files").select("output_name", F.col("lang").alias("source_dataset"), "sequence_group", "split", "force_train", "n_boxes", codes.alias("pixels"))
-    return rows.withColumn("dhash", bits_to_hex("pixels"))
+    """Whole texts as pictures of 64 grey levels, with the hash of a coarser picture."""
+    rows = frame(s, d, "fx_files").withColumn("sizes", F.transform(F.split(F.coalesce("text", F.lit("")), " "), F.length))
+    rows = rows.select("output_name", F.col("lang").alias("source_dataset"), "sequence_group", "split", "force_train", "n_boxes", _grey(64).alias("pixels"), _grey(17).alias("coarse"))
+    return rows.withColumn("dhash", bits_to_hex("coarse")).drop("coarse")
+
+
+def picture_classes(s, d):
+    """Equal pictures, whose links J6 and J7 give by representatives."""
+    return leakage.picture_classes(_signatures(s, d))
+
+
+_CLASSES = ctes("fx_files") + _signatures_sql("split") + "SELECT output_name, min(output_name) OVER (PARTITION BY source_dataset, dhash, px) AS representative FROM s3"
 
 
 def near_duplicate_pairs(s, d):
@@ -137,8 +171,8 @@ def near_duplicate_pairs(s, d):
     return leakage.near_duplicate_pairs(_signatures(s, d))
 
 
-_NEAR = ctes("fx_files") + SIGNATURES + """SELECT source_dataset, dhash, l AS left_output_name, r AS right_output_name, lg AS left_sequence_group, rg AS right_sequence_group, round(corr, 6) AS correlation, round(mae, 6) AS mean_absolute_error, round(low, 6) AS minimum_contrast_stddev
-FROM pr WHERE lg <> rg AND low >= 10 AND corr >= 0.95e0 AND mae <= 10"""
+_NEAR = ctes("fx_files") + _signatures_sql("sequence_group") + """SELECT source_dataset, dhash, l AS left_output_name, r AS right_output_name, lg AS left_sequence_group, rg AS right_sequence_group, round(corr, 6) AS correlation, round(mae, 6) AS mean_absolute_error, round(low, 6) AS minimum_contrast_stddev
+FROM pr WHERE low >= 10 AND corr >= 0.95e0 AND mae <= 10"""
 
 
 def cross_split_leaks(s, d):
@@ -146,8 +180,8 @@ def cross_split_leaks(s, d):
     return leakage.cross_split_leak_pairs(_signatures(s, d))
 
 
-_LEAKS = ctes("fx_files") + SIGNATURES + """SELECT source_dataset, dhash, l AS left_output_name, r AS right_output_name, ls AS left_split, rs AS right_split, round(corr, 6) AS correlation, round(mae, 6) AS mean_absolute_error, round(low, 6) AS minimum_contrast_stddev
-FROM pr WHERE ls <> rs AND round(low, 6) >= 10 AND round(corr, 6) >= 0.95e0 AND round(mae, 6) <= 10"""
+_LEAKS = ctes("fx_files") + _signatures_sql("split") + """SELECT source_dataset, dhash, l AS left_output_name, r AS right_output_name, lg AS left_split, rg AS right_split, round(corr, 6) AS correlation, round(mae, 6) AS mean_absolute_error, round(low, 6) AS minimum_contrast_stddev
+FROM pr WHERE round(low, 6) >= 10 AND round(corr, 6) >= 0.95e0 AND round(mae, 6) <= 10"""
 
 
 def merged_groups(s, d):
@@ -155,7 +189,7 @@ def merged_groups(s, d):
     return leakage.merge_groups(leakage.near_duplicate_pairs(_signatures(s, d)))
 
 
-_MERGED_CTES = ctes("fx_files") + SIGNATURES + """, e0 AS (SELECT lg, rg FROM pr WHERE lg <> rg AND low >= 10 AND corr >= 0.95e0 AND mae <= 10), e AS (SELECT lg AS a, rg AS b FROM e0 UNION SELECT rg, lg FROM e0),
+_MERGED_CTES = ctes("fx_files") + _signatures_sql("sequence_group") + """, e0 AS (SELECT lg, rg FROM pr WHERE low >= 10 AND corr >= 0.95e0 AND mae <= 10), e AS (SELECT lg AS a, rg AS b FROM e0 UNION SELECT rg, lg FROM e0),
 reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a), mg AS (SELECT a AS sequence_group, least(a, min(b)) AS merged_group FROM reach GROUP BY a)"""
 _MERGED = _MERGED_CTES + "SELECT * FROM mg"
 
@@ -242,6 +276,7 @@ QUERIES = {
     "crossing_groups": (crossing_groups, _CROSSING),
     "leak_examples": (leak_examples, _CROSSING + " ORDER BY sha256 LIMIT 20"),
     "review_sample": (review_sample, _REVIEW),
+    "picture_classes": (picture_classes, _CLASSES),
     "near_duplicate_pairs": (near_duplicate_pairs, _NEAR),
     "cross_split_leaks": (cross_split_leaks, _LEAKS),
     "merged_groups": (merged_groups, _MERGED),

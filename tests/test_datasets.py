@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -50,8 +51,39 @@ def test_similarity_thresholds(spark):
     pairs = leakage.near_duplicate_pairs(df)
     assert {(r.left_output_name, r.right_output_name) for r in pairs.collect()} == {("a", "b"), ("b", "c")}
     leaks = leakage.cross_split_leak_pairs(df)
-    assert {(r.left_output_name, r.right_output_name) for r in leaks.collect()} == {("a", "b"), ("a", "c")}
-    assert leakage.near_duplicate_pairs(df.limit(0)).count() == 0
+    assert {(r.left_output_name, r.right_output_name) for r in leaks.collect()} == {("a", "b")}
+    assert {r.output_name: r.representative for r in leakage.picture_classes(df).collect()} == {"a": "a", "b": "b", "c": "b", "d": "d", "e": "e", "f": "f", "g": "f"}
+    assert leakage.near_duplicate_pairs(df.limit(0)).count() == leakage.picture_classes(df.limit(0)).count() == 0
+
+
+def test_links_of_classes_equal_brute_force(spark):
+    r = random.Random(9)
+    bases = [[float(r.randrange(256)) for _ in range(64)] for _ in range(4)]
+    rows = []
+    for i in range(120):
+        x = [min(255.0, max(0.0, v + r.choice([0, 0, 6, 13, -9]) * (i % 3))) for v in bases[i % 4]] if i % 5 else bases[i % 4]
+        rows.append((f"n{i:03}", f"s{i % 2}", f"g{r.randrange(9)}", r.choice(["train", "test"]), "h", x))
+    rows += [(f"o{i:03}", "s0", "g1", "train", "h", rows[i][5]) for i in range(0, 60, 2)]
+
+    def similar(a, b):
+        x, y = np.array(a[5]), np.array(b[5])
+        return a[1] == b[1] and min(x.std(), y.std()) >= 10 and np.corrcoef(x, y)[0, 1] >= 0.95 and abs(x - y).mean() <= 10
+
+    df = spark.createDataFrame(rows, SIG)
+    name = {(x[1], tuple(x[5])): min(y[0] for y in rows if (y[1], y[5]) == (x[1], x[5])) for x in rows}
+    classes = {x[0]: name[x[1], tuple(x[5])] for x in rows}
+    assert {x.output_name: x.representative for x in leakage.picture_classes(df).collect()} == classes
+    by_name = {x[0]: x for x in rows}
+    for column, query in ((2, leakage.near_duplicate_pairs), (3, leakage.cross_split_leak_pairs)):
+        pairs = [(a, b) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[column] != b[column] and similar(a, b)]
+        got = [(x.left_output_name, x.right_output_name) for x in query(df).collect()]
+        assert len(got) == len(set(got)) and all(by_name[a][column] != by_name[b][column] and similar(by_name[a], by_name[b]) for a, b in got)
+        across = {frozenset((classes[a], classes[b])) for a, b in got if classes[a] != classes[b]}
+        assert across == {frozenset((classes[a[0]], classes[b[0]])) for a, b in pairs if classes[a[0]] != classes[b[0]]}
+        assert across
+        for rep in set(classes.values()):
+            values = {x[column] for x in rows if classes[x[0]] == rep}
+            assert len([1 for a, b in got if classes[a] == classes[b] == rep]) == (len(values) - 1 if np.std(by_name[rep][5]) >= 10 else 0)
 
 
 def test_components(spark):
