@@ -7,7 +7,9 @@ Words that cannot lie in a window are skipped exactly: a window of w words lies
 word pairs, and only such runs are streamed.
 
 The items are broadcast in passes of at most ``PASS_BYTES`` of text; a larger set takes several passes over the
-documents, each written to the shared folder. Within a pass an automaton holds at most ``BLOCK_BYTES``.
+documents, each written to the shared folder. Within a pass an automaton holds at most ``BLOCK_BYTES``. A worker builds
+the automata of a pass once; where there are several, each is packed into flat arrays (about 20 bytes for a byte of text)
+before the next one is built.
 
 Nulls: a null text has no words; a null item id counts as the empty id. Repeated item ids count once. Empty tables
 give empty results. Only the id and text columns are read, so other columns can have any name.
@@ -16,6 +18,8 @@ give empty results. Only the id and text columns are read, so other columns can
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,6 +111,37 @@ class Automaton:
             state = self.link[state]
         return state
 
+    def pack(self) -> Automaton:
+        """Moves and owners as sorted arrays instead of dictionaries; nothing can be added afterwards."""
+        moves = sorted((s * int(self.width) + t, to) for s, follow in enumerate(self.next) for t, to in follow.items())
+        self.move_keys, self.move_to = array("q", [k for k, _ in moves]), array("i", [to for _, to in moves])
+        self.next = None
+        self.names = sorted({k for x in self.owners.values() for k in x})
+        place = {k: i for i, k in enumerate(self.names)}
+        owned = sorted((s, place[k]) for s, x in self.owners.items() for k in x)
+        self.owned_states, self.owned_names = array("i", [s for s, _ in owned]), array("i", [i for _, i in owned])
+        self.owners = None
+        self.link, self.length = array("i", self.link), array("i", self.length)
+        return self
+
+    def move(self, state: int, t: int) -> int | None:
+        """The state after one more word, if there is one."""
+        if self.next is not None:
+            return self.next[state].get(t)
+        k = state * int(self.width) + t
+        i = bisect_left(self.move_keys, k)
+        return self.move_to[i] if i < len(self.move_keys) and self.move_keys[i] == k else None
+
+    def owners_at(self, state: int) -> set[str]:
+        """Items whose windows end in the state."""
+        if self.owners is not None:
+            return self.owners.get(state, set())
+        i, out = bisect_left(self.owned_states, state), set()
+        while i < len(self.owned_states) and self.owned_states[i] == state:
+            out.add(self.names[self.owned_names[i]])
+            i += 1
+        return out
+
     def runs(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
         """Word ranges outside which no window can lie."""
         if not self.least or len(ids) < self.least:
@@ -134,18 +169,18 @@ class Automaton:
         ids = np.fromiter([get(w, 0) for w in ws], np.int64, len(ws))
         spans: list[tuple[int, int]] = []
         found: set[str] = set()
-        follow, link, length, window = self.next, self.link, self.length, self.window
+        move, link, length, window = self.move, self.link, self.length, self.window
         for a, b in self.runs(ids):
             state = matched = 0
             for i, t in enumerate(ids[a:b].tolist(), a):
-                while state and t not in follow[state]:
+                while (to := move(state, t)) is None and state:
                     state = link[state]
                     matched = length[state]
-                if t in follow[state]:
-                    state = follow[state][t]
+                if to is not None:
+                    state = to
                     matched += 1
                 if matched >= window:
-                    found |= self.owners.get(self.suffix(state, window), set())
+                    found |= self.owners_at(self.suffix(state, window))
                     spans.append((i + 1 - window, i + 1))
                 if self.short:
                     up = state
@@ -168,20 +203,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_BUILT: dict[tuple, Automaton] = {}
+_BUILT: dict[tuple, list[Automaton]] = {}
 
 
-def _automata(shared, window: int) -> Iterator[Automaton]:
-    """The pass's automata; a single one stays in the worker, several are built in turn to bound memory."""
-    blocks = shared.value
-    if len(blocks) > 1:
-        yield from (Automaton(b, window) for b in blocks)
-    else:
-        key = (hash(tuple((k, tuple(ws)) for k, ws in blocks[0])), window)
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Automaton(blocks[0], window)
-        yield _BUILT[key]
+def _automata(blocks: list[list], window: int) -> list[Automaton]:
+    """The pass's automata, which stay in the worker until another pass needs others."""
+    key = (hash(tuple((k, tuple(ws)) for block in blocks for k, ws in block)), len(blocks), window)
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = [Automaton(b, window) if len(blocks) == 1 else Automaton(b, window).pack() for b in blocks]
+    return _BUILT[key]
 
 
 _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
@@ -192,14 +223,15 @@ def _pass(docs: DataFrame, text: int, shared, window: int) -> DataFrame:
     """docs: any columns, then words, spans and items so far; text: the place of the text column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automata = _automata(shared.value, window)
         for b in batches:
             texts = as_bytes(b.column(text)).to_pylist()
             spans, items = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
             counts = [0] * len(texts)
-            for auto in _automata(shared, window):
-                for i, t in enumerate(texts):
-                    ws = words(t)
-                    counts[i] = len(ws)
+            for i, t in enumerate(texts):
+                ws = words(t)
+                counts[i] = len(ws)
+                for auto in automata:
                     hit, found = auto.scan(ws)
                     if found:
                         spans[i] = [{"first": x, "stop": y} for x, y in merged(hit + [(s["first"], s["stop"]) for s in spans[i]])]

@@ -70,3 +70,14 @@ def test_passes_and_blocks_give_the_same(spark, monkeypatch):
     assert sorted(tuple(x) for x in decontaminate.report(docs(spark, rows), item_frame(spark, items)).collect()) == one
     monkeypatch.setattr(decontaminate, "PASS_BYTES", 700)
     assert sorted(tuple(x) for x in decontaminate.report(docs(spark, rows), item_frame(spark, items)).collect()) == one
+
+
+@pytest.mark.parametrize("window", [1, 3, 10])
+def test_packed_automaton_equals_unpacked(window):
+    r = random.Random(50 + window)
+    say = lambda n: [r.choice([b"a", b"b", b"c", b"d"]) for _ in range(n)]
+    items = [(str(i), say(r.choice([0, 1, 2, 5, 10, 11, 14]))) for i in range(30)]
+    plain, packed = decontaminate.Automaton(items, window), decontaminate.Automaton(items, window).pack()
+    for _ in range(200):
+        ws = say(r.choice([0, 1, 9, 40]))
+        assert packed.scan(ws) == plain.scan(ws)
