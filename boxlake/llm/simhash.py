@@ -252,13 +252,15 @@ def near_duplicates(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The rows of docs with one document of each component: its least doc_id, once.
 
+    groups (doc_id, component_id) has a row for each row of docs; without it, near_duplicates(docs) is taken.
     Rows that repeat the kept doc_id are told apart by the hash of their text, then by all that they hold.
     Components whose doc_ids are all null keep one row of each text.
     """
-    kept = stored(near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
+    groups = near_duplicates(docs) if groups is None else groups
+    kept = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
     once, more = kept.filter("n = 1"), kept.filter("n > 1 or doc_id is null")
     same = F.col("k.doc_id").eqNullSafe(F.col("d.doc_id"))
     # always by a shuffle of both sides: the ids grow with the documents
