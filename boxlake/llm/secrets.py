@@ -3,7 +3,8 @@
 Patterns give the base spans (kinds assign, access, hex). Beyond them, base64 and hex candidates are decoded and
 reported only if what they hold has the structure of a key: nested DER lengths that fill their parents exactly in the
 shape of a private key, the length-prefixed fields of an OpenSSH private key, or a signed token whose header is JSON
-with an algorithm. Cheap substring tests come before each pattern; they never hide a match.
+with an algorithm. Base64 is read in both alphabets and over line breaks, written out or escaped as in JSON and source
+literals; a key's own lengths say where it ends. Cheap substring tests come before each pattern; they never hide a match.
 
 A null or empty text has no spans. Spans are in code points, end exclusive. Only the id and text columns are read.
 """
@@ -32,6 +33,15 @@ _HEX_ANY = re.compile(r"[0-9A-Fa-f]{64,}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----")
+_ESCAPE = re.compile(r"\\+[nr]")
+#: Where base64 of DER or of an OpenSSH key can start, its characters, and what can stand between two lines of it.
+_START = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXktdjE)")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_BETWEEN = re.compile(r"""(?:["']\s*\+\s*["']|[\s"',.&>#*;|\\])+""")
+_URL_SAFE = str.maketrans("-_", "+/")
+#: Object identifiers of password-based encryption: PKCS#5, PKCS#12.
+_PBE = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+MAX_KEY_BYTES = 1 << 20
 
 
 def _tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
@@ -61,19 +71,24 @@ def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
 
 
 def is_private_key_der(data: bytes) -> bool:
-    """PKCS#1, SEC 1 or PKCS#8 in DER: nested lengths that fill their parents, with a key's fields."""
+    """PKCS#1, DSA, SEC 1 or PKCS#8, encrypted or not, in DER: nested lengths that fill their parents, with a key's fields."""
     top = _tlv(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
         return False
     parts = _children(data, top[1], top[2])
-    if not parts or len(parts) < 3 or parts[0][0] != 0x02 or data[parts[0][1] : parts[0][2]] not in (b"\0", b"\1"):
+    tags = [t for t, _, _ in parts or []]
+    if tags == [0x30, 0x04]:  # encrypted PKCS#8: a password-based algorithm, then the octets
+        algorithm = _children(data, parts[0][1], parts[0][2])
+        return bool(algorithm) and algorithm[0][0] == 0x06 and data[algorithm[0][1] : algorithm[0][2]].startswith(_PBE) and parts[1][2] > parts[1][1]
+    if len(tags) < 2 or tags[0] != 0x02 or data[parts[0][1] : parts[0][2]] not in (b"\0", b"\1"):
         return False
-    tags = [t for t, _, _ in parts]
-    if tags[:9] == [0x02] * 9:  # PKCS#1
+    if tags[:9] == [0x02] * 9 or tags == [0x02] * 6:  # PKCS#1, DSA
         return True
     if tags[1] == 0x04 and 0xA0 in tags[2:]:  # SEC 1
         return True
-    if tags[1] == 0x30 and tags[2] == 0x04:  # PKCS#8: algorithm, then the key in an octet string
+    if tags[1:] in ([0x04], [0x04, 0xA1]):  # SEC 1 without parameters
+        return data[parts[0][1]] == 1 and 16 <= parts[1][2] - parts[1][1] <= 72
+    if len(tags) > 2 and tags[1] == 0x30 and tags[2] == 0x04:  # PKCS#8: algorithm, then the key in an octet string
         algorithm = _children(data, parts[1][1], parts[1][2])
         inner = _tlv(data, parts[2][1], parts[2][2])
         return bool(algorithm) and algorithm[0][0] == 0x06 and inner is not None and inner[2] == parts[2][2]
@@ -81,10 +96,17 @@ def is_private_key_der(data: bytes) -> bool:
 
 
 def is_openssh_key(data: bytes) -> bool:
-    """Magic, then cipher, derivation, its options, the number of keys, public keys and the private part."""
+    return _openssh_end(data) > 0
+
+
+def _openssh_end(data: bytes) -> int:
+    """The end of an OpenSSH key, 0 if data doesn't start with one.
+
+    Magic, then cipher, derivation, its options, the number of keys, public keys and the private part.
+    """
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return 0
     at = len(magic)
 
     def field() -> bytes | None:
@@ -96,13 +118,13 @@ def is_openssh_key(data: bytes) -> bool:
         return x
 
     if not field() or not field() or field() is None or at + 4 > len(data):
-        return False
+        return 0
     keys, at = int.from_bytes(data[at : at + 4], "big"), at + 4
-    return 1 <= keys <= 16 and all(field() for _ in range(keys)) and bool(field())
+    return at if 1 <= keys <= 16 and all(field() for _ in range(keys)) and field() else 0
 
 
 def _decoded(text: str) -> bytes:
-    text = text.rstrip("=")
+    text = text.rstrip("=").translate(_URL_SAFE)
     try:
         return base64.b64decode(text + "=" * (-len(text) % 4)) if len(text) % 4 != 1 else b""
     except (binascii.Error, ValueError):
@@ -115,6 +137,46 @@ def _key_kind(data: bytes) -> str | None:
     return "openssh" if is_openssh_key(data) else None
 
 
+def _read(text: str, at: int, size: int) -> tuple[str, int]:
+    """Up to `size` base64 characters from `at` on, over line breaks, and where they end in the text."""
+    out, n, end = [], 0, at
+    while n < size and (m := _RUN.match(text, at)):
+        out.append(m[0][: size - n])
+        n += len(out[-1])
+        end = at + len(out[-1])
+        gap = _BETWEEN.match(text, end)
+        at = gap.end() if gap else end
+    return "".join(out), end
+
+
+def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
+    """Keys in base64 over any number of lines, with or without BEGIN and END, as far as their own lengths reach."""
+    out, stop = [], 0
+    for m in _START.finditer(text):
+        if m.start() < stop:
+            continue
+        ssh = m[0][0] == "b"
+        size = MAX_KEY_BYTES
+        if not ssh:
+            head = _decoded(_read(text, m.start(), 12)[0])
+            k = head[1] & 0x7F if len(head) > 7 and head[1] >= 0x80 else 0
+            if len(head) < 8 or k > 4 or head[2 + k] not in (0x02, 0x30):
+                continue
+            size = 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
+            if head[1] == 0x80 or size > MAX_KEY_BYTES:
+                continue
+        body, end = _read(text, m.start(), (size * 4 + 2) // 3)
+        data = _decoded(body[:-1] if ssh and len(body) % 4 == 1 else body)[:size]
+        if ssh and (size := _openssh_end(data)):
+            body, end = _read(text, m.start(), (size * 4 + 2) // 3)
+        if kind := _key_kind(data):
+            while text[end : end + 1] == "=" and len(body) % 4:
+                body, end = body + "=", end + 1
+            out.append((kind, m.start(), end))
+            stop = end
+    return out
+
+
 def _is_jwt(token: str) -> bool:
     for part, needs in zip(token.split(".")[:2], ("alg", None), strict=True):
         try:
@@ -138,6 +200,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
+    out = _confirmed(text)
+    if "\\" in text:  # escaped line breaks become white space of the same length, so spans stay
+        plain = _ESCAPE.sub(lambda m: " " * (len(m[0]) - 1) + "\n", text)
+        if plain != text:
+            out += _confirmed(plain)
+    return sorted(set(out), key=lambda s: (s[1], s[2], s[0]))
+
+
+def _confirmed(text: str) -> list[tuple[str, int, int]]:
     out = []
     if "eyJ" in text:
         out += [("jwt", *m.span()) for m in _JWT.finditer(text) if _is_jwt(m[0])]
@@ -148,11 +219,13 @@ def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
             last = f"-----END {m[1]}-----"
             end = text.find(last, m.end())
             if m.start() >= stop and end >= 0:
-                body = re.sub(r"(?m)^[A-Za-z-]+:.*$", "", text[m.end() : end])
-                if _key_kind(_decoded("".join(body.split()))):
+                body = re.sub(r"""(?m)^[\s"'>#*]*[A-Za-z-]+:.*$""", "", text[m.end() : end])
+                data = _decoded("".join(_BETWEEN.sub("", body).split()))
+                sealed = m[1].endswith("PRIVATE KEY") and "4,ENCRYPTED" in text[m.end() : end] and len(data) >= 16
+                if sealed or _key_kind(data):
                     stop = end + len(last)
                     pem.append(("pem", m.start(), stop))
-    out += pem
+    out += pem + wrapped_spans(text)
     for m in _BASE64.finditer(text):
         if kind := _key_kind(_decoded(m[0])):
             out.append((kind, *m.span()))

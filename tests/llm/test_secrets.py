@@ -80,3 +80,54 @@ def test_rows(spark):
     assert (x.text, x.n_chars) == ("[redacted]", 10)
     assert out.filter("doc_id <= 8").exceptAll(frame.filter("doc_id <= 8")).count() == 0
     assert secrets.scan(docs(spark, [])).count() == 0
+
+
+DSA = der(0x30, der(2, b"\0"), *(der(2, bytes([1 + i]) * (128 if i != 1 else 20)) for i in range(5)))
+BARE = der(0x30, der(2, b"\1"), der(4, b"k" * 32))
+POINT = der(0x30, der(2, b"\1"), der(4, b"k" * 32), der(0xA1, der(3, b"\0" + b"p" * 64)))
+SEALED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30, der(4, b"salt" * 4))), der(4, b"\xfb\xef\xff" * 40))
+DIGEST = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")), der(5)), der(4, b"d" * 32))
+
+
+def lines(x, between="\n", n=64):
+    return between.join(x[i : i + n] for i in range(0, len(x), n))
+
+
+def more_keys():
+    """(text, the part that must go)"""
+    url = base64.urlsafe_b64encode(SEALED).decode()
+    for x in (RSA, PKCS8, DSA, BARE, POINT, SEALED, ssh()):
+        yield f"here is the key\n{lines(b64(x))}\nand more words", lines(b64(x))
+        yield f"one line {b64(x)} end", b64(x)
+    for between in ("\\n", "\\r\\n", "\\\\n", "\n> ", '\\n" +\n    "', "\\n'\n  '"):
+        pem = f"-----BEGIN PRIVATE KEY-----{between}{lines(b64(RSA), between)}{between}-----END PRIVATE KEY-----"
+        yield f'{{"private_key": "{pem}{between}"}}', pem
+    yield f"x {lines(url)} y", lines(url)
+    sealed = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n" + lines(b64(b"\x99\x01" * 80)) + "\n-----END RSA PRIVATE KEY-----"
+    yield f"a {sealed} b", sealed
+    yield "a " + sealed.replace("\n", "\\n") + " b", sealed.replace("\n", "\\n")
+
+
+def test_more_encodings():
+    assert all(secrets.is_private_key_der(x) for x in (DSA, BARE, POINT, SEALED))
+    assert not any(secrets.is_private_key_der(x) for x in (DIGEST, DSA[:-1], SEALED + b"\0", der(0x30, der(2, b"\0"), der(4, b"k" * 32))))
+    for text, key in more_keys():
+        at = text.index(key)
+        assert (at, at + len(key)) in {(a, b) for _, a, b in secrets.confirmed_spans(text)}, text
+        assert secrets.redacted(text) == text.replace(key, secrets.MARK)
+    public = "-----BEGIN PUBLIC KEY-----\nProc-Type: 4,ENCRYPTED\n" + b64(b"p" * 90) + "\n-----END PUBLIC KEY-----"
+    for text in (lines(b64(DIGEST)), public, "MAMA\nMIIE words\nMIIEowIBAAKCAQEA and no more", "C:\\new\\report " * 30):
+        assert secrets.confirmed_spans(text) == []
+
+
+def test_more_encodings_in_scan_and_stage(spark):
+    import corpus_pipeline
+
+    cases = list(more_keys())
+    frame = docs(spark, [(i, t, "en", "a") for i, (t, _) in enumerate(cases)])
+    spans = {x.doc_id: x.spans for x in secrets.scan(frame).collect()}
+    out = {x.doc_id: x.text for x in corpus_pipeline.secret_scan(spark, frame, "").collect()}
+    for i, (text, key) in enumerate(cases):
+        at = text.index(key)
+        assert f":{at}:{at + len(key)}" in spans[i]
+        assert out[i] == text.replace(key, secrets.MARK)
