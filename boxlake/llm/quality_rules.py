@@ -63,7 +63,7 @@ def references(docs: DataFrame) -> DataFrame:
     chars = with_classes(rows).groupBy("lang").agg(*(F.sum(f"c_{c}").alias(c) for c in CLASSES))
     all_chars = sum((F.col(c) for c in CLASSES), F.lit(0)).cast("double")
     chars = chars.select("lang", F.array(*(F.col(c) / all_chars for c in CLASSES)).alias("char_ref"), all_chars.alias("n_chars")).filter("n_chars > 0").drop("n_chars")
-    counts = stored(rows.select("lang", F.explode(F.split("text", SPLIT)).alias("word")).filter("word <> '' and length(word) <= 8").groupBy("lang", "word").agg(F.count("*").alias("n")).filter("n > 1"))
+    counts = stored(rows.select("lang", F.explode(F.split("text", SPLIT)).alias("word")).filter("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")).filter("n > 1"))
     total = rows.select("lang", F.size(words("text")).alias("m")).groupBy("lang").agg(F.sum("m").alias("total")).filter(F.col("total") >= MIN_REFERENCE_WORDS)
     common = counts.join(stored(total), "lang").filter(F.col("n") * RARE >= F.col("total"))
     top = common.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("k") <= len(ALPHABET))

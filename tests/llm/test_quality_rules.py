@@ -47,3 +47,12 @@ def test_distance(spark):
 
 def test_empty(spark):
     assert quality_rules.judge(docs(spark, [])).count() == 0
+
+
+def test_language_of_long_words(spark):
+    long = tuple(f"{w}zusammenhang" for w in ("alpha", "beta", "gamma", "delta", "eta", "theta", "iota", "kappa"))
+    other = tuple(f"{w}verwandtschaft" for w in ("alpha", "beta", "gamma", "delta", "eta", "theta", "iota", "kappa"))
+    rows = [*((i, prose(i, 200, long), "xx", "s") for i in range(60)), (900, prose(900, 200, other), "xx", "s")]
+    got = {x.doc_id: x for x in quality_rules.judge(docs(spark, rows)).collect()}
+    assert all(got[i].kept and got[i].word_distance < 0.3 for i in range(60))
+    assert got[900].word_distance > 0.5 and not got[900].kept
