@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from boxlake.scratch import scratch_dir, stored
 
-__all__ = ["ASCII_LOWER", "WORD", "as_bytes", "fold", "free_name", "scratch_dir", "stored", "table"]
+__all__ = ["ASCII_LOWER", "WORD", "as_bytes", "fold", "free_name", "representatives", "scratch_dir", "stored", "table", "text_key"]
 
 #: A-Z to a-z over UTF-8 bytes; other bytes stay.
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -44,3 +44,20 @@ def as_bytes(column):
     if pa.types.is_large_string(column.type):
         return column.cast(pa.large_binary())
     return column.cast(pa.binary())
+
+
+def text_key(text: str) -> Column:
+    """The first 16 bytes of a text's SHA-256; a null text is an empty one."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256), 1, 32))
+
+
+def representatives(rows: DataFrame, *more: str) -> DataFrame:
+    """(key, first_id, repeats, copies) and the columns `more`, which are the same in all rows of a key; rows: doc_id, key.
+
+    first_id: the least doc_id, null if all are; repeats: rows with this id; copies: rows of the key. A key with many rows is first
+    summed by id, so its rows don't meet in one task.
+    """
+    each = rows.groupBy("key", "doc_id").agg(F.count("*").alias("c"), *(F.any_value(x).alias(x) for x in more))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "c"))
+    out = each.groupBy("key").agg(first.alias("f"), F.sum("c").alias("copies"), *(F.any_value(x).alias(x) for x in more))
+    return out.select("key", F.col("f.doc_id").alias("first_id"), F.col("f.c").alias("repeats"), "copies", *more)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import ASCII_LOWER, stored
+from boxlake.llm.common import ASCII_LOWER, free_name, representatives, stored, text_key
 
 SEED = 42
 SHINGLE = 3
@@ -252,25 +252,39 @@ def near_duplicates(docs: DataFrame, list_limit: int = LIST_LIMIT) -> DataFrame:
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def members(docs: DataFrame) -> DataFrame:
+    """(key, first_id, repeats, root) for each distinct text of docs (see common.representatives); root: its component of fingerprints."""
+    keyed = docs.select("doc_id", text_key("text").alias("key"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = np.array([fingerprint(t) for t in b.column(2).to_pylist()], "<u8").view("<i8")
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp, pa.int64())], ["doc_id", "key", "fp"])
+
+    rows = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", F.col("text").cast("binary").alias("text"))
+    reps = stored(representatives(stored(rows.mapInArrow(run, "doc_id bigint, key binary, fp bigint")), "fp"))
+    tied = components(links(reps.select("fp").distinct()))
+    return reps.join(tied.withColumnRenamed("node", "fp"), "fp", "left").select("key", "first_id", "repeats", F.coalesce("root", "fp").alias("root"))
+
+
 def keep_one(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """The rows of docs with one document of each component: its least doc_id, once.
+    """The rows of docs with one row of each component; the columns stay.
 
-    groups (doc_id, component_id) has a row for each row of docs; without it, near_duplicates(docs) is taken.
-    Rows that repeat the kept doc_id are told apart by the hash of their text, then by all that they hold.
-    Components whose doc_ids are all null keep one row of each text.
+    groups: members(docs), the default, or near_copies.groups(docs). The row that stays is that of the least doc_id (a null id only where
+    the component has no other), then of the least text_key(); of rows that repeat both, the one whose other columns come first as JSON.
+    So doc_ids may repeat over unlike texts and be null.
     """
-    groups = near_duplicates(docs) if groups is None else groups
-    kept = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n")))
-    once, more = kept.filter("n = 1"), kept.filter("n > 1 or doc_id is null")
-    same = F.col("k.doc_id").eqNullSafe(F.col("d.doc_id"))
-    # always by a shuffle of both sides: the ids grow with the documents
-    single = docs.alias("d").join(once.filter("doc_id is not null").hint("merge").alias("k"), F.col("k.doc_id") == F.col("d.doc_id"), "left_semi")
-    if more.isEmpty():
+    groups = members(docs) if groups is None else groups
+    order = F.min(F.struct(F.col("first_id").isNull().alias("last"), "first_id", "key", "repeats"))
+    kept = stored(groups.groupBy("root").agg(order.alias("k")).select("k.first_id", "k.key", "k.repeats"))
+    key, first, repeats = (free_name(x, docs.columns) for x in ("kept_key", "kept_id", "kept_repeats"))
+    kept = kept.select(F.col("key").alias(key), F.col("first_id").alias(first), F.col("repeats").alias(repeats))
+    # always by a shuffle of both sides: what is kept grows with the documents
+    met = docs.withColumn("_k" + key, text_key("text")).join(kept.hint("merge"), (F.col("_k" + key) == F.col(key)) & F.col("doc_id").cast("bigint").eqNullSafe(F.col(first)))
+    single = met.filter(F.col(repeats) == 1).select(*docs.columns)
+    if kept.filter(F.col(repeats) > 1).isEmpty():
         return single
-    again = docs.alias("d").join(more.alias("k"), same, "left_semi")
-    name = "_text_hash"
-    while name in docs.columns:
-        name += "_"
-    ids = ["doc_id", name]
-    again = again.withColumn(name, F.when(F.col("doc_id").isNull(), F.sha2("text", 256)).otherwise(""))
-    return single.unionByName(again.dropDuplicates(ids).drop(name))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rank = F.to_json(F.struct(*others)) if others else F.lit(0)
+    again = met.filter(F.col(repeats) > 1).groupBy(key, first).agg(F.min_by(F.struct(*docs.columns), rank).alias("r"))
+    return single.unionByName(again.select("r.*"))

@@ -1,7 +1,11 @@
 import random
+from hashlib import sha256
+
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from boxlake.llm import near_copies, simhash
+from boxlake.llm.common import text_key
 from tests.llm.data import EDGE, docs
 
 
@@ -11,7 +15,8 @@ def text(seed, n):
 
 
 def jaccard(a, b):
-    a, b = ({tuple(x.lower().split()[i : i + 5]) for i in range(max(len(x.split()) - 4, 1))} for x in (a, b))
+    a, b = (x.lower().split() for x in (a, b))
+    a, b = ({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} for w in (a, b))
     return len(a & b) / len(a | b)
 
 
@@ -45,18 +50,69 @@ def test_planted_copies_go_and_others_stay(spark):
     assert len(eight & copies) > 60  # op8's contract of 3 bits is another one
 
 
+def grouped(spark, rows):
+    """Texts of each component, as sets of sets."""
+    frame = docs(spark, rows)
+    got = near_copies.groups(frame).join(frame.select(text_key("text").alias("key"), F.coalesce("text", F.lit("")).alias("t")).distinct(), "key")
+    out = {}
+    for x in got.collect():
+        out.setdefault(bytes(x.root), set()).add(x.t)
+    return sorted(map(sorted, out.values()))
+
+
+def brute_groups(texts):
+    parent = {t: t for t in texts}
+
+    def find(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    for a in texts:
+        for b in texts:
+            if a < b and jaccard(a, b) >= 0.8:
+                parent[find(a)] = find(b)
+    out = {}
+    for t in texts:
+        out.setdefault(find(t), set()).add(t)
+    return sorted(map(sorted, out.values()))
+
+
+def brute_kept(rows):
+    """One row of each component: the least id, null ids last, then the least digest of the text."""
+    out = []
+    for group in brute_groups({x[1] or "" for x in rows}):
+        out.append(min((x for x in rows if (x[1] or "") in group), key=lambda x: (x[0] is None, x[0] or 0, sha256((x[1] or "").encode()).digest()[:16])))
+    return out
+
+
 def test_chains_within_a_bucket(spark):
     words, rows = text(1, 200), []
     for i in range(40):  # each is like its neighbours only
         words = [f"c{i}.{k}" if 4 * i <= k < 4 * i + 4 else w for k, w in enumerate(words)]
         rows.append((i, " ".join(words), "en", "s"))
     assert jaccard(rows[0][1], rows[39][1]) < 0.2 and jaccard(rows[0][1], rows[1][1]) > 0.9
-    got = near_copies.groups(docs(spark, rows)).collect()
-    assert {x.component_id for x in got} == {0} and len(got) == 40
+    assert len(grouped(spark, rows)) == 1
+
+
+def test_a_hot_family_equals_brute_force_at_every_block_size(spark, monkeypatch):
+    r = random.Random(8)
+    base, rows = text(2, 120), []
+    for i in range(150):  # near the limit: many pairs of a bucket are alike, many aren't
+        words = list(base)
+        for k in r.sample(range(120), r.randint(0, 5)):
+            words[k] = f"y{r.randrange(40)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    want = brute_groups({x[1] for x in rows})
+    assert 5 < len(want) < 100
+    assert grouped(spark, rows) == want
+    monkeypatch.setattr(near_copies, "compared", lambda rest, sets, f=near_copies.compared: f(rest, sets, 16))
+    assert grouped(spark, rows) == want
 
 
 def test_edge_rows(spark):
-    got = near_copies.groups(docs(spark, [*EDGE, (9, "One two", "en", "z"), (10, " one\tTWO ", "en", "z"), (11, "one two three", "en", "z")])).collect()
-    want = [(1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 4), (None, None), (6, 6), (7, 7), (8, 8), (9, 9), (10, 9), (11, 11)]
-    assert sorted(((x.doc_id, x.component_id) for x in got), key=str) == sorted(want, key=str)
+    rows = [*EDGE, (9, "One two", "en", "z"), (10, " one\tTWO ", "en", "z"), (11, "one two three", "en", "z")]
+    assert grouped(spark, rows) == brute_groups({x[1] or "" for x in rows})
     assert near_copies.groups(docs(spark, [])).count() == 0
+    ids = sorted(x.doc_id if x.doc_id is not None else -1 for x in simhash.keep_one(docs(spark, rows), near_copies.groups(docs(spark, rows))).collect())
+    assert ids == [-1, 1, 4, 6, 7, 8, 9, 11]

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import xxhash
@@ -91,3 +92,36 @@ def test_keep_one(spark):
     ids = sorted((r.doc_id for r in kept.collect()), key=str)
     assert ids == sorted([1, 4, 6, 7, 8, None], key=str)
     assert kept.columns == docs(spark, rows).columns
+
+
+def brute_kept(rows):
+    """(doc_id, text) of the row that stays of each component of fingerprints."""
+    left = {}
+    texts = sorted({t or "" for _, t, *_ in rows})
+    fps = [(i, brute_fingerprint(t)) for i, t in enumerate(texts)]
+    root = dict(brute_components(fps))
+    for d, t, *_ in rows:
+        digest = hashlib.sha256((t or "").encode()).digest()[:16]
+        k = root[texts.index(t or "")]
+        left.setdefault(k, []).append(((d is None, d or 0, digest), (d, t or "")))
+    return sorted((min(x)[1] for x in left.values()), key=str)
+
+
+def test_keep_one_with_repeated_and_null_ids_and_unlike_texts(spark):
+    a, b, c = prose(1, 60), prose(900, 60), prose(901, 80)
+    for rows in (
+        [(4, a, "en", "s"), (4, b, "en", "s")],
+        [(2, a, "en", "s"), (4, a, "en", "s"), (4, b, "en", "s")],
+        [(5, a, "en", "s"), (None, a, "en", "s"), (None, b, "en", "s")],
+        [(None, a, "en", "s"), (None, a, "de", "t"), (None, b, "en", "s"), (None, None, "en", "s"), (3, "", "en", "s")],
+    ):
+        got = simhash.keep_one(docs(spark, rows)).collect()
+        assert sorted(((x.doc_id, x.text or "") for x in got), key=str) == brute_kept(rows)
+    r = random.Random(4)
+    rows = [(r.choice([None, *range(12)]), r.choice([a, b, c, None, "", prose(r.randrange(5), 40)]), r.choice(["en", None]), r.choice("st")) for _ in range(80)]
+    want = brute_kept(rows)
+    for order_ in (rows, rows[::-1]):
+        got = simhash.keep_one(docs(spark, order_).repartition(3)).collect()
+        assert sorted(((x.doc_id, x.text or "") for x in got), key=str) == want
+        kinds = sorted(((x.doc_id, x.lang, x.source) for x in got), key=str)
+    assert kinds == sorted(((x.doc_id, x.lang, x.source) for x in simhash.keep_one(docs(spark, rows)).collect()), key=str)
