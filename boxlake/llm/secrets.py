@@ -4,9 +4,12 @@ Patterns give the base spans (kinds assign, access, hex). Beyond them, base64 an
 reported only if what they hold has the structure of a key: nested DER lengths that fill their parents exactly in the
 shape of a private key, the length-prefixed fields of an OpenSSH private key, or a signed token whose header is JSON
 with an algorithm. Base64 is read in both alphabets and over line breaks, written out or escaped as in JSON and source
-literals; a key's own lengths say where it ends. Cheap substring tests come before each pattern; they never hide a match.
+literals, and from each place in a run of its characters that can begin a key, as after the slashes of a path; a key's own lengths say where it
+ends. Cheap substring tests come before each pattern; they never hide a match. A token without a signature, or whose algorithm is none, is no signed token.
 
-A null or empty text has no spans. Spans are in code points, end exclusive. Only the id and text columns are read.
+A null or empty text has no spans. Spans are in code points, end exclusive; a text of any length is scanned once for each pattern, and of unclosed BEGIN lines
+none is read twice. Repeated rows are scanned each for itself. An empty table gives an empty table. `scan` reads only the id and text columns; `redact` lets
+extra columns pass, whatever their names.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import binascii
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +34,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _HEX_ANY = re.compile(r"[0-9A-Fa-f]{64,}")
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----")
+_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]+")
+_PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,60})-----")
 _ESCAPE = re.compile(r"\\+[nr]")
 #: Where base64 of DER or of an OpenSSH key can start, its characters, and what can stand between two lines of it.
-_START = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1rZXktdjE)")
+_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=[/+_-]))(?:M[A-P]|b3BlbnNzaC1rZXktdjE)")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 _BETWEEN = re.compile(r"""(?:["']\s*\+\s*["']|[\s"',.&>#*;|\\])+""")
 _URL_SAFE = str.maketrans("-_", "+/")
@@ -131,6 +134,24 @@ def _decoded(text: str) -> bytes:
         return b""
 
 
+def _claimed(head: Callable[[int], bytes]) -> int:
+    """The size of a DER key by its own length; 0 if its head (the bytes of so many base64 characters) begins none that is_private_key_der() takes."""
+    data = head(12)
+    if len(data) < 9 or data[0] != 0x30 or data[1] == 0x80:
+        return 0
+    k = data[1] & 0x7F if data[1] > 0x80 else 0
+    if k > 4:
+        return 0
+    size = 2 + k + (int.from_bytes(data[2 : 2 + k], "big") if k else data[1])
+    if data[2 + k : 5 + k] in (b"\x02\x01\0", b"\x02\x01\1"):
+        return size
+    if data[2 + k] != 0x30:
+        return 0
+    first = head(48)[2 + k :]  # a password-based algorithm's identifier
+    k = first[1] & 0x7F if first[1] >= 0x80 else 0
+    return size if first[2 + k : 3 + k] == b"\x06" and first[4 + k :].startswith(_PBE) else 0
+
+
 def _key_kind(data: bytes) -> str | None:
     if data[:1] == b"\x30" and is_private_key_der(data):
         return "der"
@@ -140,8 +161,8 @@ def _key_kind(data: bytes) -> str | None:
 def _read(text: str, at: int, size: int) -> tuple[str, int]:
     """Up to `size` base64 characters from `at` on, over line breaks, and where they end in the text."""
     out, n, end = [], 0, at
-    while n < size and (m := _RUN.match(text, at)):
-        out.append(m[0][: size - n])
+    while n < size and (m := _RUN.match(text, at, at + size - n)):
+        out.append(m[0])
         n += len(out[-1])
         end = at + len(out[-1])
         gap = _BETWEEN.match(text, end)
@@ -150,7 +171,10 @@ def _read(text: str, at: int, size: int) -> tuple[str, int]:
 
 
 def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
-    """Keys in base64 over any number of lines, with or without BEGIN and END, as far as their own lengths reach."""
+    """Keys in base64 over any number of lines, with or without BEGIN and END, as far as their own lengths reach.
+
+    Only what begins like a key, up to its version or its algorithm's identifier, is read further.
+    """
     out, stop = [], 0
     for m in _START.finditer(text):
         if m.start() < stop:
@@ -158,12 +182,8 @@ def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
         ssh = m[0][0] == "b"
         size = MAX_KEY_BYTES
         if not ssh:
-            head = _decoded(_read(text, m.start(), 12)[0])
-            k = head[1] & 0x7F if len(head) > 7 and head[1] >= 0x80 else 0
-            if len(head) < 8 or k > 4 or head[2 + k] not in (0x02, 0x30):
-                continue
-            size = 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
-            if head[1] == 0x80 or size > MAX_KEY_BYTES:
+            size = _claimed(lambda n, at=m.start(): _decoded(_read(text, at, n)[0]))
+            if not 0 < size <= MAX_KEY_BYTES:
                 continue
         body, end = _read(text, m.start(), (size * 4 + 2) // 3)
         data = _decoded(body[:-1] if ssh and len(body) % 4 == 1 else body)[:size]
@@ -183,7 +203,7 @@ def _is_jwt(token: str) -> bool:
             x = json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
         except (ValueError, RecursionError):
             return False
-        if not isinstance(x, dict) or needs and not isinstance(x.get(needs), str):
+        if not isinstance(x, dict) or needs and (not isinstance(x.get(needs), str) or x[needs].lower() == "none"):
             return False
     return True
 
@@ -214,17 +234,19 @@ def _confirmed(text: str) -> list[tuple[str, int, int]]:
         out += [("jwt", *m.span()) for m in _JWT.finditer(text) if _is_jwt(m[0])]
     pem = []
     if "-----BEGIN " in text:
-        stop = 0
+        begun = None  # a body holds no other BEGIN or END line, so each is read once
         for m in _PEM.finditer(text):
-            last = f"-----END {m[1]}-----"
-            end = text.find(last, m.end())
-            if m.start() >= stop and end >= 0:
-                body = re.sub(r"""(?m)^[\s"'>#*]*[A-Za-z-]+:.*$""", "", text[m.end() : end])
-                data = _decoded("".join(_BETWEEN.sub("", body).split()))
-                sealed = m[1].endswith("PRIVATE KEY") and "4,ENCRYPTED" in text[m.end() : end] and len(data) >= 16
-                if sealed or _key_kind(data):
-                    stop = end + len(last)
-                    pem.append(("pem", m.start(), stop))
+            if m[1] == "BEGIN":
+                begun = m
+            elif begun is not None:
+                if begun[2] == m[2]:
+                    inside = text[begun.end() : m.start()]
+                    body = re.sub(r"""(?m)^[\s"'>#*]*[A-Za-z-]+:.*$""", "", inside)
+                    data = _decoded("".join(_BETWEEN.sub("", body).split()))
+                    sealed = m[2].endswith("PRIVATE KEY") and "4,ENCRYPTED" in inside and len(data) >= 16
+                    if sealed or _key_kind(data):
+                        pem.append(("pem", begun.start(), m.end()))
+                begun = None
     out += pem + wrapped_spans(text)
     for m in _BASE64.finditer(text):
         if kind := _key_kind(_decoded(m[0])):

@@ -1,6 +1,10 @@
 import base64
 import hashlib
 import json
+import random
+import re
+import string
+import time
 
 from boxlake.llm import secrets
 from tests.llm.data import EDGE, docs
@@ -131,3 +135,89 @@ def test_more_encodings_in_scan_and_stage(spark):
         at = text.index(key)
         assert f":{at}:{at + len(key)}" in spans[i]
         assert out[i] == text.replace(key, secrets.MARK)
+
+
+def run_of(text, at, letters):
+    n = at
+    while n < len(text) and text[n] in letters:
+        n += 1
+    return n
+
+
+def brute_base(text):
+    """The contract's base spans, character by character, without regular expressions."""
+    low = "".join(c.lower() if c in string.ascii_uppercase else c for c in text)
+    value = string.ascii_letters + string.digits + "+/_.=-"
+    out, at = [], 0
+    while at < len(text):
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if not low.startswith(word, at):
+                continue
+            ends = []
+            k = at + len(word)
+            for first in ((k + 1, k) if text[k : k + 1] in ('"', "'") and text[k : k + 1] else (k,)):
+                m = run_of(text, first, " ")
+                if text[m : m + 1] in (":", "=") and text[m : m + 1]:
+                    m = run_of(text, m + 1, " ")
+                    for start in ((m + 1, m) if text[m : m + 1] in ('"', "'") and text[m : m + 1] else (m,)):
+                        end = run_of(text, start, value)
+                        if end > start:
+                            ends.append((end, end - start))
+                            break
+                if ends:
+                    break
+            if ends:
+                if ends[0][1] >= 6:
+                    out.append(("assign", at, ends[0][0]))
+                at = ends[0][0] - 1
+                break
+        at += 1
+    at = 0
+    while at < len(text):
+        end = run_of(text, at + 4, string.ascii_uppercase + string.digits) if text.startswith("AKIA", at) else at
+        if end > at + 4:
+            if end - at >= 20:
+                out.append(("access", at, end))
+            at = end
+        else:
+            at += 1
+    at = 0
+    while at < len(text):
+        end = run_of(text, at, "0123456789abcdef")
+        if end - at >= 24:
+            out.append(("hex", at, end))
+        at = max(end, at + 1)
+    return sorted(out, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_base_spans_match_a_plain_scan_of_random_texts(spark):
+    r = random.Random(3)
+    parts = ["password", "PassWd", "secret", "ToKen", "api_key", "apikey", "API_KEY", "AKIA", "AKIAABCDEFGHIJKL", "=", ":", " ", '"', "'", "abc", "x1", "é", "ſ", "K", "0123456789abcdef", "deadbeef", "MNOP", "\n", "/", ".", "_", "secrettoken=", "\t"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(1, 60))) for _ in range(1500)]
+    got = {x.doc_id: x for x in secrets.scan(docs(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])).collect()}
+    assert sum(len(brute_base(t)) for t in texts) > 1500
+    for i, t in enumerate(texts):
+        want = brute_base(t)
+        assert sorted(secrets.base_spans(t), key=lambda s: (s[1], secrets.KINDS.index(s[0]))) == want, t
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
+        assert got[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+        assert (got[i].n_assign, got[i].n_access, got[i].n_hex) == tuple(sum(s[0] == k for s in want) for k in ("assign", "access", "hex"))
+
+
+def test_keys_after_a_slash_and_unsigned_tokens():
+    key = b64(RSA)
+    text = f"see path/to/{key} there"
+    assert [(k, text[a:b]) for k, a, b in secrets.confirmed_spans(text)] == [("der", key)]
+    assert kinds(f"x {jwt({'alg': 'none'}, {'sub': 1})} y") == []
+    assert kinds(f"x {jwt({'alg': 'HS256'}, {'sub': 1}).removesuffix('c2ln')} y") == []
+
+
+def test_unclosed_begin_lines_and_false_starts_take_linear_time():
+    begun = time.time()
+    for line in ("-----BEGIN RSA PRIVATE KEY-----\nMIIE\n", "-----BEGIN A-----\n-----BEGIN B-----\n", "/MIIEowIBAAKC", "MIIE\n"):
+        text = line * (2_000_000 // len(line))
+        assert secrets.confirmed_spans(text + "-----END A-----") == []
+    assert time.time() - begun < 60  # seconds if linear, hours if quadratic
+    one = "-----BEGIN RSA PRIVATE KEY-----\n" * 50 + b64(RSA) + "\n-----END RSA PRIVATE KEY-----"
+    assert [k for k, a, b in secrets.confirmed_spans(one) if k == "pem"] == ["pem"]
+    assert not re.search("MII", secrets.redacted(one))
