@@ -7,15 +7,18 @@ where the splitter always cuts, the tokens before it are equal too, and no speci
 overlap has none, it is doubled, up to the whole chunk, and then the chunks are joined; a text without any boundary is encoded whole, as the library
 would. So memory is bounded by the chunk unless the text is one unbroken run.
 
-A smaller document is counted by its pieces between blanks: the tokenizer's normaliser turns white space into blanks and its splitter
-drops them, so a text has as many tokens as its pieces have together. Counts of pieces are remembered in each worker (at most
-``MEMORY`` of them).
+A smaller document is counted by its pieces between blanks: where the tokenizer's normaliser turns white space into blanks and its splitter
+drops them, a text has as many tokens as its pieces have together. Counts of pieces are remembered in each worker (at most
+``MEMORY`` of them). Both ways rest on what the tokenizer's file says of its normaliser, splitter and added tokens, and this is checked as the file is
+loaded (`drops_blanks`); with any other file every text is encoded whole.
 
-A null text is empty and has no tokens. Only doc_id and text are read.
+A null text is empty and has no tokens. Repeated rows are counted each for itself. An empty table gives an empty table. Only doc_id and text are read, so
+other columns can have any name.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 
@@ -29,6 +32,8 @@ MARGIN = 32
 MEMORY = 200_000
 LIMIT = 2048
 _BLANKS = " \n\t\r"
+#: Splitter patterns (published with the tokenizers) that match no white space.
+SPLITS = [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
 
 Encoded = tuple[list[int], list[tuple[int, int]]]
 
@@ -81,6 +86,31 @@ def _boundary(text: str, ids: list[int], spans: list, right_ids: list[int], righ
     return best and best[1:]
 
 
+def drops_blanks(config: dict) -> bool:
+    """Whether a tokenizer's JSON says that no token and no rule reaches over white space.
+
+    The normaliser composes, turns runs of white space into blanks and lower-cases; the splitter keeps only what its pattern finds, whose classes of characters
+    have no white space, and everything after it works within a split; no added token strips or holds white space; nothing else (post-processor,
+    prefix blank, drop-out, unknown tokens that fuse) counts tokens across splits.
+    """
+    try:
+        rules = config["normalizer"]["normalizers"] if config["normalizer"]["type"] == "Sequence" else [config["normalizer"]]
+        blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        if blanks not in rules or any(r["type"] not in ("NFC", "Lowercase") for r in rules if r != blanks):
+            return False
+        split, *after = config["pre_tokenizer"]["pretokenizers"]
+        pattern = split["pattern"]["Regex"]
+        if split["type"] != "Split" or (split["behavior"], split["invert"]) != ("Removed", True) or pattern not in SPLITS:
+            return False
+        if any(x["type"] != "ByteLevel" or x["add_prefix_space"] or x["use_regex"] for x in after):
+            return False
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(_BLANKS) or len(t["content"]) > MARGIN for t in config["added_tokens"]):
+            return False
+        return config["model"]["type"] == "BPE" and not config["model"]["dropout"] and not config["post_processor"]
+    except (KeyError, TypeError, ValueError):
+        return False
+
+
 class Counter:
     """Token counts of texts by one tokenizer of the `tokenizers` library."""
 
@@ -91,6 +121,8 @@ class Counter:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as f:
+            self.by_pieces = drops_blanks(json.load(f))
         self.known: dict[str, int] = {}
 
     def encode(self, text: str) -> Encoded:
@@ -98,6 +130,8 @@ class Counter:
         return x.ids, x.offsets
 
     def count(self, text: str) -> int:
+        if not self.by_pieces:
+            return len(self.encode(text)[0])
         if len(text) > HUGE:
             return spliced(text, self.encode)
         known, total = self.known, 0

@@ -1,3 +1,10 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
 from boxlake.llm import langid
 from tests.llm.data import EDGE, docs, prose
 
@@ -44,3 +51,65 @@ def test_nothing_to_learn(spark):
     got = langid.identify(docs(spark, [(i, t, None, s) for i, t, _, s in EDGE])).collect()
     assert {x.lang_pred for x in got} == {"und"}
     assert langid.identify(docs(spark, [])).count() == 0
+
+
+def bucket(gram):
+    """The hash of an n-gram, code point by code point in 32 bits."""
+    low = (1 << 32) - 1
+    h = ord(gram[0]) * 0x9E3779B1 & low
+    for k, c in enumerate(gram[1:], 1):
+        h = ((h ^ h >> 15) * (0x85EBCA77, 0xC2B2AE3D)[k - 1] + ord(c)) * 0x9E3779B1 & low
+    return h >> 19
+
+
+def brute(rows, train):
+    """(doc_id, language, score) by exact dictionaries."""
+    grams = lambda t: Counter(bucket(t.lower()[i : i + n]) for n in (1, 2, 3) for i in range(len(t.lower()) - n + 1))
+    counts, texts = defaultdict(Counter), Counter()
+    for i, t, la, *_ in rows:
+        if t is not None and la is not None and train(i):
+            counts[la] += grams(t)
+            texts[la] += 1
+    out = []
+    for i, t, *_ in rows:
+        if t is None or not any(c.isalpha() for c in t) or not texts:
+            out.append((i, "und", 0.0))
+            continue
+        x = {}
+        for la in sorted(texts):
+            total = sum(counts[la].values()) + langid.SMOOTHING * langid.BUCKETS
+            x[la] = math.log(texts[la] / sum(texts.values())) + sum(n * math.log((counts[la][b] + langid.SMOOTHING) / total) for b, n in grams(t).items())
+        best = max(x, key=lambda la: x[la])
+        out.append((i, best, 1 / sum(math.exp(v - x[best]) for v in x.values())))
+    return out
+
+
+@pytest.mark.parametrize("block", [128, 2, 1])
+def test_scores_match_exact_dictionaries_at_every_block(spark, monkeypatch, block):
+    import zlib
+
+    r = random.Random(2)
+    monkeypatch.setattr(langid, "BLOCK", block)
+    monkeypatch.setattr(langid, "_ENTRIES", 1 << 12)
+    made = [(i, prose(i, r.randint(1, 12), r.choice([DE, FR, ("a", "ab", "ba")])), r.choice(["de", "fr", "xx", "yy", "zz", None]), "s") for i in range(80)]
+    made += [(7, prose(3, 5, DE), "de", "s"), (7, prose(3, 5, DE), "de", "s"), (None, "über", "fr", "s"), (81, "", "de", "s"), (82, "12", "fr", "s"), (83, None, "de", "s")]
+    want = brute(made, lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 4 != 2)
+    got = langid.identify(docs(spark, made)).collect()
+    for a, b in zip(sorted(((x.doc_id, x.lang_pred, x.score) for x in got), key=str), sorted(want, key=str), strict=True):
+        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6
+
+
+def test_many_languages(spark):
+    """More than a block, and than any matrix that was once the limit."""
+    made = [(i, f"w{i:04d} " * 5, f"l{i:04d}", "s") for i in range(1200)]
+    model = langid.train(docs(spark, made))
+    assert [len(names) for names, _ in model] == [128] * 9 + [48]
+    found, pred, _ = langid.predict(docs(spark, made[::40]), model)
+    assert all(x[pred] == x.lang for x in found.collect())
+
+
+def test_sparse_product():
+    offsets, buckets, counts = langid.batch_counts(["abc", "b", "straße"])
+    weight = np.random.default_rng(1).normal(size=(langid.BUCKETS, 3))
+    want = [langid.ngram_counts(t) @ weight for t in ("abc", "b", "straße")]
+    assert np.allclose(langid.sparse_product(offsets, buckets, counts, weight), want)

@@ -45,3 +45,22 @@ def test_huge_documents(monkeypatch):
     assert c.count(text) == want
     monkeypatch.setattr(tokencount, "HUGE", 100)
     assert c.count(text) == want and c.count(text.replace(" ", "\n")) == want
+
+
+def test_other_tokenizers_are_encoded_whole(spark):
+    import json
+
+    from tokenizers import Tokenizer
+
+    assert tokencount.Counter(PATH).by_pieces
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not tokencount.Counter(path).by_pieces  # a byte-level splitter keeps blanks
+    t = Tokenizer.from_file(path)
+    rows = [(1, "a  b \n\n c" * 50, "en", "s"), (2, prose(1, 9000), "en", "s"), (3, None, None, None)]
+    got = tokencount.counts(docs(spark, rows), path).collect()
+    assert sorted((x.doc_id, x.n_tokens) for x in got) == [(i, len(t.encode(x or "", add_special_tokens=False))) for i, x, *_ in rows]
+    with open(PATH, encoding="utf-8") as f:
+        config = json.load(f)
+    changes = [("normalizer", {"type": "NFC"}), ("post_processor", {"type": "ByteLevel"}), ("pre_tokenizer", None), ("added_tokens", [{"content": "a b", "lstrip": False, "rstrip": False, "single_word": False}])]
+    for k, v in changes:
+        assert not tokencount.drops_blanks(config | {k: v})
