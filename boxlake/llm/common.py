@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from boxlake.scratch import scratch_dir, stored
 
-__all__ = ["ASCII_LOWER", "WORD", "as_bytes", "fold", "free_name", "representatives", "scratch_dir", "stored", "table", "text_key"]
+__all__ = ["ASCII_LOWER", "WORD", "as_bytes", "fold", "free_name", "joined", "representatives", "scratch_dir", "stored", "table", "text_key"]
 
 #: A-Z to a-z over UTF-8 bytes; other bytes stay.
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -61,3 +61,20 @@ def representatives(rows: DataFrame, *more: str) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "c"))
     out = each.groupBy("key").agg(first.alias("f"), F.sum("c").alias("copies"), *(F.any_value(x).alias(x) for x in more))
     return out.select("key", F.col("f.doc_id").alias("first_id"), F.col("f.c").alias("repeats"), "copies", *more)
+
+
+#: Parts of a key's rows where both sides of a join are dealt out by key.
+SALTS = 64
+
+
+def joined(rows: DataFrame, small: DataFrame, on: list[str], broadcast: bool, how: str = "inner") -> DataFrame:
+    """rows with the columns of small (one row per key), which is broadcast, or else dealt out with each key in SALTS parts.
+
+    So a key that holds a third of all rows is shared by that many tasks.
+    """
+    if broadcast:
+        return rows.join(F.broadcast(small), on, how)
+    salt = free_name("salt", [*rows.columns, *small.columns])
+    dealt = rows.withColumn(salt, (F.rand(7) * SALTS).cast("int"))
+    each = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(each.hint("merge"), [*on, salt], how).drop(salt)

@@ -11,9 +11,10 @@ token sums of ranges of the order (about the square root of the number of docume
 ends, and only that range is sorted. A document then needs only its leaf's row to be selected.
 
 Nulls: a null text has no tokens, a null domain, lang or source is the empty name, a null doc_id the empty text. Rows
-that repeat a doc_id within a leaf are taken together or not at all. Weights of zero give nothing. Budgets are rounded down to whole tokens. An empty table gives
-an empty table. Other columns pass through `select` untouched; they must not differ from domain, lang, source, doc_id or text by case
-only.
+that repeat a doc_id within a leaf are taken together or not at all, and so are ids that tie in the order. Weights of zero give nothing.
+Budgets are rounded down to whole tokens. A very long text counts like any other; where it doesn't fit into the rest, it and what comes after it stay out. An empty
+table gives an empty table. Documents have no domain column: the domain is an argument, by default taken from the source, and a column of that name is an extra
+one. Extra columns pass through `select` untouched; they must not differ from lang, source, doc_id or text by case only.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import WORD, free_name, stored
+from boxlake.llm.common import WORD, free_name, joined, stored
 
 LEVELS = ("domain", "lang", "source")
-#: Leaf tables of so many rows at most (each under 1 KB) are broadcast; larger ones are joined by a shuffle.
+#: Leaf tables of so many rows at most (each under 1 KB) are broadcast; larger ones meet the documents by leaf and salt.
 BROADCAST_LEAVES = 20_000
 SEED = 42
 #: Weights of names; others weigh 1. Domains are named by the source's MD5 where documents have none.
@@ -98,28 +99,24 @@ def _range_of(h: Column, n: Column) -> Column:
     return F.floor(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * F.ceil(F.sqrt(n)) / F.lit(1 << 32)).cast("int")
 
 
-def _by_leaf(rows: DataFrame, leaves: DataFrame, small: bool) -> DataFrame:
-    return rows.join(F.broadcast(leaves) if small else leaves, list(LEVELS))
-
-
 def select(docs: DataFrame, share: float = 0.5, weights: dict = WEIGHTS, max_epochs: int = 2, seed: int = SEED, domain: Column | None = None) -> tuple[DataFrame, DataFrame, str]:
     """The selected rows of docs (with a column for the epoch, whose name is returned last), and the leaves' budgets.
 
     share: tokens to select, as a share of all tokens. A row selected in several epochs is there several times.
     """
-    named = {"domain": domain if domain is not None else F.coalesce("domain", F.lit("")) if "domain" in docs.columns else source_domain()}
+    named = {"domain": F.coalesce(domain, F.lit("")) if domain is not None else source_domain()}
     named |= {c: F.coalesce(c, F.lit("")) for c in LEVELS[1:]}
     narrow = stored(docs.select(*(v.alias(k) for k, v in named.items()), F.col("doc_id").cast("string").alias("doc_id"), tokens().alias("tokens")))
     leaves = stored(narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("t"), F.count("*").alias("n")))
     total = int(share * (leaves.agg(F.sum("t")).first()[0] or 0))
     planned = stored(budgets(leaves, total, weights, max_epochs))
     small = planned.count() <= BROADCAST_LEAVES
-    keyed = _by_leaf(narrow, planned.filter("rest > 0"), small).withColumn("h", _order(seed, "doc_id")).withColumn("r", _range("h"))
+    keyed = joined(narrow, planned.filter("rest > 0"), list(LEVELS), small).withColumn("h", _order(seed, "doc_id")).withColumn("r", _range("h"))
     sums = keyed.groupBy(*LEVELS, "r", "rest").agg(F.sum("tokens").alias("s"))
     upto = F.sum("s").over(W.partitionBy(*LEVELS).orderBy("r"))
     ends = sums.withColumn("upto", upto).filter("upto > rest and upto - s <= rest").groupBy(*LEVELS).agg(F.min("r").alias("end_range"), F.min_by(F.col("rest") - (F.col("upto") - F.col("s")), "r").alias("left"))
     ends = stored(ends)
-    inside = _by_leaf(keyed.drop("rest"), ends, small).filter("r = end_range").groupBy(*LEVELS, "h", "left").agg(F.sum("tokens").alias("s"))
+    inside = joined(keyed.drop("rest"), ends, list(LEVELS), small).filter("r = end_range").groupBy(*LEVELS, "h", "left").agg(F.sum("tokens").alias("s"))
     within = inside.withColumn("upto", F.sum("s").over(W.partitionBy(*LEVELS).orderBy("h"))).filter("upto <= left")
     cut = within.groupBy(*LEVELS).agg(F.max("h").alias("end_order"))
     chosen = stored(planned.join(ends.drop("left"), list(LEVELS), "left").join(cut, list(LEVELS), "left").filter("budget > 0"))
@@ -128,8 +125,7 @@ def select(docs: DataFrame, share: float = 0.5, weights: dict = WEIGHTS, max_epo
     keys = {c: free_name(f"{c}_key", docs.columns) for c in (*LEVELS, "t", "n", "budget", "epochs", "rest", "end_range", "end_order")}
     epoch = free_name("epoch", docs.columns)
     leaf = chosen.select(*(F.col(c).alias(k) for c, k in keys.items()))
-    on = [v == F.col(keys[c]) for c, v in named.items()]
-    near = docs.join(F.broadcast(leaf) if small else leaf, on)
+    near = joined(docs.withColumns({keys[c]: v for c, v in named.items()}), leaf, [keys[c] for c in LEVELS], small)
     h = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col(keys["epochs"]) + 1).cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     place = _range_of(h, F.col(keys["n"]))
     in_prefix = (place < F.col(keys["end_range"])) | ((place == F.col(keys["end_range"])) & (h <= F.col(keys["end_order"])))

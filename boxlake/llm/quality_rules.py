@@ -5,12 +5,14 @@ histograms of a document with those of its language over all documents, by the J
 square root of the divergence in bits, 0 to 1): character classes, and the language's most common words with one bin for all other words. A comparison
 counts only for texts that are long enough, and only where the language has a reference.
 
-A word's place among the common words is written as one character of an alphabet, so that a document's histogram is a
-few string lengths. Repeated windows are found within the row: windows are hashed (64 bits), and only texts in
-which a hash repeats sort their windows. No text leaves its row, so nothing but the references is shuffled.
-
-A null text has no words and fails the base rules; a null lang has no reference, so its base verdict stands. An empty table gives an
-empty table. Only doc_id, text and lang are read.
+Words are hashed once (64 bits). A word's place among the common words is written as one character of an alphabet, so that a
+document's histogram is a few string lengths. Repeated windows are found within the row: hashes of neighbours are joined to hashes of 2, 4 and
+8 words, and only texts in which one of 8 repeats sort them. Nothing but the references is shuffled, and no text leaves its row, unless there are so many
+languages that their references aren't broadcast: then documents meet them by language and salt.
+
+A null text has no words and fails the base rules; a null lang has no reference, so its base verdict stands. Words that are equally
+frequent rank by their text. Repeated rows are judged, and counted in the references, each for itself. A very long text is one array of words and
+one of hashes. An empty table gives an empty table. Only doc_id, text and lang are read, so other columns can have any name.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import stored
+from boxlake.llm.common import joined, stored
 
 SPLIT = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -58,19 +60,20 @@ def with_classes(rows: DataFrame) -> DataFrame:
 
 
 def references(docs: DataFrame) -> DataFrame:
-    """lang, char_ref (shares by class), word_list, word_ref (shares by word, then of all others), over all documents."""
+    """lang, char_ref (shares by class), word_keys (hashes), word_ref (shares by word, then of all others), over all documents."""
     rows = docs.select("lang", "text").filter("lang is not null and text is not null")
     chars = with_classes(rows).groupBy("lang").agg(*(F.sum(f"c_{c}").alias(c) for c in CLASSES))
     all_chars = sum((F.col(c) for c in CLASSES), F.lit(0)).cast("double")
     chars = chars.select("lang", F.array(*(F.col(c) / all_chars for c in CLASSES)).alias("char_ref"), all_chars.alias("n_chars")).filter("n_chars > 0").drop("n_chars")
-    counts = stored(rows.select("lang", F.explode(F.split("text", SPLIT)).alias("word")).filter("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")).filter("n > 1"))
-    total = rows.select("lang", F.size(words("text")).alias("m")).groupBy("lang").agg(F.sum("m").alias("total")).filter(F.col("total") >= MIN_REFERENCE_WORDS)
-    common = counts.join(stored(total), "lang").filter(F.col("n") * RARE >= F.col("total"))
+    counts = stored(rows.select("lang", F.explode(F.split("text", SPLIT)).alias("word")).filter("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")))
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total")).filter(F.col("total") >= MIN_REFERENCE_WORDS)
+    common = counts.join(stored(total), "lang").filter((F.col("n") > 1) & (F.col("n") * RARE >= F.col("total")))
     top = common.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("k") <= len(ALPHABET))
     lists = top.groupBy("lang", "total").agg(F.sort_array(F.collect_list(F.struct("k", "word", "n"))).alias("x"))
     share = F.transform("x", lambda s: s["n"] / F.col("total").cast("double"))
     rest = F.array((F.col("total") - F.aggregate("x", F.lit(0).cast("bigint"), lambda a, s: a + s["n"])) / F.col("total").cast("double"))
-    lists = lists.select("lang", F.col("x.word").alias("word_list"), F.concat(share, rest).alias("word_ref"))
+    keys = F.transform("x", lambda s: F.xxhash64(s["word"]))
+    lists = lists.select("lang", keys.alias("word_keys"), F.concat(share, rest).alias("word_ref"))
     return chars.join(lists, "lang", "left")
 
 
@@ -85,8 +88,13 @@ def distance(counts: Column, shares: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(each, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)) / 2)
 
 
+def _neighbours(h: str, step: int) -> Column:
+    """Hashes of each element and the one `step` places on."""
+    return F.zip_with(h, F.slice(h, step + 1, 1 << 30), lambda a, b: F.xxhash64(a, b))
+
+
 def with_base(rows: DataFrame) -> DataFrame:
-    """rows (text, words) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+    """rows (text, words) with keys (hashes of the words), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumns(
         {
@@ -94,9 +102,15 @@ def with_base(rows: DataFrame) -> DataFrame:
             "word_chars": F.length(F.array_join("words", "")).cast("bigint"),
             "n_symbols": F.coalesce(F.regexp_count("text", F.lit(SYMBOLS)), F.lit(0)).cast("bigint"),
             "lines": lines,
-            "h": F.when(F.size("words") >= WINDOW, F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))),
+            "keys": F.transform("words", lambda w: F.xxhash64(w)),
         }
     )
+    h, step = "keys", 1
+    while step < WINDOW:
+        rows = rows.withColumn(f"h{2 * step}", _neighbours(h, step))
+        h, step = f"h{2 * step}", 2 * step
+    # the last places have no whole window
+    rows = rows.withColumn("h", F.slice(h, 1, F.greatest(F.size("words") - (WINDOW - 1), F.lit(0)))).drop("h2", "h4", "h8")
     rows = rows.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint"))
     again = F.size(F.array_distinct("h")) < F.size("h")
     rows = rows.withColumn("s", F.when(again, F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("p"))))))
@@ -111,14 +125,14 @@ def judge(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, kept and both distances for each row of docs."""
     refs = stored(references(docs))
     small = refs.count() <= BROADCAST_LANGS
-    rows = with_base(docs.select("doc_id", "text", "lang").withColumn("words", words("text")))
-    rows = rows.join(F.broadcast(refs) if small else refs, "lang", "left")
-    coded = F.transform("words", lambda w: F.substring(F.lit("-" + ALPHABET), F.array_position("word_list", w).cast("int") + 1, F.lit(1)))
-    rows = rows.withColumn("coded", F.array_join(coded, "")).drop("words")
+    rows = joined(docs.select("doc_id", "text", "lang"), refs, ["lang"], small, "left")
+    rows = with_base(rows.withColumn("words", words("text")))
+    coded = F.transform("keys", lambda w: F.substring(F.lit("-" + ALPHABET), F.array_position("word_keys", w).cast("int") + 1, F.lit(1)))
+    rows = rows.withColumn("coded", F.array_join(coded, "")).drop("words", "keys")
     rows = with_classes(rows)
     word_counts = [F.length("coded") - F.length(F.replace("coded", F.lit(c))) for c in "-" + ALPHABET]
     rows = rows.withColumn("in_list", F.array(*(x.cast("double") for x in word_counts[1:]))).withColumn("not_in_list", F.array(word_counts[0].cast("double")))
-    rows = rows.withColumn("word_hist", F.concat(F.slice("in_list", 1, F.size("word_list")), F.col("not_in_list")))
+    rows = rows.withColumn("word_hist", F.concat(F.slice("in_list", 1, F.size("word_keys")), F.col("not_in_list")))
     rows = rows.withColumn("char_hist", F.array(*(F.col(f"c_{c}").cast("double") for c in CLASSES)))
     by_char = F.when((F.length("text") >= MIN_CHARS) & F.col("char_ref").isNotNull(), distance(F.col("char_hist"), F.col("char_ref")))
     by_word = F.when((F.col("n_words") >= MIN_WORDS) & F.col("word_ref").isNotNull(), distance(F.col("word_hist"), F.col("word_ref")))
@@ -148,7 +162,7 @@ c AS (SELECT *, len(regexp_extract_all(t, '\\p{{Lu}}')) AS c_upper, length(bare)
 e AS (SELECT *, length(t) - length(bare) - c_upper AS c_letter, length(bare) - c_digit - c_space - c_mark AS c_other FROM c),
 cr AS (SELECT lang, list_transform([{classes}], lambda x: x / CAST(list_sum([{classes}]) AS DOUBLE)) AS char_ref FROM e WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang HAVING list_sum([{classes}]) > 0),
 tot AS (SELECT lang, sum(n_words) AS total FROM e WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang HAVING sum(n_words) >= {MIN_REFERENCE_WORDS}),
-wc AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(ws) AS word FROM e WHERE lang IS NOT NULL) u WHERE length(word) <= 8 GROUP BY ALL),
+wc AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(ws) AS word FROM e WHERE lang IS NOT NULL) u GROUP BY ALL),
 tp AS (SELECT lang, word, n, total, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS k FROM wc JOIN tot USING (lang) WHERE n > 1 AND n * {RARE} >= total),
 wr AS (SELECT lang, list(word ORDER BY k) AS word_list, list_append(list(n / CAST(total AS DOUBLE) ORDER BY k), (max(total) - sum(n)) / CAST(max(total) AS DOUBLE)) AS word_ref FROM tp WHERE k <= {len(ALPHABET)} GROUP BY lang),
 w AS (SELECT rid, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM e WHERE len(ws) >= {WINDOW}) x),

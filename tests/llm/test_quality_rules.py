@@ -56,3 +56,10 @@ def test_language_of_long_words(spark):
     got = {x.doc_id: x for x in quality_rules.judge(docs(spark, rows)).collect()}
     assert all(got[i].kept and got[i].word_distance < 0.3 for i in range(60))
     assert got[900].word_distance > 0.5 and not got[900].kept
+
+
+def test_languages_beyond_the_broadcast(spark, monkeypatch):
+    rows = [*EDGE, *((i, prose(i, 200), "en", "s") for i in range(20, 60)), *((i, prose(i, 90), f"l{i}", "s") for i in range(60, 70))]
+    want = sorted(map(str, quality_rules.judge(docs(spark, rows)).collect()))
+    monkeypatch.setattr(quality_rules, "BROADCAST_LANGS", 0)
+    assert sorted(map(str, quality_rules.judge(docs(spark, rows)).collect())) == want
