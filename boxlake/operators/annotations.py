@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.functions.geometry import BORDER, INNER_HEIGHT, INNER_WIDTH, clip_box, corners_to_box, keep_min_side, yolo_to_pixels
+from boxlake.functions.geometry import BORDER, INNER_HEIGHT, INNER_WIDTH, box_area, clip_box, corners_to_box, keep_min_side, yolo_to_pixels
 from boxlake.functions.naming import DRONEVEHICLE_NAMES, VISDRONE_VEHICLES, strip
 
 KEY = ["raw_split", "stem"]
@@ -21,7 +21,7 @@ def clipped(boxes: DataFrame, min_side: float = 2.0) -> DataFrame:
     """boxes (x, y, w, h, width, height) cut to their picture, with area; too small ones go."""
     box = clip_box("x", "y", "w", "h", "width", "height")
     cut = boxes.withColumn("box", box).filter(keep_min_side("box", min_side))
-    return cut.withColumns({k: F.col(f"box.{k}") for k in "xywh"}).withColumn("area", F.round(F.col("w") * F.col("h"), 3)).drop("box")
+    return cut.withColumns({k: F.col(f"box.{k}") for k in "xywh"}).withColumn("area", box_area("w", "h")).drop("box")
 
 
 def attach_labels(images: DataFrame, label_files: DataFrame, keys: list[str] = KEY) -> tuple[DataFrame, DataFrame]:
@@ -39,6 +39,18 @@ def filter_dronevehicle_class(name: str | Column, names: list[str] = DRONEVEHICL
     return F.coalesce(F.lower(strip(name)).isin(names), F.lit(False))
 
 
+def visdrone_kept() -> Column:
+    """Whether a parsed row isn't bad and has a score and a vehicle's class."""
+    return ~F.col("bad_row") & (F.col("score") != 0) & F.col("class_id").isin(VISDRONE_VEHICLES)
+
+
+def visdrone_marked(rows: DataFrame) -> DataFrame:
+    """Parsed rows with their picture's size, with box: the clipped box of those that are kept, else null. One pass."""
+    box = clip_box(*(F.col(k).cast("double") for k in "xywh"), "width", "height")
+    rows = rows.withColumn("box", F.when(visdrone_kept(), box))
+    return rows.withColumn("box", F.when(keep_min_side("box"), F.col("box")))
+
+
 def visdrone_boxes(rows: DataFrame) -> DataFrame:
     """Parsed rows with their picture's size to clipped boxes."""
     kept = filter_visdrone(rows)
@@ -157,6 +169,18 @@ def reusable_crops(images: DataFrame, crops: DataFrame) -> DataFrame:
     return images.join(found, "output_name", "left").withColumn("crop_border", F.col("materialized_path").isNull())
 
 
+def picture_counters(decoded: DataFrame, label_files: DataFrame, kept: DataFrame, keys: list[str] = KEY) -> DataFrame:
+    """metric, value: pictures that can't be decoded, decoded ones without labels (both per source), and pictures before and after exact deduplication.
+
+    decoded: source_dataset, keys, decode_ok; kept: one row per picture that stays.
+    """
+    good = decoded.filter("decode_ok")
+    with_labels, without = attach_labels(good, label_files, keys)
+    name = lambda kind: F.concat("source_dataset", F.lit(kind))
+    parts = [(decoded.filter(~F.col("decode_ok")), name("_corrupt_images")), (without, name("_missing_labels")), (with_labels, F.lit("images_before_exact_dedup")), (kept, F.lit("images_after_exact_dedup"))]
+    return union_sources(*(counted(rows, metric) for rows, metric in parts))
+
+
 def negative_images(images: DataFrame, boxes: DataFrame, keys: list[str]) -> DataFrame:
     return images.join(boxes.select(*keys).distinct(), keys, "left_anti")
 

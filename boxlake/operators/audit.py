@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from boxlake.functions.geometry import box_issues, coco_size_bucket, is_finite, relative_area, tiny_side_flags, touches_boundary
 from boxlake.functions.naming import resolution_key, source_name
 from boxlake.operators.dedup import manifest_diff
+from boxlake.scratch import stored
 
 QUANTILES = {"min": 0.0, "p01": 0.01, "p05": 0.05, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p95": 0.95, "p99": 0.99, "max": 1.0}
 
@@ -37,7 +38,7 @@ ISSUES = ["orphan_annotations", "wrong_category", "malformed_boxes", "nonfinite_
 
 def id_duplicates(rows: DataFrame, id_: str, name: str) -> DataFrame:
     """split, issue, value: ids that repeat, per split."""
-    n = rows.groupBy("split").agg((F.count(id_) - F.countDistinct(id_)).alias("value"))
+    n = rows.filter(F.col(id_).isNotNull()).groupBy("split", id_).agg(F.count("*").alias("n")).groupBy("split").agg(F.sum(F.col("n") - 1).alias("value"))
     return n.select("split", F.lit(name).alias("issue"), "value")
 
 
@@ -46,9 +47,9 @@ def audit_issues(annotations: DataFrame, images: DataFrame, categories: DataFram
 
     present: split and file_name on disk. decoded: split, file_name, width, height, decode_ok of the files themselves.
     """
-    found = flagged(annotations, images)
+    found = stored(flagged(annotations, images).select("split", "annotation_id", *ISSUES))  # read for its flags and its ids
     counts = unpivoted(found.groupBy("split").agg(*(F.count_if(k).alias(k) for k in ISSUES)), ["split"], ISSUES, "issue")
-    out = counts.unionByName(id_duplicates(images, "image_id", "duplicate_image_ids")).unionByName(id_duplicates(annotations, "annotation_id", "duplicate_annotation_ids"))
+    out = counts.unionByName(id_duplicates(images, "image_id", "duplicate_image_ids")).unionByName(id_duplicates(found, "annotation_id", "duplicate_annotation_ids"))
     if categories is not None:
         out = out.unionByName(unexpected_categories(categories))
     if present is not None:
@@ -98,15 +99,39 @@ def boxes_per_image(images: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def quantiles(rows: DataFrame, by: list[str], values: list[str], approximate: bool = False) -> DataFrame:
-    """by, metric, quantile, value: linear interpolation, rounded to 6. approximate: percentile sketches, for very many distinct values."""
-    at = F.array(*(F.lit(f) for f in QUANTILES.values()))
-    how = (lambda v: F.percentile_approx(v, at, F.lit(100_000))) if approximate else (lambda v: F.percentile(v, at))
-    row = rows.groupBy(*by).agg(*(how(v).alias(v) for v in values))
-    names = F.array(*(F.lit(k) for k in QUANTILES))
+    """by, metric, quantile, value: linear interpolation, rounded to 6. approximate: percentile sketches instead.
+
+    The exact form counts each value, deals the values out in ranges and sums ranges before it numbers values, so
+    no group meets in one task; only the ranges in which a wanted rank lies are looked at again.
+    """
+    names = F.array(*(F.struct(F.lit(k).alias("quantile"), F.lit(f).alias("f")) for k, f in QUANTILES.items()))
+    if approximate:
+        at = F.array(*(F.lit(f) for f in QUANTILES.values()))
+        row = rows.groupBy(*by).agg(*(F.percentile_approx(v, at, F.lit(100_000)).alias(v) for v in values))
+        long = row.selectExpr(*by, _stacked(values, "q")).filter("q is not null")
+        long = long.select(*by, "metric", F.explode(F.arrays_zip(names.alias("n"), F.col("q").alias("value"))).alias("z"))
+        return long.select(*by, "metric", F.col("z.n.quantile").alias("quantile"), F.round("z.value", 6).alias("value"))
+    keys = [*by, "metric"]
+    each = rows.select(*by, *(F.col(v).cast("double").alias(v) for v in values)).selectExpr(*by, _stacked(values, "v")).filter("v is not null")
+    counts = each.groupBy(*keys, "v").agg(F.count("*").alias("n")).repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id())
+    counts = stored(counts)
+    before = F.sum("m").over(W.partitionBy(*keys).orderBy("part"))
+    parts = counts.groupBy(*keys, "part").agg(F.sum("n").alias("m")).withColumn("upto", before)
+    parts = stored(parts.withColumn("total", F.sum("m").over(W.partitionBy(*keys))))
+    wanted = parts.select(*keys, "total").distinct().select(*keys, F.explode(names).alias("q"), "total").select(*keys, "q.*", (F.col("q.f") * (F.col("total") - 1)).alias("at"))
+    wanted = wanted.select(*keys, "quantile", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"))
+    placed = parts.join(wanted, keys).filter("rank < upto and rank >= upto - m").select(*keys, "part", (F.col("upto") - F.col("m")).alias("first"), "quantile", "at", "rank")
+    inside = F.sum("n").over(W.partitionBy(*keys, "part").orderBy("v"))
+    numbered = counts.join(placed.select(*keys, "part").distinct(), [*keys, "part"], "left_semi").withColumn("end", inside)
+    found = numbered.join(placed, [*keys, "part"]).filter("rank < first + end and rank >= first + end - n")
+    # of two neighbouring ranks each counts by its nearness
+    share = F.when(F.floor("at") == F.ceil("at"), 1.0).otherwise(1 - F.abs(F.col("at") - F.col("rank")))
+    return found.groupBy(*keys, "quantile").agg(F.round(F.sum(F.col("v") * share), 6).alias("value"))
+
+
+def _stacked(values: list[str], name: str) -> str:
     pairs = ", ".join(f"'{v}', `{v}`" for v in values)
-    long = row.selectExpr(*by, f"stack({len(values)}, {pairs}) as (metric, q)").filter("q is not null")
-    long = long.select(*by, "metric", F.explode(F.arrays_zip(names.alias("quantile"), F.col("q").alias("value"))).alias("z"))
-    return long.select(*by, "metric", "z.quantile", F.round("z.value", 6).alias("value"))
+    return f"stack({len(values)}, {pairs}) as (metric, {name})"
 
 
 def box_quantiles(annotations: DataFrame, images: DataFrame, approximate: bool = False) -> DataFrame:

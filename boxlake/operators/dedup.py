@@ -31,12 +31,11 @@ def keep_best_duplicate(rows: DataFrame, key: str = "key") -> DataFrame:
 
 
 def duplicate_groups(rows: DataFrame, key: str = "key") -> DataFrame:
-    """key, kept, kept_boxes and removed (file, boxes; sorted) of keys with more than one row."""
-    file = F.struct((-F.col("n_boxes")).alias("n"), F.col("output_name").alias("file"))
-    all_ = rows.groupBy(key).agg(F.count("*").alias("m"), F.sort_array(F.collect_list(file)).alias("files")).filter("m > 1")
-    removed = F.transform(F.slice("files", 2, 1 << 30), lambda f: F.struct(f["file"].alias("file"), (-f["n"]).alias("boxes")))
-    first = F.element_at("files", 1)
-    return all_.select(key, first["file"].alias("kept"), (-first["n"]).alias("kept_boxes"), removed.alias("removed"))
+    """key, kept, kept_boxes, file, boxes: one row per file that is removed, beside the file of its key that stays."""
+    first = F.min(F.struct((-F.col("n_boxes")).alias("n"), "output_name"))
+    best = rows.groupBy(key).agg(first.alias("b"), F.count("*").alias("m")).filter("m > 1").select(key, F.col("b.output_name").alias("kept"), (-F.col("b.n")).alias("kept_boxes"))
+    files = rows.select(key, F.col("output_name").alias("file"), F.col("n_boxes").alias("boxes"))
+    return files.join(best, key).filter("file <> kept").select(key, "kept", "kept_boxes", "file", "boxes")
 
 
 def drop_train_copies(rows: DataFrame, digest: str = "md5", train: str = "train", others: tuple = ("valid", "test")) -> tuple[DataFrame, DataFrame]:

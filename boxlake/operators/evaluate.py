@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from boxlake.functions.geometry import iou
 from boxlake.operators.detections import BOX
+from boxlake.scratch import stored
 
 THRESHOLDS = [round(0.50 + 0.05 * k, 2) for k in range(10)]
 MAX_DETECTIONS = 500
@@ -41,8 +42,11 @@ def match_detections(detections: DataFrame, truth: DataFrame, thresholds: list[f
 
 
 def curve(detections: DataFrame, matches: DataFrame, truth: DataFrame, thresholds: list[float] = THRESHOLDS) -> DataFrame:
-    """threshold, confidence, precision, recall, envelope, one point per confidence value (rounded to 6): detections of equal confidence count together."""
-    d = ranked(detections).select("image_id", "det_no", F.round("confidence", 6).alias("confidence"))
+    """threshold, confidence, precision, recall, envelope, one point per confidence value (rounded to 6): detections of equal confidence count together.
+
+    The points are written, as each measure reads them more than once.
+    """
+    d = stored(ranked(detections).select("image_id", "det_no", F.round("confidence", 6).alias("confidence")))
     all_ = d.groupBy("confidence").agg(F.count("*").alias("n")).withColumn("threshold", F.explode(F.array(*(F.lit(x) for x in thresholds))))
     hit = d.join(matches, ["image_id", "det_no"]).groupBy("threshold", "confidence").agg(F.count("*").alias("tp"))
     total = truth.agg(F.count("*").alias("truths"))
@@ -51,7 +55,7 @@ def curve(detections: DataFrame, matches: DataFrame, truth: DataFrame, threshold
     rows = rows.withColumns({"tps": F.sum(F.coalesce("tp", F.lit(0))).over(down), "ns": F.sum("n").over(down)})
     rows = rows.withColumns({"precision": F.col("tps") / F.col("ns"), "recall": F.col("tps") / F.nullif("truths", F.lit(0))})
     best = F.max("precision").over(W.partitionBy("threshold").orderBy("confidence"))
-    return rows.withColumn("envelope", best).select("threshold", "confidence", "precision", "recall", "envelope")
+    return stored(rows.withColumn("envelope", best).select("threshold", "confidence", "precision", "recall", "envelope"))
 
 
 def average_precision(points: DataFrame) -> DataFrame:

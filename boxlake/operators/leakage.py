@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions.images import MAX_DIFFERENCE, MIN_CORRELATION, MIN_STD, pixel_similarity, population_std
@@ -10,13 +10,25 @@ from boxlake.scratch import stored
 
 
 KEYS = ["source_dataset", "dhash", "digest"]
+PARTS = 8
 
 
 def _measured(signatures: DataFrame) -> DataFrame:
-    """Signatures with a digest of their pixels, their mean and deviation; written once, so that pixels aren't made again for each use."""
+    """Signatures with a digest of their pixels, their mean and deviation, and sums of PARTS parts; written once, so that pixels aren't made again for each use."""
     n = F.size("pixels")
     mean = F.aggregate("pixels", F.lit(0.0), lambda a, x: a + x) / n
-    return stored(signatures.withColumns({"digest": F.md5(F.to_json("pixels").cast("binary")), "mean": mean, "std": population_std("pixels")}))
+    return stored(signatures.withColumns({"digest": F.md5(F.to_json("pixels").cast("binary")), "mean": mean, "std": population_std("pixels"), "sums": _part_sums("pixels")}))
+
+
+def _part_sums(pixels: str) -> Column:
+    """Sums of PARTS consecutive parts: mean absolute error is at least the difference of two pictures' parts, added up, by pixel."""
+    n = F.size(pixels)
+
+    def one(i: Column) -> Column:
+        a, b = (F.floor(n * k / PARTS).cast("int") for k in (i, i + 1))
+        return F.aggregate(F.slice(pixels, a + 1, b - a), F.lit(0.0), lambda s, x: s + x)
+
+    return F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), one)
 
 
 def picture_classes(signatures: DataFrame) -> DataFrame:
@@ -32,21 +44,26 @@ def _links(signatures: DataFrame, differ: str, slack: float = 0.0) -> DataFrame:
     A class of equal pictures gives one pair for each further value of `differ`, from its least picture to the least one with that value.
     Two classes give one pair, of pictures with different values where they have such. So copies are never paired with each
     other, and no link between different pictures is lost. Within a hash, classes meet by bands of their mean: mean absolute error is at least the
-    difference of means, so only neighbouring bands can be similar.
+    difference of means, so only neighbouring bands can be similar. Pairs meet as names and sums of parts; pixels are fetched only for those that
+    the sums leave possible.
     """
     seen = _measured(signatures).filter(F.col("std") >= MIN_STD - slack)
-    each = stored(seen.groupBy(*KEYS, differ).agg(F.min("output_name").alias("name"), *(F.any_value(c).alias(c) for c in ("pixels", "mean", "std"))))
-    first = stored(each.groupBy(*KEYS).agg(F.min_by(F.struct("name", differ, "pixels", "mean", "std"), "name").alias("f"), F.count("*").alias("n")).select(*KEYS, "f.*", "n"))
+    each = stored(seen.groupBy(*KEYS, differ).agg(F.min("output_name").alias("name"), *(F.any_value(c).alias(c) for c in ("pixels", "mean", "std", "sums"))))
+    first = stored(each.groupBy(*KEYS).agg(F.min_by(F.struct("name", differ, "pixels", "mean", "std", "sums"), "name").alias("f"), F.count("*").alias("n")).select(*KEYS, "f.*", "n"))
     heads = first.filter("n > 1").select(*KEYS, F.col("name").alias("left_output_name"), F.col(differ).alias(f"left_{differ}"))
-    within = each.drop("pixels").join(heads, KEYS).filter(F.col(differ) != F.col(f"left_{differ}"))
+    within = each.drop("pixels", "sums").join(heads, KEYS).filter(F.col(differ) != F.col(f"left_{differ}"))
     within = stored(within.select(*KEYS, "left_output_name", F.col("name").alias("right_output_name"), f"left_{differ}", F.col(differ).alias(f"right_{differ}"), F.struct(F.lit(1.0).alias("correlation"), F.lit(0.0).alias("mean_absolute_error"), F.col("std").alias("left_std"), F.col("std").alias("right_std")).alias("m")))
 
     second = within.groupBy(*KEYS).agg(F.min(F.struct(F.col("right_output_name").alias("name"), F.col(f"right_{differ}").alias(differ))).alias("s"))
     many = first.groupBy(*KEYS[:2]).agg(F.count("*").alias("k")).filter("k > 1").select(*KEYS[:2])
-    sides = first.join(many, KEYS[:2], "left_semi").join(second, KEYS, "left")
+    sides = first.withColumn("n", F.size("pixels")).drop("pixels").join(many, KEYS[:2], "left_semi").join(second, KEYS, "left")
     band = F.floor(F.col("mean") / MAX_DIFFERENCE)
-    left, right = (sides.select(*KEYS[:2], b.alias("band"), *(F.col(c).alias(f"{x}_{c}") for c in ("name", differ, "pixels", "s"))) for x, b in (("a", band), ("b", F.explode(F.array(band - 1, band, band + 1)))))
+    left, right = (sides.select(*KEYS[:2], b.alias("band"), *(F.col(c).alias(f"{x}_{c}") for c in ("name", differ, "sums", "n", "s"))) for x, b in (("a", band), ("b", F.explode(F.array(band - 1, band, band + 1)))))
     near = left.join(right, [*KEYS[:2], "band"]).filter(f"a_name < b_name and (a_{differ} <> b_{differ} or a_s is not null or b_s is not null)")
+    gap = F.aggregate(F.zip_with("a_sums", "b_sums", lambda x, y: F.abs(x - y)), F.lit(0.0), lambda s, x: s + x)
+    near = near.filter(gap <= (MAX_DIFFERENCE + 1e-6) * F.greatest("a_n", "b_n")).drop("a_sums", "b_sums", "a_n", "b_n")
+    for x in "ab":
+        near = near.join(first.select(*KEYS[:2], F.col("name").alias(f"{x}_name"), F.col("pixels").alias(f"{x}_pixels")), [*KEYS[:2], f"{x}_name"])
     apart = F.col(f"a_{differ}") != F.col(f"b_{differ}")
     b_second = ~apart & F.col("b_s").isNotNull()
     a_second = ~apart & ~b_second

@@ -211,7 +211,8 @@ class Tracker:
 def link_tracks(rows: DataFrame, fps: float = 30.0, **settings) -> DataFrame:
     """rows (video_id, frame_number, det_no, x1, y1, x2, y2, confidence) with tracker_id, -1 where untracked.
 
-    Sequential within a video, so a video is one task; its rows are streamed, and only its tracks and one frame are held.
+    Sequential within a video, so a video is one task; its rows are streamed, and only its tracks and one frame are held. Rows without
+    a video are left untracked, where they are.
     """
     schema = T.StructType([*rows.schema.fields, T.StructField("tracker_id", T.LongType())])
     Tracker(fps, **settings)  # wrong settings fail here
@@ -232,4 +233,5 @@ def link_tracks(rows: DataFrame, fps: float = 30.0, **settings) -> DataFrame:
         if held is not None and len(held):
             yield tracker.run(held)
 
-    return _in_order(rows, ["video_id"], ["frame_number", "det_no"]).mapInPandas(link, schema)
+    linked = _in_order(rows.filter("video_id is not null"), ["video_id"], ["frame_number", "det_no"]).mapInPandas(link, schema)
+    return linked.unionByName(rows.filter("video_id is null").withColumn("tracker_id", F.lit(-1).cast("bigint")))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.functions.images import bits_to_hex
+from boxlake.functions.images import HASH_SIZE, THUMBNAIL, bits_to_hex, image_signature
 from boxlake.operators import annotations as an
-from boxlake.operators import audit, leakage, splits
+from boxlake.operators import audit, dedup, leakage, splits
 from boxlake.plans.fixtures import ctes, frame
+from boxlake.scratch import scratch_dir
 from boxlake.sources import labels, sinks
 
 
@@ -265,7 +266,102 @@ def coco_documents(s, d):
 _COCO = ctes("fx_images", "fx_boxes") + """, di AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42|' || file_name), file_name) AS new_id FROM fx_images)
 SELECT split, row_number() OVER (PARTITION BY split ORDER BY new_id, b.annotation_id) AS annotation_id, new_id AS image_id, 1 AS category_id, x, y, w, h, round(w * h, 3) AS area FROM fx_boxes b JOIN di ON b.image_id = di.image_id"""
 
+def dataset_tables(s, d):
+    """K1: both tables written by split and read again."""
+    images, boxes = _numbered(s, d)
+    path = scratch_dir(s)
+    sinks.write_dataset(images.select("split", "image_id", "file_name", "width", "height"), boxes.select("split", "annotation_id", "image_id", "x", "y", "w", "h"), path)
+    notes = s.read.parquet(f"{path}/annotations").groupBy("split", "image_id").agg(F.count("*").alias("boxes"), F.min("annotation_id").alias("first_annotation"))
+    return s.read.parquet(f"{path}/images").join(notes, ["split", "image_id"], "left")
+
+
+_TABLES = _DENSE.split("SELECT b.annotation_id AS old_id")[0] + """, dn AS (SELECT b.image_id AS k, row_number() OVER (PARTITION BY split ORDER BY new_id, b.annotation_id) AS annotation_id FROM fx_boxes b JOIN di ON b.image_id = di.image_id),
+dc AS (SELECT k, count(*) AS boxes, min(annotation_id) AS first_annotation FROM dn GROUP BY k)
+SELECT split, new_id AS image_id, file_name, width, height, boxes, first_annotation FROM di LEFT JOIN dc ON dc.k = di.image_id"""
+
+
+def _placed_lines(s, path):
+    """Lines of text files with their places, in the order of the files' names."""
+    lines = s.read.text(path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    return lines.select(F.row_number().over(W.partitionBy(F.lit(0)).orderBy("file", "at")).alias("place"), F.col("value").alias("line"))  # a report's lines, which are few
+
+
+def report_lines(s, d):
+    """K3, L4: group totals as sorted JSON lines."""
+    path = scratch_dir(s)
+    totals = splits.group_totals(_images(s, d)).groupBy("source_dataset", "sequence_group").agg(F.sum("images").alias("images"))
+    sinks.write_reports({"groups": (totals, ["sequence_group"])}, path)
+    return _placed_lines(s, f"{path}/groups")
+
+
+_REPORT_LINES = ctes("fx_images") + """, g AS (SELECT source_dataset, sequence_group, count(*) AS n FROM fx_images GROUP BY ALL)
+SELECT row_number() OVER (ORDER BY sequence_group) AS place, '{"source_dataset":"' || source_dataset || '","sequence_group":"' || sequence_group || '","images":' || n || '}' AS line FROM g"""
+
+
+def removed_names(s, d):
+    """K4: the names of training pictures that have copies elsewhere, one a line."""
+    rows = frame(s, d, "fx_files").select(F.col("output_name").alias("file_name"), "split", dedup.content_md5("text").alias("md5"))
+    path = scratch_dir(s)
+    sinks.write_removed_names(dedup.drop_train_copies(rows)[1], path)
+    return s.read.text(path).select(F.col("value").alias("file_name"))
+
+
+_REMOVED = ctes("fx_files") + "SELECT output_name AS file_name FROM fx_files WHERE split = 'train' AND text IN (SELECT text FROM fx_files WHERE split <> 'train')"
+
+
+def audit_files(s, d):
+    """K5: the audit's tables and its summary, written and read again."""
+    path = scratch_dir(s)
+    sinks.write_audit({"issues": audit_issues(s, d), "resolutions": top_resolutions(s, d)}, path)
+    counts = s.read.text(f"{path}/summary").select(F.explode(F.from_json("value", "issues map<string,bigint>")["issues"]).alias("name", "value"))
+    other = s.read.parquet(f"{path}/resolutions").select(F.concat_ws("/", "split", "resolution").alias("name"), F.col("images").alias("value"))
+    return counts.unionByName(other)
+
+
+_AUDIT_FILES = "SELECT split || '/' || issue AS name, CAST(value AS BIGINT) AS value FROM (" + _ISSUES + ") UNION ALL SELECT split || '/' || resolution, images FROM (" + _RESOLUTIONS + ")"
+
+
+def listed_files(s, d):
+    """A file for each supplier, listed without its content; none of them is a picture."""
+    path = scratch_dir(s)
+    rows = s.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", "s_name")
+    rows.repartition("s_suppkey").write.partitionBy("s_suppkey").text(f"{path}/train")
+    key = F.regexp_extract("path", r"s_suppkey=(\d+)/", 1).cast("bigint").alias("s_suppkey")
+    listed = labels.list_images(s, f"{path}/train", "*.txt", "train").select(key, "raw_split", "path", (F.concat("stem", F.lit(".txt")) == F.col("file_name")).alias("stem_fits"))
+    status = labels.decode_status(s, f"{path}/train").filter(~F.element_at(F.split("path", "/"), -1).startswith("_"))
+    names = labels.list_manifest(s, f"{path}/train").filter("file_name like '%.txt'").agg(F.count("*").alias("files_in_all"))
+    both = listed.join(status, "path").groupBy("s_suppkey", "raw_split").agg(F.count("*").alias("files"), F.min("stem_fits").alias("stem_fits"), F.count_if("decode_ok").alias("pictures"), F.max("width").alias("width"))
+    return both.crossJoin(names)  # one row
+
+
+_LISTED = "SELECT s_suppkey, 'train' AS raw_split, 1 AS files, true AS stem_fits, 0 AS pictures, CAST(NULL AS INTEGER) AS width, count(*) OVER () AS files_in_all FROM supplier"
+
+
+def picture_signatures(s, d):
+    """hashes of grey pictures of 9 by 8 and pixels of those of 32 by 24, whose levels come from the document's row."""
+    rows = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.coalesce("n_chars", F.lit(0)).cast("bigint").alias("n"))
+
+    def picture(width, height):
+        level = lambda i: F.lower(F.lpad(F.hex((F.col("n") * (i * i + 7) + F.col("doc_id") * i * 31) % 256), 2, "0"))
+        data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(width * height - 1).cast("bigint")), level), ""))
+        return image_signature(data, F.lit(width), F.lit(height), F.lit(1), F.lit(False))
+
+    rows = rows.select("doc_id", picture(*HASH_SIZE).alias("a"), picture(*THUMBNAIL).alias("b"))
+    total = F.aggregate(F.zip_with("b.pixels", F.sequence(F.lit(1), F.lit(768)), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
+    return rows.select("doc_id", F.col("a.dhash").alias("dhash"), total.alias("weighted_pixels"), F.round("b.pixel_std", 4).alias("pixel_std"))
+
+
+_SIGNATURES = """WITH d AS (SELECT doc_id, coalesce(n_chars, 0) AS n FROM documents), l AS (SELECT doc_id, [(n * (i * i + 7) + doc_id * i * 31) % 256 FOR i IN range(0, 768)] AS v FROM d)
+SELECT doc_id, printf('%016x', CAST(list_sum([CASE WHEN v[(k // 8) * 9 + k % 8 + 2] > v[(k // 8) * 9 + k % 8 + 1] THEN CAST(1 AS UBIGINT) << (63 - k) ELSE CAST(0 AS UBIGINT) END FOR k IN range(0, 64)]) AS UBIGINT)) AS dhash,
+  CAST(list_sum([v[i] * i FOR i IN range(1, 769)]) AS DOUBLE) AS weighted_pixels, round(list_stddev_pop(v), 4) AS pixel_std FROM l"""
+
 QUERIES = {
+    "dataset_tables": (dataset_tables, _TABLES),
+    "report_lines": (report_lines, _REPORT_LINES),
+    "removed_names": (removed_names, _REMOVED),
+    "audit_files": (audit_files, _AUDIT_FILES),
+    "listed_files": (listed_files, _LISTED),
+    "picture_signatures": (picture_signatures, _SIGNATURES),
     "split_stats": (split_stats, _SPLIT_STATS),
     "size_histogram": (size_histogram, _SIZES),
     "source_counts": (source_counts, _SOURCES),

@@ -40,10 +40,10 @@ SELECT annotation_id, image_id, part, line, class_id,
   CAST((part * 37) % 800 AS BIGINT) AS px, CAST((part * 53) % 650 AS BIGINT) AS py, 1 + part % 90 AS pw, 1 + part % 70 AS ph
 FROM {fx_boxes}""",
     "fx_xml": """
-SELECT annotation_id, '<annotation><folder>f' || CAST(part % 9 AS STRING) || '</folder><filename>' || CAST(annotation_id AS STRING) || '.jpg</filename><path>x</path><object><name>' || name || '</name>' ||
+SELECT annotation_id, '<annotation><folder>f' || CAST(part % 9 AS STRING) || '</folder><filename>' || CAST(annotation_id AS STRING) || '.jpg</filename><path>x</path>' || (CASE WHEN part % 17 = 0 THEN '<objects><!-- <object> -->' ELSE '' END) || '<object><name>' || name || '</name>' ||
   (CASE WHEN part % 31 = 0 THEN '' WHEN line % 2 = 0 THEN '<polygon><x1>' || CAST(px AS STRING) || '</x1><y1>' || CAST(py AS STRING) || '</y1><x2>' || CAST(px + pw AS STRING) || '</x2><y2>' || CAST(py AS STRING) || '</y2><x3>' || CAST(px + pw AS STRING) || '</x3><y3>' || CAST(py + ph AS STRING) || '</y3><x4>' || CAST(px AS STRING) || '</x4>' || (CASE WHEN part % 37 = 0 THEN '' ELSE '<y4>' || CAST(py + ph AS STRING) || '</y4>' END) || '</polygon>'
    ELSE '<bndbox><xmin>' || CAST(px AS STRING) || '</xmin><ymin>' || (CASE WHEN part % 37 = 0 THEN 'oops' ELSE CAST(py AS STRING) END) || '</ymin><xmax>' || CAST(px + pw AS STRING) || '</xmax><ymax>' || CAST(py + ph AS STRING) || '</ymax></bndbox>' END) ||
-  '</object>' || (CASE WHEN part % 59 = 0 THEN '' ELSE '</annotation>' END) AS xml, part, line, name, px, py, pw, ph
+  '</object>' || (CASE WHEN part % 17 = 0 THEN '</objects>' ELSE '' END) || (CASE WHEN part % 59 = 0 THEN '' ELSE '</annotation>' END) AS xml, part, line, name, px, py, pw, ph
 FROM {fx_lines}""",
     "fx_names": """
 SELECT event_id AS id, user_id,

@@ -25,9 +25,8 @@ _CLIP_BOXES = ctes("fx_boxes", "fx_images") + ", j AS (SELECT b.*, width, height
 def visdrone_lines(s, d):
     """S3, P3."""
     rows = labels.read_visdrone_labels(frame(s, d, "fx_lines").select("annotation_id", "image_id", F.col("visdrone_line").alias("line")))
-    rows = an.boxes_with_image_size(rows, frame(s, d, "fx_images"))
-    kept = an.visdrone_boxes(rows).select("annotation_id", "class_id", F.struct("x", "y", "w", "h").alias("b"))
-    return rows.select("annotation_id", "bad_row").join(kept, "annotation_id", "left").select("annotation_id", "bad_row", "class_id", "b.*")
+    rows = an.visdrone_marked(an.boxes_with_image_size(rows, frame(s, d, "fx_images")))
+    return rows.select("annotation_id", "bad_row", F.when(F.col("box").isNotNull(), F.col("class_id")).alias("class_id"), "box.*")
 
 
 _VISDRONE_LINES = ctes("fx_lines", "fx_images") + """, p AS (SELECT annotation_id, width, height, string_split(visdrone_line, ',') AS f FROM fx_lines JOIN fx_images USING (image_id)),
@@ -145,12 +144,25 @@ _EXACT_DEDUP = _KEYED + "SELECT key, output_name, n_boxes, split FROM k QUALIFY
 
 def duplicate_log(s, d):
     """A5."""
-    rows = dedup.duplicate_groups(_keyed(s, d))
-    return rows.select("key", "kept", "kept_boxes", F.array_join(F.transform("removed", lambda r: F.concat(r["file"], F.lit("="), r["boxes"].cast("string"))), ",").alias("removed"))
+    return dedup.duplicate_groups(_keyed(s, d))
+
+
+_DUPLICATE_LOG = _KEYED + """, r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n_boxes DESC, output_name) AS p FROM k)
+SELECT a.key, a.output_name AS kept, a.n_boxes AS kept_boxes, b.output_name AS file, b.n_boxes AS boxes FROM r a JOIN r b ON a.key = b.key AND a.p = 1 AND b.p > 1"""
+
+
+def preparation_counters(s, d):
+    """Pictures of every 31st id don't decode, those of every 19th have no labels."""
+    rows = frame(s, d, "fx_files").select("output_name", "n_boxes", "doc_id", F.col("lang").alias("source_dataset"), (F.coalesce(F.col("doc_id") % 31, F.lit(1)) != 0).alias("decode_ok"), dedup.content_sha256("text").alias("key"))
+    files = rows.filter("doc_id % 19 <> 0").select("doc_id")
+    kept = dedup.keep_best_duplicate(an.attach_labels(rows.filter("decode_ok"), files, ["doc_id"])[0])
+    return an.picture_counters(rows, files, kept, ["doc_id"])
 
 
-_DUPLICATE_LOG = _KEYED + """, g AS (SELECT key, list(output_name ORDER BY n_boxes DESC, output_name) AS f, list(n_boxes ORDER BY n_boxes DESC, output_name) AS n FROM k GROUP BY key HAVING count(*) > 1)
-SELECT key, f[1] AS kept, n[1] AS kept_boxes, array_to_string(list_transform(range(2, len(f) + 1), lambda i: f[i] || '=' || n[i]), ',') AS removed FROM g"""
+_PREPARATION = ctes("fx_files") + """, p AS (SELECT lang, text, doc_id % 31 <> 0 AS ok, doc_id % 19 <> 0 AS labelled FROM fx_files), c AS (
+SELECT lang || '_corrupt_images' AS metric FROM p WHERE NOT ok UNION ALL SELECT lang || '_missing_labels' FROM p WHERE ok AND NOT labelled
+UNION ALL SELECT 'images_before_exact_dedup' FROM p WHERE ok AND labelled)
+SELECT metric, count(*) AS value FROM c GROUP BY metric UNION ALL SELECT 'images_after_exact_dedup', count(DISTINCT text) FROM p WHERE ok AND labelled"""
 
 
 def reusable_crops(s, d):
@@ -210,6 +222,7 @@ QUERIES = {
     "label_join": (label_join, _LABEL_JOIN),
     "exact_dedup": (exact_dedup, _EXACT_DEDUP),
     "duplicate_log": (duplicate_log, _DUPLICATE_LOG),
+    "preparation_counters": (preparation_counters, _PREPARATION),
     "reusable_crops": (reusable_crops, _REUSABLE),
     "train_copies_removed": (train_copies_removed, _TRAIN_COPIES),
     "cascade_annotations": (cascade_annotations, _CASCADE),

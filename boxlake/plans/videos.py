@@ -77,6 +77,14 @@ def link_tracks(s, d):
     return rows.withColumn("c", box_center("x1", "y1", "x2", "y2")).select("video_id", "frame_number", "det_no", "tracker_id", "c.cx", "c.cy")
 
 
+def box_centers(s, d):
+    """P15."""
+    return _detections(s, d).withColumn("c", box_center("x1", "y1", "x2", "y2")).select("video_id", "frame_number", "det_no", "c.cx", "c.cy")
+
+
+_CENTERS = ctes("fx_detections") + "SELECT video_id, frame_number, det_no, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy FROM fx_detections"
+
+
 def _tracks(s, d):
     return frame(s, d, "fx_tracks")
 
@@ -238,6 +246,7 @@ QUERIES = {
     "slice_grid": (slice_grid, _GRID),
     "iou_pairs": (iou_pairs, _PAIRS),
     "nms_merge": (nms_merge, _NMS),
+    "box_centers": (box_centers, _CENTERS),
     "link_tracks": (link_tracks, None),
     "track_sessions": (track_sessions, _SESSIONS),
     "trailing_velocity": (trailing_velocity, _VELOCITY),

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from boxlake.functions.geometry import all_finite
 from boxlake.functions.naming import strip
 
-VOC = "folder string, filename string, path string, object array<struct<name:string, polygon:struct<x1:string,y1:string,x2:string,y2:string,x3:string,y3:string,x4:string,y4:string>, bndbox:struct<xmin:string,ymin:string,xmax:string,ymax:string>>>"
+VOC = "folder string, filename string, path string, bad string"
+VOC_OBJECT = "name string, polygon struct<x1:string,y1:string,x2:string,y2:string,x3:string,y3:string,x4:string,y4:string>, bndbox struct<xmin:string,ymin:string,xmax:string,ymax:string>"
 COCO_SCHEMA = (
     "info struct<description:string,seed:bigint,split_policy:string>, licenses array<string>,"
     " categories array<struct<id:int,name:string,supercategory:string>>,"
@@ -93,14 +94,18 @@ def read_yolo_labels(lines: DataFrame, line: str = "line") -> DataFrame:
 
 
 def read_voc_xml_labels(files: DataFrame, text: str = "xml", keep: list[str] | None = None) -> DataFrame:
-    """One row per object (none for a file without objects): the kept columns, bad_xml, folder, filename, path, object_no, object."""
-    schema = VOC + ", bad string"
+    """One row per object (none for a file without objects): the kept columns, bad_xml, folder, filename, path, object_no, object.
+
+    Objects are found at any depth below the root (of objects inside one another, the innermost). A document is parsed once for its own fields and
+    faults, and each object once by itself: both pass through a generator, behind which no filter can repeat the parsing.
+    """
     keep = files.columns if keep is None else keep
-    doc = F.from_xml(F.col(text), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
-    rows = files.withColumn("_doc", doc)
-    bad = F.col("_doc.bad").isNotNull() | F.col("_doc").isNull()
-    rows = rows.select(*keep, bad.alias("bad_xml"), "_doc.folder", "_doc.filename", "_doc.path", F.posexplode_outer("_doc.object").alias("object_no", "object"))
-    return rows
+    doc = F.from_xml(F.col(text), VOC, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
+    rows = files.withColumn("_doc", F.explode(F.array(doc)))
+    rows = rows.withColumn("bad_xml", F.col("_doc.bad").isNotNull() | F.col("_doc").isNull())
+    found = F.regexp_extract_all(F.regexp_replace(text, r"(?s)<!--.*?-->", ""), F.lit(r"(?s)<object(?:\s[^>]*)?>(?:(?!<object[\s>]).)*?</object>"), F.lit(0))
+    objects = F.transform(F.when(~F.col("bad_xml"), found), lambda x: F.from_xml(x, VOC_OBJECT))
+    return rows.select(*keep, "bad_xml", "_doc.folder", "_doc.filename", "_doc.path", F.posexplode_outer(objects).alias("object_no", "object"))
 
 
 def read_xml_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -56,6 +56,83 @@ def test_tiles(spark):
         det.slice_grid(df, 100, 100)
 
 
+def brute_links(rows, fps, activation=0.5, match=0.8, lost=30, second=0.5):
+    """(frame, det_no) -> id of one video by the rule as stated: tracks as plain values, matches by sorting all pairs."""
+    keep = max(1, round(lost * fps / 30))
+    tracks, out, ids = [], {}, 0
+    for f in sorted({x[0] for x in rows}):
+        dets = sorted(x for x in rows if x[0] == f)
+        tracks = [t for t in tracks if f - t["seen"] <= (keep if t["id"] else 1)]
+        moved = [[c + v * (f - t["seen"]) for c, v in zip(t["box"], t["speed"] * 2, strict=True)] for t in tracks]
+        pairs, used, done = [], set(), set()
+
+        def take(which, free, least):
+            at = [k for k in range(len(dets)) if which(dets[k][6])]
+            order = [(-overlap(moved[i], dets[k][2:6]), a, b, i, k) for a, i in enumerate(free) for b, k in enumerate(at)]
+            for o, _, _, i, k in sorted(order):
+                if -o >= least and i not in used and k not in done:
+                    used.add(i)
+                    done.add(k)
+                    pairs.append((i, k))
+
+        take(lambda c: c >= activation, list(range(len(tracks))), 1 - match)
+        take(lambda c: c < activation, [i for i in range(len(tracks)) if i not in used and tracks[i]["id"]], second)
+        for k in range(len(dets)):
+            out[f, dets[k][1]] = -1
+        for i, k in pairs:
+            t, box = tracks[i], list(dets[k][2:6])
+            gap = max(f - t["seen"], 1)
+            centre = lambda b: ((b[0] + b[2]) / 2, (b[1] + b[3]) / 2)
+            t["speed"] = [(v + (n - o) / gap) / 2 for v, n, o in zip(t["speed"], centre(box), centre(t["box"]), strict=True)]
+            t["hits"] = t["hits"] + 1 if gap == 1 else 1
+            t["box"], t["seen"] = box, f
+            if not t["id"] and t["hits"] >= 2:
+                ids += 1
+                t["id"] = ids
+            out[f, dets[k][1]] = t["id"] or -1
+        tracks += [{"box": list(x[2:6]), "speed": [0.0, 0.0], "seen": f, "hits": 1, "id": 0} for k, x in enumerate(dets) if k not in done and x[6] >= activation + 0.1]
+    return out
+
+
+def random_video(seed):
+    r = random.Random(seed)
+    cars = [[r.uniform(0, 200), r.uniform(0, 200), r.uniform(-4, 4), r.uniform(-4, 4)] for _ in range(6)]
+    rows = []
+    for f in range(60):
+        if r.random() < 0.1:
+            continue
+        seen = [c for c in cars if r.random() < 0.85]
+        for k, (x, y, vx, vy) in enumerate(seen):
+            x, y = x + vx * f + r.uniform(-1, 1), y + vy * f + r.uniform(-1, 1)
+            rows.append((f, k, x, y, x + 25, y + 18, r.choice([0.3, 0.45, 0.55, 0.7, 0.9])))
+    return rows
+
+
+def test_linking_matches_an_independent_model_in_any_batches(spark, tmp_path):
+    videos = {v: random_video(v) for v in range(4)}
+    want = {(v, *k): i for v, rows in videos.items() for k, i in brute_links(rows, 12.0).items()}
+    assert max(want.values()) > 5 and -1 in want.values()
+    rows = [(v, *x) for v, video in videos.items() for x in video]
+    schema = "video_id long, frame_number long, det_no long, x1 double, y1 double, x2 double, y2 double, confidence double"
+    df = spark.createDataFrame(rows, schema)
+    got = {(x.video_id, x.frame_number, x.det_no): x.tracker_id for x in tracks.link_tracks(df, 12.0).collect()}
+    assert got == want
+    r = random.Random(9)
+    cuts = [0, *sorted(r.sample(range(1, 60), 4)), 60]
+    for n, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        df.filter(f"frame_number >= {a} and frame_number < {b}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        frames.append_to(frames.link_tracks_stream(stream, 12.0), str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    got = {(x.video_id, x.frame_number, x.det_no): x.tracker_id for x in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == want
+
+
+def test_null_videos_are_kept(spark):
+    rows = [(None, 1, 1, 0.0, 0.0, 9.0, 9.0, 0.9), (1, 1, 1, 0.0, 0.0, 9.0, 9.0, 0.9), (1, 2, 1, 0.0, 0.0, 9.0, 9.0, 0.9)]
+    df = spark.createDataFrame(rows, "video_id long, frame_number long, det_no long, x1 double, y1 double, x2 double, y2 double, confidence double")
+    assert sorted(((x.video_id, x.frame_number, x.tracker_id) for x in tracks.link_tracks(df, 12.0).collect()), key=str) == sorted([(None, 1, -1), (1, 1, -1), (1, 2, 1)], key=str)
+
+
 def test_parameters(spark):
     df = spark.createDataFrame([], DET)
     for bad in ({"confidence": 0.6}, {"confidence": 0.0}, {"track_threshold": 1.0}):
