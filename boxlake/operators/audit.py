@@ -73,7 +73,7 @@ def unexpected_categories(categories: DataFrame) -> DataFrame:
 def decode_issues(images: DataFrame, decoded: DataFrame) -> DataFrame:
     """split, issue, file_name, actual, declared of files that don't decode or have another size than declared."""
     d = decoded.select("split", "file_name", F.col("width").alias("dw"), F.col("height").alias("dh"), "decode_ok")
-    both = images.join(d, ["split", "file_name"])
+    both = images.select("split", "file_name", "width", "height").join(d, ["split", "file_name"])
     wrong = (F.col("dw") != F.col("width")) | (F.col("dh") != F.col("height"))
     issue = F.when(~F.col("decode_ok"), "decode_errors").when(wrong, "dimension_mismatches")
     return both.withColumn("issue", issue).filter("issue is not null").select("split", "issue", "file_name", resolution_key("dw", "dh").alias("actual"), resolution_key("width", "height").alias("declared"))
@@ -113,8 +113,8 @@ def quantiles(rows: DataFrame, by: list[str], values: list[str], approximate: bo
         return long.select(*by, "metric", F.col("z.n.quantile").alias("quantile"), F.round("z.value", 6).alias("value"))
     keys = [*by, "metric"]
     each = rows.select(*by, *(F.col(v).cast("double").alias(v) for v in values)).selectExpr(*by, _stacked(values, "v")).filter("v is not null")
-    counts = each.groupBy(*keys, "v").agg(F.count("*").alias("n")).repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id())
-    counts = stored(counts)
+    counts = stored(each.groupBy(*keys, "v").agg(F.count("*").alias("n")))
+    counts = stored(counts.repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()))
     before = F.sum("m").over(W.partitionBy(*keys).orderBy("part"))
     parts = counts.groupBy(*keys, "part").agg(F.sum("n").alias("m")).withColumn("upto", before)
     parts = stored(parts.withColumn("total", F.sum("m").over(W.partitionBy(*keys))))
@@ -158,7 +158,7 @@ def source_counts(annotations: DataFrame, images: DataFrame) -> DataFrame:
     """split, source, images, annotations, negatives; source is the file name up to its first underscore."""
     n = measured(flagged(annotations, images)).groupBy("split", source_name("file_name").alias("source")).agg(F.count("*").alias("annotations"))
     per = boxes_per_image(images, annotations)
-    i = images.join(per, ["split", "image_id"]).groupBy("split", source_name("file_name").alias("source")).agg(F.count("*").alias("images"), F.count_if(F.col("n_boxes") == 0).alias("negatives"))
+    i = images.select("split", "image_id", "file_name").join(per, ["split", "image_id"]).groupBy("split", source_name("file_name").alias("source")).agg(F.count("*").alias("images"), F.count_if(F.col("n_boxes") == 0).alias("negatives"))
     return i.join(n, ["split", "source"], "left").select("split", "source", "images", F.coalesce("annotations", F.lit(0)).alias("annotations"), "negatives")
 
 
