@@ -255,12 +255,13 @@ SELECT b.annotation_id AS old_id, split, new_id AS image_id, row_number() OVER (
 
 
 def coco_documents(s, d):
-    """Documents per split, read again."""
+    """Documents per split, written and read again."""
     images, boxes = _numbered(s, d)
     images = images.withColumn("raw_split", F.col("split"))
     boxes = boxes.select("split", "annotation_id", "image_id", F.lit(1).alias("category_id"), "x", "y", "w", "h", F.round(F.col("w") * F.col("h"), 3).alias("area"), F.lit(0).alias("iscrowd"))
-    documents = sinks.to_coco_struct(images, boxes).select("split", F.from_json("document", labels.COCO_SCHEMA).alias("d")).select("split", "d.*")
-    return labels.coco_tables(documents)["annotations"].select("split", "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "area")
+    path = scratch_dir(s)
+    sinks.write_coco_json(images, boxes, path)
+    return labels.read_coco_lines(s, path)["annotations"].select("split", "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "area")
 
 
 _COCO = ctes("fx_images", "fx_boxes") + """, di AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42|' || file_name), file_name) AS new_id FROM fx_images)

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A document is one row; splits with more annotations are written as tables or JSON lines.
-MAX_DOCUMENT_ROWS = 5_000_000
 CATEGORIES = [(1, "vehicle", "vehicle")]
 
 
@@ -17,24 +15,34 @@ def write_dataset(images: DataFrame, annotations: DataFrame, path: str) -> None:
 
 
 def to_coco_struct(images: DataFrame, annotations: DataFrame, seed: int = 42, description: str = "Vehicle boxes", policy: str = "sequence groups") -> DataFrame:
-    """split and document: one JSON text per split, images and annotations in the order of their ids."""
+    """split, part, id, value: the lines of one JSON document per split, in the order of part and id.
+
+    A head, a line for each image and each annotation in the order of their ids, and a tail; each is a row of its own, so a document of any size is never held
+    whole.
+    """
     image = F.struct(F.col("image_id").alias("id"), "file_name", "width", "height", "source_dataset", "sequence_group", "raw_split")
     note = F.struct(F.col("annotation_id").alias("id"), "image_id", "category_id", F.array("x", "y", "w", "h").alias("bbox"), "area", "iscrowd")
-    left = images.groupBy("split").agg(F.sort_array(F.collect_list(image)).alias("images"))
-    right = annotations.groupBy("split").agg(F.sort_array(F.collect_list(note)).alias("annotations"))
     info = F.struct(F.lit(description).alias("description"), F.lit(seed).cast("bigint").alias("seed"), F.lit(policy).alias("split_policy"))
     kinds = F.array(*(F.struct(F.lit(i).alias("id"), F.lit(n).alias("name"), F.lit(s).alias("supercategory")) for i, n, s in CATEGORIES))
-    notes = F.coalesce("annotations", F.expr("array()").cast(right.schema["annotations"].dataType))
-    doc = F.struct(info.alias("info"), F.expr("cast(array() as array<string>)").alias("licenses"), kinds.alias("categories"), "images", notes.alias("annotations"))
-    return left.join(right, "split", "left").select("split", F.to_json(doc).alias("document"))
+    head = F.struct(info.alias("info"), F.expr("cast(array() as array<string>)").alias("licenses"), kinds.alias("categories"))
+
+    def lines(rows: DataFrame, id_: str, part: int, item: Column) -> DataFrame:
+        first = rows.groupBy("split").agg(F.min(id_).alias("_first"))
+        comma = F.when(F.col(id_) == F.col("_first"), "").otherwise(",")
+        return rows.join(F.broadcast(first), "split").select("split", F.lit(part).alias("part"), F.col(id_).cast("bigint").alias("id"), F.concat(comma, F.to_json(item)).alias("value"))  # as many rows as splits
+
+    splits = images.select("split").distinct()
+    between = [(0, F.concat(F.regexp_replace(F.to_json(head), r"\}$", ""), F.lit(',"images":['))), (2, F.lit('],"annotations":[')), (4, F.lit("]}"))]
+    out = lines(images, "image_id", 1, image).unionByName(lines(annotations, "annotation_id", 3, note))
+    for part, text in between:
+        out = out.unionByName(splits.select("split", F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("id"), text.alias("value")))
+    return out
 
 
 def write_coco_json(images: DataFrame, annotations: DataFrame, path: str, **info) -> None:
-    """One document per split below split=<name>; refused where a split is too large for one row."""
-    largest = annotations.groupBy("split").count().agg(F.max("count")).first()[0] or 0
-    if largest > MAX_DOCUMENT_ROWS:
-        raise ValueError(f"a split has {largest} annotations; write tables instead")
-    to_coco_struct(images, annotations, **info).write.mode("errorifexists").partitionBy("split").text(path)
+    """One document per split below split=<name>, streamed line by line into one file."""
+    lines = to_coco_struct(images, annotations, **info).repartition("split").sortWithinPartitions("split", "part", "id")
+    lines.select("split", "value").write.mode("errorifexists").partitionBy("split").text(path)
 
 
 def sorted_reports(report: DataFrame, *keys: str) -> DataFrame:

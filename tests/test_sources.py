@@ -93,6 +93,9 @@ def test_coco_round_trip(spark, tmp_path):
     assert [i["id"] for i in doc["annotations"]] == [1, 2] and doc["annotations"][1]["bbox"] == [1.0, 2.0, 3.0, 4.0] and doc["licenses"] == []
     back = labels.read_coco(spark, {"train": str(file)})
     assert back["annotations"].select("annotation_id", "x", "w").orderBy("annotation_id").collect() == [(1, 5.0, 2.0), (2, 1.0, 3.0)]
+    lines = labels.read_coco_lines(spark, out)
+    assert sorted(map(str, lines["annotations"].select(sorted(back["annotations"].columns)).collect())) == sorted(map(str, back["annotations"].select(sorted(back["annotations"].columns)).collect()))
+    assert sorted(map(str, lines["images"].select(back["images"].columns).collect())) == sorted(map(str, back["images"].collect()))
     assert back["images"].count() == 2 and audit.audit_issues(back["annotations"], back["images"], back["categories"]).count() == 0
     (tmp_path / "empty.json").write_text("{}")
     none = labels.read_coco(spark, {"test": str(tmp_path / "empty.json")})
@@ -125,6 +128,17 @@ def test_parameters(spark):
         labels.check_videos(videos).collect()
 
 
+def test_objects_at_any_depth(spark):
+    car = lambda x: f"<object><name>{x}</name><bndbox><xmin>110</xmin><ymin>110</ymin><xmax>150</xmax><ymax>140</ymax></bndbox></object>"
+    xml = f"<annotation><!-- {car('comment')} --><folder>f</folder><a><b>{car('car')}</b></a>{car('bus')}<objects>{car('van')}{car('tree')}</objects></annotation>"
+    df = spark.createDataFrame([(xml,), (xml[:-3],), ("<annotation/>",)], "xml string")
+    rows = labels.read_voc_xml_labels(df, keep=[])
+    assert [(r.object.name, r.object_no, r.folder) for r in rows.filter("object is not null").collect()] == [("car", 0, "f"), ("bus", 1, "f"), ("van", 2, "f"), ("tree", 3, "f")]
+    assert rows.filter("bad_xml").count() == 1 and rows.count() == 6
+    plan = an.voc_boxes(rows.filter(~F.col("bad_xml"))).select("status", "converted", "box.*")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") + plan.count("xmltostructs") <= 2  # the document, and its objects
+
+
 def test_bndbox_corners_in_the_wrong_order(spark):
     xml = "<annotation><object><name>car</name><bndbox><xmin>150</xmin><ymin>110</ymin><xmax>110</xmax><ymax>140</ymax></bndbox></object></annotation>"
     rows = an.voc_boxes(labels.read_voc_xml_labels(spark.createDataFrame([(xml,)], "xml string"), keep=[])).first()
