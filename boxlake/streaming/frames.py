@@ -1,7 +1,10 @@
 """Streams of frames: speeds, status, suppression and linking with keyed state.
 
 Frames of a key arrive in order between micro-batches; within one, rows are sorted. A row whose frame isn't after the last one seen
-is late and dropped.
+is late: it changes no state and comes out marked `late`, without results, so that late rows can be counted.
+
+Without `lateness` state stays for good. With it (a delay such as "10 minutes" of the frames' own time, which all keys must share), Spark's watermark drops what
+is older and frees the state of a key that its rows can no longer reach.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -19,6 +23,25 @@ from boxlake.operators.detections import merge_full_and_slices
 from boxlake.operators.tracks import ALPHA, MIN_SAMPLES, SPEED_WINDOW, STATIONARY, Tracker, stale_frames, window_frames
 
 STATE = "state string"
+#: The time of frame 0 in seconds: a watermark begins at 0, and what isn't after it is dropped.
+FIRST = 86_400
+
+
+def _timed(rows: DataFrame, fps: float, lateness: str | None) -> DataFrame:
+    """rows with the time of their frame, under a watermark if there is one."""
+    if lateness is None:
+        return rows
+    return rows.withColumn("frame_time", F.timestamp_seconds(F.col("frame_number") / fps + FIRST)).withWatermark("frame_time", lateness)
+
+
+def _timeout(lateness: str | None) -> str:
+    return GroupStateTimeout.NoTimeout if lateness is None else GroupStateTimeout.EventTimeTimeout
+
+
+def _expire(state: GroupState, frame: float, fps: float, lateness: str | None) -> None:
+    """Free the state once the watermark has passed the frame."""
+    if lateness is not None:
+        state.setTimeoutTimestamp(max(int((frame / fps + FIRST) * 1000) + 1, state.getCurrentWatermarkMs() + 1))
 
 
 def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
@@ -31,21 +54,25 @@ def _slope(t: np.ndarray, v: np.ndarray) -> float:
     return float((d * (v - v.mean())).sum() / (d * d).sum())
 
 
-def speed_stream(rows: DataFrame, fps: float, speed_window: float = SPEED_WINDOW, stationary: float = STATIONARY) -> DataFrame:
-    """A stream of (video_id, tracker_id, frame_number, cx, cy) with raw_speed_px_s and speed_px_s.
+def speed_stream(rows: DataFrame, fps: float, speed_window: float = SPEED_WINDOW, stationary: float = STATIONARY, lateness: str | None = None) -> DataFrame:
+    """A stream of (video_id, tracker_id, frame_number, cx, cy) with raw_speed_px_s, speed_px_s and late.
 
     State per track: the trailing window's samples, the last frame and the last smoothed speed; all of it is dropped when
     the track was unseen for stale + 2 frames.
     """
     width, stale = window_frames(speed_window, fps), stale_frames(fps)
-    schema = "video_id bigint, tracker_id bigint, frame_number bigint, cx double, cy double, raw_speed_px_s double, speed_px_s double"
+    schema = "video_id bigint, tracker_id bigint, frame_number bigint, cx double, cy double, raw_speed_px_s double, speed_px_s double, late boolean"
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last, smooth, history = json.loads(state.get[0]) if state.exists else (None, None, [])
         out = []
         for f, x, y in _rows(batches, ["frame_number"])[["frame_number", "cx", "cy"]].itertuples(index=False):
             f = int(f)
             if last is not None and f <= last:
+                out.append((*key, f, float(x), float(y), None, None, True))
                 continue
             if last is not None and f - last >= stale + 2:
                 smooth, history = None, []
@@ -56,15 +83,19 @@ def speed_stream(rows: DataFrame, fps: float, speed_window: float = SPEED_WINDOW
                 raw = float(np.hypot(_slope(t / fps, xs), _slope(t / fps, ys)))
                 raw = 0.0 if raw < stationary else raw
                 smooth = raw if smooth is None else ALPHA * raw + (1 - ALPHA) * smooth
-            out.append((*key, f, float(x), float(y), raw, smooth if raw is not None else None))
+            out.append((*key, f, float(x), float(y), raw, smooth if raw is not None else None, False))
         state.update((json.dumps([last, smooth, history]),))
-        yield pd.DataFrame(out, columns=["video_id", "tracker_id", "frame_number", "cx", "cy", "raw_speed_px_s", "speed_px_s"]).astype({"raw_speed_px_s": float, "speed_px_s": float})
+        _expire(state, last + stale + 2, fps, lateness)
+        yield pd.DataFrame(out, columns=["video_id", "tracker_id", "frame_number", "cx", "cy", "raw_speed_px_s", "speed_px_s", "late"]).astype({"raw_speed_px_s": float, "speed_px_s": float})
 
-    return rows.groupBy("video_id", "tracker_id").applyInPandasWithState(update, schema, STATE, "append", GroupStateTimeout.NoTimeout)
+    return _timed(rows, fps, lateness).groupBy("video_id", "tracker_id").applyInPandasWithState(update, schema, STATE, "append", _timeout(lateness))
 
 
 def frame_status_stream(rows: DataFrame, calibrated: bool = False) -> DataFrame:
-    """A stream of tracks as (video_id, frame_number, active, unique_tracks, unit); state per video: the ids seen."""
+    """A stream of tracks as (video_id, frame_number, active, unique_tracks, unit, late); state per video: the ids seen.
+
+    A frame's rows arrive in one micro-batch; those that come later are a late row of their own, and their ids don't count.
+    """
     unit = "km/h" if calibrated else "px/s"
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -74,28 +105,36 @@ def frame_status_stream(rows: DataFrame, calibrated: bool = False) -> DataFrame:
             if last is None or f > last:
                 last = int(f)
                 seen |= {int(i) for i in ids if i >= 0}
-                out.append((key[0], last, len(ids), len(seen), unit))
+                out.append((key[0], last, len(ids), len(seen), unit, False))
+            else:
+                out.append((key[0], int(f), len(ids), len(seen), unit, True))
         state.update((json.dumps([last, sorted(seen)]),))
-        yield pd.DataFrame(out, columns=["video_id", "frame_number", "active", "unique_tracks", "unit"])
+        yield pd.DataFrame(out, columns=["video_id", "frame_number", "active", "unique_tracks", "unit", "late"])
 
-    schema = "video_id bigint, frame_number bigint, active bigint, unique_tracks bigint, unit string"
+    schema = "video_id bigint, frame_number bigint, active bigint, unique_tracks bigint, unit string, late boolean"
     return rows.groupBy("video_id").applyInPandasWithState(update, schema, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def link_tracks_stream(rows: DataFrame, fps: float = 30.0, **settings) -> DataFrame:
-    """A stream of detections with tracker_id; state per video: its tracks."""
-    names = ["video_id", "frame_number", "det_no", "x1", "y1", "x2", "y2", "confidence", "tracker_id"]
+def link_tracks_stream(rows: DataFrame, fps: float = 30.0, lateness: str | None = None, **settings) -> DataFrame:
+    """A stream of detections with tracker_id and late; state per video: its tracks. A video's state can go once no track of it can go on."""
+    names = ["video_id", "frame_number", "det_no", "x1", "y1", "x2", "y2", "confidence", "tracker_id", "late"]
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         tracker = Tracker(fps, **settings)
         if state.exists:
             tracker.load(state.get[0])
-        found = tracker.run(_rows(batches, ["frame_number", "det_no"]))
+        got = _rows(batches, ["frame_number", "det_no"])
+        late = got[got.frame_number <= tracker.frame].assign(tracker_id=-1, late=True) if tracker.frame is not None else got.iloc[:0].assign(tracker_id=-1, late=True)
+        found = tracker.run(got).assign(late=False)
         state.update((tracker.dump(),))
-        yield found[names]
+        _expire(state, tracker.frame + tracker.buffer + 1, fps, lateness)
+        yield pd.concat([found, late])[names] if len(late) else found[names]
 
-    schema = "video_id bigint, frame_number bigint, det_no bigint, x1 double, y1 double, x2 double, y2 double, confidence double, tracker_id bigint"
-    return rows.groupBy("video_id").applyInPandasWithState(update, schema, STATE, "append", GroupStateTimeout.NoTimeout)
+    schema = "video_id bigint, frame_number bigint, det_no bigint, x1 double, y1 double, x2 double, y2 double, confidence double, tracker_id bigint, late boolean"
+    return _timed(rows, fps, lateness).groupBy("video_id").applyInPandasWithState(update, schema, STATE, "append", _timeout(lateness))
 
 
 def nms_stream(rows: DataFrame, path: str, checkpoint: str, mode: str = "both") -> StreamingQuery:

@@ -249,3 +249,19 @@ def test_evaluation(spark):
     assert abs(ap["mar_500"] - (5 * 2 / 3 + 5 / 3) / 10) < 1e-9
     best = evaluate.f1_sweep(points).first()
     assert (best.confidence, best.precision) == (0.7, 0.5) and abs(best.f1 - 2 * 0.5 * 2 / 3 / (0.5 + 2 / 3)) < 1e-9
+
+
+def test_late_rows_are_marked_and_state_expires(spark, tmp_path):
+    schema = "video_id long, tracker_id long, frame_number long, cx double, cy double"
+    parts = [[(1, 1, f, 2.0 * f, 0.0) for f in range(10)], [(1, 1, 8, 0.0, 0.0), *((1, 1, f, 2.0 * f, 0.0) for f in range(10, 20))], [(1, 2, f, 1.0 * f, 0.0) for f in range(1000, 1010)], [(1, 2, f, 1.0 * f, 0.0) for f in range(2000, 2010)]]
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        query = frames.append_to(frames.speed_stream(stream, 10.0, lateness="5 seconds"), str(tmp_path / "out"), str(tmp_path / "log"))
+        query.awaitTermination()
+        held = query.lastProgress.stateOperators[0].numRowsTotal if query.lastProgress else None
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert [r.frame_number for r in got.filter("late").collect()] == [8] and got.filter("late and speed_px_s is not null").count() == 0
+    assert got.filter("not late").count() == 40
+    assert abs(got.filter("frame_number = 19").first().speed_px_s - 20) < 1e-6
+    assert held == 1  # the first track's state is gone
