@@ -10,7 +10,10 @@ revisits that refer to it. Smaller payloads are responses each.
 
 Payloads cross one shuffle, at writing, keyed by digest and id, which is as good as unique; digests with many records cross only as short
 rows. A null html is an empty payload; a null id sorts below all others and refers to the largest like them; rows that repeat an id and payload are records of their own and of the same type.
-A null url leaves its header field out, line breaks in one are removed. An empty table gives an empty archive. Other columns aren't read.
+A null url leaves its header field out, line breaks in one are removed. A very long payload is one value, as Spark's rows hold it. An empty table gives an empty
+archive. Other columns aren't read.
+
+`write` archives pages, for which it makes headers; `archive` takes records with headers of their own, as `import_files` reads them, and keeps both byte for byte.
 """
 
 from __future__ import annotations
@@ -71,11 +74,29 @@ def write(pages: DataFrame, path: str, id_: str = "page_id", url: str = "url", h
     typed = typed.withColumn("record_type", F.when(F.col("refers_to").isNotNull(), "revisit").otherwise("response"))
     typed.select("page_id", "sha256", _header().alias("header")).write.parquet(f"{path}/headers")
     keyed = rows.select("sha256", F.coalesce("page_id", F.lit(_LEAST)).alias("k"), "payload")
-    first = digests.select("sha256", F.coalesce("canonical", F.lit(_LEAST)).alias("k"))
+    _write_payloads(keyed, digests.select("sha256", F.coalesce("canonical", F.lit(_LEAST)).alias("k")), path)
+
+
+def _write_payloads(keyed: DataFrame, first: DataFrame, path: str) -> None:
+    """Each digest's payload once: of keyed (sha256, k, payload), a row with the k that first (sha256, k) names."""
     one = keyed.join(first, ["sha256", "k"]).withColumn("n", F.row_number().over(W.partitionBy("sha256", "k").orderBy(F.lit(1))))
     one.filter("n = 1").select("sha256", "payload").write.parquet(f"{path}/payloads")
 
 
+def archive(records: DataFrame, path: str) -> None:
+    """Write the archive of records (header_bytes, header, block), as of import_files(), to a new folder that all machines share."""
+    rows = records.select("header_bytes", "header", F.coalesce("block", F.lit(b"")).alias("payload"))
+    rows = rows.withColumns({"sha256": F.sha2("payload", 256), "k": F.xxhash64("header_bytes")})
+    narrow = stored(rows.select("sha256", "k", "header_bytes", "header"), f"{path}/headers")
+    _write_payloads(rows.select("sha256", "k", "payload"), narrow.groupBy("sha256").agg(F.min("k").alias("k")), path)
+
+
+def originals(spark: SparkSession, path: str) -> DataFrame:
+    """header_bytes, header and block of each record of archive(), byte for byte."""
+    found = payloads(spark, path).withColumnRenamed("payload", "block")
+    return spark.read.parquet(f"{path}/headers").join(found, "sha256", "left").select("header_bytes", "header", "block")
+
+
 def payloads(spark: SparkSession, path: str) -> DataFrame:
     """sha256 and payload of each distinct payload; reading a payload that doesn't match its digest fails."""
     rows = spark.read.parquet(f"{path}/payloads")
@@ -117,33 +138,62 @@ def export_files(spark: SparkSession, path: str, out: str, compression: str = "g
     text.write.option("lineSep", END).option("compression", compression).option("maxRecordsPerFile", FILE_RECORDS).text(out)
 
 
-def _parse(data: bytes) -> Iterator[tuple[str, bytes]]:
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at) + 4
-        header = data[at:stop].decode()
-        size = next(int(x[15:]) for x in header.split("\r\n") if x.lower().startswith("content-length:"))
-        yield header, data[stop : stop + size]
-        at = stop + size + 4
-
+def _members(data: bytes) -> Iterator[bytes]:
+    """The expanded members of a gzip file, of which there may be one for each record; other data as it is."""
+    import zlib
+
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    while data[:2] == b"\x1f\x8b":
+        z = zlib.decompressobj(31)
+        yield z.decompress(data)
+        data = z.unused_data
+
+
+def _parse(parts: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    """Header block and block of each record; a record without a length, or cut off, is an error that shows its header."""
+    held = b""
+    for part in parts:
+        held, at = (held + part).lstrip(b"\r\n"), 0
+        while (stop := held.find(b"\r\n\r\n", at)) >= 0:
+            header = held[at : stop + 4]
+            size = next((x[15:] for x in header.split(b"\r\n") if x[:15].lower() == b"content-length:"), b"").strip()
+            if not size.isdigit():
+                raise ValueError(f"a record without a length: {header[:200]!r}")
+            end = stop + 4 + int(size)
+            if end > len(held):
+                break
+            yield header, held[stop + 4 : end]
+            at = end
+            while held[at : at + 1] in (b"\r", b"\n"):  # a record ends with two line breaks
+                at += 1
+        held = held[at:]
+    if held.strip():
+        raise ValueError(f"a record that is cut off: {held[:200]!r}")
+
+
+def import_files(spark: SparkSession, path: str, rows: int = 256) -> DataFrame:
+    """header_bytes, header (as text, for fields) and block of each record of the WARC files of a folder.
+
+    A file is read whole but expanded a member at a time, and its records leave in small batches.
+    """
 
-def import_files(spark: SparkSession, path: str) -> DataFrame:
-    """header and block of each record of the WARC files of a folder; a file is read whole, so files are kept small."""
+    def batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        heads = [h for h, _ in pairs]
+        return pa.RecordBatch.from_arrays([pa.array(heads, pa.binary()), pa.array([h.decode("utf-8", "replace") for h in heads], pa.string()), pa.array([p for _, p in pairs], pa.binary())], ["header_bytes", "header", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
-
         for b in batches:
             for data in b.column(0).to_pylist():
-                if data[:2] == b"\x1f\x8b":
-                    parts = []
-                    while data:  # members of a gzip file, of which there may be one for each record
-                        z = zlib.decompressobj(31)
-                        parts.append(z.decompress(data))
-                        data = z.unused_data
-                    data = b"".join(parts)
-                pairs = list(_parse(data))
-                yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in pairs], pa.string()), pa.array([p for _, p in pairs], pa.binary())], ["header", "block"])
+                pairs: list[tuple[bytes, bytes]] = []
+                for pair in _parse(_members(data)):
+                    pairs.append(pair)
+                    if len(pairs) >= rows:
+                        yield batch(pairs)
+                        pairs = []
+                if pairs:
+                    yield batch(pairs)
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(run, "header string, block binary")
+    return files.mapInArrow(run, "header_bytes binary, header string, block binary")

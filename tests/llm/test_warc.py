@@ -56,3 +56,29 @@ def test_damaged_payload_fails(spark):
     spark.createDataFrame([("0" * 64, bytearray(b"x"))], "sha256 string, payload binary").write.mode("append").parquet(f"{path}/payloads")
     with pytest.raises(Exception, match="differs from its digest"):
         warc.payloads(spark, path).collect()
+
+
+def warc_bytes(records):
+    return [h + b + b"\r\n\r\n" for h, b in records]
+
+
+def test_foreign_records_are_restored_byte_for_byte(spark, tmp_path):
+    import gzip
+
+    head = lambda n, x=b"": b"WARC/1.0\r\nwarc-type: resource\r\nX-Odd: \xff\xfe " + x + b"\r\nContent-length:  %d\r\n\r\n" % n
+    blocks = [b"", b"\r\n\r\nWARC/1.0\r\n\r\n", b"\0\x80" * 900, b"\0\x80" * 900, b"plain"]
+    records = [(head(len(b), str(i).encode()), b) for i, b in enumerate(blocks)] + [(head(5), b"plain")] * 2
+    (tmp_path / "a.warc").write_bytes(b"".join(warc_bytes(records[:3])))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in warc_bytes(records[3:])))
+    path = scratch_dir(spark)
+    warc.archive(warc.import_files(spark, str(tmp_path), rows=2), path)
+    back = warc.originals(spark, path)
+    assert sorted((bytes(x.header_bytes), bytes(x.block)) for x in back.collect()) == sorted(records)
+    assert warc.payloads(spark, path).count() == len(set(blocks))
+    assert back.select(warc.field("X-Odd").alias("f")).filter("f is not null").count() == len(records)
+
+
+@pytest.mark.parametrize("data, said", [(b"WARC/1.0\r\nA: b\r\n\r\nbody", "without a length"), (b"WARC/1.0\r\nContent-Length: 9\r\n\r\nbody", "cut off"), (b"no record", "cut off")])
+def test_damaged_files_say_what_is_wrong(data, said):
+    with pytest.raises(ValueError, match=said):
+        list(warc._parse(iter([data])))
