@@ -7,12 +7,13 @@ Words that cannot lie in a window are skipped exactly: a window of w words lies
 word pairs, and only such runs are streamed.
 
 The items are broadcast in passes of at most ``PASS_BYTES`` of text; a larger set takes several passes over the
-documents, each written to the shared folder. Within a pass an automaton holds at most ``BLOCK_BYTES``. A worker builds
+documents. A pass writes a row for each text that is hit, its digest, spans and items, and no text; the documents meet the hits of all passes
+by the digest, in one join. Within a pass an automaton holds at most ``BLOCK_BYTES``. A worker builds
 the automata of a pass once; where there are several, each is packed into flat arrays (about 20 bytes for a byte of text)
 before the next one is built.
 
-Nulls: a null text has no words; a null item id counts as the empty id. Repeated item ids count once. Empty tables
-give empty results. Only the id and text columns are read, so other columns can have any name.
+Nulls: a null text has no words; a null item id counts as the empty id. Repeated item ids count once, repeated documents each for itself. A very long text is one
+array of word numbers. Empty tables give empty results. Only the id and text columns are read, so other columns can have any name.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from boxlake.llm.common import ASCII_LOWER, as_bytes, free_name, stored
+from boxlake.llm.common import ASCII_LOWER, as_bytes, free_name, stored, text_key
 
 WINDOW = 10
 PASS_BYTES = 16 << 20
@@ -37,6 +39,8 @@ _WORD_BYTES = frozenset([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x
 _TO_WORDS = bytes(ASCII_LOWER[c] if ASCII_LOWER[c] in _WORD_BYTES else 32 for c in range(256))
 _WORD_AT = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _FILTER = 1 << 22
+#: The word pattern in Java, whose characters are code points and not bytes.
+_JAVA_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -219,27 +223,44 @@ _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
 _NO_SPANS = "cast(array() as array<struct<first:bigint,stop:bigint>>)"
 
 
-def _pass(docs: DataFrame, text: int, shared, window: int) -> DataFrame:
-    """docs: any columns, then words, spans and items so far; text: the place of the text column."""
+def _pass(docs: DataFrame, text: int, shared, window: int, only_hits: bool) -> DataFrame:
+    """docs with words, spans and items; text: the place of the text column. only_hits: rows without a hit go, and so does the text."""
+    width = len(docs.columns)
+    kept = [i for i in range(width) if not (only_hits and i == text)]
+    new = [free_name(c, docs.columns) for c in ("n_words", "spans", "items")]
+    kinds = [T.LongType(), T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("stop", T.LongType())])), T.ArrayType(T.StringType())]
+    schema = T.StructType([*(docs.schema.fields[i] for i in kept), *(T.StructField(k, t) for k, t in zip(new, kinds, strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automata = _automata(shared.value, window)
         for b in batches:
-            texts = as_bytes(b.column(text)).to_pylist()
-            spans, items = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist()
-            counts = [0] * len(texts)
-            for i, t in enumerate(texts):
+            counts, spans, items = [], [], []
+            for t in as_bytes(b.column(text)).to_pylist():
                 ws = words(t)
-                counts[i] = len(ws)
+                hits, names = [], set()
                 for auto in automata:
                     hit, found = auto.scan(ws)
-                    if found:
-                        spans[i] = [{"first": x, "stop": y} for x, y in merged(hit + [(s["first"], s["stop"]) for s in spans[i]])]
-                        items[i] = sorted({*items[i], *found})
-            new = [pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-3], *new], b.schema.names)
+                    hits += hit
+                    names |= found
+                counts.append(len(ws))
+                spans.append([{"first": x, "stop": y} for x, y in merged(hits)])
+                items.append(sorted(names))
+            out = pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))], schema.names)
+            yield out.filter(pa.array([bool(x) for x in items], pa.bool_())) if only_hits else out
+
+    return docs.mapInArrow(run, schema)
+
 
-    return docs.mapInArrow(run, docs.schema)
+def _merged_hits(hits: DataFrame) -> DataFrame:
+    """One row per key of hits (key, spans, items): all its items, and its spans as disjoint ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            spans = [[{"first": x, "stop": y} for x, y in merged([(s["first"], s["stop"]) for s in row])] for row in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, _SPANS), b.column(2)], ["key", "spans", "items"])
+
+    found = hits.groupBy("key").agg(F.flatten(F.collect_set("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    return found.mapInArrow(run, found.schema)
 
 
 def annotate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, list[str]]:
@@ -251,21 +272,31 @@ def annotate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[D
     size = item.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     passes = 1 + size // PASS_BYTES
     new = [free_name(c, docs.columns) for c in ("n_words", "spans", "items")]
-    state = docs.withColumns({new[0]: F.lit(0).cast("bigint"), new[1]: F.expr(_NO_SPANS), new[2]: F.expr("cast(array() as array<string>)")})
-    for n in range(passes):
-        rows = (item.filter(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == n) if passes > 1 else item).collect()
+
+    def scanned(n: int, rows: DataFrame, only_hits: bool) -> DataFrame:
+        mine = (item.filter(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == n) if passes > 1 else item).collect()
         blocks: list[list] = [[]]
         room = BLOCK_BYTES
-        for k, t in sorted((r.k, bytes(r.t or b"")) for r in rows):
+        for k, t in sorted((r.k, bytes(r.t or b"")) for r in mine):
             if room < len(t) and blocks[-1]:
                 blocks.append([])
                 room = BLOCK_BYTES
             room -= len(t)
             blocks[-1].append((k, words(t)))
-        state = _pass(state, docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(blocks), window)
-        if passes > 1:
-            state = stored(state)
-    return state, new
+        return _pass(rows, rows.columns.index("text"), rows.sparkSession.sparkContext.broadcast(blocks), window, only_hits)
+
+    if passes == 1:
+        return scanned(0, docs, False), new
+    hits = None
+    for n in range(passes):
+        one = stored(scanned(n, docs.select(text_key("text").alias("key"), "text"), True).select("key", "spans", "items").dropDuplicates(["key"]))
+        hits = one if hits is None else hits.unionByName(one)
+    hits = stored(_merged_hits(hits))
+    key, found = (free_name(c, [*docs.columns, *new]) for c in ("text_key", "found_key"))
+    met = docs.withColumn(key, text_key("text")).join(hits.toDF(found, *new[1:]).hint("merge"), F.col(key) == F.col(found), "left")
+    n_words = F.coalesce(F.regexp_count("text", F.lit(_JAVA_WORD)), F.lit(0)).cast("bigint")
+    none = [F.coalesce(new[1], F.expr(_NO_SPANS)).alias(new[1]), F.coalesce(new[2], F.expr("cast(array() as array<string>)")).alias(new[2])]
+    return met.select(*docs.columns, n_words.alias(new[0]), *none), new
 
 
 def _hits(spans: str):
@@ -286,17 +317,18 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.0, min_span: int = 1) -> DataFrame:
-    """docs without the benchmark's passages; the columns stay.
+def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage: float = 0.0, min_span: int = 1, length: str | None = "n_chars") -> DataFrame:
+    """docs without the benchmark's passages; the columns stay. The column `length`, where there is one, becomes the new number of characters of a text that is cut.
 
     A document whose hit words exceed max_coverage of its words is dropped (0: any hit drops it). From the others,
     hit spans of at least min_span words are cut.
     """
     place, width = docs.columns.index("text"), len(docs.columns)
+    n = docs.columns.index(length) if length in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = as_bytes(b.column(place)).to_pylist()
+            texts, sizes = as_bytes(b.column(place)).to_pylist(), {}
             for i, spans in enumerate(b.column(width + 1).to_pylist()):
                 cut = [(s["first"], s["stop"]) for s in spans if s["stop"] - s["first"] >= min_span]
                 if cut:
@@ -305,7 +337,10 @@ def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_coverage:
                         out.append(texts[i][last : at[first][0]])
                         last = at[stop - 1][1]
                     texts[i] = b"".join([*out, texts[i][last:]])
+                    sizes[i] = len(texts[i].decode())
             columns = b.columns[:width]
+            if n is not None and sizes:
+                columns[n] = pa.array([sizes.get(i, x) for i, x in enumerate(columns[n].to_pylist())], columns[n].type)
             columns[place] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:width])
 

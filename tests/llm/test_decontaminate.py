@@ -81,3 +81,14 @@ def test_packed_automaton_equals_unpacked(window):
     for _ in range(200):
         ws = say(r.choice([0, 1, 9, 40]))
         assert packed.scan(ws) == plain.scan(ws)
+
+
+def test_passes_over_edge_rows(spark, monkeypatch):
+    items = [(i, prose(100 + i, 12)) for i in range(30)] + [(40, None), (41, "ünï cödé")]
+    rows = [*EDGE, (None, prose(103, 12), "en", "s"), (60, prose(104, 12).upper() + " ÜNÏ x ünï Cödé 𝕏a b", None, "s"), (60, prose(1, 9) + " " + prose(105, 12) + " " + prose(2, 30), "en", "s")]
+    monkeypatch.setattr(decontaminate, "PASS_BYTES", 300)
+    got = decontaminate.report(docs(spark, rows), item_frame(spark, items)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, *brute(t, items)) for i, t, *_ in rows), key=str)
+    cut = decontaminate.clean(docs(spark, rows), item_frame(spark, items), max_coverage=0.9)
+    assert cut.count() == len(EDGE) + 2 and all(x.n_chars == len(x.text) for x in cut.filter("text is not null").collect())
+    assert decontaminate.clean(docs(spark, rows), item_frame(spark, items)).count() == len(EDGE)
