@@ -4,12 +4,14 @@ Messages are parsed into their own words and quoted passages with nested levels
 code fences are own words). Passages, their paragraphs and lines are normalised (NFKC, case folded, white space collapsed) and hashed; so
 are the own words of every message: the whole, its paragraphs and lines. A passage's hash is joined, within its
 conversation, to the earliest message whose own words have it. A message replies to the message that holds most
-of its outermost quoted characters (ties: the latest), or else of the next level that links. Reply paths are found by pointer doubling, and a
-message's place is its path of turns, so that a conversation sorted by path is in reply order: each message comes after the one it answers.
+of its outermost quoted characters (ties: the latest), or else of the next level that links. The first message of a message's thread and its depth below it are
+found by pointer doubling, with a few numbers a message however long the thread. As a message only answers earlier ones, a conversation sorted by thread and turn is in
+reply order: threads are whole, and each message comes after the one it answers.
 
 Each key of a conversation has one original, so the join can't grow with the square of a group; a conversation of any size is spread over
 tasks by its keys. Rows that repeat a turn share its links. A message with a null conv_id or turn, or without linked quotes, begins a thread of its
-own; a null text is empty. An empty table gives an empty table. Only conv_id, turn, role and text are read.
+own; a null text is empty. A very long message is parsed line by line in one task. An empty table gives an empty table. Only conv_id, turn, role and text are read, so
+other columns can have any name.
 """
 
 from __future__ import annotations
@@ -110,33 +112,34 @@ def replies(rows: DataFrame) -> DataFrame:
     return best.groupBy("conv_id", "turn").agg(F.min_by(F.col("b.origin"), "level").alias("reply_to"), F.sum(F.size("passages")).cast("int").alias("n_linked"))
 
 
-def paths(links: DataFrame) -> DataFrame:
-    """(conv_id, turn, path): turns from the thread's first message to this one; links: replies(), stored."""
+def threads(links: DataFrame) -> DataFrame:
+    """(conv_id, turn, thread, depth): the first turn of each reply's thread, and the replies between; links: replies(), stored."""
     ends = links.select("conv_id", F.col("reply_to").alias("turn")).join(links, ["conv_id", "turn"], "left_anti").distinct()
-    up = links.select("conv_id", "turn", F.col("reply_to").alias("up"), F.array("turn").alias("path"))
-    nodes = stored(up.unionByName(ends.select("conv_id", "turn", F.lit(None).cast("bigint").alias("up"), F.array("turn").alias("path"))))
+    ends = ends.select("conv_id", "turn", F.lit(None).cast("bigint").alias("up"), F.col("turn").alias("thread"), F.lit(0).alias("depth"))
+    nodes = stored(links.select("conv_id", "turn", F.col("reply_to").alias("up"), F.col("reply_to").alias("thread"), F.lit(1).alias("depth")).unionByName(ends))
     while not nodes.filter("up is not null").isEmpty():
-        above = nodes.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("path").alias("before"))
-        open_ = nodes.filter("up is not null").join(above, ["conv_id", "up"]).select("conv_id", "turn", F.col("next").alias("up"), F.concat("before", "path").alias("path"))
+        above = nodes.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("thread").alias("first"), F.col("depth").alias("more"))
+        open_ = nodes.filter("up is not null").join(above, ["conv_id", "up"])
+        open_ = open_.select("conv_id", "turn", F.col("next").alias("up"), F.col("first").alias("thread"), (F.col("depth") + F.col("more")).alias("depth"))
         nodes = stored(nodes.filter("up is null").unionByName(open_))
-    return nodes.select("conv_id", "turn", "path")
+    return nodes.select("conv_id", "turn", "thread", "depth")
 
 
 def conversations(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, body, reply_to, path, depth, n_quotes, n_linked for each row of messages.
+    """conv_id, turn, role, body, reply_to, thread, depth, n_quotes, n_linked for each row of messages.
 
-    Sorted by (conv_id, path), the bodies are the reply-ordered conversation without quotes.
+    Sorted by (conv_id, thread, turn), the bodies are the reply-ordered conversation without quotes.
     """
     rows = stored(parsed(messages))
     links = stored(replies(rows))
-    placed = stored(links.join(paths(links), ["conv_id", "turn"]))
+    placed = stored(links.join(threads(links), ["conv_id", "turn"]))
     out = rows.select("conv_id", "turn", "role", "body", "n_quotes").join(placed, ["conv_id", "turn"], "left")
-    path = F.coalesce("path", F.array("turn"))
-    return out.select("conv_id", "turn", "role", "body", "reply_to", path.alias("path"), (F.size(path) - 1).alias("depth"), "n_quotes", F.coalesce("n_linked", F.lit(0)).alias("n_linked"))
+    own = {"thread": F.coalesce("thread", "turn"), "depth": F.coalesce("depth", F.lit(0)), "n_linked": F.coalesce("n_linked", F.lit(0))}
+    return out.withColumns(own).select("conv_id", "turn", "role", "body", "reply_to", "thread", "depth", "n_quotes", "n_linked")
 
 
 def chat(messages: DataFrame) -> DataFrame:
     """conversations() as chat text, range-partitioned and sorted into reply order."""
-    rows = conversations(messages).repartitionByRange("conv_id", "path").sortWithinPartitions("conv_id", "path")
+    rows = conversations(messages).repartitionByRange("conv_id", "thread", "turn").sortWithinPartitions("conv_id", "thread", "turn")
     role = F.coalesce("role", F.lit("user"))
     return rows.withColumn("chat", F.concat(F.lit("<|"), role, F.lit("|>\n"), "body"))

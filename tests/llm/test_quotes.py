@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 from boxlake.llm import quotes
 
@@ -8,17 +9,52 @@ def frame(spark, rows):
 
 
 def as_tuples(df):
-    return sorted(((x.conv_id, x.turn, x.body, x.reply_to, tuple(x.path), x.n_linked) for x in df.collect()), key=str)
+    return sorted(((x.conv_id, x.turn, x.body, x.reply_to, x.thread, x.depth, x.n_linked) for x in df.collect()), key=str)
+
+
+def plain_parse(text):
+    """Own words and passages (level, lines), by walking over characters."""
+    own, passages, fence, level = [], [], False, 0
+    for line in (text or "").split("\n"):
+        at = n = end = 0
+        while not fence:
+            while at < len(line) and line[at] in " \t":
+                at += 1
+            if at == len(line) or line[at] != ">":
+                break
+            at, n = at + 1, n + 1
+            end = at + (line[at : at + 1] == " ")
+        if not n:
+            if line.lstrip(" \t")[:3] in ("```", "~~~"):
+                fence = not fence
+            own.append(line)
+        else:
+            if n != level:
+                passages.append((n, []))
+                last = own[-1].rstrip(" \t") if own and not level else ""
+                if last.endswith(":") and (last.startswith("On ") and last[:-1].rstrip(" \t").endswith(" wrote")):
+                    own.pop()
+            passages[-1][1].append(line[end:])
+        level = n
+    return "\n".join(own).strip(), passages
+
+
+def plain_parts(lines):
+    """The passage, its paragraphs and its lines by their normalised text itself, with its size."""
+    same = lambda x: " ".join(unicodedata.normalize("NFKC", x).casefold().split())
+    blocks = "\n".join(x if x.strip() else "" for x in lines).split("\n\n")
+    out = {same("\n".join(lines))} | {same(x) for x in blocks} | {same(x) for x in lines}
+    return {x: len(x) for x in out if x}
 
 
 def brute(rows):
     """Earliest earlier message with the passage, its paragraph or line; most characters win."""
     own, said = {}, []
     for c, t, _, text in rows:
-        body, passages = quotes.parse(text)
+        body, passages = plain_parse(text)
         said.append((c, t, body, passages))
         if t is not None and c is not None:
-            for k in quotes.parts(body.split("\n")):
+            for k in plain_parts(body.split("\n")):
                 own[c, k] = min(own.get((c, k), t), t)
     parent, linked = {}, {}
     for c, t, _, _ in said:
@@ -28,7 +64,7 @@ def brute(rows):
                 continue
             seen = set()
             for i, (level, lines) in enumerate(passages):
-                for k, size in quotes.parts(lines).items():
+                for k, size in plain_parts(lines).items():
                     o = own.get((c, k))
                     if o is not None and o < t and (level, i, k) not in seen:
                         seen.add((level, i, k))
@@ -40,11 +76,10 @@ def brute(rows):
             linked[c, t] = sum(map(len, hit.values()))
     out = []
     for c, t, body, _ in said:
-        path, at = [t], t
+        at, depth = t, 0
         while (c, at) in parent:
-            at = parent[c, at]
-            path.insert(0, at)
-        out.append((c, t, body, parent.get((c, t)), tuple(path), linked.get((c, t), 0)))
+            at, depth = parent[c, at], depth + 1
+        out.append((c, t, body, parent.get((c, t)), at, depth, linked.get((c, t), 0)))
     return sorted(out, key=str)
 
 
@@ -68,10 +103,10 @@ def test_thread(spark):
     assert as_tuples(got) == brute(THREAD)
     by = {(x.conv_id, x.turn): x for x in got.collect()}
     assert by[1, 1].body == "Reply one." and by[1, 1].reply_to == 0
-    assert by[1, 2].reply_to == 1 and list(by[1, 2].path) == [0, 1, 2] and by[1, 2].n_quotes == 2
+    assert by[1, 2].reply_to == 1 and (by[1, 2].thread, by[1, 2].depth) == (0, 2) and by[1, 2].n_quotes == 2
     assert by[1, 3].reply_to == 0 and by[1, 4].reply_to is None
     text = quotes.chat(frame(spark, THREAD).filter("conv_id = 1")).select("turn").collect()
-    assert [x.turn for x in text] == [0, 1, 2, 5, 3, 4]
+    assert [x.turn for x in text] == [0, 1, 2, 3, 5, 4]
 
 
 def test_random_threads_match_brute_force(spark):
@@ -95,3 +130,27 @@ def test_long_chain_and_empty(spark):
     got = {x.turn: x.depth for x in quotes.conversations(frame(spark, rows)).collect()}
     assert got == {i: i for i in range(40)}
     assert quotes.conversations(frame(spark, [])).count() == 0
+
+
+def test_table_with_quotes_made_of_its_own_messages(spark):
+    """The given table, each odd turn with the turn before quoted above it: every such quote links to the earliest message that says it."""
+    import os
+
+    import pytest
+
+    path = "/root/testdata/sf0.001/conversations.parquet"
+    if not os.path.exists(path):
+        pytest.skip("needs the test tables")
+    rows = [tuple(x) for x in spark.read.parquet(path).select("conv_id", "turn", "role", "text").collect()]
+    said = {(c, t): x for c, t, _, x in rows}
+    quoted = [(c, t, r, "\n".join("> " + y for y in said[c, t - 1].split("\n")) + "\n" + (x or "")) if t % 2 and said.get((c, t - 1)) else (c, t, r, x) for c, t, r, x in rows]
+    got = quotes.conversations(frame(spark, quoted))
+    assert as_tuples(got) == brute_by_conversation(quoted)
+    assert got.filter("reply_to is not null").count() > 30
+
+
+def brute_by_conversation(rows):
+    by = {}
+    for x in rows:
+        by.setdefault(x[0], []).append(x)
+    return sorted((y for part in by.values() for y in brute(part)), key=str)
