@@ -23,9 +23,28 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base}/boxlake-{uuid.uuid4().hex}"
 
 
+#: Tables of this process that discard() hasn't removed.
+_tables: list[str] = []
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = path or scratch_dir(spark)
     df.write.parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tables() -> list[str]:
+    """Paths of what stored() has written and discard() hasn't removed, oldest first."""
+    return list(_tables)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that no DataFrame in use reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        if path in _tables:
+            _tables.remove(path)
