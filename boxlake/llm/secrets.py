@@ -37,8 +37,8 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{5,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]+")
 _PEM = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,60})-----")
 _ESCAPE = re.compile(r"\\+[nr]")
-#: Where base64 of DER or of an OpenSSH key can start, its characters, and what can stand between two lines of it.
-_START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=[/+_-]))(?:M[A-P]|b3BlbnNzaC1rZXktdjE)")
+#: Where base64 of DER or of an OpenSSH key can start (not after a letter or digit), its characters, and what can stand between two lines of it.
+_DER_START, _SSH_START = re.compile("M[A-P]"), re.compile("b3BlbnNzaC1rZXktdjE")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 _BETWEEN = re.compile(r"""(?:["']\s*\+\s*["']|[\s"',.&>#*;|\\])+""")
 _URL_SAFE = str.maketrans("-_", "+/")
@@ -176,7 +176,8 @@ def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
     Only what begins like a key, up to its version or its algorithm's identifier, is read further.
     """
     out, stop = [], 0
-    for m in _START.finditer(text):
+    starts = (m for p in (_DER_START, _SSH_START) for m in p.finditer(text))
+    for m in sorted((m for m in starts if not (text[m.start() - 1 : m.start()].isascii() and text[m.start() - 1 : m.start()].isalnum())), key=lambda m: m.start()):
         if m.start() < stop:
             continue
         ssh = m[0][0] == "b"
