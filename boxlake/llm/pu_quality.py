@@ -158,14 +158,16 @@ def learn(rows: DataFrame, labels: DataFrame) -> tuple[tuple | None, float]:
     training = rows.filter(fold("doc_id", FOLDS) != HELD_OUT)
     positive = stored(training.join(known.filter("quality = 1").select("doc_id"), "doc_id", "left_semi").select("x", F.lit(True).alias("positive")))
     unlabelled = training.select("x", F.lit(False).alias("positive"))
-    if positive.isEmpty():
+    n_positive = positive.count()
+    if not n_positive:
         return None, prior
     moments = summed(unlabelled, lambda x, _: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]), 2 * WIDTH + 1)
     mean = moments[1 : WIDTH + 1] / moments[0]
     scale = np.sqrt(np.maximum(moments[WIDTH + 1 :] / moments[0] - mean * mean, 0)) + 1e-9
     both = unlabelled.unionByName(positive)
     sums = lambda w: summed(both, lambda x, p: risk_sums(expanded((x - mean) / scale), p, w), 4 + 3 * WEIGHTS + WEIGHTS**2)
-    return (mean, scale, minimised(sums, prior)), prior
+    # a ridge that weighs as much as one positive row
+    return (mean, scale, minimised(sums, prior, decay=1 / n_positive)), prior
 
 
 def score(rows: DataFrame, model: tuple[tuple | None, float]) -> DataFrame:

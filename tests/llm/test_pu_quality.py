@@ -88,7 +88,7 @@ def test_scores_match_a_model_without_spark(spark):
     mean, scale = x[training].mean(0), x[training].std(0) + 1e-9
     e = pu_quality.expanded((x - mean) / scale)
     both, positive = np.vstack([e[training], e[good]]), np.r_[np.zeros(training.sum(), bool), np.ones(good.sum(), bool)]
-    w = pu_quality.minimised(lambda w: pu_quality.risk_sums(both, positive, w), prior)
+    w = pu_quality.minimised(lambda w: pu_quality.risk_sums(both, positive, w), prior, decay=1 / good.sum())
     want = sorted(((i, round(float(s), 5)) for (i, *_), s in zip(rows, 1 / (1 + np.exp(-np.clip(e @ w, -30, 30))), strict=True)), key=str)
     got = pu_quality.classify(docs(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
     for a, b in zip(sorted(((y.doc_id, round(y.score, 5)) for y in got), key=str), want, strict=True):
