@@ -2,8 +2,8 @@
 
 Counts of n-grams (1 to 3 code points of the lower-cased text, hashed into ``BUCKETS``) are summed over every
 training row by Spark; the matrix of log-probabilities, one row of buckets for each language, is broadcast in blocks of
-``BLOCK`` languages (8 MB each). A batch of texts is scored in numpy as one sparse product: row offsets, buckets and counts of
-the batch against a block. A text passes through all blocks, which carry the best language so far and the sum of the
+``BLOCK`` languages (8 MB each). Texts are scored in numpy by sparse products: row offsets, buckets and counts of up to
+``_TEXTS`` texts against a block, so the counts a task holds don't grow with its batches. A text passes through all blocks, which carry the best language so far and the sum of the
 others, so any number of languages gives the result of one whole matrix.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if nothing can be learned. Ties go to the
@@ -30,8 +30,8 @@ SMOOTHING = 0.1
 UNKNOWN = "und"
 _SHIFT = np.uint32(32 - 13)
 _STEP = 1 << 20
-#: Entries of a sparse product that are held at once.
-_ENTRIES = 1 << 22
+#: Texts of one sparse matrix, and entries of a product, that are held at once.
+_TEXTS, _ENTRIES = 256, 1 << 20
 _M = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
 
@@ -79,6 +79,11 @@ def sparse_product(offsets: np.ndarray, buckets: np.ndarray, counts: np.ndarray,
     return out
 
 
+def batch_scores(texts: list[str], weight: np.ndarray) -> np.ndarray:
+    """(texts, languages): log-probabilities; weight: (buckets and the log-prior, languages)."""
+    return sparse_product(*batch_counts(texts), weight[:BUCKETS]) + weight[BUCKETS]
+
+
 #: Languages and their (language, bucket) log-probabilities, with the log-prior in a last column, by blocks in the order of languages.
 Model = list[tuple[list[str], np.ndarray]]
 
@@ -145,7 +150,8 @@ def _scorer(shared, place: int, width: int, names: list[str]):
             at = [i for i, t in enumerate(texts) if has_letter(t)]
             pred, best, rest = (b.column(width + k).to_pylist() for k in range(3))
             if at:
-                x = sparse_product(*batch_counts([texts[i] for i in at]), weight[:BUCKETS]) + weight[BUCKETS]
+                parts = [batch_scores([texts[i] for i in at[j : j + _TEXTS]], weight) for j in range(0, len(at), _TEXTS)]
+                x = np.concatenate(parts)
                 top = x.argmax(1)
                 high = x[np.arange(len(at)), top]
                 mass = np.exp(x - high[:, None]).sum(1)

@@ -91,6 +91,7 @@ def test_scores_match_exact_dictionaries_at_every_block(spark, monkeypatch, bloc
     r = random.Random(2)
     monkeypatch.setattr(langid, "BLOCK", block)
     monkeypatch.setattr(langid, "_ENTRIES", 1 << 12)
+    monkeypatch.setattr(langid, "_TEXTS", 7)
     made = [(i, prose(i, r.randint(1, 12), r.choice([DE, FR, ("a", "ab", "ba")])), r.choice(["de", "fr", "xx", "yy", "zz", None]), "s") for i in range(80)]
     made += [(7, prose(3, 5, DE), "de", "s"), (7, prose(3, 5, DE), "de", "s"), (None, "über", "fr", "s"), (81, "", "de", "s"), (82, "12", "fr", "s"), (83, None, "de", "s")]
     want = brute(made, lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 4 != 2)
