@@ -1,11 +1,12 @@
 """Token counts of a public tokenizer, with overlap resynchronisation for huge documents.
 
-A document of more than ``HUGE`` characters is encoded in chunks that overlap. The tokens of both encodings of an overlap are
-compared by their offsets in the text. A place is a proven stable boundary if the same token (id and offsets) begins there in both and
-either white space stands before it, which no token and no rule of the splitter crosses, or a letter meets another kind of character there,
-where the splitter always cuts, the tokens before it are equal too, and no special token can reach over a chunk's end. The left chunk counts up to the boundary, the right one from it. If an
-overlap has none, it is doubled, up to the whole chunk, and then the chunks are joined; a text without any boundary is encoded whole, as the library
-would. So memory is bounded by the chunk unless the text is one unbroken run.
+A document of more than ``HUGE`` characters is encoded in chunks that overlap. A place in an overlap is a proven stable boundary if in both encodings a
+piece of the splitter ends before it and another begins at it: the token before it carries the end-of-word mark that the tokenizer gives to the last token of each piece
+(or is an added token), and no token's span lies across it. A piece that ends before a chunk's end ends there in the whole text too, as
+nothing after its next character decides it; so from such a place on, both encodings and the library's agree, whatever the number of tokens of a character. Within ``MARGIN`` of
+a chunk's ends an added token might be cut, so there only a place after white space counts, which no added token holds. The left chunk counts up to the boundary nearest to
+the overlap's middle, the right one from it. If an overlap has none, it is doubled, up to the whole chunk, and then the chunks are joined; a text without any
+boundary is encoded whole, as the library would. So memory is bounded by the chunk unless the text is one unbroken run.
 
 A smaller document is counted by its pieces between blanks: where the tokenizer's normaliser turns white space into blanks and its splitter
 drops them, a text has as many tokens as its pieces have together. Counts of pieces are remembered in each worker (at most
@@ -22,6 +23,7 @@ import json
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +40,8 @@ SPLITS = [r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"]
 Encoded = tuple[list[int], list[tuple[int, int]]]
 
 
-def spliced(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """The number of tokens of text, encoded in overlapping chunks."""
+def spliced(text: str, encode: Callable[[str], Encoded], ends: np.ndarray, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
+    """The number of tokens of text, encoded in overlapping chunks. ends: by token id, whether it is the last of a piece."""
     first, end = 0, min(chunk, len(text))  # tokens before `first` are counted
     ids, spans = _absolute(encode(text[:end]), 0)
     total = 0
@@ -49,7 +51,7 @@ def spliced(text: str, encode: Callable[[str], Encoded], chunk: int = CHUNK, ove
             at = max(end - wide, first)
             stop = min(at + max(chunk, 2 * wide), len(text))
             right_ids, right_spans = _absolute(encode(text[at:stop]), at)
-            cut = _boundary(text, ids, spans, right_ids, right_spans, at, end)
+            cut = _boundary(text, _starts(ids, spans, ends), _starts(right_ids, right_spans, ends), at, end)
             if at == first:
                 break
             wide *= 2
@@ -67,30 +69,25 @@ def _absolute(encoded: Encoded, at: int) -> Encoded:
     return encoded[0], [(a + at, b + at) for a, b in encoded[1]]
 
 
-def _boundary(text: str, ids: list[int], spans: list, right_ids: list[int], right_spans: list, at: int, end: int) -> tuple[int, int] | None:
-    """Numbers of the tokens (left chunk, right chunk) that begin at the stable boundary nearest to the overlap's middle."""
-    where = {s: j for j, s in enumerate(right_spans)}
-    best, middle = None, (at + end) / 2
-    for i in range(len(ids) - 1, 0, -1):
-        a = spans[i][0]
-        if a <= at:
-            break
-        j = where.get(spans[i])
-        if j is None or right_ids[j] != ids[i]:
-            continue
-        proven = text[a - 1] in _BLANKS
-        if not proven and text[a - 1].isalpha() != text[a].isalpha() and j > 0 and min(a - at, end - a) >= MARGIN:
-            proven = spans[i - 1][1] == a and right_spans[j - 1] == spans[i - 1] and right_ids[j - 1] == ids[i - 1]
-        if proven and (best is None or abs(a - middle) < best[0]):
-            best = (abs(a - middle), i, j)
-    return best and best[1:]
+def _starts(ids: list[int], spans: list, ends: np.ndarray) -> dict[int, int]:
+    """Places where a piece begins and the piece before it has ended, with the number of tokens before."""
+    return {spans[i][0]: i for i in range(1, len(ids)) if ends[ids[i - 1]] and spans[i - 1][1] <= spans[i][0]}
+
+
+def _boundary(text: str, left: dict[int, int], right: dict[int, int], at: int, end: int) -> tuple[int, int] | None:
+    """Numbers of tokens (left chunk, right chunk) before the stable boundary nearest to the overlap's middle."""
+    proven = [a for a in left.keys() & right.keys() if at < a < end and (text[a - 1] in _BLANKS or min(a - at, end - a) >= MARGIN)]
+    if not proven:
+        return None
+    best = min(proven, key=lambda a: (abs(2 * a - at - end), a))
+    return left[best], right[best]
 
 
 def drops_blanks(config: dict) -> bool:
     """Whether a tokenizer's JSON says that no token and no rule reaches over white space.
 
     The normaliser composes, turns runs of white space into blanks and lower-cases; the splitter keeps only what its pattern finds, whose classes of characters
-    have no white space, and everything after it works within a split; no added token strips or holds white space; nothing else (post-processor,
+    have no white space, and everything after it works within a split; the model marks the last token of a word; no added token strips or holds white space; nothing else (post-processor,
     prefix blank, drop-out, unknown tokens that fuse) counts tokens across splits.
     """
     try:
@@ -106,7 +103,8 @@ def drops_blanks(config: dict) -> bool:
             return False
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or set(t["content"]) & set(_BLANKS) or len(t["content"]) > MARGIN for t in config["added_tokens"]):
             return False
-        return config["model"]["type"] == "BPE" and not config["model"]["dropout"] and not config["post_processor"]
+        model = config["model"]
+        return model["type"] == "BPE" and not model["dropout"] and bool(model["end_of_word_suffix"]) and not config["post_processor"]
     except (KeyError, TypeError, ValueError):
         return False
 
@@ -122,7 +120,13 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
-            self.by_pieces = drops_blanks(json.load(f))
+            config = json.load(f)
+        self.by_pieces = drops_blanks(config)
+        if self.by_pieces:
+            mark, added = config["model"]["end_of_word_suffix"], {t["id"] for t in config["added_tokens"]}
+            words = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(words.values()) + 1, bool)
+            self.ends[[n for w, n in words.items() if w.endswith(mark) or n in added]] = True
         self.known: dict[str, int] = {}
 
     def encode(self, text: str) -> Encoded:
@@ -133,7 +137,7 @@ class Counter:
         if not self.by_pieces:
             return len(self.encode(text)[0])
         if len(text) > HUGE:
-            return spliced(text, self.encode)
+            return spliced(text, self.encode, self.ends)
         known, total = self.known, 0
         for p in text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "):
             n = known.get(p)

@@ -35,7 +35,27 @@ def test_splicing(chunk, overlap):
     texts = ["x" * 5000, "ab" * 3000, "".join(r.choice("abcdefghij") for _ in range(6000)), ("unbelievable" * 9 + "!!") * 40, prose(7, 900), "a" * 63 + "," * 2000, "日本語。" * 700, "<|endoftext|>" * 300, "don't " * 900]
     texts += ["".join(r.choice("abcXYZ 0'é\u0301.,<|>\n") for _ in range(5000)) for _ in range(10)]
     for t in texts:
-        assert tokencount.spliced(t, c.encode, chunk, overlap) == len(c.encode(t)[0]), t[:30]
+        assert tokencount.spliced(t, c.encode, c.ends, chunk, overlap) == len(c.encode(t)[0]), t[:30]
+
+
+#: Letters of one to four bytes, characters of several tokens, marks that compose, jamo, ligatures, letters that grow when lower-cased.
+MIXED = ["a", "b", "é", "\ufb01", "\u1e9e", "\u6f22", "\u3400", "\u0130", "\u0958", "\u0301", "\u0344", "\u1100", "\u1161", "\u11a8", "\U00020000", "\U0001f600", "7", "½", "'s", "!", " ", "\n", "<|endoftext|>"]
+
+
+@pytest.mark.parametrize("chunk, overlap, n, size", [(64, 8, 300, 600), (200, 16, 100, 2000), (16_384, 256, 3, 60_000)])
+def test_characters_of_several_tokens(chunk, overlap, n, size):
+    c, r = tokencount.Counter(PATH), random.Random(overlap)
+    for _ in range(n):
+        some = r.sample(MIXED, r.randint(2, 9))
+        t = "".join(r.choice(some) * r.choice([1, 1, 1, 5, 40]) for _ in range(size // 4))[:size]
+        assert tokencount.spliced(t, c.encode, c.ends, chunk, overlap) == len(c.encode(t)[0]), t[:60]
+
+
+def test_a_boundary_inside_a_character_of_several_tokens():
+    c = tokencount.Counter(PATH)
+    for x in ["\ufb01", "\u1e9e", "\u6f22", "\u3400"]:
+        t = ("ab " * 4000).ljust(16_255, "q") + " " + x + "z" * 40_000
+        assert c.count(t) == len(c.encode(t)[0])
 
 
 def test_huge_documents(monkeypatch):
