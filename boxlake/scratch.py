@@ -48,6 +48,11 @@ def stored_sorted(df: DataFrame, by: list[str], buckets: int) -> tuple[str, Data
     return name, df.sparkSession.table(name)
 
 
+def plain(spark: SparkSession, names: list[str]) -> DataFrame:
+    """The rows of tables of stored_sorted() with one schema, as one scan without their buckets."""
+    return spark.read.schema(spark.table(names[0]).schema).parquet(*(_paths[n] for n in names))
+
+
 def dropped(spark: SparkSession, name: str) -> None:
     """Remove a table of stored_sorted()."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
