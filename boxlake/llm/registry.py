@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import decontaminate, langid, mixing, pu_quality, quality_rules, quotes, secrets, simhash, tokencount, warc
+from boxlake.llm import decontaminate, langid, line_runs, mixing, pu_quality, quality_rules, quotes, secrets, simhash, tokencount, warc
 from boxlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +45,15 @@ def queries() -> dict[str, Query]:
         "op8_simhash": _near_duplicates,
         "op9_quotes": lambda s, d: quotes.conversations(table(s, d, "conversations")),
         "op10_token_counts": lambda s, d: tokencount.counts(table(s, d, "documents"), _tokenizer()),
+        "op13_line_runs": lambda s, d: line_runs.repeated_lines(table(s, d, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": _WARC, "op2_decontaminate": decontaminate.oracle(), "op6_mixture": mixing.oracle(), "op7_quality_rules": quality_rules.oracle()}
+    return {
+        "op1_warc": _WARC,
+        "op2_decontaminate": decontaminate.oracle(),
+        "op6_mixture": mixing.oracle(),
+        "op7_quality_rules": quality_rules.oracle(),
+        "op13_line_runs": line_runs.oracle(),
+    }
