@@ -7,8 +7,8 @@ are shuffled to the runs and the runs never move. When a level has ``FANOUT`` ru
 from its one fresh row. So a key is rewritten once a level, and a batch meets at most FANOUT - 1 runs a level.
 
 `repeated_lines` deals a table into batches by falling doc_id, so the fresh row of a key lies in the batch of the largest document that holds it. A key that a third of all
-documents hold is summed by document and then by key before it meets a run, so it is one row there; the lines that go are found by a join with
-keys in many documents only, broadcast if few, else salted.
+documents hold is summed by document and then by key before it meets a run, so it is one row there; when the lines that go are found, keys with a thousandth of all lines or
+more (a thousand at most) are broadcast, and no other is hot.
 
 Hashes have 128 bits (two seeds of XXH64); texts move once at most, to meet the positions of their dropped lines.
 
@@ -21,13 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm.common import joined, stored
+from boxlake.llm.common import stored
 from boxlake.scratch import dropped, plain, stored_sorted
 
 MIN_CHARS, MIN_DOCS = 40, 5
 BATCHES, FANOUT = 8, 4
-#: Rows up to which a table of keys or positions is broadcast; a key has 24 bytes, a list of positions is counted by its length.
-FEW = 200_000
+#: Keys with at least one in HEAVY lines are broadcast, so at most HEAVY of them, with 24 bytes each.
+HEAVY = 1000
 _BLANKS = " \t\n\x0b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASH = ["h1", "h2"]
@@ -134,13 +134,15 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
     runs = Runs(spark, fanout)
     for b in range(len(cuts) + 1):
         runs.add(batch_keys(lines.filter(F.col("batch") == b)))
-    frequent = stored(runs.totals().filter(F.col("docs") >= min_docs).select(*HASH, "keeper"))
+    frequent = stored(runs.totals().filter(F.col("docs") >= min_docs))
     runs.close()
 
-    gone = joined(lines.drop("batch"), frequent, HASH, frequent.count() <= FEW).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    heavy = F.col("docs") * HEAVY >= lines.count()
+    lines, hot = lines.drop("batch"), F.broadcast(frequent.filter(heavy).select(*HASH, "keeper"))
+    held = lines.join(hot, HASH).unionByName(lines.join(hot, HASH, "left_anti").join(frequent.filter(~heavy).select(*HASH, "keeper").hint("merge"), HASH))
+    gone = held.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     drops = stored(gone.groupBy("d", "row").agg(F.array_sort(F.collect_set("pos")).alias("drops")))
-    size = drops.agg(F.count("*"), F.sum(F.size("drops"))).first()
-    full = joined(rows, drops, ["d", "row"], size[0] + (size[1] or 0) <= FEW, "left")
+    full = rows.join(drops.hint("merge"), ["d", "row"], "left")
     none = F.col("drops").isNull()
     return full.select(
         "doc_id",

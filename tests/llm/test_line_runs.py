@@ -38,9 +38,9 @@ def some(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("n, batches, fanout, few", [(60, 8, 4, 1 << 20), (60, 5, 2, 0), (40, 1, 2, 1 << 20)])
-def test_matches_brute_force(spark, monkeypatch, n, batches, fanout, few):
-    monkeypatch.setattr(line_runs, "FEW", few)
+@pytest.mark.parametrize("n, batches, fanout, heavy", [(60, 8, 4, 1000), (60, 5, 2, 1), (40, 1, 2, 20)])
+def test_matches_brute_force(spark, monkeypatch, n, batches, fanout, heavy):
+    monkeypatch.setattr(line_runs, "HEAVY", heavy)
     rows = [*EDGE, *some(n, n + batches)]
     got = line_runs.dedup(docs(spark, rows), batches=batches, fanout=fanout).collect()
     want = [(x.doc_id, x.n_lines, x.n_dropped, hashlib.sha256(x.text.encode()).hexdigest()) for x in got]
