@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm import decontaminate, langid, line_runs, mixing, pu_quality, quality_rules, quotes, secrets, simhash, tokencount, warc
+from boxlake.llm import decontaminate, langid, line_runs, mixing, phrases, pu_quality, quality_rules, quotes, repair, secrets, simhash, tokencount, warc
 from boxlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,8 @@ def queries() -> dict[str, Query]:
         "op8_simhash": _near_duplicates,
         "op9_quotes": lambda s, d: quotes.conversations(table(s, d, "conversations")),
         "op10_token_counts": lambda s, d: tokencount.counts(table(s, d, "documents"), _tokenizer()),
+        "op11_phrases": lambda s, d: phrases.collocations(table(s, d, "documents")),
+        "op12_repair": lambda s, d: repair.report(table(s, d, "conversations")),
         "op13_line_runs": lambda s, d: line_runs.repeated_lines(table(s, d, "documents")),
     }
 
@@ -55,5 +57,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_decontaminate": decontaminate.oracle(),
         "op6_mixture": mixing.oracle(),
         "op7_quality_rules": quality_rules.oracle(),
+        "op11_phrases": phrases.oracle(),
+        "op12_repair": repair.oracle(),
         "op13_line_runs": line_runs.oracle(),
     }

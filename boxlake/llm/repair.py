@@ -402,7 +402,7 @@ d AS (SELECT conv_id, turn, CASE WHEN pick = 4 THEN 'user' ELSE role END AS role
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth,
     md5(concat(length(role), ':', role, text)) AS digest, rtrim(text, {blanks}) AS shown FROM d),
 f AS (SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
-    lag(left(role, 1)) OVER w AS before, row_number() OVER w AS nr FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest)),
+    lag(left(role, 1)) OVER w AS before, row_number() OVER w AS nr FROM n WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest, nth)),
 g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
     count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
     count(*) FILTER (WHERE before IS NOT NULL AND concat(before, left(role, 1)) NOT IN ('su', 'ua', 'au')) AS illegal,
