@@ -32,6 +32,8 @@ SIDE, BUSY, FILL = 512, 6, 16
 #: Coordinates in a task's lists, and entries of its text counts, before they are given out.
 ROOM, TEXTS = 1 << 22, 200_000
 SALTS = 64
+#: Bytes of text whose words a task holds at once.
+CHUNK = 1 << 20
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _MARK = b"\xff"  # in no UTF-8 text
 #: A-Z to a-z, ends of pieces to the mark, tabs to blanks.
@@ -39,19 +41,34 @@ _BYTES = bytes(255 if c in ENDS else 32 if c == 9 else ASCII_LOWER[c] for c in r
 BREAK, OPEN = -1, -2
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words of a text, and a mark for each end of a piece."""
-    return text.translate(_BYTES).replace(_MARK, b" \xff ").split()
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A text's translated bytes, cut after about CHUNK bytes at the next end of a piece, which no phrase crosses."""
+    text, at = text.translate(_BYTES), 0
+    while len(text) - at > CHUNK:
+        end = text.find(_MARK, at + CHUNK)
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
-    """For each language of a batch (lang, text) the tokens of its texts, a mark after each text."""
-    found: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)).to_pylist(), strict=True):
-        out = found.setdefault(lang, [])
-        out += tokens(text)
-        out.append(_MARK)
-    yield from found.items()
+    """Words of the texts of a batch (lang, text) by language, with marks between pieces, about CHUNK bytes at a time."""
+    found: dict[str, tuple[list[bytes], int]] = {}
+    texts = as_bytes(batch.column(1))
+    for k, lang in enumerate(batch.column(0).to_pylist()):
+        for part in _parts(texts[k].as_py()):
+            words, size = found.pop(lang, ([], 0))
+            words += part.replace(_MARK, b" \xff ").split()
+            words.append(_MARK)
+            size += len(part)
+            if size >= CHUNK:
+                yield lang, words
+            else:
+                found[lang] = (words, size)
+    for lang, (words, _) in found.items():
+        yield lang, words
 
 
 def _counted(counts: dict[str, Counter]) -> pa.RecordBatch:
@@ -216,8 +233,8 @@ def word_counts(docs: DataFrame, least: int) -> DataFrame:
             for lang, words in _by_lang(batch):
                 counts.add(lang, words)
                 total[lang] += len(words) - words.count(_MARK)
-            if counts.full():
-                yield counts.given()
+                if counts.full():
+                    yield counts.given()
         yield counts.given()
         rows = [{"lang": lang, "phrase": None, "n": n} for lang, n in total.items()]
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())]))
@@ -261,10 +278,10 @@ def phrase_counts(docs: DataFrame, sent: _Sent, size: int, least: int) -> tuple[
                     tiles.add(first[sure], second[sure])
                 maybe = ~sure & (first != BREAK) & (second != BREAK)
                 texts.add(lang, [b" ".join(words[k : k + size]) for k in np.flatnonzero(maybe).tolist()])
-            if tiles.full():
-                yield from given()
-            if texts.full():
-                yield told()
+                if tiles.full():
+                    yield from given()
+                if texts.full():
+                    yield told()
         yield from given()
         yield told()
 

@@ -53,7 +53,9 @@ def some(seed, n=60):
 
 
 @pytest.mark.parametrize("words, pairs", [(phrases.WORDS, phrases.PAIRS), (15, phrases.PAIRS), (phrases.WORDS, 9), (7, 3)])
-def test_matches_brute_force_at_all_bounds(spark, words, pairs):
+def test_matches_brute_force_at_all_bounds(spark, monkeypatch, words, pairs):
+    if words < 20:
+        monkeypatch.setattr(phrases, "CHUNK", 300)
     rows = [*EDGE, *some(words)]
     got = phrases.collocations(docs(spark, rows), least=5, words=words, pairs=pairs, top=50)
     cols = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
