@@ -89,7 +89,7 @@ def box_issues(x: C, y: C, w: C, h: C, area: C, category: C, width: C, height: C
     x, y, w, h, area = map(col, (x, y, w, h, area))
     malformed = x.isNull() | y.isNull() | w.isNull() | h.isNull()
     finite = all_finite(x, y, w, h)
-    outside = (x < -EDGE_TOLERANCE) | (y < -EDGE_TOLERANCE) | (x + w > col(width) + EDGE_TOLERANCE) | (y + h > col(height) + EDGE_TOLERANCE)
+    outside = (x < 0) | (y < 0) | (x + w > col(width) + EDGE_TOLERANCE) | (y + h > col(height) + EDGE_TOLERANCE)
     return {
         "wrong_category": ~col(category).eqNullSafe(F.lit(category_id)),
         "malformed_boxes": malformed,
@@ -119,9 +119,15 @@ def speed_to_kmh(px_s: C, meters_per_pixel: C | float) -> Column:
 
 
 def format_speed_label(track: C, px_s: C, meters_per_pixel: C | None = None) -> Column:
-    """"#<id> | <speed>"; rounded half to even, since Java's own formatting rounds half up."""
-    if meters_per_pixel is None:
-        speed = F.when(col(px_s).isNull(), "-- px/s").otherwise(F.format_string("%.0f px/s", F.bround(col(px_s), 0)))
-    else:
-        speed = F.when(col(px_s).isNull(), "-- km/h").otherwise(F.format_string("%.1f km/h", F.bround(speed_to_kmh(px_s, meters_per_pixel), 1)))
+    """"#<id> | <speed>"; rounded half to even, since Java's own formatting rounds half up. A null scale gives px/s."""
+    speed = F.when(col(px_s).isNull(), "-- px/s").otherwise(F.format_string("%.0f px/s", F.bround(col(px_s), 0)))
+    if meters_per_pixel is not None:
+        scaled = F.when(col(px_s).isNull(), "-- km/h").otherwise(F.format_string("%.1f km/h", F.bround(speed_to_kmh(px_s, meters_per_pixel), 1)))
+        speed = F.when(col(meters_per_pixel).isNull(), speed).otherwise(scaled)
     return F.concat(F.lit("#"), col(track).cast("string"), F.lit(" | "), speed)
+
+
+def unit_name(meters_per_pixel: C) -> Column:
+    """The unit of speeds as a frame's status shows it, with the scale where there is one."""
+    scale = col(meters_per_pixel)
+    return F.when(scale.isNull(), "PX/S").otherwise(F.format_string("KM/H @ %.4f M/PX", F.bround(scale, 4)))

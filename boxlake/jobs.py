@@ -175,4 +175,4 @@ def speeds(detections: DataFrame, fps: float, mode: str = "both", confidence: fl
     linked = stored(linked.withColumns({"cx": (F.col("x1") + F.col("x2")) / 2, "cy": (F.col("y1") + F.col("y2")) / 2}))
     scale = () if metres_per_pixel is None else (F.lit(metres_per_pixel),)
     found = tracks.speeds(linked, fps).withColumn("label", format_speed_label("tracker_id", "speed_px_s", *scale))
-    return {"speeds": found, "status": tracks.frame_status(linked, metres_per_pixel is not None), "summary": tracks.video_summary(linked)}
+    return {"speeds": found, "status": tracks.frame_status(linked, metres_per_pixel), "summary": tracks.video_summary(linked)}

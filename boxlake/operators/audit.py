@@ -15,8 +15,13 @@ QUANTILES = {"min": 0.0, "p01": 0.01, "p05": 0.05, "p10": 0.10, "p50": 0.50, "p9
 
 
 def flagged(annotations: DataFrame, images: DataFrame) -> DataFrame:
-    """annotations (split, image_id, x, y, w, h, area, category_id) with their picture's columns and all issue flags."""
-    sides = images.select("split", "image_id", "width", "height", "file_name", F.lit(True).alias("known")).dropDuplicates(["split", "image_id"])
+    """annotations (split, image_id, x, y, w, h, area, category_id) with their picture's columns and all issue flags.
+
+    Of several pictures with one id the last counts: the one with the greatest `position` in its document if images has that column, else the greatest file_name, width and height.
+    """
+    place = [c for c in ("position", "file_name", "width", "height") if c in images.columns]
+    last = F.max(F.struct(*(F.col(c).alias(f"o{k}") for k, c in enumerate(place)), F.struct("width", "height", "file_name").alias("side"))).alias("last")
+    sides = images.groupBy("split", "image_id").agg(last).select("split", "image_id", "last.side.*", F.lit(True).alias("known"))
     rows = annotations.join(sides, ["split", "image_id"], "left")
     orphan = F.col("known").isNull()
     flags = box_issues("x", "y", "w", "h", "area", "category_id", "width", "height")

@@ -49,7 +49,7 @@ def _notes(s, d):
 
 _FLAGGED = ctes("fx_notes") + """, f AS (SELECT n.*, i.width, i.height, i.file_name, i.image_id IS NULL AS orphan_annotations, i.image_id IS NOT NULL AS known, w IS NULL AS bad, w IS NOT NULL AND NOT isnan(h) AS fine FROM fx_notes n LEFT JOIN fx_images i ON n.image_id = i.image_id AND n.split = i.split),
 g AS (SELECT *, known AND category_id <> 1 AS wrong_category, known AND bad AS malformed_boxes, known AND NOT bad AND NOT fine AS nonfinite_boxes, known AND fine AND (w <= 0 OR h <= 0) AS nonpositive_boxes,
-  known AND fine AND (x < -0.001e0 OR y < -0.001e0 OR x + w > width + 0.001e0 OR y + h > height + 0.001e0) AS out_of_bounds_boxes, known AND fine AND abs(area - w * h) > 0.01e0 AS incorrect_areas, known AND fine AS measured FROM f)"""
+  known AND fine AND (x < 0 OR y < 0 OR x + w > width + 0.001e0 OR y + h > height + 0.001e0) AS out_of_bounds_boxes, known AND fine AND abs(area - w * h) > 0.01e0 AS incorrect_areas, known AND fine AS measured FROM f)"""
 _LONG = "UNPIVOT (SELECT split, " + ", ".join(f"count(*) FILTER ({k}) AS {k}" for k in audit.ISSUES) + " FROM g GROUP BY split) ON " + ", ".join(audit.ISSUES) + " INTO NAME issue VALUE value"
 
 

@@ -27,7 +27,7 @@ FROM {orders}""",
 SELECT i.*, coalesce(b.n, 0) AS n_boxes FROM {fx_images} i LEFT JOIN (SELECT image_id, count(*) AS n FROM {fx_boxes} GROUP BY image_id) b ON i.image_id = b.image_id""",
     # boxes of a split's document with planted defects
     "fx_notes": """
-SELECT b.annotation_id, b.image_id, coalesce(i.split, 'train') AS split, CASE WHEN part % 97 = 0 THEN 2 ELSE 1 END AS category_id, x, y,
+SELECT b.annotation_id, b.image_id, coalesce(i.split, 'train') AS split, CASE WHEN part % 97 = 0 THEN 2 ELSE 1 END AS category_id, CASE WHEN part % 61 = 0 THEN -0.0005e0 ELSE x END AS x, y,
   CASE WHEN part % 73 = 0 THEN NULL ELSE w END AS w, CASE WHEN part % 89 = 0 THEN CAST('NaN' AS DOUBLE) ELSE h END AS h,
   w * h + (CASE WHEN supp % 13 = 0 THEN 1 ELSE 0 END) AS area
 FROM {fx_boxes} b LEFT JOIN {fx_images} i ON b.image_id = i.image_id""",
@@ -74,6 +74,10 @@ SELECT l_orderkey % 16 AS video_id, CAST(floor(l_orderkey / 16e0) AS BIGINT) AS
   CAST((l_partkey * 31 + l_linenumber * 7) % 1000 AS DOUBLE) / 1000 AS confidence, CASE WHEN l_linenumber % 2 = 0 THEN 'full' ELSE 'slice' END AS origin,
   l_suppkey AS supp, l_returnflag AS flag, l_orderkey AS image_id
 FROM {lineitem}""",
+    # frame rates and, for some, a known length with its length in pixels
+    "fx_videos": """
+SELECT DISTINCT video_id, CASE video_id % 3 WHEN 0 THEN 10e0 WHEN 1 THEN 25e0 ELSE 50e0 END AS fps, CASE WHEN video_id % 2 = 0 THEN 0.5e0 * (video_id + 1) END AS known_m,
+  CASE WHEN video_id % 2 = 0 THEN 8e0 * (video_id + 2) END AS measured_px FROM {fx_tracks}""",
     "fx_truth": """SELECT image_id, det_no AS truth_no, x1, y1, x2, y2 FROM {fx_detections} WHERE flag <> 'R'""",
     "fx_found": """SELECT image_id, det_no, confidence, x1 + supp % 5 AS x1, y1, x2 + supp % 5 AS x2, y2 FROM {fx_detections}""",
 }

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxlake.functions.geometry import box_center, format_speed_label
 from boxlake.operators import detections as det
 from boxlake.operators import evaluate, tracks
+from boxlake.operators.linking import Tracker
 from boxlake.plans.fixtures import ctes, frame
 from boxlake.scratch import scratch_dir
-from boxlake.sources.labels import read_detections
+from boxlake.sources.labels import check_videos, read_detections
 from boxlake.streaming import frames
 
 FPS, WINDOW, SCALE = 12.0, 5.0, 0.038
@@ -131,6 +133,41 @@ def speed_labels(s, d):
 _LABELS = _T + f"SELECT {_K}, '#' || tracker_id || ' | ' || CASE WHEN video_id % 2 = 0 THEN CASE WHEN speed IS NULL THEN '-- km/h' ELSE printf('%.1f km/h', speed * 0.038e0 * 3.6e0) END WHEN speed IS NULL THEN '-- px/s' ELSE printf('%.0f px/s', speed) END AS label FROM sm"
 
 
+def video_speeds(s, d):
+    """Speeds of videos with frame rates and scales of their own."""
+    rows = tracks.with_videos(_tracks(s, d), check_videos(frame(s, d, "fx_videos").withColumns({"width": F.lit(1), "height": F.lit(1), "frames": F.lit(1)})))
+    found = tracks.speeds(rows, "fps", 2.0)
+    status = tracks.frame_status(rows).select("video_id", "frame_number", "unit")
+    label = format_speed_label("tracker_id", "speed_px_s", F.col("metres_per_pixel")).alias("label")
+    return found.join(status, ["video_id", "frame_number"]).select("video_id", "tracker_id", "frame_number", "session", F.round("raw_speed_px_s", 5).alias("raw_speed_px_s"), F.round("speed_px_s", 5).alias("speed_px_s"), label, "unit")
+
+
+_VIDEO_SPEEDS = ctes("fx_tracks", "fx_videos") + f""", tv AS (SELECT t.*, fps, known_m / measured_px AS scale, CASE fps WHEN 10e0 THEN 20 WHEN 25e0 THEN 50 ELSE 100 END AS w, 5 * CAST(fps AS BIGINT) AS stale FROM fx_tracks t JOIN fx_videos USING (video_id)),
+se AS (SELECT *, sum(nw) OVER (PARTITION BY video_id, tracker_id ORDER BY frame_number) AS session FROM (SELECT *, CASE WHEN frame_number - lag(frame_number) OVER (PARTITION BY video_id, tracker_id ORDER BY frame_number) >= stale + 2 THEN 1 ELSE 0 END AS nw FROM tv)),
+ve AS (SELECT *, CASE WHEN n >= 4 THEN sqrt(vx * vx + vy * vy) END AS v FROM (SELECT *, regr_slope(cx, frame_number / fps) OVER w AS vx, regr_slope(cy, frame_number / fps) OVER w AS vy, count(*) OVER w AS n FROM se WINDOW w AS (PARTITION BY video_id, tracker_id, session ORDER BY frame_number RANGE BETWEEN w PRECEDING AND CURRENT ROW))),
+rw AS (SELECT *, CASE WHEN v < 5 THEN 0 ELSE v END AS raw FROM ve),
+sm AS (SELECT *, CASE WHEN raw IS NOT NULL THEN list_reduce(list(raw) FILTER (raw IS NOT NULL) OVER (PARTITION BY video_id, tracker_id, session ORDER BY frame_number), lambda a, b: 0.25e0 * b + 0.75e0 * a) END AS speed FROM rw)
+SELECT {_K}, CAST(session AS BIGINT) AS session, round(raw, 5) AS raw_speed_px_s, round(speed, 5) AS speed_px_s,
+  '#' || tracker_id || ' | ' || CASE WHEN scale IS NOT NULL THEN CASE WHEN speed IS NULL THEN '-- km/h' ELSE printf('%.1f km/h', speed * scale * 3.6e0) END WHEN speed IS NULL THEN '-- px/s' ELSE printf('%.0f px/s', speed) END AS label,
+  CASE WHEN scale IS NULL THEN 'PX/S' ELSE printf('KM/H @ %.4f M/PX', scale) END AS unit FROM sm"""
+
+
+def linked_ids(s, d):
+    """T1, by what holds of any linking: ids of a video are 1, 2, ... without gaps, none stands twice in a frame, none lives on beyond the buffer."""
+    rows = link_tracks(s, d).filter("tracker_id > 0")
+    last = W.partitionBy("video_id", "tracker_id").orderBy("frame_number")
+    steps = rows.withColumn("gap", F.col("frame_number") - F.lag("frame_number").over(last))
+    each = steps.groupBy("video_id").agg(
+        (F.max("tracker_id") == F.countDistinct("tracker_id")).alias("dense"),
+        (F.count("*") == F.countDistinct("frame_number", "tracker_id")).alias("single"),
+        (F.coalesce(F.max("gap"), F.lit(0)) <= Tracker(FPS).buffer + 1).alias("within_buffer"),
+    )
+    return _detections(s, d).select("video_id").distinct().join(each, "video_id", "left").select("video_id", *(F.coalesce(c, F.lit(True)).alias(c) for c in ("dense", "single", "within_buffer")))
+
+
+_LINKED = ctes("fx_detections") + "SELECT DISTINCT video_id, true AS dense, true AS single, true AS within_buffer FROM fx_detections"
+
+
 def track_trace(s, d):
     """W9, as the number of points, the oldest frame and the sum of the centres."""
     rows = tracks.track_trace(_tracks(s, d), FPS)
@@ -147,7 +184,7 @@ def frame_status(s, d):
 
 
 _STATUS = ctes("fx_tracks") + """, fr AS (SELECT video_id, frame_number, count(*) AS active FROM fx_tracks GROUP BY ALL), fi AS (SELECT video_id, tracker_id, min(frame_number) AS f FROM fx_tracks WHERE tracker_id >= 0 GROUP BY ALL)
-SELECT video_id, frame_number, active, (SELECT count(*) FROM fi WHERE fi.video_id = fr.video_id AND f <= frame_number) AS unique_tracks, 'px/s' AS unit FROM fr"""
+SELECT video_id, frame_number, active, (SELECT count(*) FROM fi WHERE fi.video_id = fr.video_id AND f <= frame_number) AS unique_tracks, 'PX/S' AS unit FROM fr"""
 
 
 def video_summary(s, d):
@@ -175,14 +212,15 @@ def _streamed(rows: DataFrame, how) -> DataFrame:
 
 
 def speed_stream(s, d):
-    """R1, R2, R3."""
+    """R1, R2, R3, under a watermark that frees the state of tracks that have ended."""
     rows = _tracks(s, d).select("video_id", "tracker_id", "frame_number", "cx", "cy")
-    return _streamed(rows, lambda x: frames.speed_stream(x, FPS, WINDOW)).select("video_id", "tracker_id", "frame_number", F.round("speed_px_s", 5).alias("speed_px_s"))
+    return _streamed(rows, lambda x: frames.speed_stream(x, FPS, WINDOW, lateness="10 seconds")).select("video_id", "tracker_id", "frame_number", F.round("speed_px_s", 5).alias("speed_px_s"))
 
 
 def frame_status_stream(s, d):
     """R5."""
-    return _streamed(_tracks(s, d).select("video_id", "tracker_id", "frame_number"), frames.frame_status_stream).drop("late")
+    rows = _tracks(s, d).select("video_id", "tracker_id", "frame_number")
+    return _streamed(rows, lambda x: frames.frame_status_stream(x, fps=FPS, lateness="10 seconds", idle=100_000)).drop("late")
 
 
 def nms_stream(s, d):
@@ -258,6 +296,8 @@ QUERIES = {
     "trailing_velocity": (trailing_velocity, _VELOCITY),
     "smoothed_speed": (smoothed_speed, _SMOOTHED),
     "speed_labels": (speed_labels, _LABELS),
+    "video_speeds": (video_speeds, _VIDEO_SPEEDS),
+    "linked_ids": (linked_ids, _LINKED),
     "track_trace": (track_trace, _TRACE),
     "frame_status": (frame_status, _STATUS),
     "video_summary": (video_summary, _SUMMARY),

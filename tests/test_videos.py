@@ -3,10 +3,13 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from boxlake.operators import detections as det
 from boxlake.operators import evaluate, tracks
+from boxlake.operators.linking import Tracker
 from boxlake.streaming import frames
+from tests.test_linking import model
 
 DET = "video_id long, frame_number long, det_no long, x1 double, y1 double, x2 double, y2 double, confidence double, origin string"
 TRACK = "video_id long, tracker_id long, frame_number long, det_no long, cx double, cy double"
@@ -56,44 +59,6 @@ def test_tiles(spark):
         det.slice_grid(df, 100, 100)
 
 
-def brute_links(rows, fps, activation=0.5, match=0.8, lost=30, second=0.5):
-    """(frame, det_no) -> id of one video by the rule as stated: tracks as plain values, matches by sorting all pairs."""
-    keep = max(1, round(lost * fps / 30))
-    tracks, out, ids = [], {}, 0
-    for f in sorted({x[0] for x in rows}):
-        dets = sorted(x for x in rows if x[0] == f)
-        tracks = [t for t in tracks if f - t["seen"] <= (keep if t["id"] else 1)]
-        moved = [[c + v * (f - t["seen"]) for c, v in zip(t["box"], t["speed"] * 2, strict=True)] for t in tracks]
-        pairs, used, done = [], set(), set()
-
-        def take(which, free, least):
-            at = [k for k in range(len(dets)) if which(dets[k][6])]
-            order = [(-overlap(moved[i], dets[k][2:6]), a, b, i, k) for a, i in enumerate(free) for b, k in enumerate(at)]
-            for o, _, _, i, k in sorted(order):
-                if -o >= least and i not in used and k not in done:
-                    used.add(i)
-                    done.add(k)
-                    pairs.append((i, k))
-
-        take(lambda c: c >= activation, list(range(len(tracks))), 1 - match)
-        take(lambda c: c < activation, [i for i in range(len(tracks)) if i not in used and tracks[i]["id"]], second)
-        for k in range(len(dets)):
-            out[f, dets[k][1]] = -1
-        for i, k in pairs:
-            t, box = tracks[i], list(dets[k][2:6])
-            gap = max(f - t["seen"], 1)
-            centre = lambda b: ((b[0] + b[2]) / 2, (b[1] + b[3]) / 2)
-            t["speed"] = [(v + (n - o) / gap) / 2 for v, n, o in zip(t["speed"], centre(box), centre(t["box"]), strict=True)]
-            t["hits"] = t["hits"] + 1 if gap == 1 else 1
-            t["box"], t["seen"] = box, f
-            if not t["id"] and t["hits"] >= 2:
-                ids += 1
-                t["id"] = ids
-            out[f, dets[k][1]] = t["id"] or -1
-        tracks += [{"box": list(x[2:6]), "speed": [0.0, 0.0], "seen": f, "hits": 1, "id": 0} for k, x in enumerate(dets) if k not in done and x[6] >= activation + 0.1]
-    return out
-
-
 def random_video(seed):
     r = random.Random(seed)
     cars = [[r.uniform(0, 200), r.uniform(0, 200), r.uniform(-4, 4), r.uniform(-4, 4)] for _ in range(6)]
@@ -110,7 +75,7 @@ def random_video(seed):
 
 def test_linking_matches_an_independent_model_in_any_batches(spark, tmp_path):
     videos = {v: random_video(v) for v in range(4)}
-    want = {(v, *k): i for v, rows in videos.items() for k, i in brute_links(rows, 12.0).items()}
+    want = {(v, *k): i for v, rows in videos.items() for k, i in model(rows, 12.0).items()}
     assert max(want.values()) > 5 and -1 in want.values()
     rows = [(v, *x) for v, video in videos.items() for x in video]
     schema = "video_id long, frame_number long, det_no long, x1 double, y1 double, x2 double, y2 double, confidence double"
@@ -128,9 +93,9 @@ def test_linking_matches_an_independent_model_in_any_batches(spark, tmp_path):
 
 
 def test_null_videos_are_kept(spark):
-    rows = [(None, 1, 1, 0.0, 0.0, 9.0, 9.0, 0.9), (1, 1, 1, 0.0, 0.0, 9.0, 9.0, 0.9), (1, 2, 1, 0.0, 0.0, 9.0, 9.0, 0.9)]
+    rows = [(v, f, 1, 0.0, 0.0, 9.0, 9.0, 0.9) for v, f in ((None, 1), (1, 1), (1, 2), (1, 3))]
     df = spark.createDataFrame(rows, "video_id long, frame_number long, det_no long, x1 double, y1 double, x2 double, y2 double, confidence double")
-    assert sorted(((x.video_id, x.frame_number, x.tracker_id) for x in tracks.link_tracks(df, 12.0).collect()), key=str) == sorted([(None, 1, -1), (1, 1, -1), (1, 2, 1)], key=str)
+    assert sorted(((x.video_id, x.frame_number, x.tracker_id) for x in tracks.link_tracks(df, 12.0).collect()), key=str) == sorted([(None, 1, -1), (1, 1, -1), (1, 2, -1), (1, 3, 1)], key=str)
 
 
 def test_parameters(spark):
@@ -141,7 +106,7 @@ def test_parameters(spark):
     with pytest.raises(ValueError):
         tracks.window_frames(0, 30)
     with pytest.raises(ValueError):
-        tracks.Tracker(0)
+        Tracker(0)
     assert tracks.window_frames(0.5, 5) == 3 and tracks.window_frames(0.5, 25) == 12
 
 
@@ -218,7 +183,7 @@ def test_linking(spark, tmp_path):
     out = tracks.link_tracks(df).toPandas()
     ids = out[out.tracker_id > 0].groupby("det_no").tracker_id.nunique()
     assert ids.to_dict() == {0: 1, 1: 1} and out.tracker_id.nunique() == 3
-    assert set(out[out.tracker_id < 0].frame_number) == {0}
+    assert set(out[out.tracker_id < 0].frame_number) == {0, 1}
     for a, b in ((0, 17), (17, 60)):
         df.filter(f"frame_number >= {a} and frame_number < {b}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
@@ -228,8 +193,82 @@ def test_linking(spark, tmp_path):
     pd.testing.assert_frame_equal(streamed.sort_values(key).reset_index(drop=True)[[*key, "tracker_id"]], out.sort_values(key).reset_index(drop=True)[[*key, "tracker_id"]])
 
 
+def test_speeds_of_videos_with_their_own_rates(spark):
+    rows = [(v, t, f, k, x, y) for v, t, f, k, x, y in walk(2)]
+    videos = spark.createDataFrame([(0, 10.0, 25.0, 500.0), (1, 25.0, None, None)], "video_id long, fps double, known_m double, measured_px double")
+    df = tracks.with_videos(spark.createDataFrame(rows, TRACK), videos)
+    got = tracks.speeds(df, "fps", 2.0).collect()
+    want = brute_speeds([r for r in rows if r[0] == 0], 10.0, tracks.window_frames(2.0, 10.0)) | brute_speeds([r for r in rows if r[0] == 1], 25.0, tracks.window_frames(2.0, 25.0))
+    same({(r.video_id, r.tracker_id, r.frame_number): r.speed_px_s for r in got}, want)
+    assert {(r.video_id, r.fps, r.metres_per_pixel) for r in got} == {(0, 10.0, 0.05), (1, 25.0, None)}
+    units = {(r.video_id, r.unit) for r in tracks.frame_status(df).collect()}
+    assert units == {(0, "KM/H @ 0.0500 M/PX"), (1, "PX/S")}
+    for bad in ([(0, 10.0, None, None)], [(0, 10.0, 0.0, 5.0), (1, 10.0, None, None)], [(0, 0.0, None, None), (1, 10.0, None, None)], [(0, 10.0, 2.0, None), (1, 10.0, None, None)]):
+        with pytest.raises(Exception, match="unusable video"):
+            tracks.with_videos(spark.createDataFrame(rows, TRACK), spark.createDataFrame(bad, videos.schema)).collect()
+
+
+@pytest.mark.parametrize("window", [5, 5000])
+def test_velocity_of_long_tracks_at_any_window(spark, window):
+    r = random.Random(window)
+    rows, x, y, f = [], 5000.0, 900.0, 1_000_000
+    for k in range(9000):
+        f, x, y = f + r.choice([1, 1, 1, 2, 7]), x + r.uniform(-3, 4), y + r.uniform(-2, 2)
+        rows.append((1, 1, f, k, x, y))
+    df = spark.createDataFrame(rows, TRACK).withColumn("session", F.lit(0))
+    got = {x.frame_number: x.raw_speed_px_s for x in tracks.trailing_velocity(df, 10.0, window / 10.0, 0.0).collect()}
+    a = np.array([x[2:] for x in rows], float)
+    assert len(got) == len(rows)
+    for k in [0, 1, 2, 3, 4, 50, *r.sample(range(len(rows)), 150)]:
+        w = a[(a[:, 0] <= a[k, 0]) & (a[k, 0] - a[:, 0] <= window)]
+        if len(w) < 4:
+            assert got[int(a[k, 0])] is None
+            continue
+        t = (w[:, 0] - a[k, 0]) / 10.0
+        want = np.hypot(np.polyfit(t, w[:, 2], 1)[0], np.polyfit(t, w[:, 3], 1)[0])
+        assert abs(got[int(a[k, 0])] - want) < 1e-5
+
+
+def test_smoothing_of_long_tracks(spark):
+    r = random.Random(4)
+    raw = [None if r.random() < 0.1 else r.choice([0.0, r.uniform(0, 300)]) for _ in range(3000)]
+    df = spark.createDataFrame([(1, 1, 0, 7 * k, v) for k, v in enumerate(raw)], "video_id long, tracker_id long, session long, frame_number long, raw_speed_px_s double")
+    got = {x.frame_number // 7: x.speed_px_s for x in tracks.smoothed_speed(df).collect()}
+    last = None
+    for k, v in enumerate(raw):
+        if v is None:
+            assert got[k] is None
+            continue
+        last = v if last is None else 0.25 * v + 0.75 * last
+        assert abs(got[k] - last) < 1e-9
+    assert "PythonUDF" not in (plan := tracks.smoothed_speed(df)._jdf.queryExecution().executedPlan().toString()) and "MapInPandas" not in plan
+
+
+def test_unique_tracks_over_ranges_of_frames(spark):
+    r = random.Random(8)
+    rows = [(v, r.choice([-1, *range(40)]), r.choice([r.randint(0, 20_000), 4095, 4096]), 0, 0.0, 0.0) for v in (1, 2) for _ in range(300)]
+    got = {(x.video_id, x.frame_number): (x.active, x.unique_tracks) for x in tracks.running_unique_tracks(spark.createDataFrame(rows, TRACK)).collect()}
+    want = {(v, f): (sum(x[0] == v and x[2] == f for x in rows), len({x[1] for x in rows if x[0] == v and x[2] <= f and x[1] >= 0})) for v, _, f, *_ in rows}
+    assert got == want
+
+
+def test_ids_of_an_ended_video_are_freed(spark, tmp_path):
+    schema = "video_id long, tracker_id long, frame_number long"
+    parts = [[(1, t, f) for f in range(5) for t in range(f + 3)], [(1, 1, 3), (1, 9, 5), (2, 1, 6)], [(2, t, 900) for t in range(4)], [(2, 1, 1800)]]
+    held = []
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        query = frames.append_to(frames.frame_status_stream(stream, 0.038, 10.0, "5 seconds"), str(tmp_path / "out"), str(tmp_path / "log"))
+        query.awaitTermination()
+        held.append(query.lastProgress.stateOperators[0].numRowsTotal)
+    got = sorted((x.video_id, x.frame_number, x.active, x.unique_tracks, x.late) for x in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, 0, 3, 3, False), (1, 1, 4, 4, False), (1, 2, 5, 5, False), (1, 3, 1, 7, True), (1, 3, 6, 6, False), (1, 4, 7, 7, False), (1, 5, 1, 8, False), (2, 6, 1, 1, False), (2, 900, 4, 4, False), (2, 1800, 1, 1, False)]
+    assert {x.unit for x in spark.read.parquet(str(tmp_path / "out")).collect()} == {"KM/H @ 0.0380 M/PX"} and held[1] > held[-1]
+
+
 def test_late_rows_go(spark, tmp_path):
-    t = tracks.Tracker()
+    t = Tracker()
     x = pd.DataFrame([(1, 5, 0, 0.0, 0.0, 9.0, 9.0, 0.9)], columns=["video_id", "frame_number", "det_no", "x1", "y1", "x2", "y2", "confidence"])
     assert len(t.run(x)) == 1 and len(t.run(x)) == 0
 
@@ -254,14 +293,15 @@ def test_evaluation(spark):
 def test_late_rows_are_marked_and_state_expires(spark, tmp_path):
     schema = "video_id long, tracker_id long, frame_number long, cx double, cy double"
     parts = [[(1, 1, f, 2.0 * f, 0.0) for f in range(10)], [(1, 1, 8, 0.0, 0.0), *((1, 1, f, 2.0 * f, 0.0) for f in range(10, 20))], [(1, 2, f, 1.0 * f, 0.0) for f in range(1000, 1010)], [(1, 2, f, 1.0 * f, 0.0) for f in range(2000, 2010)]]
+    held = []
     for n, part in enumerate(parts):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
         query = frames.append_to(frames.speed_stream(stream, 10.0, lateness="5 seconds"), str(tmp_path / "out"), str(tmp_path / "log"))
         query.awaitTermination()
-        held = query.lastProgress.stateOperators[0].numRowsTotal if query.lastProgress else None
+        held.append(query.lastProgress.stateOperators[0].numRowsTotal)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert [r.frame_number for r in got.filter("late").collect()] == [8] and got.filter("late and speed_px_s is not null").count() == 0
     assert got.filter("not late").count() == 40
     assert abs(got.filter("frame_number = 19").first().speed_px_s - 20) < 1e-6
-    assert held == 1  # the first track's state is gone
+    assert held[-1] == held[0]  # the first track's state is gone
