@@ -30,7 +30,7 @@ WORDS, PAIRS, LONG = 1 << 19, 1 << 21, 64
 #: Side of a tile; tiles a side that may become dense; share of a tile's cells that a batch must hit.
 SIDE, BUSY, FILL = 512, 6, 16
 #: Coordinates in a task's lists, and entries of its text counts, before they are given out.
-ROOM, TEXTS = 1 << 22, 200_000
+ROOM, TEXTS = 1 << 21, 200_000
 SALTS = 64
 #: Bytes of text whose words a task holds at once.
 CHUNK = 1 << 20
