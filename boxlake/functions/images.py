@@ -1,12 +1,14 @@
 """Picture signatures: luminance, thumbnails, difference hash, pixel similarity.
 
-Spark's image source gives blue, green, red bytes by rows. Thumbnails use a triangle filter as wide as the scale, rounded to whole levels after
-each of the two passes. Decoding is Spark's; only small vectors leave these helpers.
+Spark's image source gives blue, green, red bytes by rows. Luminance and thumbnails are integer arithmetic, as in the imaging library that the original data went through: 16-bit
+weights of the colours, and a triangle filter as wide as the scale whose weights have 22 bits, with levels rounded to 8 bits after the pass across and again after the pass down. So
+hashes are equal bit by bit. Decoding is Spark's; only small vectors leave these helpers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -16,6 +18,9 @@ from pyspark.sql import types as T
 
 THUMBNAIL = (32, 24)
 HASH_SIZE = (9, 8)
+#: Fixed values of the library: luminance weights of red, green and blue in 65,536ths, bits of a filter weight; the cut that takes the border off.
+RED, GREEN, BLUE, WEIGHT_BITS = 19595, 38470, 7471, 22
+INNER = (100, 100, 740, 612)
 MIN_STD, MIN_CORRELATION, MAX_DIFFERENCE = 10.0, 0.95, 10.0
 # types, not text: text is parsed by a session, which importing must not need
 SIGNATURE = T.StructType([T.StructField("dhash", T.StringType()), T.StructField("pixels", T.ArrayType(T.DoubleType())), T.StructField("pixel_std", T.DoubleType())])
@@ -30,25 +35,38 @@ def luminance(data: bytes, width: int, height: int, channels: int) -> np.ndarray
     blue, green, red = x[:, :, channels - 3], x[:, :, channels - 2], x[:, :, channels - 1]
     if channels == 4:  # alpha comes first
         blue, green, red = x[:, :, 1], x[:, :, 2], x[:, :, 3]
-    return (299 * red + 587 * green + 114 * blue + 500) // 1000
+    return (RED * red + GREEN * green + BLUE * blue + 0x8000) >> 16
 
 
-def crop_region(grey: np.ndarray, left: int = 100, top: int = 100, right: int = 740, bottom: int = 612) -> np.ndarray:
-    return grey[top:bottom, left:right]
+def crop_region(grey: np.ndarray, left: int = INNER[0], top: int = INNER[1], right: int = INNER[2], bottom: int = INNER[3]) -> np.ndarray:
+    """The region, black where it lies beyond the picture."""
+    part = grey[top:bottom, left:right]
+    return np.pad(part, ((0, bottom - top - part.shape[0]), (0, right - left - part.shape[1])))
 
 
-def _filter(size: int, target: int) -> np.ndarray:
-    """Weights (target, size) of a triangle filter that widens with the scale when shrinking."""
+@lru_cache(maxsize=256)
+def filter_weights(size: int, target: int) -> np.ndarray:
+    """Whole weights (target, size) of a triangle filter that widens with the scale when shrinking."""
     scale = size / target
     reach = max(scale, 1.0)
-    centre = (np.arange(target) + 0.5) * scale
-    w = np.maximum(0, 1 - np.abs(np.arange(size) + 0.5 - centre[:, None]) / reach)
-    return w / w.sum(1, keepdims=True)
+    centre = ((np.arange(target) + 0.5) * scale)[:, None]
+    x = np.arange(size)[None, :]
+    w = np.maximum(0.0, 1.0 - np.abs((x - centre + 0.5) * (1.0 / reach)))
+    w[(x < np.maximum(0, np.trunc(centre - reach + 0.5))) | (x >= np.minimum(size, np.trunc(centre + reach + 0.5)))] = 0.0
+    return np.floor(w / w.sum(1, keepdims=True) * (1 << WEIGHT_BITS) + 0.5).astype(np.int64)
+
+
+def _rounded(sums: np.ndarray) -> np.ndarray:
+    return np.clip((sums + (1 << (WEIGHT_BITS - 1))) >> WEIGHT_BITS, 0, 255)
 
 
 def gray_thumbnail(grey: np.ndarray, width: int, height: int) -> np.ndarray:
-    across = np.floor(grey @ _filter(grey.shape[1], width).T + 0.5)
-    return np.clip(np.floor(_filter(grey.shape[0], height) @ across + 0.5), 0, 255)
+    """Levels of the picture at another size: across first, then down; a side that stays is not filtered."""
+    if grey.shape[1] != width:
+        grey = _rounded(grey @ filter_weights(grey.shape[1], width).T)
+    if grey.shape[0] != height:
+        grey = _rounded(filter_weights(grey.shape[0], height) @ grey)
+    return grey
 
 
 def dhash(grey: np.ndarray) -> str:
@@ -58,19 +76,26 @@ def dhash(grey: np.ndarray) -> str:
     return f"{int(''.join('1' if b else '0' for b in bits), 2):016x}"
 
 
-@F.pandas_udf(SIGNATURE)
-def image_signature(data: pd.Series, width: pd.Series, height: pd.Series, channels: pd.Series, crop: pd.Series) -> pd.DataFrame:
-    """Hash, 768 thumbnail pixels and their standard deviation; nulls for pictures that weren't decoded."""
-    out = []
-    for d, w, h, c, cut in zip(data, width, height, channels, crop, strict=True):
-        if d is None or w <= 0 or h <= 0:
-            out.append((None, None, None))
-            continue
-        grey = luminance(d, int(w), int(h), int(c))
-        grey = crop_region(grey) if cut else grey
-        pixels = gray_thumbnail(grey, *THUMBNAIL).ravel()
-        out.append((dhash(grey), pixels, float(pixels.std())))
-    return pd.DataFrame(out, columns=["dhash", "pixels", "pixel_std"])
+def signature_of(box: tuple[int, int, int, int] = INNER) -> Callable[..., Column]:
+    """A function of columns (data, width, height, channels, crop): hash, 768 thumbnail pixels and their standard deviation, of the region `box` where crop is true; nulls for pictures that weren't decoded."""
+
+    @F.pandas_udf(SIGNATURE)
+    def signature(data: pd.Series, width: pd.Series, height: pd.Series, channels: pd.Series, crop: pd.Series) -> pd.DataFrame:
+        out = []
+        for d, w, h, c, cut in zip(data, width, height, channels, crop, strict=True):
+            if d is None or w <= 0 or h <= 0:
+                out.append((None, None, None))
+                continue
+            grey = luminance(d, int(w), int(h), int(c))
+            grey = crop_region(grey, *box) if cut else grey
+            pixels = gray_thumbnail(grey, *THUMBNAIL).ravel().astype(float)
+            out.append((dhash(grey), pixels, float(pixels.std())))
+        return pd.DataFrame(out, columns=["dhash", "pixels", "pixel_std"])
+
+    return signature
+
+
+image_signature = signature_of()
 
 
 @F.pandas_udf(SIMILARITY)

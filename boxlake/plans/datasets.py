@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.functions.images import HASH_SIZE, THUMBNAIL, bits_to_hex, image_signature
+from boxlake.functions.images import HASH_SIZE, THUMBNAIL, bits_to_hex, image_signature, signature_of
 from boxlake.operators import annotations as an
 from boxlake.operators import audit, dedup, leakage, splits
 from boxlake.plans.fixtures import ctes, frame
 from boxlake.scratch import scratch_dir
-from boxlake.sources import labels, sinks
+from boxlake.sources import coco, labels, sinks
 
 
 def _grey_sql(n: int) -> str:
@@ -255,13 +255,36 @@ SELECT b.annotation_id AS old_id, split, new_id AS image_id, row_number() OVER (
 
 
 def coco_documents(s, d):
-    """Documents per split, written and read again."""
+    """Documents per split, written in ranges and read again by ranges."""
     images, boxes = _numbered(s, d)
     images = images.withColumn("raw_split", F.col("split"))
     boxes = boxes.select("split", "annotation_id", "image_id", F.lit(1).alias("category_id"), "x", "y", "w", "h", F.round(F.col("w") * F.col("h"), 3).alias("area"), F.lit(0).alias("iscrowd"))
     path = scratch_dir(s)
     sinks.write_coco_json(images, boxes, path)
-    return labels.read_coco_lines(s, path)["annotations"].select("split", "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "area")
+    back = coco.read_coco(s, {split: f"{path}/split={split}" for split in splits.FRACTIONS})
+    return back["annotations"].select("split", "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "area")
+
+
+def foreign_documents(s, d):
+    """A document of another layout: lists in another order, objects over several lines, nested fields, texts with braces and quotes."""
+    images, boxes, path = frame(s, d, "fx_images"), frame(s, d, "fx_boxes"), scratch_dir(s)
+    image = F.struct(F.struct(F.lit('say "}, {"').alias("by"), F.array(F.struct(F.lit("[").alias("k"))).alias("tags")).alias("extra"), F.concat(F.lit('a\\"}]'), "file_name").alias("file_name"), F.col("image_id").alias("id"), "height", "width")
+    note = F.struct(F.array("x", "y", "w", "h").alias("bbox"), F.struct(F.array(F.lit(1)).alias("counts")).alias("segmentation"), F.col("image_id"), F.col("annotation_id").alias("id"))
+
+    def lines(rows, part, id_, item):
+        first = rows.agg(F.min(id_).alias("least"))
+        text = F.regexp_replace(F.to_json(item), r',"', ',\n  "')
+        return rows.join(F.broadcast(first)).select(F.lit(part).alias("part"), F.col(id_).alias("id"), F.concat(F.when(F.col(id_) > F.col("least"), ",").otherwise(""), text).alias("value"))  # one row
+
+    fixed = s.createDataFrame([(0, 0, '{"annotations" : ['), (2, 0, '], "info": {"about": {"a": {}}}, "images":\n['), (4, 0, "]}")], "part int, id bigint, value string")
+    rows = lines(boxes, 1, "annotation_id", note).unionByName(lines(images, 3, "image_id", image)).unionByName(fixed)
+    rows.repartitionByRange("part", "id").sortWithinPartitions("part", "id").select("value").write.text(path)
+    tables = coco.read_coco(s, {"all": path})
+    notes = tables["annotations"].groupBy("image_id").agg(F.count("*").alias("boxes"), F.round(F.sum(F.col("x") + F.col("w")), 3).alias("sum"))
+    return tables["images"].join(notes, "image_id", "left").select("split", "image_id", "file_name", "width", "height", "boxes", "sum")
+
+
+_FOREIGN = ctes("fx_images", "fx_boxes") + """SELECT 'all' AS split, i.image_id, concat('a', chr(92), '"}]', file_name) AS file_name, width, height, boxes, sum FROM fx_images i LEFT JOIN (SELECT image_id, count(*) AS boxes, round(sum(x + w), 3) AS sum FROM fx_boxes GROUP BY image_id) b ON b.image_id = i.image_id"""
 
 
 _COCO = ctes("fx_images", "fx_boxes") + """, di AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('42|' || file_name), file_name) AS new_id FROM fx_images)
@@ -356,7 +379,55 @@ _SIGNATURES = """WITH d AS (SELECT doc_id, coalesce(n_chars, 0) AS n FROM docume
 SELECT doc_id, printf('%016x', CAST(list_sum([CASE WHEN v[(k // 8) * 9 + k % 8 + 2] > v[(k // 8) * 9 + k % 8 + 1] THEN CAST(1 AS UBIGINT) << (63 - k) ELSE CAST(0 AS UBIGINT) END FOR k IN range(0, 64)]) AS UBIGINT)) AS dhash,
   CAST(list_sum([v[i] * i FOR i IN range(1, 769)]) AS DOUBLE) AS weighted_pixels, round(list_stddev_pop(v), 4) AS pixel_std FROM l"""
 
+#: Sides of the coloured pictures, and the region that is cut out of some.
+WIDE, HIGH, REGION = 54, 40, (6, 5, 48, 35)
+
+
+def resized_pictures(s, d):
+    """Three-channel pictures from whole texts, larger than the thumbnails, a third of them cut to a region."""
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    part = lambda k: F.conv(F.substring(digest, 1 + 4 * k, 4), 16, 10).cast("bigint")
+    rows = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.array(F.struct(*(part(k).alias(f"m{k}") for k in range(3)))).alias("m"), (F.col("doc_id") % 3 == 0).alias("crop"))
+    # the byte at 3 * (y * width + x) + channel: blue, green, red
+    level = lambda m, i: F.lower(F.lpad(F.hex((m["m0"] * i * (i % 251) + F.floor(m["m1"] * i / 7) + m["m2"] * (i % 3)) % 256), 2, "0"))
+    places = F.sequence(F.lit(0).cast("bigint"), F.lit(3 * WIDE * HIGH - 1).cast("bigint"))
+    data = F.transform("m", lambda m: F.unhex(F.array_join(F.transform(places, lambda i: level(m, i)), "")))[0]  # the digest is taken once
+    signed = rows.select("doc_id", signature_of(REGION)(data, F.lit(WIDE), F.lit(HIGH), F.lit(3), F.col("crop")).alias("s"))
+    total = F.aggregate(F.zip_with("s.pixels", F.sequence(F.lit(1), F.lit(768)), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
+    return signed.select("doc_id", F.col("s.dhash").alias("dhash"), total.alias("weighted_pixels"), F.round("s.pixel_std", 4).alias("pixel_std"))
+
+
+def _resized() -> str:
+    """Integer arithmetic by rows: levels, weights of both passes, sums."""
+    left, top, right, bottom = REGION
+
+    def weights(name: str, target: int, side: str) -> str:
+        """By picture class (cut or not): weights of each source place for each target place."""
+        return f"""{name}_w AS (SELECT crop, t, p, greatest(0e0, 1e0 - abs((p - c + 0.5e0) * (1e0 / r))) AS w FROM (SELECT crop, size, t, (t + 0.5e0) * (size / {target}e0) AS c, greatest(size / {target}e0, 1e0) AS r, unnest(range(size)) AS p
+  FROM (SELECT crop, {side} AS size, unnest(range({target})) AS t FROM sides)) z WHERE p >= greatest(0, trunc(c - r + 0.5e0)) AND p < least(size, trunc(c + r + 0.5e0))),
+{name} AS (SELECT crop, t, p, CAST(floor(w / sum(w) OVER (PARTITION BY crop, t) * 4194304e0 + 0.5e0) AS BIGINT) AS k FROM {name}_w)"""
+
+    def passes(name: str, width: int, height: int) -> str:
+        return f"""{weights(name + '_x', width, 'wide')},
+{weights(name + '_y', height, 'high')},
+{name}_a AS (SELECT doc_id, l.crop, y, t AS x, least(255, greatest(0, (sum(v * k) + 2097152) // 4194304)) AS v FROM l JOIN {name}_x f ON f.crop = l.crop AND f.p = l.x GROUP BY ALL),
+{name} AS (SELECT doc_id, t AS y, x, least(255, greatest(0, (sum(v * k) + 2097152) // 4194304)) AS v FROM {name}_a a JOIN {name}_y f ON f.crop = a.crop AND f.p = a.y GROUP BY doc_id, t, x)"""
+
+    byte = lambda c: f"((m0 * ({c}) * (({c}) % 251) + CAST(floor(m1 * ({c}) / 7e0) AS BIGINT) + m2 * (({c}) % 3)) % 256)"
+    hash_bits = "CASE WHEN v > lag(v) OVER (PARTITION BY doc_id, y ORDER BY x) THEN CAST(1 AS UBIGINT) << CAST(63 - (y * 8 + x - 1) AS INTEGER) ELSE CAST(0 AS UBIGINT) END"
+    return f"""WITH m AS (SELECT doc_id, doc_id % 3 = 0 AS crop, CAST('0x' || substr(h, 1, 4) AS BIGINT) AS m0, CAST('0x' || substr(h, 5, 4) AS BIGINT) AS m1, CAST('0x' || substr(h, 9, 4) AS BIGINT) AS m2 FROM (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents) z),
+sides AS (SELECT true AS crop, {right - left} AS wide, {bottom - top} AS high UNION ALL SELECT false, {WIDE}, {HIGH}),
+i AS (SELECT *, 3 * n AS b FROM (SELECT *, unnest(range({WIDE * HIGH})) AS n FROM m) z),
+g AS (SELECT doc_id, crop, n % {WIDE} AS x, n // {WIDE} AS y, (19595 * {byte('b + 2')} + 38470 * {byte('b + 1')} + 7471 * {byte('b')} + 32768) // 65536 AS v FROM i),
+l AS (SELECT doc_id, crop, CASE WHEN crop THEN x - {left} ELSE x END AS x, CASE WHEN crop THEN y - {top} ELSE y END AS y, v FROM g WHERE NOT crop OR (x >= {left} AND x < {right} AND y >= {top} AND y < {bottom})),
+{passes('th', *THUMBNAIL)},
+{passes('ha', *HASH_SIZE)},
+hb AS (SELECT doc_id, printf('%016x', CAST(sum(bit) AS UBIGINT)) AS dhash FROM (SELECT doc_id, x, {hash_bits} AS bit FROM ha) z WHERE x > 0 GROUP BY doc_id)
+SELECT th.doc_id, any_value(dhash) AS dhash, CAST(sum(v * (y * {THUMBNAIL[0]} + x + 1)) AS DOUBLE) AS weighted_pixels, round(stddev_pop(v), 4) AS pixel_std FROM th JOIN hb ON hb.doc_id = th.doc_id GROUP BY th.doc_id"""
+
+
 QUERIES = {
+    "resized_pictures": (resized_pictures, _resized()),
     "dataset_tables": (dataset_tables, _TABLES),
     "report_lines": (report_lines, _REPORT_LINES),
     "removed_names": (removed_names, _REMOVED),
@@ -382,4 +453,5 @@ QUERIES = {
     "split_report": (split_report, _REPORT),
     "dense_ids": (dense_ids, _DENSE),
     "coco_documents": (coco_documents, _COCO),
+    "foreign_documents": (foreign_documents, _FOREIGN),
 }

@@ -121,8 +121,8 @@ def coco_tables(documents: DataFrame) -> dict[str, DataFrame]:
     return {"images": images, "annotations": notes.withColumns(box).drop("bbox"), "categories": categories}
 
 
-def read_coco(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    """Tables of one document per split; paths: split name to file."""
+def read_coco_whole(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """Tables of one small document per split, each parsed as one row; coco.read_coco() reads documents of any size. paths: split name to file."""
     out = None
     for split, path in paths.items():
         one = spark.read.schema(COCO_SCHEMA).json(path, multiLine=True).withColumn("split", F.lit(split))
@@ -130,17 +130,6 @@ def read_coco(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame
     return coco_tables(out)
 
 
-def read_coco_lines(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """images and annotations tables of the documents that sinks.write_coco_json() has written, line by line, so that no document is held whole."""
-    item = "id bigint, image_id bigint, category_id int, bbox array<double>, area double, iscrowd int, file_name string, width int, height int, source_dataset string, sequence_group string, raw_split string"
-    lines = spark.read.text(path).filter(F.col("value").rlike(r"^,?\{\"id\":"))
-    rows = lines.select("split", F.explode(F.array(F.from_json(F.regexp_replace("value", "^,", ""), item))).alias("r")).select("split", "r.*")
-    images = rows.filter("file_name is not null").select("split", F.col("id").alias("image_id"), "file_name", "width", "height", "source_dataset", "sequence_group", "raw_split")
-    box = {k: F.when(F.size("bbox") == 4, F.get("bbox", F.lit(i))) for i, k in enumerate("xywh")}
-    notes = rows.filter("image_id is not null").select("split", F.col("id").alias("annotation_id"), "image_id", "category_id", "area", "iscrowd", "bbox")
-    return {"images": images, "annotations": notes.withColumns(box).drop("bbox")}
-
-
 def read_detections(rows: DataFrame, start_frame: int = 0, max_frames: int | None = None) -> DataFrame:
     """Detections (batch or stream) of the frames from start_frame on, max_frames of them at most."""
     if start_frame < 0:

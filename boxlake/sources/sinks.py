@@ -40,11 +40,32 @@ def to_coco_struct(images: DataFrame, annotations: DataFrame, seed: int = 42, de
 
 
 def write_coco_json(images: DataFrame, annotations: DataFrame, path: str, **info) -> None:
-    """One document per split below split=<name>, streamed line by line into one file."""
-    lines = to_coco_struct(images, annotations, **info).repartition("split").sortWithinPartitions("split", "part", "id")
+    """One document per split below split=<name>, as parts that make it in the order of their names.
+
+    Lines are dealt out by ranges of (split, part, id) and sorted in each, so a task holds a range of a document at most. `coco.read_coco` reads such a folder as the document it is.
+    """
+    order = ["split", "part", "id"]
+    lines = to_coco_struct(images, annotations, **info).repartitionByRange(*order).sortWithinPartitions(*order)
     lines.select("split", "value").write.mode("errorifexists").partitionBy("split").text(path)
 
 
+def join_parts(spark: SparkSession, folder: str, path: str) -> None:
+    """Copy a document's parts to one file, in the order of their names, piece by piece: for readers that want a single file."""
+    hadoop, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path
+    source = place(folder)
+    fs, target = source.getFileSystem(hadoop), place(path)
+    parts = sorted((f.getPath().toString() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")))
+    out = target.getFileSystem(hadoop).create(target, False)
+    try:
+        for part in parts:
+            data = fs.open(place(part))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(data, out, 1 << 16, False)
+            data.close()
+    finally:
+        out.close()
+
+
 def sorted_reports(report: DataFrame, *keys: str) -> DataFrame:
     return report.orderBy(*keys)
 

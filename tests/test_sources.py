@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from boxlake.functions import images
 from boxlake.operators import annotations as an
 from boxlake.operators import audit
-from boxlake.sources import labels, sinks
+from boxlake.sources import coco, labels, sinks
 
 
 def png(path, rgb):
@@ -88,17 +88,20 @@ def test_coco_round_trip(spark, tmp_path):
     notes = spark.createDataFrame([("train", 2, 2, 1, 1.0, 2.0, 3.0, 4.0, 12.0, 0), ("train", 1, 1, 1, 5.0, 6.0, 2.0, 2.0, 4.0, 0)], "split string, annotation_id long, image_id long, category_id int, x double, y double, w double, h double, area double, iscrowd int")
     out = str(tmp_path / "coco")
     sinks.write_coco_json(pics, notes, out)
-    file = next((tmp_path / "coco" / "split=train").glob("*.txt"))
+    assert len(list((tmp_path / "coco" / "split=train").glob("part-*.txt"))) > 1  # no task writes a whole document
+    file = tmp_path / "train.json"
+    sinks.join_parts(spark, str(tmp_path / "coco" / "split=train"), str(file))
     doc = json.loads(file.read_text())
     assert [i["id"] for i in doc["annotations"]] == [1, 2] and doc["annotations"][1]["bbox"] == [1.0, 2.0, 3.0, 4.0] and doc["licenses"] == []
-    back = labels.read_coco(spark, {"train": str(file)})
+    back = coco.read_coco(spark, {"train": str(file)})
     assert back["annotations"].select("annotation_id", "x", "w").orderBy("annotation_id").collect() == [(1, 5.0, 2.0), (2, 1.0, 3.0)]
-    lines = labels.read_coco_lines(spark, out)
-    assert sorted(map(str, lines["annotations"].select(sorted(back["annotations"].columns)).collect())) == sorted(map(str, back["annotations"].select(sorted(back["annotations"].columns)).collect()))
-    assert sorted(map(str, lines["images"].select(back["images"].columns).collect())) == sorted(map(str, back["images"].collect()))
+    for other in (coco.read_coco(spark, {"train": str(tmp_path / "coco" / "split=train")}), labels.read_coco_whole(spark, {"train": str(file)})):
+        for name in ("images", "annotations"):
+            cols = sorted(back[name].columns)
+            assert sorted(map(str, other[name].select(cols).collect())) == sorted(map(str, back[name].select(cols).collect()))
     assert back["images"].count() == 2 and audit.audit_issues(back["annotations"], back["images"], back["categories"]).count() == 0
     (tmp_path / "empty.json").write_text("{}")
-    none = labels.read_coco(spark, {"test": str(tmp_path / "empty.json")})
+    none = coco.read_coco(spark, {"test": str(tmp_path / "empty.json")})
     assert none["images"].count() == 0 and audit.unexpected_categories(none["categories"]).first().value == 1
     with pytest.raises(Exception, match="(?i)exists"):
         sinks.write_coco_json(pics, notes, out)
