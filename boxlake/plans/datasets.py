@@ -387,11 +387,10 @@ def resized_pictures(s, d):
     """Three-channel pictures from whole texts, larger than the thumbnails, a third of them cut to a region."""
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
     part = lambda k: F.conv(F.substring(digest, 1 + 4 * k, 4), 16, 10).cast("bigint")
-    rows = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.array(F.struct(*(part(k).alias(f"m{k}") for k in range(3)))).alias("m"), (F.col("doc_id") % 3 == 0).alias("crop"))
-    # the byte at 3 * (y * width + x) + channel: blue, green, red
-    level = lambda m, i: F.lower(F.lpad(F.hex((m["m0"] * i * (i % 251) + F.floor(m["m1"] * i / 7) + m["m2"] * (i % 3)) % 256), 2, "0"))
-    places = F.sequence(F.lit(0).cast("bigint"), F.lit(3 * WIDE * HIGH - 1).cast("bigint"))
-    data = F.transform("m", lambda m: F.unhex(F.array_join(F.transform(places, lambda i: level(m, i)), "")))[0]  # the digest is taken once
+    rows = s.read.parquet(f"{d}/documents.parquet").select("doc_id", F.explode(F.array(F.struct(*(part(k).alias(f"m{k}") for k in range(3))))).alias("m"), (F.col("doc_id") % 3 == 0).alias("crop"))
+    # behind a generator, so that the digest is taken once a text; the byte at 3 * (y * width + x) + channel: blue, green, red
+    level = lambda i: F.lower(F.lpad(F.hex((F.col("m.m0") * i * (i % 251) + F.floor(F.col("m.m1") * i / 7) + F.col("m.m2") * (i % 3)) % 256), 2, "0"))
+    data = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(3 * WIDE * HIGH - 1).cast("bigint")), level), ""))
     signed = rows.select("doc_id", signature_of(REGION)(data, F.lit(WIDE), F.lit(HIGH), F.lit(3), F.col("crop")).alias("s"))
     total = F.aggregate(F.zip_with("s.pixels", F.sequence(F.lit(1), F.lit(768)), lambda x, i: x * i), F.lit(0.0), lambda a, x: a + x)
     return signed.select("doc_id", F.col("s.dhash").alias("dhash"), total.alias("weighted_pixels"), F.round("s.pixel_std", 4).alias("pixel_std"))
