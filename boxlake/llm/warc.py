@@ -139,44 +139,72 @@ def export_files(spark: SparkSession, path: str, out: str, compression: str = "g
 
 
 def _members(data: bytes) -> Iterator[bytes]:
-    """The expanded members of a gzip file, of which there may be one for each record; other data as it is."""
+    """The expanded bytes of a gzip file, of one member or many, about PIECE at a time; other data as it is. Each byte of the file is taken once."""
     import zlib
 
+    view, at = memoryview(data), 0
     if data[:2] != b"\x1f\x8b":
-        yield data
+        yield from (view[k : k + PIECE] for k in range(0, len(view), PIECE))
         return
-    while data[:2] == b"\x1f\x8b":
+    while bytes(view[at : at + 2]) == b"\x1f\x8b":
         z = zlib.decompressobj(31)
-        yield z.decompress(data)
-        data = z.unused_data
+        while not z.eof and at < len(view):
+            piece = view[at : at + PIECE]
+            out = z.decompress(piece, PIECE)
+            at += len(piece) - len(z.unused_data if z.eof else z.unconsumed_tail)
+            yield out
+        if not z.eof and (out := z.flush()):  # what the last bytes still held
+            yield out
+        if not z.eof:
+            raise ValueError("a gzip member that is cut off")
+        while bytes(view[at : at + 1]) == b"\x00":  # padding between members
+            at += 1
 
 
 def _parse(parts: Iterator[bytes]) -> Iterator[tuple[bytes, bytes]]:
-    """Header block and block of each record; a record without a length, or cut off, is an error that shows its header."""
-    held = b""
+    """Header block and block of each record; a record without a length, or cut off, is an error that shows its header.
+
+    Parts gather until the record that has begun is whole, whatever its size.
+    """
+    held, wanted, begin = bytearray(), 0, True
     for part in parts:
-        held, at = (held + part).lstrip(b"\r\n"), 0
-        while (stop := held.find(b"\r\n\r\n", at)) >= 0:
-            header = held[at : stop + 4]
+        held += part
+        while len(held) >= wanted:
+            at = 0
+            if begin:  # a record ends with two line breaks
+                while held[at : at + 1] in (b"\r", b"\n"):
+                    at += 1
+            if at:
+                del held[:at]
+            stop = held.find(b"\r\n\r\n")
+            if stop < 0:
+                begin, wanted = not held, len(held) + 1
+                break
+            header = bytes(held[: stop + 4])
             size = next((x[15:] for x in header.split(b"\r\n") if x[:15].lower() == b"content-length:"), b"").strip()
             if not size.isdigit():
                 raise ValueError(f"a record without a length: {header[:200]!r}")
             end = stop + 4 + int(size)
             if end > len(held):
+                begin, wanted = False, end
+                break
+            yield header, bytes(held[stop + 4 : end])
+            del held[:end]
+            begin, wanted = True, 0
+            if not held:
                 break
-            yield header, held[stop + 4 : end]
-            at = end
-            while held[at : at + 1] in (b"\r", b"\n"):  # a record ends with two line breaks
-                at += 1
-        held = held[at:]
     if held.strip():
-        raise ValueError(f"a record that is cut off: {held[:200]!r}")
+        raise ValueError(f"a record that is cut off: {bytes(held[:200])!r}")
+
+
+#: Bytes that are expanded at a time.
+PIECE = 1 << 20
 
 
 def import_files(spark: SparkSession, path: str, rows: int = 256) -> DataFrame:
     """header_bytes, header (as text, for fields) and block of each record of the WARC files of a folder.
 
-    A file is read whole but expanded a member at a time, and its records leave in small batches.
+    A file is read whole but expanded PIECE bytes at a time, and its records leave in small batches.
     """
 
     def batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:

@@ -82,3 +82,32 @@ def test_foreign_records_are_restored_byte_for_byte(spark, tmp_path):
 def test_damaged_files_say_what_is_wrong(data, said):
     with pytest.raises(ValueError, match=said):
         list(warc._parse(iter([data])))
+
+
+def test_reading_takes_time_in_proportion_to_the_file():
+    import gzip
+    import os
+    import time
+
+    def took(n):
+        record = lambda k: b"WARC/1.0\r\nContent-Length: 2000\r\n\r\n" + os.urandom(1990) + b"%010d" % k + b"\r\n\r\n"
+        data = b"".join(gzip.compress(record(k), 1) for k in range(n))
+        began, got = time.process_time(), [b[-10:] for _, b in warc._parse(warc._members(data))]
+        assert got == [b"%010d" % k for k in range(n)]
+        return time.process_time() - began
+
+    took(100)
+    assert took(16_000) < 3 * took(8_000) + 0.5  # 32 MB and 16 MB
+
+
+@pytest.mark.parametrize("piece", [7, 100, 1 << 20])
+def test_records_in_any_pieces(monkeypatch, piece):
+    import gzip
+
+    monkeypatch.setattr(warc, "PIECE", piece)
+    records = [(b"WARC/1.0\r\nContent-Length: %d\r\n\r\n" % len(b), b) for b in (b"", b"\r\n", b"x" * 5000, b"a\r\n\r\nb" * 50, b"end")]
+    plain = b"".join(warc_bytes(records))
+    for data in (plain, gzip.compress(plain), b"".join(gzip.compress(x) for x in warc_bytes(records)), b"".join(gzip.compress(x) + b"\0" * 3 for x in warc_bytes(records))):
+        assert list(warc._parse(warc._members(data))) == records
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc._parse(warc._members(gzip.compress(plain)[:-9])))
