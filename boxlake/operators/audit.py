@@ -12,6 +12,8 @@ from boxlake.operators.dedup import manifest_diff
 from boxlake.scratch import stored
 
 QUANTILES = {"min": 0.0, "p01": 0.01, "p05": 0.05, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p95": 0.95, "p99": 0.99, "max": 1.0}
+#: Accuracy of the sketches of exact quantiles, and half the width of a bracket in steps of 1 / SKETCH.
+SKETCH, SPREAD = 20_000, 3
 
 
 def flagged(annotations: DataFrame, images: DataFrame) -> DataFrame:
@@ -104,10 +106,11 @@ def boxes_per_image(images: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def quantiles(rows: DataFrame, by: list[str], values: list[str], approximate: bool = False) -> DataFrame:
-    """by, metric, quantile, value: linear interpolation, rounded to 6. approximate: percentile sketches instead.
+    """by, metric, quantile, value: linear interpolation, rounded to 6. approximate: percentile sketches alone.
 
-    The exact form counts each value, deals the values out in ranges and sums ranges before it numbers values, so
-    no group meets in one task; only the ranges in which a wanted rank lies are looked at again.
+    The exact form takes sketches of all values in one pass, with partial results, and from them a bracket around each wanted pair of neighbouring ranks. A second pass counts what lies
+    below each bracket and keeps, as values with counts, only what lies inside: about SPREAD of 2 * SKETCH values each. Ranks are then found inside their brackets. A sketch's error is
+    bounded; should a bracket still miss its rank, that one is taken as wide as the values.
     """
     names = F.array(*(F.struct(F.lit(k).alias("quantile"), F.lit(f).alias("f")) for k, f in QUANTILES.items()))
     if approximate:
@@ -117,21 +120,53 @@ def quantiles(rows: DataFrame, by: list[str], values: list[str], approximate: bo
         long = long.select(*by, "metric", F.explode(F.arrays_zip(names.alias("n"), F.col("q").alias("value"))).alias("z"))
         return long.select(*by, "metric", F.col("z.n.quantile").alias("quantile"), F.round("z.value", 6).alias("value"))
     keys = [*by, "metric"]
-    each = rows.select(*by, *(F.col(v).cast("double").alias(v) for v in values)).selectExpr(*by, _stacked(values, "v")).filter("v is not null")
-    counts = stored(each.groupBy(*keys, "v").agg(F.count("*").alias("n")))
-    counts = stored(counts.repartitionByRange(*keys, "v").withColumn("part", F.spark_partition_id()))
-    before = F.sum("m").over(W.partitionBy(*keys).orderBy("part"))
-    parts = counts.groupBy(*keys, "part").agg(F.sum("n").alias("m")).withColumn("upto", before)
-    parts = stored(parts.withColumn("total", F.sum("m").over(W.partitionBy(*keys))))
-    wanted = parts.select(*keys, "total").distinct().select(*keys, F.explode(names).alias("q"), "total").select(*keys, "q.*", (F.col("q.f") * (F.col("total") - 1)).alias("at"))
-    wanted = wanted.select(*keys, "quantile", "at", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"))
-    placed = parts.join(wanted, keys).filter("rank < upto and rank >= upto - m").select(*keys, "part", (F.col("upto") - F.col("m")).alias("first"), "quantile", "at", "rank")
-    inside = F.sum("n").over(W.partitionBy(*keys, "part").orderBy("v"))
-    numbered = counts.join(placed.select(*keys, "part").distinct(), [*keys, "part"], "left_semi").withColumn("end", inside)
-    found = numbered.join(placed, [*keys, "part"]).filter("rank < first + end and rank >= first + end - n")
+    rows = rows.select(*by, *(F.col(v).cast("double").alias(v) for v in values))
+    within = lambda f: min(max(f, 0.0), 1.0)
+    ends = F.array(*(F.lit(within(f + d * SPREAD / SKETCH)) for f in QUANTILES.values() for d in (-1, 1)))
+
+    def sketch(v: str) -> Column:
+        return F.struct(F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.percentile_approx(v, ends, F.lit(SKETCH)).alias("e"))
+
+    sketches = stored(rows.groupBy(*by).agg(*(sketch(v).alias(v) for v in values)).selectExpr(*by, _stacked(values, "s")).filter("s.n > 0").select(*keys, "s.*"))
+    rank = lambda f: F.floor(F.lit(f) * (F.col("n") - 1))
+    brackets = F.array(*(F.struct(F.lit(k).alias("k"), F.col("e")[2 * k].alias("lo"), F.col("e")[2 * k + 1].alias("hi"), rank(f).alias("r")) for k, f in enumerate(QUANTILES.values())))
+    told = sketches.select(*keys, "n", brackets.alias("b"), "least", "most")
+    each = rows.selectExpr(*by, _stacked(values, "v")).filter("v is not null")
+
+    def counted(told: DataFrame) -> DataFrame:
+        """keys, tag, v, n: for each number of brackets that a value lies below, how many values do; and the values inside bracket tag - 100."""
+        lower = F.struct(F.size(F.filter("b", lambda x: x["lo"] > F.col("v"))).alias("tag"), F.lit(None).cast("double").alias("v"))
+        inside = F.transform(F.filter("b", lambda x: (x["lo"] <= F.col("v")) & (x["hi"] >= F.col("v"))), lambda x: F.struct((x["k"] + 100).alias("tag"), F.col("v").alias("v")))
+        tags = each.join(F.broadcast(told.select(*keys, "b")), keys).select(*keys, F.explode(F.concat(F.array(lower), inside)).alias("t"))  # a row a group and metric
+        return stored(tags.groupBy(*keys, "t.tag", "t.v").agg(F.count("*").alias("c")))
+
+    def placed(told: DataFrame, counts: DataFrame) -> DataFrame:
+        """keys, k, r, n with below and inside: how many values lie below the bracket and in it. Brackets ascend, so a value below one is below all later ones."""
+        low = counts.filter("tag < 100").groupBy(*keys).agg(F.collect_list(F.struct("tag", "c")).alias("low"))
+        kept = counts.filter("tag >= 100").groupBy(*keys, (F.col("tag") - 100).alias("k")).agg(F.sum("c").alias("inside"))
+        one = told.join(low, keys).select(*keys, "n", "least", "most", "low", F.explode("b").alias("x")).select(*keys, "n", "least", "most", "low", "x.*")
+        below = F.aggregate(F.filter("low", lambda y: y["tag"] >= len(QUANTILES) - F.col("k")), F.lit(0).cast("bigint"), lambda a, y: a + y["c"])
+        return one.join(kept, [*keys, "k"], "left").select(*keys, "k", "r", "n", "least", "most", below.alias("below"), F.coalesce("inside", F.lit(0)).alias("inside"))
+
+    counts = counted(told)
+    places = placed(told, counts)
+    last = F.least(F.col("r") + 1, F.col("n") - 1)
+    missed = (F.col("below") > F.col("r")) | (F.col("below") + F.col("inside") <= last)
+    if places.filter(missed).limit(1).count():
+        wide = F.transform("b", lambda x: F.struct(x["k"].alias("k"), F.col("least").alias("lo"), F.col("most").alias("hi"), x["r"].alias("r")))
+        told = told.join(places.filter(missed).select(*keys).distinct().withColumn("wide", F.lit(True)), keys, "left").withColumn("b", F.when(F.coalesce("wide", F.lit(False)), wide).otherwise(F.col("b"))).drop("wide")
+        counts = counted(told)
+        places = placed(told, counts)
+    at = F.element_at(F.array(*(F.lit(f) for f in QUANTILES.values())), F.col("k") + 1) * (F.col("n") - 1)
+    running = F.sum("c").over(W.partitionBy(*keys, "k").orderBy("v"))
+    numbered = counts.filter("tag >= 100").select(*keys, (F.col("tag") - 100).alias("k"), "v", "c").withColumn("end", running)
+    found = numbered.join(F.broadcast(places), [*keys, "k"]).withColumns({"at": at, "last": last, "end": F.col("end") + F.col("below")})  # a row a group, metric and quantile
     # of two neighbouring ranks each counts by its nearness
-    share = F.when(F.floor("at") == F.ceil("at"), 1.0).otherwise(1 - F.abs(F.col("at") - F.col("rank")))
-    return found.groupBy(*keys, "quantile").agg(F.round(F.sum(F.col("v") * share), 6).alias("value"))
+    part = F.col("at") - F.col("r")
+    holds = lambda r: (F.col(r) < F.col("end")) & (F.col(r) >= F.col("end") - F.col("c"))
+    share = F.when(holds("r"), 1 - part).otherwise(0.0) + F.when(holds("last"), part).otherwise(0.0)
+    name = F.element_at(F.array(*(F.lit(k) for k in QUANTILES)), F.col("k") + 1)
+    return found.filter(holds("r") | holds("last")).groupBy(*keys, name.alias("quantile")).agg(F.round(F.sum(F.when(share > 0, F.col("v") * share).otherwise(0.0)), 6).alias("value"))
 
 
 def _stacked(values: list[str], name: str) -> str:

@@ -46,12 +46,44 @@ def slice_to_frame(rows: DataFrame) -> DataFrame:
     return rows.withColumns(shift).drop("tile_x", "tile_y")
 
 
+#: A frame's cells have twice the mean side of its boxes, and a sixteenth of its largest side at least, so a box touches 17 x 17 cells at most.
+MEANS, MOST_CELLS = 2.0, 16
+
+
+def _in_cells(boxes: DataFrame, keys: list[str], cell: Column) -> DataFrame:
+    """boxes (x1, y1, x2, y2) once for each cell of their frame that they touch."""
+    along = lambda a, b: F.sequence(F.floor(F.col(a) / cell), F.floor(F.greatest(F.col(a), F.col(b)) / cell))
+    return boxes.withColumn("_cx", F.explode(along("x1", "x2"))).withColumn("_cy", F.explode(along("y1", "y2")))
+
+
+def overlapping(left: DataFrame, right: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """Pairs of boxes of the same keys with an overlap of at least `least`: a and b (structs of the other columns) and iou.
+
+    Boxes meet in cells of a grid, whose side follows the frame's boxes, and a pair is taken in the cell of its intersection's first corner only; so a frame with many boxes takes
+    time in proportion to the pairs that touch, and is shared by as many tasks as it has cells. least must be above 0.
+    """
+    if not 0 < least <= 1:
+        raise ValueError("least must be above 0 and at most 1")
+    side = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    sides = left.select(*keys, side.alias("s")).unionByName(right.select(*keys, side.alias("s"))).filter("s >= 0")
+    cells = sides.groupBy(*keys).agg(F.greatest(F.avg("s") * MEANS, F.max("s") / MOST_CELLS, F.lit(1e-6)).alias("_cell"))
+
+    def dealt(rows: DataFrame, name: str) -> DataFrame:
+        rest = [c for c in rows.columns if c not in keys]
+        placed = _in_cells(rows.filter("x1 <= x2 and y1 <= y2").join(cells, keys), keys, F.col("_cell"))
+        return placed.select(*keys, "_cx", "_cy", "_cell", F.struct(*rest).alias(name))
+
+    both = dealt(left, "a").join(dealt(right, "b").drop("_cell"), [*keys, "_cx", "_cy"])
+    corner = lambda k, c: F.floor(F.greatest(F.col(f"a.{k}"), F.col(f"b.{k}")) / F.col("_cell")) == F.col(c)
+    box = lambda s: {k: F.col(f"{s}.{k}") for k in BOX}
+    return both.filter(corner("x1", "_cx") & corner("y1", "_cy")).withColumn("iou", iou(box("a"), box("b"))).filter(F.col("iou") >= least).select(*keys, "a", "b", "iou")
+
+
 def iou_pairs(rows: DataFrame, least: float = 0.5) -> DataFrame:
-    """Pairs of detections of one frame whose overlap exceeds `least`. The join is by frame, whose boxes are few."""
-    side = lambda s: rows.select(*FRAME, *(F.col(c).alias(f"{s}_{c}") for c in ["det_no", *BOX]))
-    both = side("a").join(side("b"), FRAME).filter("a_det_no < b_det_no")
-    box = lambda s: {k: F.col(f"{s}_{k}") for k in BOX}
-    return both.withColumn("iou", iou(box("a"), box("b"))).filter(F.col("iou") > least).select(*FRAME, "a_det_no", "b_det_no", "iou")
+    """Pairs of detections of one frame whose overlap exceeds `least`."""
+    boxes = rows.select(*FRAME, "det_no", *BOX)
+    pairs = overlapping(boxes, boxes, FRAME, max(least, 1e-9)).filter((F.col("a.det_no") < F.col("b.det_no")) & (F.col("iou") > least))
+    return pairs.select(*FRAME, F.col("a.det_no").alias("a_det_no"), F.col("b.det_no").alias("b_det_no"), "iou")
 
 
 def nms(rows: DataFrame, threshold: float = NMS_IOU) -> DataFrame:

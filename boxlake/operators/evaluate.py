@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.functions.geometry import iou
-from boxlake.operators.detections import BOX
+from boxlake.operators.detections import BOX, overlapping
 from boxlake.scratch import stored
 
 THRESHOLDS = [round(0.50 + 0.05 * k, 2) for k in range(10)]
@@ -26,10 +25,8 @@ def match_detections(detections: DataFrame, truth: DataFrame, thresholds: list[f
     By falling confidence each detection takes the free truth box it overlaps most, if by at least the threshold. Overlapping pairs of
     a picture, in that order, are folded once per threshold.
     """
-    d = ranked(detections).select("image_id", "rank", "det_no", *(F.col(c).alias(f"d_{c}") for c in BOX))
-    t = truth.select("image_id", "truth_no", *(F.col(c).alias(f"t_{c}") for c in BOX))
-    box = lambda s: {k: F.col(f"{s}_{k}") for k in BOX}
-    pairs = d.join(t, "image_id").withColumn("iou", iou(box("d"), box("t"))).filter(F.col("iou") >= min(thresholds))
+    d, t = ranked(detections).select("image_id", "rank", "det_no", *BOX), truth.select("image_id", "truth_no", *BOX)
+    pairs = overlapping(d, t, ["image_id"], min(thresholds)).select("image_id", "a.rank", "a.det_no", "b.truth_no", "iou")
     item = F.struct("rank", (-F.col("iou")).alias("less"), "truth_no", "det_no")
     lists = pairs.groupBy("image_id").agg(F.sort_array(F.collect_list(item)).alias("p"))
     lists = lists.withColumn("threshold", F.explode(F.array(*(F.lit(x) for x in thresholds))))

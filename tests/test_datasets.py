@@ -37,6 +37,33 @@ def test_quantiles(spark):
     assert not any(g == "none" for g, _ in got)
 
 
+@pytest.mark.parametrize("sketch, spread", [(20_000, 3), (40, 1), (20, 0)])  # the last misses ranks and takes brackets as wide as the values
+def test_exact_quantiles_at_any_accuracy(spark, monkeypatch, sketch, spread):
+    import numpy as np
+
+    monkeypatch.setattr(audit, "SKETCH", sketch)
+    monkeypatch.setattr(audit, "SPREAD", spread)
+    r = random.Random(sketch)
+    sets = {"even": [r.uniform(-5, 5) for _ in range(3000)], "ties": [float(r.choice([1, 1, 1, 2, 9])) for _ in range(2000)], "few": [3.0, -1.0, 7.5], "steps": [float(2**k) for k in range(40)]}
+    rows = [(g, v, -v) for g, vs in sets.items() for v in vs] + [("few", None, 1.0)]
+    got = {(x.g, x.metric, x.quantile): x.value for x in audit.quantiles(spark.createDataFrame(rows, "g string, a double, b double").repartition(5), ["g"], ["a", "b"]).collect()}
+    for g, vs in sets.items():
+        for name, f in audit.QUANTILES.items():
+            assert abs(got[g, "a", name] - np.quantile(vs, f)) < 1e-6 * max(1, abs(np.quantile(vs, f)))
+            more = [-v for v in vs] + ([1.0] if g == "few" else [])
+            assert abs(got[g, "b", name] - np.quantile(more, f)) < 1e-6 * max(1, abs(np.quantile(more, f)))
+
+
+def test_the_last_of_pictures_with_one_id_counts(spark):
+    images = spark.createDataFrame([("t", 1, 100, 100, "b"), ("t", 1, 10, 10, "a"), ("t", 1, 50, 50, "c")], "split string, image_id long, width int, height int, file_name string")
+    notes = spark.createDataFrame([("t", 7, 1, 1, 0.0, 0.0, 60.0, 5.0, 300.0), ("t", 8, 1, 1, -0.0005, 0.0, 6.0, 5.0, 30.0)], "split string, annotation_id long, image_id long, category_id int, x double, y double, w double, h double, area double")
+    for frame in (images, images.repartition(3), images.orderBy("width")):
+        got = audit.flagged(notes, frame).orderBy("annotation_id").collect()
+        assert [(x.file_name, x.width, x.out_of_bounds_boxes) for x in got] == [("c", 50, True), ("c", 50, True)]
+    placed = images.withColumn("position", -F.col("width"))
+    assert {x.file_name for x in audit.flagged(notes, placed).collect()} == {"a"}
+
+
 def test_decode_issues(spark):
     images = spark.createDataFrame([("t", "a", 10, 20), ("t", "b", 10, 20), ("t", "c", 10, 20)], "split string, file_name string, width int, height int")
     decoded = spark.createDataFrame([("t", "a", 10, 20, True), ("t", "b", 11, 20, True), ("t", "c", None, None, False)], "split string, file_name string, width int, height int, decode_ok boolean")

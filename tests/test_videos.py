@@ -51,6 +51,33 @@ def test_nms_matches_brute_force(spark):
     assert {(x.frame_number, x.det_no) for x in det.nms(spark.createDataFrame(rows, DET)).collect()} == want
 
 
+def test_pairs_of_a_dense_frame(spark):
+    import time
+
+    r = random.Random(6)
+    rows = [(1, 1, k, x := r.uniform(-3000, 3000), y := r.uniform(0, 6000), x + r.uniform(10, 40), y + r.uniform(10, 40), 0.9, "full") for k in range(20_000)]
+    rows += [(1, 1, 20_000 + k, -3000.0, 0.0, 3000.0 + k, 6000.0, 0.9, "full") for k in range(3)]  # and three that cover it
+    rows += [(1, 2, k, x := float(r.randint(0, 20)), y := float(r.randint(0, 20)), x + r.choice([0.0, 5.0, 9.0]), y + 8.0, 0.5, "full") for k in range(60)]
+    df = spark.createDataFrame(rows, DET).repartition(8)
+    began = time.time()
+    got = {(x.frame_number, x.a_det_no, x.b_det_no): x.iou for x in det.iou_pairs(df, 0.3).collect()}
+    assert time.time() - began < 60  # 200 million pairs if all were looked at
+    want = {}
+    for f in (1, 2):
+        boxes = np.array([x[3:7] for x in rows if x[1] == f])
+        for i in range(len(boxes)):
+            b = boxes[i + 1 :]
+            w = np.minimum(boxes[i, 2], b[:, 2]) - np.maximum(boxes[i, 0], b[:, 0])
+            h = np.minimum(boxes[i, 3], b[:, 3]) - np.maximum(boxes[i, 1], b[:, 1])
+            both = np.maximum(w, 0) * np.maximum(h, 0)
+            union = (boxes[i, 2] - boxes[i, 0]) * (boxes[i, 3] - boxes[i, 1]) + (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1]) - both
+            share = np.where(union > 0, both / np.where(union > 0, union, 1), 0)
+            want |= {(f, i, i + 1 + int(k)): share[k] for k in np.flatnonzero(share > 0.3)}
+    assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+    with pytest.raises(ValueError):
+        det.overlapping(df, df, det.FRAME, 0.0)
+
+
 def test_tiles(spark):
     df = spark.createDataFrame([(1, 1920, 1080), (2, 500, 960)], "image_id int, width int, height int")
     got = sorted((r.image_id, r.tile_x, r.tile_y, r.tile_width, r.tile_height) for r in det.slice_grid(df).collect())
