@@ -123,6 +123,7 @@ class Tiles:
 
     def _merge(self) -> None:
         key, n = np.concatenate([k for k, _ in self.lists]), np.concatenate([c for _, c in self.lists])
+        self.lists = []
         order = np.argsort(key, kind="stable")
         key, n = key[order], n[order]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)

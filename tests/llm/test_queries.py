@@ -20,7 +20,7 @@ def test_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
 
 
 def test_near_duplicates_match_brute_force(spark):
