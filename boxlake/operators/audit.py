@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,7 +16,7 @@ from boxlake.scratch import stored
 
 QUANTILES = {"min": 0.0, "p01": 0.01, "p05": 0.05, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p95": 0.95, "p99": 0.99, "max": 1.0}
 #: Accuracy of the sketches of exact quantiles, and half the width of a bracket in steps of 1 / SKETCH.
-SKETCH, SPREAD = 20_000, 3
+SKETCH, SPREAD = 10_000, 3
 
 
 def flagged(annotations: DataFrame, images: DataFrame) -> DataFrame:
@@ -120,7 +123,7 @@ def quantiles(rows: DataFrame, by: list[str], values: list[str], approximate: bo
         long = long.select(*by, "metric", F.explode(F.arrays_zip(names.alias("n"), F.col("q").alias("value"))).alias("z"))
         return long.select(*by, "metric", F.col("z.n.quantile").alias("quantile"), F.round("z.value", 6).alias("value"))
     keys = [*by, "metric"]
-    rows = rows.select(*by, *(F.col(v).cast("double").alias(v) for v in values))
+    rows = stored(rows.select(*by, *(F.col(v).cast("double").alias(v) for v in values)))
     within = lambda f: min(max(f, 0.0), 1.0)
     ends = F.array(*(F.lit(within(f + d * SPREAD / SKETCH)) for f in QUANTILES.values() for d in (-1, 1)))
 
@@ -128,38 +131,44 @@ def quantiles(rows: DataFrame, by: list[str], values: list[str], approximate: bo
         return F.struct(F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.percentile_approx(v, ends, F.lit(SKETCH)).alias("e"))
 
     sketches = stored(rows.groupBy(*by).agg(*(sketch(v).alias(v) for v in values)).selectExpr(*by, _stacked(values, "s")).filter("s.n > 0").select(*keys, "s.*"))
-    rank = lambda f: F.floor(F.lit(f) * (F.col("n") - 1))
-    brackets = F.array(*(F.struct(F.lit(k).alias("k"), F.col("e")[2 * k].alias("lo"), F.col("e")[2 * k + 1].alias("hi"), rank(f).alias("r")) for k, f in enumerate(QUANTILES.values())))
-    told = sketches.select(*keys, "n", brackets.alias("b"), "least", "most")
+    many = range(len(QUANTILES))
+    told = sketches.select(*keys, "n", "least", "most", *(F.col("e")[2 * k].alias(f"lo{k}") for k in many), *(F.col("e")[2 * k + 1].alias(f"hi{k}") for k in many))
     each = rows.selectExpr(*by, _stacked(values, "v")).filter("v is not null")
+    holds_value = lambda k: (F.col(f"lo{k}") <= F.col("v")) & (F.col(f"hi{k}") >= F.col("v"))
 
     def counted(told: DataFrame) -> DataFrame:
-        """keys, tag, v, n: for each number of brackets that a value lies below, how many values do; and the values inside bracket tag - 100."""
-        lower = F.struct(F.size(F.filter("b", lambda x: x["lo"] > F.col("v"))).alias("tag"), F.lit(None).cast("double").alias("v"))
-        inside = F.transform(F.filter("b", lambda x: (x["lo"] <= F.col("v")) & (x["hi"] >= F.col("v"))), lambda x: F.struct((x["k"] + 100).alias("tag"), F.col("v").alias("v")))
-        tags = each.join(F.broadcast(told.select(*keys, "b")), keys).select(*keys, F.explode(F.concat(F.array(lower), inside)).alias("t"))  # a row a group and metric
-        return stored(tags.groupBy(*keys, "t.tag", "t.v").agg(F.count("*").alias("c")))
-
-    def placed(told: DataFrame, counts: DataFrame) -> DataFrame:
-        """keys, k, r, n with below and inside: how many values lie below the bracket and in it. Brackets ascend, so a value below one is below all later ones."""
-        low = counts.filter("tag < 100").groupBy(*keys).agg(F.collect_list(F.struct("tag", "c")).alias("low"))
-        kept = counts.filter("tag >= 100").groupBy(*keys, (F.col("tag") - 100).alias("k")).agg(F.sum("c").alias("inside"))
-        one = told.join(low, keys).select(*keys, "n", "least", "most", "low", F.explode("b").alias("x")).select(*keys, "n", "least", "most", "low", "x.*")
-        below = F.aggregate(F.filter("low", lambda y: y["tag"] >= len(QUANTILES) - F.col("k")), F.lit(0).cast("bigint"), lambda a, y: a + y["c"])
-        return one.join(kept, [*keys, "k"], "left").select(*keys, "k", "r", "n", "least", "most", below.alias("below"), F.coalesce("inside", F.lit(0)).alias("inside"))
+        """keys, tag, v, c: how many values lie below `tag` brackets; those inside one or more are counted each for itself, others together."""
+        bounds = told.drop("n", "least", "most")
+        tag = sum(((F.col(f"lo{k}") > F.col("v")).cast("int") for k in many), F.lit(0))
+        inside = reduce(or_, (holds_value(k) for k in many))
+        tags = each.join(F.broadcast(bounds), keys).select(*keys, tag.alias("tag"), F.when(inside, F.col("v")).alias("v"))  # a row a group and metric
+        return stored(tags.groupBy(*keys, "tag", "v").agg(F.count("*").alias("c")))
+
+    def placed(told: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """keys, k, r, n with below and inside: how many values lie below the bracket and in it. Brackets ascend, so a value below one is below all later ones. And the values by bracket."""
+        marks = counts.filter("v is not null").join(F.broadcast(told.drop("n", "least", "most")), keys)
+        kept = marks.select(*keys, "v", "c", F.explode(F.array_compact(F.array(*(F.when(holds_value(k), F.lit(k)) for k in many)))).alias("k"))
+        sums = kept.groupBy(*keys, "k").agg(F.sum("c").alias("inside"))
+        low = counts.groupBy(*keys).agg(F.array(*(F.sum(F.when(F.col("tag") >= len(QUANTILES) - k, F.col("c")).otherwise(0)) for k in many)).alias("low"))
+        ranks = F.array(*(F.struct(F.lit(k).alias("k"), F.floor(F.lit(f) * (F.col("n") - 1)).alias("r")) for k, f in enumerate(QUANTILES.values())))
+        one = told.join(low, keys).select(*keys, "n", "low", F.explode(ranks).alias("x")).select(*keys, "n", "x.k", "x.r", F.get("low", F.col("x.k")).alias("below"))
+        return one.join(sums, [*keys, "k"], "left").select(*keys, "k", "r", "n", "below", F.coalesce("inside", F.lit(0)).alias("inside")), kept
 
     counts = counted(told)
-    places = placed(told, counts)
+    places, kept = placed(told, counts)
     last = F.least(F.col("r") + 1, F.col("n") - 1)
     missed = (F.col("below") > F.col("r")) | (F.col("below") + F.col("inside") <= last)
+    places = stored(places)
     if places.filter(missed).limit(1).count():
-        wide = F.transform("b", lambda x: F.struct(x["k"].alias("k"), F.col("least").alias("lo"), F.col("most").alias("hi"), x["r"].alias("r")))
-        told = told.join(places.filter(missed).select(*keys).distinct().withColumn("wide", F.lit(True)), keys, "left").withColumn("b", F.when(F.coalesce("wide", F.lit(False)), wide).otherwise(F.col("b"))).drop("wide")
+        again = told.join(places.filter(missed).select(*keys).distinct().withColumn("wide", F.lit(True)), keys, "left")
+        wide = F.coalesce("wide", F.lit(False))
+        ends = {f"lo{k}": F.when(wide, F.col("least")).otherwise(F.col(f"lo{k}")) for k in many} | {f"hi{k}": F.when(wide, F.col("most")).otherwise(F.col(f"hi{k}")) for k in many}
+        told = stored(again.withColumns(ends).drop("wide"))
         counts = counted(told)
-        places = placed(told, counts)
+        places, kept = placed(told, counts)
     at = F.element_at(F.array(*(F.lit(f) for f in QUANTILES.values())), F.col("k") + 1) * (F.col("n") - 1)
     running = F.sum("c").over(W.partitionBy(*keys, "k").orderBy("v"))
-    numbered = counts.filter("tag >= 100").select(*keys, (F.col("tag") - 100).alias("k"), "v", "c").withColumn("end", running)
+    numbered = kept.withColumn("end", running)
     found = numbered.join(F.broadcast(places), [*keys, "k"]).withColumns({"at": at, "last": last, "end": F.col("end") + F.col("below")})  # a row a group, metric and quantile
     # of two neighbouring ranks each counts by its nearness
     part = F.col("at") - F.col("r")
