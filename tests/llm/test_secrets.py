@@ -31,9 +31,13 @@ def b64(x):
     return base64.b64encode(x).decode()
 
 
+#: 32 bytes, as HS256 has.
+SIGNATURE = base64.urlsafe_b64encode(bytes(range(180, 212))).decode().rstrip("=")
+
+
 def jwt(header, payload):
     e = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
-    return f"{e(header)}.{e(payload)}.c2ln"
+    return f"{e(header)}.{e(payload)}.{SIGNATURE}"
 
 
 def kinds(text):
@@ -209,7 +213,7 @@ def test_keys_after_a_slash_and_unsigned_tokens():
     text = f"see path/to/{key} there"
     assert [(k, text[a:b]) for k, a, b in secrets.confirmed_spans(text)] == [("der", key)]
     assert kinds(f"x {jwt({'alg': 'none'}, {'sub': 1})} y") == []
-    assert kinds(f"x {jwt({'alg': 'HS256'}, {'sub': 1}).removesuffix('c2ln')} y") == []
+    assert kinds(f"x {jwt({'alg': 'HS256'}, {'sub': 1}).removesuffix(SIGNATURE)} y") == []
 
 
 def test_unclosed_begin_lines_and_false_starts_take_linear_time():
@@ -221,3 +225,174 @@ def test_unclosed_begin_lines_and_false_starts_take_linear_time():
     one = "-----BEGIN RSA PRIVATE KEY-----\n" * 50 + b64(RSA) + "\n-----END RSA PRIVATE KEY-----"
     assert [k for k, a, b in secrets.confirmed_spans(one) if k == "pem"] == ["pem"]
     assert not re.search("MII", secrets.redacted(one))
+
+
+PFX = der(0x30, der(2, b"\3"), der(0x30, der(6, bytes.fromhex("2a864886f70d010701")), der(0xA0, der(4, b"\x11\x92" * 150))), der(0x30, der(0x30, b""), der(4, b"salt")))
+
+
+def pem(key, label="PRIVATE KEY"):
+    return f"-----BEGIN {label}-----\n{lines(b64(key))}\n-----END {label}-----\n"
+
+
+def hex_forms(key):
+    yield key.hex()
+    yield key.hex().upper()
+    yield key.hex(":")
+    yield lines(key.hex(":"), "\n    ", 48)
+    yield lines(key.hex(), "\n", 32)
+    yield ", ".join(f"0x{x:02x}" for x in key)
+    yield "".join(f"\\x{x:02x}" for x in key)
+
+
+def around(text, part):
+    """Whether a confirmed span is exactly this part of the text, and what redaction leaves."""
+    at = text.index(part)
+    return (at, at + len(part)) in {(a, b) for _, a, b in secrets.confirmed_spans(text)} and secrets.redacted(text) == text.replace(part, secrets.MARK)
+
+
+def test_hex_with_separators_and_after_an_odd_digit():
+    for key in (RSA, PKCS8, SEALED, BARE, ssh(), PFX):
+        for form in hex_forms(key):
+            assert around(f"dump: {form} end", form.removeprefix("\\x").removeprefix("0x")), form[:60]
+        text = f"id 7{key.hex()} end"
+        assert (4, 4 + 2 * len(key)) in {(a, b) for _, a, b in secrets.confirmed_spans(text)}
+    assert secrets.confirmed_spans("30 82 02 01 00 " * 400 + "3082ffff020100" * 50) == []
+
+
+def test_base64_of_texts_with_begin_lines():
+    for before in ("", "a", "ab", "apiVersion: v1\nkey: |\n"):
+        for label, key in (("RSA PRIVATE KEY", RSA), ("OPENSSH PRIVATE KEY", ssh()), ("PRIVATE KEY", PKCS8)):
+            inner = b64((before + pem(key, label)).encode())
+            for form in (inner, lines(inner, "\n", 76), base64.urlsafe_b64encode((before + pem(key, label)).encode()).decode()):
+                text = f"tls.key: {form}\nnext: 1"
+                left = secrets.redacted(text)
+                assert left.startswith("tls.key: ") and left.endswith("\nnext: 1") and left.count(secrets.MARK) == 1, (before, label, left)
+                assert len(left) < 40 + 2 * len(before)
+            if not before:
+                assert around(f"tls.key: {inner}\nnext: 1", inner)
+    twice = b64(b64(pem(RSA).encode()).encode())
+    assert kinds(f"x {twice} y") == []  # base64 of base64 shows no BEGIN line
+    config = b64(("a: " + b64(pem(RSA).encode()) + "\n" + pem(PKCS8)).encode())
+    assert secrets.redacted(f"x {config} y").count(secrets.MARK) >= 1
+    public = b64(pem(b"p" * 90, "PUBLIC KEY").encode())
+    assert kinds(f"tls.crt: {public}\n") == []
+    assert kinds(f"tls.crt: {b64((pem(b'c' * 300, 'CERTIFICATE') + pem(RSA)).encode())}\n").count("pem") == 1
+
+
+def test_tokens_of_any_json_layout_and_signature_lengths():
+    e = lambda x: base64.urlsafe_b64encode(x).decode().rstrip("=")
+    body = e(b'{"sub": 1}')
+    for head in (b'{"alg":"HS256"}', b'{ "alg": "HS256" }', b'{\n  "alg": "HS256"\n}', b'{\r\n"alg": "HS256"}', b' {"alg": "HS256"}', b'{\t"alg":"HS256"}'):
+        token = f"{e(head)}.{body}.{SIGNATURE}"
+        assert around(f"bearer {token} end", token), head
+        assert kinds(f"x {e(head)}.{body}.c y") == [] and kinds(f"x {e(head)}.{body}.{SIGNATURE}AAAA y") == []
+    for alg, n in (("HS384", 48), ("HS512", 64), ("RS256", 256), ("ES256", 64), ("ES512", 132), ("EdDSA", 64), ("other", 20)):
+        token = f"{e(json.dumps({'alg': alg}).encode())}.{body}.{e(bytes(range(n)) if n < 256 else bytes(n))}"
+        assert kinds(f"x {token} y") == ["jwt"], alg
+        assert kinds(f"x {token[: token.rindex('.') + 5]} y") == []
+    token = jwt({"alg": "HS256"}, {"sub": 1})
+    assert around(f"host.{token} end", token) and around(f"prefix_{token} end", token)
+    assert kinds("www.example.com a.b.c.d.e 1.2.3 " * 50) == []
+
+
+def test_web_keys_and_stores():
+    number = base64.urlsafe_b64encode(bytes(range(64))).decode().rstrip("=")
+    for key in ({"kty": "RSA", "n": number, "e": "AQAB", "d": number}, {"kty": "EC", "crv": "P-256", "x": number, "y": number, "d": number}, {"kty": "OKP", "x": number, "d": number}, {"kty": "oct", "k": number}):
+        for form in (json.dumps(key), json.dumps(key, indent=2), json.dumps(json.dumps(key))[1:-1]):
+            assert around(f'{{"keys": [{form}]}}', form)
+        assert kinds(json.dumps({k: v for k, v in key.items() if k not in "dk"})) == []
+        assert kinds(json.dumps({**key, "d" if "d" in key else "k": "AA"})) == []
+    assert kinds(f"x {b64(PFX)} y") == ["pkcs12"] and around(f"x {lines(b64(PFX))} y", lines(b64(PFX)))
+    assert kinds("{kty} {} {\"kty\": 3} {\"kty\": \"RSA\"} {{\"kty\"") == []
+
+
+def test_look_alikes_of_keys():
+    ones = der(0x30, der(2, b"\0"), *(der(2, b"\1") for _ in range(8)))
+    short = der(0x30, der(2, b"\0"), *(der(2, bytes([1 + i]) * (64 if i < 3 else 8)) for i in range(8)))
+    for x in (ones, short, der(0x30, der(2, b"\0"), *(der(2, b"\1") for _ in range(5))), der(0x30, der(2, b"\3"), der(0x30, der(6, b"\x2a\x03"), der(0xA0, b"")))):
+        assert not secrets.is_private_key_der(x) and kinds(f"x {b64(x)} {x.hex()} y") == []
+
+
+def test_keys_of_any_size():
+    big = der24(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2b\x65\x70")), der24(4, der24(4, b"q" * (3 << 20))))
+    for form in (b64(big), lines(b64(big)), big.hex()):
+        assert around(f"key {form} end", form)
+    begun = time.time()
+    text = ("MIOAAAACAQAw " * 200_000) + "30830f4240020100" * 100_000
+    assert secrets.confirmed_spans(text) == []
+    assert secrets.confirmed_spans(("-" * 5 + "BEGIN A" + "-" * 5 + "LS0tLS1CRUdJTi" * 3) * 20_000) == []
+    assert secrets.confirmed_spans("a" * 2_000_000 + "." + "eyJ" * 600_000 + "." + "{" * 500_000 + "kty.aa.b") == []
+    assert time.time() - begun < 60  # seconds if linear, hours if quadratic
+
+
+def der24(tag, *parts):
+    body = b"".join(parts)
+    return bytes([tag, 0x84]) + len(body).to_bytes(4, "big") + body
+
+
+def tree(data):
+    """A second reader of DER: all elements of data as (tag, value), or None."""
+    out = []
+    while data:
+        if len(data) < 2:
+            return None
+        n, head = data[1], 2
+        if n > 127:
+            head = 2 + n - 128
+            n = int(data[2:head].hex() or "x", 16) if 128 < n < 133 and len(data) >= head else -1
+            if n < 128:
+                return None
+        if len(data) < head + n:
+            return None
+        out.append((data[0], data[head : head + n]))
+        data = data[head + n :]
+    return out
+
+
+def plain_is_key(data):
+    top = tree(data)
+    if not top or len(top) != 1 or top[0][0] != 0x30 or (fields := tree(top[0][1])) is None:
+        return False
+    tags, values = "".join(f"{t:02x}" for t, _ in fields), [v for _, v in fields]
+    bare = [len(v) - v.startswith(b"\0") for v in values]
+    if tags == "3004":
+        inner = tree(values[0])
+        return bool(inner) and inner[0][0] == 6 and inner[0][1].startswith(secrets._PBE) and len(values[1]) > 0
+    if not tags.startswith("02") or values[0] not in (b"\0", b"\1") or len(values) < 2 or len(values) > 16:
+        return False
+    if re.fullmatch("(02){9}", tags):
+        return bare[1] >= 64 and bare[4] + bare[5] - bare[1] in (0, 1)
+    if re.fullmatch("(02){6}", tags):
+        return bare[1] >= 64 and 16 <= bare[2] <= 64
+    if tags.startswith("0204"):
+        return 16 <= len(values[1]) <= 72 and ("a0" in [tags[i : i + 2] for i in range(4, len(tags), 2)] or values[0] == b"\1" and tags in ("0204", "0204a1"))
+    if tags.startswith("023004"):
+        algorithm, inner = tree(values[1]), tree(values[2])
+        return bool(algorithm) and algorithm[0][0] == 6 and bool(inner) and len(inner) == 1
+    return False
+
+
+def test_structures_match_a_second_reader_on_changed_keys():
+    r = random.Random(5)
+    found = 0
+    for _ in range(20_000):
+        key = bytearray(r.choice((RSA, SEC1, PKCS8, DSA, BARE, POINT, SEALED)))
+        for _ in range(r.randint(0, 2)):
+            key[r.randrange(min(r.choice((8, 40, 4000)), len(key)))] = r.choice((0, 1, 2, 4, 6, 0x30, 0x81, 0x82, r.randrange(256)))
+        want = plain_is_key(bytes(key))
+        assert secrets.is_private_key_der(bytes(key)) == want, key.hex()
+        if r.random() < 0.05:  # the readers over digits see what a reader of whole bytes sees
+            whole = want or secrets._key_kind(bytes(key)) is not None
+            assert ((2, 2 + len(b64(key))) in {(a, b) for _, a, b in secrets.confirmed_spans(f"x {b64(key)} y")}) == whole
+            assert ((2, 2 + 2 * len(key)) in {(a, b) for _, a, b in secrets.confirmed_spans(f"x {key.hex()} y")}) == whole
+        found += want
+    assert 2_000 < found < 18_000
+
+
+def test_new_forms_in_scan_and_redact(spark):
+    cases = [pem(RSA), b64(pem(RSA).encode()), PKCS8.hex(":"), jwt({"alg": "HS256"}, {"a": 1}), b64(PFX)]
+    frame = docs(spark, [(i, f"see {t} there", "en", "a") for i, t in enumerate(cases)])
+    spans = {x.doc_id: x.spans for x in secrets.scan(frame).collect()}
+    for i, kind in enumerate(("pem", "pem", "der", "jwt", "pkcs12")):
+        assert f"{kind}:4:" in spans[i], (i, spans[i])
+    assert all(secrets.MARK in x.text for x in secrets.redact(frame).collect())
