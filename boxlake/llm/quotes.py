@@ -1,12 +1,13 @@
 """Chat formatting by quotation linking.
 
 Messages are parsed into their own words and quoted passages with nested levels (lines that begin with ``>`` marks; lines in
-code fences are own words). Passages, their paragraphs and lines are normalised (NFKC, case folded, white space collapsed) and hashed; so
+code fences are own words; a fence that is never closed is none). The line before a quote that names its writer is dropped, also if blank lines follow it or if it is
+wrapped over up to three lines. Passages, their paragraphs and lines are normalised (NFKC, case folded, white space collapsed) and hashed; so
 are the own words of every message: the whole, its paragraphs and lines. A passage's hash is joined, within its
 conversation, to the earliest message whose own words have it. A message replies to the message that holds most
-of its outermost quoted characters (ties: the latest), or else of the next level that links. The first message of a message's thread and its depth below it are
-found by pointer doubling, with a few numbers a message however long the thread. As a message only answers earlier ones, a conversation sorted by thread and turn is in
-reply order: threads are whole, and each message comes after the one it answers.
+of its outermost quoted characters (ties: the latest), or else of the next level that links. Replies make trees; a walk round each tree (into a message, through its answers by
+turn, out again) is a list whose places are found by pointer doubling, with a few numbers a message however long the thread: they give the first message of a message's
+thread, its depth below it and its position. Sorted by thread and position, each message is followed by its first answer with all that answers it, then the next.
 
 Each key of a conversation has one original, so the join can't grow with the square of a group; a conversation of any size is spread over
 tasks by its keys. Rows that repeat a turn share its links. A message with a null conv_id or turn, or without linked quotes, begins a thread of its
@@ -22,7 +23,8 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from boxlake.llm.common import stored
@@ -30,6 +32,11 @@ from boxlake.llm.common import stored
 _MARKS = re.compile(r"^(?:[ \t]*>)+ ?")
 _FENCE = re.compile(r"^[ \t]*(```|~~~)")
 _ATTRIBUTION = re.compile(r"^(?:On .* wrote|.* writes|Le .* a écrit|Am .* schrieb.*|El .* escribió)[ \t]*:[ \t]*$")
+_WRAPPED = re.compile(r"^(?:On .* wrote|Le .* a écrit|Am .* schrieb.*|El .* escribió)[ \t]*:[ \t]*$")
+#: Lines that an attribution may be wrapped over.
+_ATTRIBUTION_LINES = 3
+#: Answers to a message are put in order by ranges of so many turns (as a power of two), so those to one message needn't meet in one task.
+TURN_BITS = 16
 _QUOTE = pa.struct([("level", pa.int32()), ("passage", pa.int32()), ("key", pa.int64()), ("size", pa.int64())])
 
 
@@ -56,27 +63,49 @@ def parts(lines: list[str]) -> dict[int, int]:
     return out
 
 
+def _drop_attribution(own: list[str]) -> None:
+    """Drop the lines at the end that name the writer of the quote that follows, and blank ones after them."""
+    end = len(own)
+    while end and not own[end - 1].strip():
+        end -= 1
+    for n in range(1, min(_ATTRIBUTION_LINES, end) + 1):
+        if n > 1 and not own[end - n].strip():
+            return
+        if (_ATTRIBUTION if n == 1 else _WRAPPED).match(" ".join(x.strip() for x in own[end - n : end])):
+            del own[end - n :]
+            return
+
+
 def parse(text: str | None) -> tuple[str, list[tuple[int, list[str]]]]:
     """A message's own words, and its quoted passages as (level, lines without marks)."""
+    lines = (text or "").split("\n")
+    body, passages, unclosed = _parse(lines, None)
+    if unclosed is not None:
+        body, passages, _ = _parse(lines, unclosed)
+    return body, passages
+
+
+def _parse(lines: list[str], no_fence: int | None) -> tuple[str, list[tuple[int, list[str]]], int | None]:
+    """Own words, passages, and the line of a fence that stays open; the line no_fence opens none."""
     own: list[str] = []
     passages: list[tuple[int, list[str]]] = []
-    fence, level = False, 0
-    for line in (text or "").split("\n"):
-        m = None if fence else _MARKS.match(line)
+    fence, level = None, 0
+    for i, line in enumerate(lines):
+        m = None if fence is not None else _MARKS.match(line)
         if m is None:
-            if _FENCE.match(line):
-                fence = not fence
+            if i != no_fence and _FENCE.match(line):
+                fence = i if fence is None else None
             own.append(line)
             level = 0
             continue
         n = m[0].count(">")
         if n != level:
             passages.append((n, []))
-            if not level and own and _ATTRIBUTION.match(own[-1]):
-                own.pop()
+            if not level:
+                _drop_attribution(own)
         level = n
         passages[-1][1].append(line[m.end() :])
-    return "\n".join(own).strip(), passages
+    return "\n".join(own).strip(), passages, fence
 
 
 def parsed(messages: DataFrame) -> DataFrame:
@@ -113,33 +142,52 @@ def replies(rows: DataFrame) -> DataFrame:
 
 
 def threads(links: DataFrame) -> DataFrame:
-    """(conv_id, turn, thread, depth): the first turn of each reply's thread, and the replies between; links: replies(), stored."""
-    ends = links.select("conv_id", F.col("reply_to").alias("turn")).join(links, ["conv_id", "turn"], "left_anti").distinct()
-    ends = ends.select("conv_id", "turn", F.lit(None).cast("bigint").alias("up"), F.col("turn").alias("thread"), F.lit(0).alias("depth"))
-    nodes = stored(links.select("conv_id", "turn", F.col("reply_to").alias("up"), F.col("reply_to").alias("thread"), F.lit(1).alias("depth")).unionByName(ends))
+    """(conv_id, turn, thread, depth, position) of replies and of what they answer; links: replies(), stored.
+
+    The walk is a list of two entries a message, its way in and its way out. The entry before a way in is the way out of the answer before it, or the way into the message
+    answered; before a way out it is the way out of the last answer, or the message's own way in. Each entry is before one other only, so no key of the joins is hot.
+    """
+    roots = links.select("conv_id", F.col("reply_to").alias("turn")).join(links, ["conv_id", "turn"], "left_anti").distinct()
+    answers = links.select("conv_id", "turn", "reply_to", F.shiftright("turn", TURN_BITS).alias("block"))
+    group = ["conv_id", "reply_to", "block"]
+    blocks = stored(answers.groupBy(*group).agg(F.max("turn").alias("last")))
+    before = blocks.select(*group, F.lag("last").over(W.partitionBy("conv_id", "reply_to").orderBy("block")).alias("earlier"))
+    answers = answers.withColumn("previous", F.lag("turn").over(W.partitionBy(*group).orderBy("turn"))).join(before, group)
+    answers = answers.select("conv_id", "turn", "reply_to", F.coalesce("previous", "earlier").alias("previous"))
+    last = blocks.groupBy("conv_id", F.col("reply_to").alias("turn")).agg(F.max("last").alias("last"))
+
+    def entry(out: bool, up: Column, up_out: Column, places: int, depth: int, thread: Column) -> list[Column]:
+        return ["conv_id", "turn", F.lit(out).alias("out"), up.alias("up"), up_out.alias("up_out"), F.lit(places).cast("bigint").alias("position"), F.lit(depth).alias("depth"), thread.alias("thread")]
+
+    none, own = F.lit(None).cast("bigint"), F.col("turn")
+    ways_in = answers.select(*entry(False, F.coalesce("previous", "reply_to"), F.col("previous").isNotNull(), 1, 1, none))
+    first = roots.select(*entry(False, none, F.lit(False), 0, 0, own))
+    ways_out = answers.select("conv_id", "turn").join(last, ["conv_id", "turn"], "left").select(*entry(True, F.coalesce("last", "turn"), F.col("last").isNotNull(), 0, -1, none))
+    nodes = stored(ways_in.unionByName(first).unionByName(ways_out))
     while not nodes.filter("up is not null").isEmpty():
-        above = nodes.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("thread").alias("first"), F.col("depth").alias("more"))
-        open_ = nodes.filter("up is not null").join(above, ["conv_id", "up"])
-        open_ = open_.select("conv_id", "turn", F.col("next").alias("up"), F.col("first").alias("thread"), (F.col("depth") + F.col("more")).alias("depth"))
+        above = nodes.select("conv_id", own.alias("up"), F.col("out").alias("up_out"), F.struct("up", "up_out", "position", "depth", "thread").alias("a"))
+        open_ = nodes.filter("up is not null").drop("thread").join(above, ["conv_id", "up", "up_out"])
+        more = [(F.col(x) + F.col(f"a.{x}")).alias(x) for x in ("position", "depth")]
+        open_ = open_.select("conv_id", "turn", "out", F.col("a.up").alias("up"), F.col("a.up_out").alias("up_out"), *more, F.col("a.thread").alias("thread"))
         nodes = stored(nodes.filter("up is null").unionByName(open_))
-    return nodes.select("conv_id", "turn", "thread", "depth")
+    return nodes.filter("not out").select("conv_id", "turn", "thread", "depth", "position")
 
 
 def conversations(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, body, reply_to, thread, depth, n_quotes, n_linked for each row of messages.
+    """conv_id, turn, role, body, reply_to, thread, depth, position, n_quotes, n_linked for each row of messages.
 
-    Sorted by (conv_id, thread, turn), the bodies are the reply-ordered conversation without quotes.
+    Sorted by (conv_id, thread, position), the bodies are the reply-ordered conversation without quotes.
     """
     rows = stored(parsed(messages))
     links = stored(replies(rows))
     placed = stored(links.join(threads(links), ["conv_id", "turn"]))
     out = rows.select("conv_id", "turn", "role", "body", "n_quotes").join(placed, ["conv_id", "turn"], "left")
-    own = {"thread": F.coalesce("thread", "turn"), "depth": F.coalesce("depth", F.lit(0)), "n_linked": F.coalesce("n_linked", F.lit(0))}
-    return out.withColumns(own).select("conv_id", "turn", "role", "body", "reply_to", "thread", "depth", "n_quotes", "n_linked")
+    own = {"thread": F.coalesce("thread", "turn"), "depth": F.coalesce("depth", F.lit(0)), "position": F.coalesce("position", F.lit(0).cast("bigint")), "n_linked": F.coalesce("n_linked", F.lit(0))}
+    return out.withColumns(own).select("conv_id", "turn", "role", "body", "reply_to", "thread", "depth", "position", "n_quotes", "n_linked")
 
 
 def chat(messages: DataFrame) -> DataFrame:
-    """conversations() as chat text, range-partitioned and sorted into reply order."""
-    rows = conversations(messages).repartitionByRange("conv_id", "thread", "turn").sortWithinPartitions("conv_id", "thread", "turn")
+    """conversations() with each message as chat text, in reply order."""
+    rows = conversations(messages).sort("conv_id", "thread", "position", "turn")
     role = F.coalesce("role", F.lit("user"))
     return rows.withColumn("chat", F.concat(F.lit("<|"), role, F.lit("|>\n"), "body"))

@@ -43,7 +43,7 @@ def queries() -> dict[str, Query]:
         "op6_mixture": lambda s, d: mixing.mixture(table(s, d, "documents")),
         "op7_quality_rules": lambda s, d: quality_rules.judge(table(s, d, "documents")),
         "op8_simhash": _near_duplicates,
-        "op9_quotes": lambda s, d: quotes.conversations(table(s, d, "conversations")),
+        "op9_quotes": lambda s, d: quotes.chat(table(s, d, "conversations")),
         "op10_token_counts": lambda s, d: tokencount.counts(table(s, d, "documents"), _tokenizer()),
         "op11_phrases": lambda s, d: phrases.collocations(table(s, d, "documents")),
         "op12_repair": lambda s, d: repair.report(table(s, d, "conversations")),

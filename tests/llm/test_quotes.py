@@ -106,7 +106,7 @@ def test_thread(spark):
     assert by[1, 2].reply_to == 1 and (by[1, 2].thread, by[1, 2].depth) == (0, 2) and by[1, 2].n_quotes == 2
     assert by[1, 3].reply_to == 0 and by[1, 4].reply_to is None
     text = quotes.chat(frame(spark, THREAD).filter("conv_id = 1")).select("turn").collect()
-    assert [x.turn for x in text] == [0, 1, 2, 3, 5, 4]
+    assert [x.turn for x in text] == [0, 1, 2, 5, 3, 4]
 
 
 def test_random_threads_match_brute_force(spark):
@@ -125,6 +125,48 @@ def test_random_threads_match_brute_force(spark):
     assert as_tuples(quotes.conversations(frame(spark, rows))) == brute(rows)
 
 
+def in_reply_order(rows):
+    """(thread, turn) depth first, answers by turn; rows: (turn, reply_to)."""
+    answers = {}
+    for t, up in rows:
+        answers.setdefault(up, set()).add(t)
+    out = []
+    for root in sorted(answers.get(None, ())):
+        waiting = [root]
+        while waiting:
+            t = waiting.pop()
+            out.append((root, t))
+            waiting += sorted(answers.get(t, ()), reverse=True)
+    return out
+
+
+def test_reply_order_of_branches(spark, monkeypatch):
+    named = [(1, 0, "user", "A"), (1, 1, "user", "> A\nB"), (1, 2, "user", "> A\nC"), (1, 3, "user", "> B\nD"), (1, 4, "user", "> C\nE"), (1, 5, "user", "alone")]
+    got = quotes.chat(frame(spark, named)).select("turn", "position", "chat").collect()
+    assert [x.turn for x in got] == [0, 1, 3, 2, 4, 5] and [x.position for x in got] == [0, 1, 2, 3, 4, 0] and got[1].chat == "<|user|>\nB"
+    r = random.Random(9)
+    rows = []
+    for c in range(6):
+        for t in range(60):
+            up = r.choice([None, 0, r.randrange(t), t - 1]) if t else None
+            rows.append((c, t * 5, "user", f"m{c}-{t}" if up is None else f"> m{c}-{up}\nm{c}-{t}"))
+    for bits in (16, 3):  # all answers in one range, and in many
+        monkeypatch.setattr(quotes, "TURN_BITS", bits)
+        got = quotes.chat(frame(spark, rows)).select("conv_id", "turn", "reply_to", "thread").collect()
+        for c in range(6):
+            mine = [x for x in got if x.conv_id == c]
+            assert [(x.thread, x.turn) for x in mine] == in_reply_order([(x.turn, x.reply_to) for x in mine])
+
+
+def test_attributions_and_fences():
+    for named in ("On Monday, A wrote:", "On Monday, 1 May at 10:00\nA <a@example.org> wrote:", "On Monday,\n1 May at 10:00, A\n<a@example.org> wrote:", "Le lundi 1 mai,\nA a écrit :", "A writes:"):
+        for blank in ("\n", "\n\n", "\n \n\n"):
+            assert quotes.parse(f"Hello.\n\n{named}{blank}> First.\nMine.") == ("Hello.\n\nMine.", [(1, ["First."])])
+    for kept in ("On Monday\n\nA wrote:", "Look here,\nA writes more:", "He is on.\nSo A wrote:"):
+        assert quotes.parse(f"{kept}\n> First.")[0] == kept
+    assert quotes.parse("```\n> a\n```\n> b\n```\nc\n> d") == ("```\n> a\n```\n```\nc", [(1, ["b"]), (1, ["d"])])
+
+
 def test_long_chain_and_empty(spark):
     rows = [(1, 0, "user", "m0")] + [(1, i, "user", f"> m{i - 1}\nm{i}") for i in range(1, 40)]
     got = {x.turn: x.depth for x in quotes.conversations(frame(spark, rows)).collect()}
