@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,18 +87,27 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH).astype(float)
 
 
+#: Tasks whose numbers are added first, in ranges.
+RANGE = 256
+
+
 def summed(rows: DataFrame, part: Callable[[np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """The sum over all rows (x, positive) of part(), which gives `size` numbers for a batch; added in a fixed order."""
+    """The sum over all rows (x, positive) of part(), which gives `size` numbers for a batch.
+
+    Numbers of tasks are added by ranges of RANGE tasks and then across ranges, each time in a fixed order, so no list holds more than RANGE numbers, or one a range.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(size)
         for b in batches:
             if b.num_rows:
                 out += part(_matrix(b.column(0)), b.column(1).to_numpy(zero_copy_only=False))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(out, pa.float64())], ["k", "v"])
+        place = TaskContext.get().partitionId() // RANGE
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(np.full(size, place), pa.int32()), pa.array(out, pa.float64())], ["k", "place", "v"])
 
-    added = F.aggregate(F.sort_array(F.collect_list("v")), F.lit(0.0), lambda a, v: a + v)  # one number a task
-    got = rows.select("x", "positive").mapInArrow(run, "k int, v double").groupBy("k").agg(added.alias("v")).collect()
+    added = F.aggregate(F.sort_array(F.collect_list("v")), F.lit(0.0), lambda a, v: a + v).alias("v")
+    by_range = rows.select("x", "positive").mapInArrow(run, "k int, place int, v double").groupBy("k", "place").agg(added)
+    got = by_range.groupBy("k").agg(added).collect()
     out = np.zeros(size)
     out[[r.k for r in got]] = [r.v for r in got]
     return out
