@@ -59,14 +59,14 @@ def with_classes(rows: DataFrame) -> DataFrame:
     return rows.drop("plain", "bare", "b1", "b2", "b3")
 
 
-def references(docs: DataFrame) -> DataFrame:
+def references(docs: DataFrame, min_words: int = MIN_REFERENCE_WORDS) -> DataFrame:
     """lang, char_ref (shares by class), word_keys (hashes), word_ref (shares by word, then of all others), over all documents."""
     rows = docs.select("lang", "text").filter("lang is not null and text is not null")
     chars = with_classes(rows).groupBy("lang").agg(*(F.sum(f"c_{c}").alias(c) for c in CLASSES))
     all_chars = sum((F.col(c) for c in CLASSES), F.lit(0)).cast("double")
     chars = chars.select("lang", F.array(*(F.col(c) / all_chars for c in CLASSES)).alias("char_ref"), all_chars.alias("n_chars")).filter("n_chars > 0").drop("n_chars")
     counts = stored(rows.select("lang", F.explode(F.split("text", SPLIT)).alias("word")).filter("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("n")))
-    total = counts.groupBy("lang").agg(F.sum("n").alias("total")).filter(F.col("total") >= MIN_REFERENCE_WORDS)
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total")).filter(F.col("total") >= min_words)
     common = counts.join(stored(total), "lang").filter((F.col("n") > 1) & (F.col("n") * RARE >= F.col("total")))
     top = common.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("k") <= len(ALPHABET))
     lists = top.groupBy("lang", "total").agg(F.sort_array(F.collect_list(F.struct("k", "word", "n"))).alias("x"))
@@ -121,9 +121,13 @@ def with_base(rows: DataFrame) -> DataFrame:
     return rows.drop("lines", "h", "s", "p")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept and both distances for each row of docs."""
-    refs = stored(references(docs))
+def judge(docs: DataFrame, min_reference_words: int = MIN_REFERENCE_WORDS, reference_docs: DataFrame | None = None) -> DataFrame:
+    """doc_id, the base counts, base_failed, kept, both distances, and whether each comparison was made, for each row of docs.
+
+    char_test and word_test: made, short (the text is below the guard), or no reference (no language, or one with too little text in
+    reference_docs, which are docs unless given; a fixed set of them makes verdicts independent of what else is judged).
+    """
+    refs = stored(references(docs if reference_docs is None else reference_docs, min_reference_words))
     small = refs.count() <= BROADCAST_LANGS
     rows = joined(docs.select("doc_id", "text", "lang"), refs, ["lang"], small, "left")
     rows = with_base(rows.withColumn("words", words("text")))
@@ -134,12 +138,15 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("in_list", F.array(*(x.cast("double") for x in word_counts[1:]))).withColumn("not_in_list", F.array(word_counts[0].cast("double")))
     rows = rows.withColumn("word_hist", F.concat(F.slice("in_list", 1, F.size("word_keys")), F.col("not_in_list")))
     rows = rows.withColumn("char_hist", F.array(*(F.col(f"c_{c}").cast("double") for c in CLASSES)))
-    by_char = F.when((F.length("text") >= MIN_CHARS) & F.col("char_ref").isNotNull(), distance(F.col("char_hist"), F.col("char_ref")))
-    by_word = F.when((F.col("n_words") >= MIN_WORDS) & F.col("word_ref").isNotNull(), distance(F.col("word_hist"), F.col("word_ref")))
+    long = {"char": F.coalesce(F.length("text"), F.lit(0)) >= MIN_CHARS, "word": F.col("n_words") >= MIN_WORDS}
+    tests = {f"{k}_test": F.when(~x, "short").when(F.col(f"{k}_ref").isNull(), "no reference").otherwise("made") for k, x in long.items()}
+    rows = rows.withColumns(tests)
+    by_char = F.when(F.col("char_test") == "made", distance(F.col("char_hist"), F.col("char_ref")))
+    by_word = F.when(F.col("word_test") == "made", distance(F.col("word_hist"), F.col("word_ref")))
     rows = rows.withColumns({"char_distance": F.round(by_char, 6), "word_distance": F.round(by_word, 6)})
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     near = (F.coalesce("char_distance", F.lit(0.0)) <= MAX_CHAR_DISTANCE) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE)
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & near).alias("kept"), "char_distance", "word_distance")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & near).alias("kept"), "char_distance", "word_distance", "char_test", "word_test")
 
 
 def oracle() -> str:
@@ -172,4 +179,5 @@ h AS (SELECT *, list_transform(ch, lambda x: x / nullif(list_sum(ch), 0)) AS cp,
 j AS (SELECT *, round(CASE WHEN length(text) >= {MIN_CHARS} AND char_ref IS NOT NULL THEN {jsd('cp', 'char_ref')} END, 6) AS char_distance, round(CASE WHEN n_words >= {MIN_WORDS} AND word_ref IS NOT NULL THEN {jsd('wp', 'word_ref')} END, 6) AS word_distance,
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM h)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(char_distance, 0) <= {MAX_CHAR_DISTANCE} AND coalesce(word_distance, 0) <= {MAX_WORD_DISTANCE} AS kept, char_distance, word_distance FROM j"""
+  NOT base_failed AND coalesce(char_distance, 0) <= {MAX_CHAR_DISTANCE} AND coalesce(word_distance, 0) <= {MAX_WORD_DISTANCE} AS kept, char_distance, word_distance,
+  CASE WHEN length(t) < {MIN_CHARS} THEN 'short' WHEN char_ref IS NULL THEN 'no reference' ELSE 'made' END AS char_test, CASE WHEN n_words < {MIN_WORDS} THEN 'short' WHEN word_ref IS NULL THEN 'no reference' ELSE 'made' END AS word_test FROM j"""

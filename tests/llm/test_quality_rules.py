@@ -49,6 +49,19 @@ def test_empty(spark):
     assert quality_rules.judge(docs(spark, [])).count() == 0
 
 
+def test_why_a_comparison_was_not_made(spark):
+    rows = [*((i, prose(i, 100), "en", "s") for i in range(10)), (900, prose(900, 30), "en", "s"), (901, prose(901, 100), None, "s"), (902, None, "en", "s"), (903, odd_words(), "en", "s")]
+    total = 10 * 100 + 30 + 200
+    for limit, made in ((total, "made"), (total + 1, "no reference")):  # both sides of the limit
+        got = {x.doc_id: x for x in quality_rules.judge(docs(spark, rows), limit).collect()}
+        assert {got[i].word_test for i in range(10)} == {made} and {got[i].char_test for i in range(10)} == {"made"}
+        assert (got[0].word_distance is None) == (made != "made")
+        assert (got[900].word_test, got[902].word_test, got[902].char_test) == ("short", "short", "short")
+        assert (got[901].word_test, got[901].char_test) == ("no reference", "no reference") and got[901].kept
+    alone = quality_rules.judge(docs(spark, rows[:1]), total, docs(spark, rows)).first()
+    assert alone == {x.doc_id: x for x in quality_rules.judge(docs(spark, rows), total).collect()}[0]
+
+
 def test_language_of_long_words(spark):
     long = tuple(f"{w}zusammenhang" for w in ("alpha", "beta", "gamma", "delta", "eta", "theta", "iota", "kappa"))
     other = tuple(f"{w}verwandtschaft" for w in ("alpha", "beta", "gamma", "delta", "eta", "theta", "iota", "kappa"))
