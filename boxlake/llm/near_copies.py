@@ -1,10 +1,10 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-Candidates share one of ``BANDS`` hashes of ``ROWS`` minima each; a pair at exactly 0.8 is missed with a probability of
-(1 - 0.8**5)**30, 7 in a million, and less above. Every candidate is verified with its whole shingle sets, so no
-pair below the limit is linked. Equal texts are one node, found by their SHA-256.
+Candidates come from the SimHash index (``simhash.clusters``) over wide fingerprints of the shingle sets: byte positions, a count of shared half-bytes, then
+the differing bits; a pair at exactly 0.8 is missed in about 2 of a million cases, and less above. Every candidate is verified
+with its whole shingle sets, so no pair below the limit is linked. Equal texts are one node, found by their SHA-256.
 
-A bucket's texts are compared with its lead first, the text with the most exact copies. What these links join
+A bucket is a cluster of one posting list. Its texts are compared with its lead first, the text with the most exact copies. What these links join
 needs no further comparison. Where texts of a bucket are still apart, the bucket is compared in whole: blocks of about
 ``BLOCK`` texts meet block by block, a task counts the shared shingles of two blocks by products of their incidence
 matrices, and only a spanning forest of what it links leaves the task. So no pairs become rows, and no bucket is cut short; the work on a
@@ -26,13 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.llm.common import ASCII_LOWER, representatives, stored, text_key
-from boxlake.llm.simhash import SEED, components
+from boxlake.llm.simhash import SEED, clusters, components, wide
 
 WORDS = 5
-BANDS, ROWS = 30, 5
 BLOCK = 512
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(1)
-_STEP, _COLUMNS = 1 << 10, 1 << 12
+_COLUMNS = 1 << 12
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -49,28 +47,17 @@ def shingles(text: bytes | None) -> np.ndarray:
     return np.unique(np.fromiter((xxh64_intdigest(joined[a:b], SEED) for a, b in spans), np.uint64, n - WORDS + 1))
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """One signed hash of each band's minima."""
-    from xxhash import xxh64_intdigest
-
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), _STEP):
-        least = np.minimum(least, (hashes[i : i + _STEP] * _FACTORS[:, None]).min(1))
-    whole = np.array([xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64)
-    return whole.view(np.int64).tolist()
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        known: dict[bytes, tuple[int, list[int]]] = {}  # copies within a batch are hashed once
+        known: dict[bytes, tuple[int, bytes]] = {}  # copies within a batch are hashed once
         found = []
         for key, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             if key not in known:
                 s = shingles(text)
-                known[key] = (len(s), bands(s))
+                known[key] = (len(s), wide(s))
             found.append(known[key])
-        columns = [*b.columns[:2], pa.array([n for n, _ in found], pa.int32()), pa.array([h for _, h in found], pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "h"])
+        columns = [*b.columns[:2], pa.array([n for n, _ in found], pa.int32()), pa.array([fp for _, fp in found], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "fp"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,8 +161,8 @@ def groups(docs: DataFrame) -> DataFrame:
     key: text_key(). first_id: the text's least doc_id; repeats: rows with this text and id.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key("text").alias("key"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    reps = stored(representatives(stored(rows.mapInArrow(_banded, "doc_id bigint, key binary, n int, h array<bigint>")), "n", "h"))
-    posted = reps.select("key", "n", "copies", F.explode("h").alias("h"))
+    reps = stored(representatives(stored(rows.mapInArrow(_printed, "doc_id bigint, key binary, n int, fp binary")), "n", "fp"))
+    posted = stored(clusters(reps))
     buckets = posted.groupBy("h").agg(F.max(F.struct("copies", "key", "n")).alias("lead"), F.count("*").alias("size")).filter("size > 1")
     near = posted.join(buckets.hint("merge"), "h").filter(F.col("key") != F.col("lead.key"))
     near = stored(near.select("h", "key", "n", F.col("lead.key").alias("lead"), F.col("lead.n").alias("m"), "size"))

@@ -11,6 +11,13 @@ A posting list longer than ``LIST_LIMIT`` is not paired but split exactly: its p
 bytes too, and then three of the remaining six half-bytes, which leaves at most 4096 fingerprints in a list. Each
 list returns a spanning forest of its links, never all of them, which keeps every component whole.
 
+Wider limits, as a Jaccard similarity asks for, take wide fingerprints (``wide``): 192 bits that are tallied and verified, and
+96 postings of a byte and a half-byte each. Pairs of a posting list that share fewer than ``MIN_HALVES`` half-bytes are
+dropped, the others are verified by their differing bits, and what is linked leaves the list as one cluster (``clusters``).
+Of texts whose sets of shingles have a similarity of 0.8, a bit differs with a probability of at most 0.156, so a pair
+has no common list in 1.4, too few half-bytes in 0.2 and too many differing bits in 0.7 of a million cases. A posting list beyond
+``WIDE_LIMIT`` is dealt out: those within the limit of its lead are one cluster, and blocks of the rest meet blocks of the whole list.
+
 Nulls: a null text is an empty text, whose fingerprint is zero. A null doc_id never names a component unless all
 its members are null. Repeated rows keep their rows. An empty table gives an empty table. Only ``doc_id`` and
 ``text`` are read, so other columns can have any name.
@@ -72,6 +79,232 @@ def fingerprint(text: bytes | None) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+#: Wide fingerprints: words of 64 bits in all, words that are verified, bits of a posting, postings.
+WORDS, VERIFIED, PART = 21, 3, 12
+POSTINGS = (WORDS - VERIFIED) * 64 // PART
+MIN_HALVES, WIDE_BITS = 8, 56
+#: Sets of at most FINE[1] hashes have a fingerprint in which each hash counts as FINE_COPIES ones (few votes tie often); from FINE[0] on they have the plain one.
+FINE, FINE_COPIES = (32, 40), 8
+#: Rows of a posting list that one task compares; rows of a block of a longer one; lists up to PAIRED are compared many at once.
+WIDE_LIMIT, WIDE_BLOCK, PAIRED = 1 << 14, 1 << 13, 256
+_RANDOM = np.random.default_rng(SEED).integers(0, 1 << 64, WORDS + FINE_COPIES, np.uint64) | np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_LANES, _HALVES = np.uint64(0x0101010101010101), np.uint64(0x1111111111111111)
+
+
+def _votes(hashes: np.ndarray) -> bytes:
+    counts = np.zeros((8, WORDS * 8), np.int64)
+    for i in range(0, len(hashes), 255):  # a byte counts up to 255 votes
+        x = hashes[i : i + 255, None] * _RANDOM[:WORDS]
+        x = (x ^ (x >> np.uint64(32))) * _MIX
+        x ^= x >> np.uint64(29)
+        for k in range(8):
+            counts[k] += ((x >> np.uint64(k)) & _LANES).sum(0, dtype=np.uint64).view(np.uint8)
+    return np.packbits((2 * counts > len(hashes)).T.ravel(), bitorder="little").tobytes()
+
+
+def wide(hashes: np.ndarray) -> bytes:
+    """The wide SimHash of a set of 64-bit hashes: the plain fingerprint, the fine one, or both."""
+    out = b""
+    if len(hashes) >= FINE[0]:
+        out += _votes(hashes)
+    if len(hashes) <= FINE[1]:
+        x = hashes[:, None] * _RANDOM[WORDS:]
+        out += _votes(((x ^ (x >> np.uint64(32))) * _MIX).ravel())
+    return out
+
+
+def _unpacked(n: pa.Array, fp: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(rows, words, kind) of the plain and of the fine fingerprints of a batch."""
+    n, fp, size = n.to_numpy(zero_copy_only=False), fp.to_pylist(), WORDS * 8
+    for kind, rows in enumerate((np.flatnonzero(n >= FINE[0]), np.flatnonzero(n <= FINE[1]))):
+        if len(rows):
+            part = b"".join(fp[i][-size:] if kind else fp[i][:size] for i in rows.tolist())
+            yield rows, np.frombuffer(part, "<u8").reshape(-1, WORDS), kind
+
+
+_SKETCH = "a bigint, b bigint, c bigint"
+
+
+def _arrays(words: np.ndarray) -> list[pa.Array]:
+    return [pa.array(np.ascontiguousarray(words[:, i]).view(np.int64)) for i in range(VERIFIED)]
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n, copies, fp) -> (key, n, copies, sketch)."""
+    for b in batches:
+        for rows, words, _ in _unpacked(b.column(1), b.column(3)):
+            yield pa.RecordBatch.from_arrays([*(b.column(i).take(pa.array(rows)) for i in range(3)), *_arrays(words)], ["key", "n", "copies", "a", "b", "c"])
+
+
+def _posted_wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(n, fp) -> (posting, sketch), a row for each posting."""
+    for whole in batches:
+        for i in range(0, whole.num_rows, 512):
+            b = whole.slice(i, 512)
+            for _, words, kind in _unpacked(b.column(0), b.column(1)):
+                x = np.ascontiguousarray(words[:, VERIFIED:]).view(np.uint8).reshape(len(words), -1, 3).astype(np.int32)
+                x = x[:, :, 0] | x[:, :, 1] << 8 | x[:, :, 2] << 16
+                parts = np.stack([x & 0xFFF, x >> PART], 2).reshape(len(words), POSTINGS)
+                posting = parts | (np.arange(POSTINGS, dtype=np.int32) + kind * POSTINGS) << PART
+                yield pa.RecordBatch.from_arrays([pa.array(posting.ravel()), *_arrays(np.repeat(words, POSTINGS, 0))], ["posting", "a", "b", "c"])
+
+
+def near_sketches(x: np.ndarray, limit: int) -> np.ndarray:
+    """Places of pairs within the limit; x: (VERIFIED, pairs), the exclusive or of their sketches."""
+    y = x | x >> np.uint64(1)
+    y |= y >> np.uint64(2)
+    unlike = np.bitwise_count(y & _HALVES).sum(0, dtype=np.uint8)
+    tallied = np.flatnonzero(unlike <= 16 * VERIFIED - MIN_HALVES)  # shared half-bytes
+    return tallied[np.bitwise_count(x[:, tallied]).sum(0, dtype=np.int64) <= limit]
+
+
+def _spread(fps: np.ndarray, limit: int) -> np.ndarray:
+    """The component of each sketch, found by walking from a sketch to all that are left; fps: (VERIFIED, rows)."""
+    label, left = np.arange(fps.shape[1]), np.arange(1, fps.shape[1])
+    front, seed, rest = [0], 0, fps[:, 1:]
+    while left.size:
+        if not front:
+            seed, left, rest = int(left[0]), left[1:], rest[:, 1:]
+            front = [seed]
+        near = near_sketches(rest ^ fps[:, front.pop(), None], limit)
+        if near.size:
+            label[left[near]] = seed
+            front += left[near].tolist()
+            left, rest = np.delete(left, near), np.delete(rest, near, 1)
+    return label
+
+
+def _paired(fps: np.ndarray, end: np.ndarray, limit: int) -> np.ndarray:
+    """The component of each sketch of many lists; end: where a row's list ends."""
+    label = np.arange(fps.shape[1])
+
+    def find(i: int) -> int:
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    far, d = np.flatnonzero(end - label > 1), 1
+    while far.size:
+        linked = False
+        apart = far[label[far] != label[far + d]]  # what is linked already needs no comparison
+        for i in range(0, len(apart), 1 << 15):
+            at = apart[i : i + (1 << 15)]
+            for x in at[near_sketches(fps[:, at] ^ fps[:, at + d], limit)].tolist():
+                label[find(x + d)] = find(x)
+                linked = True
+        while linked:  # every row gets its root
+            above = label[label]
+            linked = bool((above != label).any())
+            label = above
+        d += 1
+        far = far[end[far] - far > d]
+    return label
+
+
+def _clustered(limit: int, longest: int | None):
+    """Clusters of the posting lists in sorted (list..., rest boolean, sketch) rows; rows of a list beyond `longest` as they are.
+
+    Out: (posting, h, sketch) with posting -1 and h, a hash of the members, for clusters. A list's cluster without a `rest` row does not count.
+    """
+    out = ["posting", "h", "a", "b", "c"]
+
+    def found(label: np.ndarray, rest: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((*fps, label))
+        label, rest, fps = label[order], rest[order], fps[:, order]
+        new = np.r_[True, np.diff(label) != 0]
+        counts = np.add.reduceat(rest.astype(np.int64), np.flatnonzero(new)) > 0
+        once = new | np.r_[True, (np.diff(fps.view(np.int64)) != 0).any(0)]  # repeated sketches go
+        group, fps = (np.cumsum(new) - 1)[once], fps[:, once]
+        mixed = (fps * _RANDOM[:VERIFIED, None]).sum(0, dtype=np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
+        h = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), np.flatnonzero(np.r_[True, np.diff(group) != 0]))
+        good = (counts & (np.bincount(group) > 1))[group]
+        if good.any():
+            n = int(good.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, -1, np.int32)), pa.array(h[group[good]].view(np.int64)), *_arrays(fps[:, good].T)], out)
+
+    def whole(end: np.ndarray, size: np.ndarray, rest: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of whole lists."""
+        few = size <= PAIRED
+        if few.any():
+            at = np.flatnonzero(few)
+            moved = np.cumsum(few)  # where a row is among those of short lists
+            yield from found(_paired(fps[:, at], moved[end[at] - 1], limit), rest[at], fps[:, at])
+        for i in np.unique(end[~few] - size[~few]).tolist():
+            j = i + int(size[i])
+            yield from found(_spread(fps[:, i:j], limit), rest[i:j], fps[:, i:j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, over = None, None  # rows of the open list, at most the limit and a batch; the list that passes through
+        for x in batches:
+            names = len(x.columns) - VERIFIED - 1
+            k = np.stack([x.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(names)])
+            rest = x.column(names).to_numpy(zero_copy_only=False).astype(bool)
+            fps = np.stack([x.column(names + 1 + i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(VERIFIED)]).view(np.uint64)
+            if held is not None:
+                k, rest, fps = np.concatenate([held[0], k], 1), np.concatenate([held[1], rest]), np.concatenate([held[2], fps], 1)
+                held = None
+            if not len(rest):
+                continue
+            cut = np.flatnonzero((np.diff(k) != 0).any(0)) + 1
+            start, stop = np.r_[0, cut], np.r_[cut, len(rest)]
+            size = np.repeat(stop - start, stop - start)
+            end = np.repeat(stop, stop - start)
+            big = size > longest if longest else np.zeros(len(rest), bool)
+            if over is not None and tuple(k[:, 0]) == over:
+                big[: stop[0]] = True
+            if big.any():
+                yield pa.RecordBatch.from_arrays([pa.array(k[0, big].astype(np.int32)), pa.nulls(int(big.sum()), pa.int64()), *_arrays(fps[:, big].T)], out)
+            over = tuple(k[:, -1]) if big[-1] else None
+            last = 0 if big[-1] else int(stop[-1] - start[-1])
+            if last:
+                held = (k[:, -last:], rest[-last:], fps[:, -last:])
+            done = ~big
+            done[len(rest) - last :] = False
+            if done.any():
+                at = np.cumsum(done)
+                yield from whole(at[end[done] - 1], size[done], rest[done], fps[:, done])
+        if held is not None:
+            n = len(held[1])
+            yield from whole(np.full(n, n), np.full(n, n), held[1], held[2])
+
+    return run
+
+
+def clusters(texts: DataFrame, limit: int = WIDE_BITS, longest: int = WIDE_LIMIT, block: int = WIDE_BLOCK) -> DataFrame:
+    """(h, key, n, copies): any two texts that share a posting and are within the limit have an h in common.
+
+    texts: (key, n, copies, fp), with n hashes and their wide() as fp.
+    """
+    sketch, out = ["a", "b", "c"], f"posting int, h bigint, {_SKETCH}"
+    posted = texts.select("n", "fp").mapInArrow(_posted_wide, f"posting int, {_SKETCH}")
+    lists = posted.repartition("posting").sortWithinPartitions("posting").select("posting", F.lit(True).alias("rest"), *sketch)
+    first = stored(lists.mapInArrow(_clustered(limit, longest), out))
+    known = first.filter("posting = -1").select("h", *sketch)
+    over = first.filter("posting >= 0").select("posting", *sketch)
+    if not over.isEmpty():
+        lead = over.groupBy("posting").agg(F.min(F.struct(F.xxhash64(*sketch).alias("order"), *sketch)).alias("lead"))
+        unlike = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"lead.{x}"))) for x in sketch), F.lit(0))
+        over = stored(over.join(lead.hint("merge"), "posting").select("posting", *sketch, (unlike > limit).alias("rest")))
+        blocks = [F.ceil(F.count(x) / block).cast("int") for x in ("*", F.when(F.col("rest"), 1))]
+        sizes = over.groupBy("posting").agg(blocks[0].alias("blocks"), blocks[1].alias("rests"))
+        dealt = over.join(sizes.hint("merge"), "posting").withColumn("x", F.xxhash64(*sketch)).filter("rests > 0")
+        each, far = F.pmod("x", "blocks").cast("int"), F.pmod("x", "rests").cast("int")
+        every = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "rests")]
+        met = dealt.select("posting", each.alias("i"), every[1].alias("j"), F.lit(False).alias("rest"), *sketch)
+        met = met.unionByName(dealt.filter("rest").select("posting", every[0].alias("i"), far.alias("j"), "rest", *sketch))
+        met = met.repartition("posting", "i", "j").sortWithinPartitions("posting", "i", "j").select("posting", "i", "j", "rest", *sketch)
+        crossed = stored(met.mapInArrow(_clustered(limit, None), out)).select("h", *sketch)
+        known = known.unionByName(crossed).unionByName(over.filter("not rest").select(F.xxhash64("posting").alias("h"), *sketch))
+    sketched = texts.select("key", "n", "copies", "fp").mapInArrow(_sketched, f"key binary, n int, copies bigint, {_SKETCH}")
+    # texts of one sketch are a cluster, too
+    alike = sketched.groupBy(*sketch).agg(F.count("*").alias("texts")).filter("texts > 1").select(F.xxhash64(*sketch).alias("h"), *sketch)
+    known = known.unionByName(alike).distinct()
+    return known.join(sketched.hint("merge"), sketch).select("h", "key", "n", "copies").distinct()
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) with the fingerprint as a signed long; one row per row of docs."""
 
