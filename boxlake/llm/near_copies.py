@@ -10,6 +10,10 @@ needs no further comparison. Where texts of a bucket are still apart, the bucket
 matrices, and only a spanning forest of what it links leaves the task. So no pairs become rows, and no bucket is cut short; the work on a
 bucket of dissimilar texts is quadratic in it.
 
+A large group of similar texts has buckets in all posting lists, and none equals another. So a sixth of the lists goes first. Buckets that overlap make a
+union, which is compared once instead of them where that takes no more comparisons than its buckets in all lists. Then the other lists follow, without
+the clusters whose texts are all of one root or of one compared union. So such a group is posted in whole in 16 lists, not in 96.
+
 Words are as in the fingerprints. A text of fewer than five words has one shingle, all its words; a null text is an
 empty one, and all empty texts are copies. A null doc_id never names a group unless all its members are null. A very long text is one
 set of hashes, eight bytes a word. Repeated rows keep their rows in the groups. An empty table gives an empty table. Only ``doc_id`` and ``text`` are
@@ -26,11 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.llm.common import ASCII_LOWER, representatives, stored, text_key
-from boxlake.llm.simhash import SEED, clusters, components, wide
+from boxlake.llm.simhash import SEED, VERIFIED, clusters, components, posting_words, wide
+from boxlake.llm.simhash import WORDS as WIDE_WORDS
 
 WORDS = 5
 BLOCK = 512
 _COLUMNS = 1 << 12
+#: Words of postings in a wide fingerprint, and how many of them go first.
+POSTED, EARLY = WIDE_WORDS - VERIFIED, 3
 
 
 def shingles(text: bytes | None) -> np.ndarray:
@@ -155,14 +162,32 @@ def _place(id_: str) -> Column:
     return F.coalesce(id_, F.lit(-(1 << 63))).alias("place")
 
 
-def groups(docs: DataFrame) -> DataFrame:
-    """(key, first_id, repeats, root) for each distinct text of docs; texts of one root are near copies.
+def rooted(tied: DataFrame) -> DataFrame:
+    """components() as (key, root), with a row for each root itself."""
+    return tied.select(F.col("node").alias("key"), "root").unionByName(tied.select(F.col("root").alias("key"), "root").distinct())
 
-    key: text_key(). first_id: the text's least doc_id; repeats: rows with this text and id.
+
+def unions(near: DataFrame, share: float) -> tuple[DataFrame, DataFrame]:
+    """Buckets that overlap, where the union takes no more comparisons than `share` times its buckets: (key, union) of their texts, (h) of the buckets.
+
+    near: (h, key, lead, size), a row for each text of a bucket but its lead.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key("text").alias("key"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    reps = stored(representatives(stored(rows.mapInArrow(_printed, "doc_id bigint, key binary, n int, fp binary")), "n", "fp"))
-    posted = stored(clusters(reps))
+    tied = rooted(components(near.select(F.col("key").alias("fp"), F.col("lead").alias("other"))))
+    tied = stored(tied.withColumnRenamed("root", "union"))
+    texts = tied.groupBy("union").agg(F.count("*").alias("texts"))
+    buckets = near.groupBy("h").agg(F.any_value("lead").alias("key"), F.any_value("size").cast("double").alias("size"))
+    buckets = stored(buckets.join(tied.hint("merge"), "key").select("h", "union", "size"))
+    cost = buckets.groupBy("union").agg(F.sum(F.col("size") * F.col("size")).alias("cost"))
+    whole = stored(cost.join(texts.hint("merge"), "union").filter(F.col("texts").cast("double") * F.col("texts") <= share * F.col("cost")).select("union"))
+    return tuple(stored(x.join(whole.hint("merge"), "union").select(*c)) for x, c in ((tied, ("key", "union")), (buckets, ("h",))))
+
+
+def linked(rows: DataFrame, reps: DataFrame, texts: DataFrame, before: DataFrame | None, share: float) -> tuple[DataFrame, DataFrame]:
+    """Links (fp, other) among the texts that clusters(texts) puts together, and (key, root): texts of one root are linked, or compared in whole.
+
+    rows: (doc_id, key, text) of all documents; reps: (key, first_id) of all texts; before: links that are known; share: of unions(), 0 for none.
+    """
+    posted = stored(clusters(texts))
     buckets = posted.groupBy("h").agg(F.max(F.struct("copies", "key", "n")).alias("lead"), F.count("*").alias("size")).filter("size > 1")
     near = posted.join(buckets.hint("merge"), "h").filter(F.col("key") != F.col("lead.key"))
     near = stored(near.select("h", "key", "n", F.col("lead.key").alias("lead"), F.col("lead.n").alias("m"), "size"))
@@ -173,12 +198,33 @@ def groups(docs: DataFrame) -> DataFrame:
     sets = stored(sets.select("key", "text").mapInArrow(_sets, "key binary, s array<bigint>"))
     fits = 5 * F.least("n", "m") >= 4 * F.greatest("n", "m")
     first = verified(near.filter(fits).select("key", F.col("lead").alias("other")).distinct(), sets)
-
-    # what the first links leave apart within a bucket; pairs with its lead are done
-    tied = components(first)
-    rest = near.filter("size > 2").select("h", "key").join(tied.withColumnRenamed("node", "key").hint("merge"), "key", "left")
+    if before is not None:
+        first = before.unionByName(first)
+
+    # what the first links leave apart within a bucket or a union; pairs with a bucket's lead are done
+    tied = rooted(components(first))
+    rest, done = near.filter("size > 2").select("h", "key"), tied
+    if share:
+        members, parts = unions(near, share)
+        rest = rest.join(parts.hint("merge"), "h", "left_anti").unionByName(members.select(F.xxhash64("union").alias("h"), "key"))
+        done = tied.join(members.hint("merge"), "key", "full").select("key", F.coalesce("union", "root").alias("root"))
+    rest = rest.join(tied.hint("merge"), "key", "left")
     rest = stored(rest.select("h", "key", F.coalesce("root", "key").alias("root")))
     apart = rest.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("h")
-    tied = components(first.unionByName(compared(rest.join(apart.hint("merge"), "h", "left_semi"), sets)))
-    rooted = reps.select("key", "first_id", "repeats").join(tied.withColumnRenamed("node", "key").hint("merge"), "key", "left")
-    return rooted.select("key", "first_id", "repeats", F.coalesce("root", "key").alias("root"))
+    return first.unionByName(compared(rest.join(apart.hint("merge"), "h", "left_semi"), sets)), done
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """(key, first_id, repeats, root) for each distinct text of docs; texts of one root are near copies.
+
+    key: text_key(). first_id: the text's least doc_id; repeats: rows with this text and id.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key("text").alias("key"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    reps = stored(representatives(stored(rows.mapInArrow(_printed, "doc_id bigint, key binary, n int, fp binary")), "n", "fp"))
+    texts = ["key", "n", "copies"]
+    links, done = linked(rows, reps, reps.select(*texts, posting_words(0, EARLY).alias("fp")), None, POSTED / EARLY)
+    others = reps.select(*texts, posting_words(EARLY, POSTED).alias("fp")).join(stored(done).hint("merge"), "key", "left")
+    links, _ = linked(rows, reps, others, links, 0)
+    tied = components(links).withColumnRenamed("node", "key")
+    each = reps.select("key", "first_id", "repeats").join(tied.hint("merge"), "key", "left")
+    return each.select("key", "first_id", "repeats", F.coalesce("root", "key").alias("root"))

@@ -30,7 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.llm.common import ASCII_LOWER, free_name, representatives, stored, text_key
@@ -114,13 +114,20 @@ def wide(hashes: np.ndarray) -> bytes:
     return out
 
 
+def posting_words(first: int, last: int) -> Column:
+    """Of wide fingerprints `fp`, the sketch and these of the words that make postings; three words make 16."""
+    starts = (8 * WORDS * kind + 1 for kind in (0, 1))
+    return F.concat(*(F.substring("fp", at + 8 * skip, 8 * n) for at in starts for skip, n in ((0, VERIFIED), (VERIFIED + first, last - first))))
+
+
 def _unpacked(n: pa.Array, fp: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """(rows, words, kind) of the plain and of the fine fingerprints of a batch."""
-    n, fp, size = n.to_numpy(zero_copy_only=False), fp.to_pylist(), WORDS * 8
+    n, fp = n.to_numpy(zero_copy_only=False), fp.to_pylist()
+    size = len(fp[0]) // (int(n[0] >= FINE[0]) + int(n[0] <= FINE[1])) if fp else 0
     for kind, rows in enumerate((np.flatnonzero(n >= FINE[0]), np.flatnonzero(n <= FINE[1]))):
         if len(rows):
             part = b"".join(fp[i][-size:] if kind else fp[i][:size] for i in rows.tolist())
-            yield rows, np.frombuffer(part, "<u8").reshape(-1, WORDS), kind
+            yield rows, np.frombuffer(part, "<u8").reshape(-1, size // 8), kind
 
 
 _SKETCH = "a bigint, b bigint, c bigint"
@@ -138,16 +145,18 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _posted_wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(n, fp) -> (posting, sketch), a row for each posting."""
+    """(n, fp, root) -> (posting, root, sketch), a row for each posting."""
     for whole in batches:
         for i in range(0, whole.num_rows, 512):
             b = whole.slice(i, 512)
-            for _, words, kind in _unpacked(b.column(0), b.column(1)):
+            for rows, words, kind in _unpacked(b.column(0), b.column(1)):
                 x = np.ascontiguousarray(words[:, VERIFIED:]).view(np.uint8).reshape(len(words), -1, 3).astype(np.int32)
                 x = x[:, :, 0] | x[:, :, 1] << 8 | x[:, :, 2] << 16
-                parts = np.stack([x & 0xFFF, x >> PART], 2).reshape(len(words), POSTINGS)
-                posting = parts | (np.arange(POSTINGS, dtype=np.int32) + kind * POSTINGS) << PART
-                yield pa.RecordBatch.from_arrays([pa.array(posting.ravel()), *_arrays(np.repeat(words, POSTINGS, 0))], ["posting", "a", "b", "c"])
+                parts = np.stack([x & 0xFFF, x >> PART], 2).reshape(len(words), -1)
+                n = parts.shape[1]
+                posting = parts | (np.arange(n, dtype=np.int32) + kind * POSTINGS) << PART
+                root = pa.array(np.repeat(b.column(2).to_numpy()[rows], n))
+                yield pa.RecordBatch.from_arrays([pa.array(posting.ravel()), root, *_arrays(np.repeat(words, n, 0))], ["posting", "root", "a", "b", "c"])
 
 
 def near_sketches(x: np.ndarray, limit: int) -> np.ndarray:
@@ -204,70 +213,76 @@ def _paired(fps: np.ndarray, end: np.ndarray, limit: int) -> np.ndarray:
 
 
 def _clustered(limit: int, longest: int | None):
-    """Clusters of the posting lists in sorted (list..., rest boolean, sketch) rows; rows of a list beyond `longest` as they are.
+    """Clusters of the posting lists in sorted (list..., rest boolean, root, sketch) rows; rows of a list beyond `longest` as they are.
 
-    Out: (posting, h, sketch) with posting -1 and h, a hash of the members, for clusters. A list's cluster without a `rest` row does not count.
+    Out: (posting, h, root, sketch) with posting -1 and h, a hash of the members, for clusters. A list's cluster without a `rest` row does not count,
+    nor one whose rows have one root; root 0 is none.
     """
-    out = ["posting", "h", "a", "b", "c"]
+    out = ["posting", "h", "root", "a", "b", "c"]
 
-    def found(label: np.ndarray, rest: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def found(label: np.ndarray, tags: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """tags: (rest and root, rows)."""
         order = np.lexsort((*fps, label))
-        label, rest, fps = label[order], rest[order], fps[:, order]
+        label, (rest, root), fps = label[order], tags[:, order], fps[:, order]
         new = np.r_[True, np.diff(label) != 0]
-        counts = np.add.reduceat(rest.astype(np.int64), np.flatnonzero(new)) > 0
+        start = np.flatnonzero(new)
+        counts = np.add.reduceat(rest, start) > 0
         once = new | np.r_[True, (np.diff(fps.view(np.int64)) != 0).any(0)]  # repeated sketches go
         group, fps = (np.cumsum(new) - 1)[once], fps[:, once]
         mixed = (fps * _RANDOM[:VERIFIED, None]).sum(0, dtype=np.uint64)
         mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
         h = np.add.reduceat(mixed ^ (mixed >> np.uint64(29)), np.flatnonzero(np.r_[True, np.diff(group) != 0]))
-        good = (counts & (np.bincount(group) > 1))[group]
+        apart = (np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)) | np.logical_or.reduceat(root == 0, start)
+        good = (counts & apart & (np.bincount(group) > 1))[group]
         if good.any():
             n = int(good.sum())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, -1, np.int32)), pa.array(h[group[good]].view(np.int64)), *_arrays(fps[:, good].T)], out)
+            fixed = [pa.array(np.full(n, -1, np.int32)), pa.array(h[group[good]].view(np.int64)), pa.array(np.zeros(n, np.int64))]
+            yield pa.RecordBatch.from_arrays([*fixed, *_arrays(fps[:, good].T)], out)
 
-    def whole(end: np.ndarray, size: np.ndarray, rest: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def whole(end: np.ndarray, size: np.ndarray, tags: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Rows of whole lists."""
         few = size <= PAIRED
         if few.any():
             at = np.flatnonzero(few)
             moved = np.cumsum(few)  # where a row is among those of short lists
-            yield from found(_paired(fps[:, at], moved[end[at] - 1], limit), rest[at], fps[:, at])
+            yield from found(_paired(fps[:, at], moved[end[at] - 1], limit), tags[:, at], fps[:, at])
         for i in np.unique(end[~few] - size[~few]).tolist():
             j = i + int(size[i])
-            yield from found(_spread(fps[:, i:j], limit), rest[i:j], fps[:, i:j])
+            yield from found(_spread(fps[:, i:j], limit), tags[:, i:j], fps[:, i:j])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, over = None, None  # rows of the open list, at most the limit and a batch; the list that passes through
         for x in batches:
-            names = len(x.columns) - VERIFIED - 1
+            names = len(x.columns) - VERIFIED - 2
             k = np.stack([x.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(names)])
-            rest = x.column(names).to_numpy(zero_copy_only=False).astype(bool)
-            fps = np.stack([x.column(names + 1 + i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(VERIFIED)]).view(np.uint64)
+            tags = np.stack([x.column(names + i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1)])
+            fps = np.stack([x.column(names + 2 + i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(VERIFIED)]).view(np.uint64)
             if held is not None:
-                k, rest, fps = np.concatenate([held[0], k], 1), np.concatenate([held[1], rest]), np.concatenate([held[2], fps], 1)
+                k, tags, fps = (np.concatenate(z, 1) for z in zip(held, (k, tags, fps), strict=True))
                 held = None
-            if not len(rest):
+            rows = tags.shape[1]
+            if not rows:
                 continue
             cut = np.flatnonzero((np.diff(k) != 0).any(0)) + 1
-            start, stop = np.r_[0, cut], np.r_[cut, len(rest)]
+            start, stop = np.r_[0, cut], np.r_[cut, rows]
             size = np.repeat(stop - start, stop - start)
             end = np.repeat(stop, stop - start)
-            big = size > longest if longest else np.zeros(len(rest), bool)
+            big = size > longest if longest else np.zeros(rows, bool)
             if over is not None and tuple(k[:, 0]) == over:
                 big[: stop[0]] = True
             if big.any():
-                yield pa.RecordBatch.from_arrays([pa.array(k[0, big].astype(np.int32)), pa.nulls(int(big.sum()), pa.int64()), *_arrays(fps[:, big].T)], out)
+                yield pa.RecordBatch.from_arrays([pa.array(k[0, big].astype(np.int32)), pa.nulls(int(big.sum()), pa.int64()), pa.array(tags[1, big]), *_arrays(fps[:, big].T)], out)
             over = tuple(k[:, -1]) if big[-1] else None
             last = 0 if big[-1] else int(stop[-1] - start[-1])
             if last:
-                held = (k[:, -last:], rest[-last:], fps[:, -last:])
+                held = (k[:, -last:], tags[:, -last:], fps[:, -last:])
             done = ~big
-            done[len(rest) - last :] = False
+            done[rows - last :] = False
             if done.any():
                 at = np.cumsum(done)
-                yield from whole(at[end[done] - 1], size[done], rest[done], fps[:, done])
+                yield from whole(at[end[done] - 1], size[done], tags[:, done], fps[:, done])
         if held is not None:
-            n = len(held[1])
+            n = held[1].shape[1]
             yield from whole(np.full(n, n), np.full(n, n), held[1], held[2])
 
     return run
@@ -276,33 +291,39 @@ def _clustered(limit: int, longest: int | None):
 def clusters(texts: DataFrame, limit: int = WIDE_BITS, longest: int = WIDE_LIMIT, block: int = WIDE_BLOCK) -> DataFrame:
     """(h, key, n, copies): any two texts that share a posting and are within the limit have an h in common.
 
-    texts: (key, n, copies, fp), with n hashes and their wide() as fp.
+    texts: (key, n, copies, fp), with n hashes and their wide(), or the same posting_words() of it, as fp. With a column root, which can be null, the texts
+    have been through other postings: pairs of one root or of one sketch need no h.
     """
-    sketch, out = ["a", "b", "c"], f"posting int, h bigint, {_SKETCH}"
-    posted = texts.select("n", "fp").mapInArrow(_posted_wide, f"posting int, {_SKETCH}")
-    lists = posted.repartition("posting").sortWithinPartitions("posting").select("posting", F.lit(True).alias("rest"), *sketch)
+    again = "root" in texts.columns
+    root = F.when(F.col("root").isNotNull(), F.xxhash64("root")).otherwise(0) if again else F.lit(0)
+    sketch, out = ["a", "b", "c"], f"posting int, h bigint, root bigint, {_SKETCH}"
+    posted = texts.select("n", "fp", root.cast("bigint").alias("root")).mapInArrow(_posted_wide, f"posting int, root bigint, {_SKETCH}")
+    lists = posted.repartition("posting").sortWithinPartitions("posting").select("posting", F.lit(True).alias("rest"), "root", *sketch)
     first = stored(lists.mapInArrow(_clustered(limit, longest), out))
     known = first.filter("posting = -1").select("h", *sketch)
-    over = first.filter("posting >= 0").select("posting", *sketch)
+    over = first.filter("posting >= 0").select("posting", "root", *sketch)
     if not over.isEmpty():
         lead = over.groupBy("posting").agg(F.min(F.struct(F.xxhash64(*sketch).alias("order"), *sketch)).alias("lead"))
         unlike = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"lead.{x}"))) for x in sketch), F.lit(0))
-        over = stored(over.join(lead.hint("merge"), "posting").select("posting", *sketch, (unlike > limit).alias("rest")))
+        over = stored(over.join(lead.hint("merge"), "posting").select("posting", "root", *sketch, (unlike > limit).alias("rest")))
         blocks = [F.ceil(F.count(x) / block).cast("int") for x in ("*", F.when(F.col("rest"), 1))]
         sizes = over.groupBy("posting").agg(blocks[0].alias("blocks"), blocks[1].alias("rests"))
         dealt = over.join(sizes.hint("merge"), "posting").withColumn("x", F.xxhash64(*sketch)).filter("rests > 0")
         each, far = F.pmod("x", "blocks").cast("int"), F.pmod("x", "rests").cast("int")
         every = [F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("blocks", "rests")]
-        met = dealt.select("posting", each.alias("i"), every[1].alias("j"), F.lit(False).alias("rest"), *sketch)
-        met = met.unionByName(dealt.filter("rest").select("posting", every[0].alias("i"), far.alias("j"), "rest", *sketch))
-        met = met.repartition("posting", "i", "j").sortWithinPartitions("posting", "i", "j").select("posting", "i", "j", "rest", *sketch)
+        met = dealt.select("posting", each.alias("i"), every[1].alias("j"), F.lit(False).alias("rest"), "root", *sketch)
+        met = met.unionByName(dealt.filter("rest").select("posting", every[0].alias("i"), far.alias("j"), "rest", "root", *sketch))
+        met = met.repartition("posting", "i", "j").sortWithinPartitions("posting", "i", "j").select("posting", "i", "j", "rest", "root", *sketch)
         crossed = stored(met.mapInArrow(_clustered(limit, None), out)).select("h", *sketch)
-        known = known.unionByName(crossed).unionByName(over.filter("not rest").select(F.xxhash64("posting").alias("h"), *sketch))
+        close = over.filter("not rest")
+        apart = close.groupBy("posting").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.bool_or(F.col("root") == 0).alias("free"))
+        close = close.join(apart.filter("free or x <> y").select("posting").hint("merge"), "posting", "left_semi")
+        known = known.unionByName(crossed).unionByName(close.select(F.xxhash64("posting").alias("h"), *sketch))
     sketched = texts.select("key", "n", "copies", "fp").mapInArrow(_sketched, f"key binary, n int, copies bigint, {_SKETCH}")
-    # texts of one sketch are a cluster, too
-    alike = sketched.groupBy(*sketch).agg(F.count("*").alias("texts")).filter("texts > 1").select(F.xxhash64(*sketch).alias("h"), *sketch)
-    known = known.unionByName(alike).distinct()
-    return known.join(sketched.hint("merge"), sketch).select("h", "key", "n", "copies").distinct()
+    if not again:  # texts of one sketch are a cluster, too
+        alike = sketched.groupBy(*sketch).agg(F.count("*").alias("texts")).filter("texts > 1").select(F.xxhash64(*sketch).alias("h"), *sketch)
+        known = known.unionByName(alike)
+    return known.distinct().join(sketched.hint("merge"), sketch).select("h", "key", "n", "copies").distinct()
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -110,6 +110,40 @@ def test_a_hot_family_equals_brute_force_at_every_block_size(spark, monkeypatch)
     assert grouped(spark, rows) == want
 
 
+def test_a_large_group_is_posted_in_few_lists_and_loses_no_link(spark, monkeypatch):
+    r = random.Random(9)
+    base, rows, posted = text(4, 120), [], []
+    for i in range(200):  # texts of many roots in one union
+        words = list(base)
+        for k in r.sample(range(120), r.randint(0, 7)):
+            words[k] = f"y{r.randrange(40)}"
+        rows.append((i, " ".join(words), "en", "s"))
+    rows += [(300 + i, changed(text(700 + i // 2, 120), 0.85) if i % 2 else " ".join(text(700 + i // 2, 120)), "en", "s") for i in range(40)]
+
+    def counted(texts, f=near_copies.clusters):
+        out = f(texts)
+        posted.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_copies, "clusters", counted)
+    want = brute_groups({x[1] for x in rows})
+    assert len(want) > 30
+    assert grouped(spark, rows) == want
+    assert sum(posted) < 30 * len(rows)  # 96 lists in all
+
+
+def test_buckets_and_unions_give_the_same_groups(spark, monkeypatch):
+    words, rows = text(5, 200), []
+    for i in range(60):  # neighbours are alike, in buckets that overlap
+        words = [f"c{i}.{k}" if 5 * i % 200 <= k < 5 * i % 200 + 5 + i % 9 else w for k, w in enumerate(words)]
+        rows.append((i, " ".join(words), "en", "s"))
+    want = brute_groups({x[1] for x in rows})
+    for share in (0.0, 1e9):
+        monkeypatch.setattr(near_copies, "unions", lambda near, _, s=share, f=near_copies.unions: f(near, s))
+        assert grouped(spark, rows) == want
+        monkeypatch.undo()
+
+
 def test_edge_rows(spark):
     rows = [*EDGE, (9, "One two", "en", "z"), (10, " one\tTWO ", "en", "z"), (11, "one two three", "en", "z")]
     assert grouped(spark, rows) == brute_groups({x[1] or "" for x in rows})

@@ -82,6 +82,32 @@ def test_clusters_hold_every_pair_of_a_list_at_every_limit(spark):
         assert all(i // 30 == j // 30 or i < 90 or i >= n - 2 for i, j in got)  # clusters join no families
 
 
+def test_a_later_call_holds_every_pair_of_unlike_roots(spark):
+    r, fps = random.Random(6), []
+    for _ in range(5):
+        base = r.getrandbits(1344)
+        fps += [base ^ sum(1 << k for k in range(1344) if r.random() < 0.08) for _ in range(40)]
+    fps = [x.to_bytes(168, "little") for x in fps]
+    n = len(fps)
+    root = [[b"a", b"b" if i % 40 < 3 else b"c", None, b"d" if i % 40 else None, b"e"][i // 40] for i in range(n)]
+    frame = spark.createDataFrame([(i.to_bytes(2), 100, 1, fp, root[i]) for i, fp in enumerate(fps)], "key binary, n int, copies bigint, fp binary, root binary")
+    frame = frame.withColumn("fp", simhash.posting_words(3, 18))
+    sketch, part = [int.from_bytes(fp[:24], "little") for fp in fps], [parts(fp)[16:] for fp in fps]
+
+    def alike(x):
+        return x.bit_count() <= 56 and sum(x >> 4 * k & 15 == 0 for k in range(48)) >= 8
+
+    near = {(i, j) for i in range(n) for j in range(i) if alike(sketch[i] ^ sketch[j]) and (root[i] is None or root[i] != root[j])}
+    want = {(i, j) for i, j in near if any(x == y for x, y in zip(part[i], part[j], strict=True))}
+    assert len(want) > 500
+    for longest, block in ((1 << 14, 1 << 13), (7, 3)):
+        held = {}
+        for x in simhash.clusters(frame, 56, longest, block).collect():
+            held.setdefault(x.h, set()).add(int.from_bytes(x.key))
+        assert want <= {(i, j) for s in held.values() for i in s for j in s if j < i}
+        assert all(i // 40 not in (0, 4) for s in held.values() for i in s)  # nothing is left to do there
+
+
 def test_short_texts_and_both_kinds_of_fingerprints_lose_no_copy(spark):
     rows, copies = [], set()
     for i in range(240):
