@@ -23,8 +23,8 @@ SPEED_WINDOW, STATIONARY = 0.5, 5.0
 ALPHA, MIN_SAMPLES = 0.25, 4
 #: Frames of a range in sums over a video or track; samples of a block in smoothing, and earlier blocks that still count (what lies before weighs less than 0.75^192, about 10^-24).
 RANGE, SAMPLES, REACH = 4096, 64, 4
-#: Rows up to which the table of videos is broadcast.
-FEW_VIDEOS = 100_000
+#: Rows up to which the table of videos is broadcast; partitions a core that videos are dealt to for linking.
+FEW_VIDEOS, VIDEO_PARTS = 100_000, 8
 
 Fps = float | str
 
@@ -137,11 +137,6 @@ def trailing_velocity(rows: DataFrame, fps: Fps, speed_window: float = SPEED_WIN
     return out.select(*[c for c in rows.columns if c not in ("_w", "_b")], "raw_speed_px_s")
 
 
-def _in_order(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
-    """Rows of a key in one partition, sorted: helpers stream through them in batches and hold no whole group."""
-    return rows.repartition(*by).sortWithinPartitions(*by, *order)
-
-
 def _numbered(rows: DataFrame, key: list[str], name: str) -> DataFrame:
     """rows with 0, 1, ... by frame_number within each key: ranges of frames are counted, and rows numbered within theirs."""
     rows = rows.withColumn("_r", F.floor(F.col("frame_number") / RANGE))
@@ -211,31 +206,38 @@ def video_summary(rows: DataFrame, approximate: bool = False) -> DataFrame:
     return rows.groupBy("video_id").agg(F.countDistinct("frame_number").alias("frames"), (F.approx_count_distinct(ids) if approximate else F.countDistinct(ids)).alias("tracks"))
 
 
-def link_tracks(rows: DataFrame, fps: Fps = 30.0, **settings) -> DataFrame:
+def link_tracks(rows: DataFrame, fps: Fps = 30.0, held: bool = False, **settings) -> DataFrame:
     """rows (video_id, frame_number, det_no, x1, y1, x2, y2, confidence) with tracker_id, -1 where untracked.
 
     Sequential within a video, so a video is one task; its rows are streamed, and only its tracks and one frame are held. Rows without
-    a video are left untracked, where they are.
+    a video are left untracked, where they are. Videos are dealt to more partitions than there are cores, so that few share a task and none waits for a whole row of others.
+
+    held: also held_id, the id of the track that took the detection. tracker_id is given anew from the tracks' boxes after a frame, as the reference's library does, so a track whose
+    box follows a detection by less than half takes it and isn't shown there.
     """
-    schema = T.StructType([*rows.schema.fields, T.StructField("tracker_id", T.LongType())])
+    added = ["tracker_id", "held_id"] if held else ["tracker_id"]
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(c, T.LongType()) for c in added)])
     named = isinstance(fps, str)
     Tracker(30.0 if named else fps, **settings)  # wrong settings fail here
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        video, tracker, held = None, None, None
+        video, tracker, open_rows = None, None, None
         for x in batches:
-            if held is not None:
-                x = pd.concat([held, x], ignore_index=True)
+            if open_rows is not None:
+                x = pd.concat([open_rows, x], ignore_index=True)
             for v, part in x.groupby("video_id", sort=False):
                 if v != video:
                     video, tracker = v, Tracker(float(part[fps].iloc[0]) if named else fps, **settings)
                 if v == x.video_id.iloc[-1]:  # the last frame may go on in the next batch
                     open_ = part.frame_number == part.frame_number.iloc[-1]
-                    held, part = part[open_], part[~open_]
+                    open_rows, part = part[open_], part[~open_]
                 if len(part):
-                    yield tracker.run(part)
-        if held is not None and len(held):
-            yield tracker.run(held)
-
-    linked = _in_order(rows.filter("video_id is not null"), ["video_id"], ["frame_number", "det_no"]).mapInPandas(link, schema)
-    return linked.unionByName(rows.filter("video_id is null").withColumn("tracker_id", F.lit(-1).cast("bigint")))
+                    yield tracker.run(part, held)
+        if open_rows is not None and len(open_rows):
+            yield tracker.run(open_rows, held)
+
+    spark = rows.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), VIDEO_PARTS * spark.sparkContext.defaultParallelism)
+    dealt = rows.filter("video_id is not null").repartition(parts, "video_id").sortWithinPartitions("video_id", "frame_number", "det_no")
+    linked = dealt.mapInPandas(link, schema)
+    return linked.unionByName(rows.filter("video_id is null").withColumns({c: F.lit(-1).cast("bigint") for c in added}))

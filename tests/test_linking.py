@@ -250,3 +250,44 @@ def test_many_boxes_of_a_frame_take_little_time():
         xy = at + f * 2 + r.normal(0, 0.5, at.shape)
         ids = t.step(f, np.column_stack([xy, xy + 25]), np.full(600, 0.9))
     assert time.time() - began < 20 and len(set(ids[ids > 0])) == (ids > 0).sum() > 500
+
+
+def sparse(seed, frames):
+    """Frames of few boxes with confidences, with gaps."""
+    r, f = np.random.default_rng(seed), 0
+    for _ in range(frames):
+        f += int(r.choice([1, 1, 1, 2, 20]))
+        n = int(r.integers(0, 7))
+        xy = r.permutation(6)[:n, None] * [9.0, 4.0] + r.normal(0, 2, (n, 2))
+        yield f, np.hstack([xy, xy + r.uniform(20, 30, (n, 2))]), r.random(n) ** 0.5
+
+
+@pytest.mark.parametrize("consecutive", [1, 2, 3])
+def test_plain_numbers_equal_arrays(monkeypatch, consecutive):
+    got = []
+    for few, cells in ((24, 256), (-1, 0), (5, 9)):
+        monkeypatch.setattr(linking, "FEW", few)
+        monkeypatch.setattr(linking, "FEW_CELLS", cells)
+        t = linking.Tracker(12.0, consecutive=consecutive)
+        got.append([(t.step(*x).tolist(), t.held.tolist(), t.state()) for x in sparse(consecutive, 150)])
+    assert got[0] == got[1] == got[2] and any(max(ids, default=0) > 2 for ids, _, _ in got[0])
+
+
+def test_boxes_without_numbers_link_nothing():
+    t = linking.Tracker(12.0)
+    good, odd = [0.0, 0, 20, 20], [np.nan, 0, 20, 20]
+    ids = [t.step(f, np.array([good, odd]), np.array([0.9, 0.9])).tolist() for f in range(4)]
+    assert ids == [[-1, -1], [-1, -1], [1, -1], [1, -1]]
+
+
+def test_frames_of_few_boxes_take_little_time(monkeypatch):
+    import time
+
+    frames, took = list(sparse(7, 1500)), []
+    for few in (-1, 24):
+        monkeypatch.setattr(linking, "FEW", few)
+        t, began = linking.Tracker(12.0), time.time()
+        for x in frames:
+            t.step(*x)
+        took.append(time.time() - began)
+    assert took[1] < took[0] / 2
