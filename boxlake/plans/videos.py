@@ -73,10 +73,14 @@ def _nms(name: str, rows: str) -> str:
 _NMS = ctes("fx_detections") + _nms("sl", "(SELECT * FROM fx_detections WHERE origin = 'slice') z") + ", bo AS (SELECT * FROM fx_detections WHERE origin = 'full' UNION ALL SELECT f.* FROM fx_detections f JOIN sl USING (video_id, frame_number, det_no) WHERE origin = 'slice')" + _nms("al", "bo") + " SELECT video_id, frame_number, det_no FROM al"
 
 
+def _links(s, d, held: bool = False):
+    return tracks.link_tracks(det.confidence_filter(_detections(s, d).drop("origin")), FPS, held)
+
+
 def link_tracks(s, d):
     """T1, with P15."""
-    rows = tracks.link_tracks(det.confidence_filter(_detections(s, d).drop("origin")), FPS)
-    return rows.withColumn("c", box_center("x1", "y1", "x2", "y2")).select("video_id", "frame_number", "det_no", "tracker_id", "c.cx", "c.cy")
+    rows = _links(s, d).withColumn("c", box_center("x1", "y1", "x2", "y2"))
+    return rows.select("video_id", "frame_number", "det_no", "tracker_id", "c.cx", "c.cy")
 
 
 def box_centers(s, d):
@@ -153,13 +157,19 @@ SELECT {_K}, CAST(session AS BIGINT) AS session, round(raw, 5) AS raw_speed_px_s
 
 
 def linked_ids(s, d):
-    """T1, by what holds of any linking: ids of a video are 1, 2, ... without gaps, none stands twice in a frame, none lives on beyond the buffer."""
-    rows = link_tracks(s, d).filter("tracker_id > 0")
-    last = W.partitionBy("video_id", "tracker_id").orderBy("frame_number")
-    steps = rows.withColumn("gap", F.col("frame_number") - F.lag("frame_number").over(last))
-    each = steps.groupBy("video_id").agg(
-        (F.max("tracker_id") == F.countDistinct("tracker_id")).alias("dense"),
-        (F.count("*") == F.countDistinct("frame_number", "tracker_id")).alias("single"),
+    """T1, by what holds of any linking: ids of a video are 1, 2, ... without gaps, none stands twice in a frame, none lives on beyond the buffer.
+
+    A track lives on with the detections it takes, whether or not it is shown on them: an id's frames are those of both columns.
+    """
+    rows = _links(s, d, held=True).select("video_id", "frame_number", "tracker_id", "held_id")
+    ids = rows.withColumn("id", F.explode(F.array_distinct(F.array("tracker_id", "held_id")))).filter("id > 0").repartition("video_id", "id")
+    frames_ = ids.groupBy("video_id", "id", "frame_number").agg(F.count_if(F.col("tracker_id") == F.col("id")).alias("shown"), F.count_if(F.col("held_id") == F.col("id")).alias("held"))
+    last = W.partitionBy("video_id", "id").orderBy("frame_number")
+    steps = frames_.withColumn("gap", F.col("frame_number") - F.lag("frame_number").over(last))
+    lives = steps.groupBy("video_id", "id").agg(F.max("shown").alias("shown"), F.max("held").alias("held"), F.max("gap").alias("gap"))
+    each = lives.groupBy("video_id").agg(
+        (F.max("id") == F.count("*")).alias("dense"),
+        ((F.max("shown") <= 1) & (F.max("held") <= 1)).alias("single"),
         (F.coalesce(F.max("gap"), F.lit(0)) <= Tracker(FPS).buffer + 1).alias("within_buffer"),
     )
     return _detections(s, d).select("video_id").distinct().join(each, "video_id", "left").select("video_id", *(F.coalesce(c, F.lit(True)).alias(c) for c in ("dense", "single", "within_buffer")))

@@ -332,3 +332,23 @@ def test_late_rows_are_marked_and_state_expires(spark, tmp_path):
     assert got.filter("not late").count() == 40
     assert abs(got.filter("frame_number = 19").first().speed_px_s - 20) < 1e-6
     assert held[-1] == held[0]  # the first track's state is gone
+
+
+def test_ids_of_a_track_that_takes_a_detection_unseen(spark, tmp_path):
+    """The sixth box is taken by the track, whose own box follows it by less than half; then the track is away for the whole buffer."""
+    from boxlake.plans import registry
+    from tests.compare import canonical
+
+    boxes = [(0, 19289, 695, 39.0), (1, 19709, 695, 39.0), (2, 21029, 695, 39.0), (3, 21449, 695, 39.0), (4, 21869, 695, 39.0), (5, 3032, 550, 4.0), (18, 3032, 550, 4.0)]
+    lines = [(16 * f, part, supp, 1, quantity, 1.0, "N") for f, part, supp, quantity in boxes]
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string"
+    spark.createDataFrame(lines, names).withColumn("l_shipdate", F.lit("1995-01-01").cast("timestamp")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    shown = registry.queries()["link_tracks"](spark, str(tmp_path)).orderBy("frame_number").select("tracker_id").collect()
+    assert [x.tracker_id for x in shown] == [-1, -1, 1, 1, 1, -1, 1]
+    got = canonical(registry.queries()["linked_ids"](spark, str(tmp_path)).toPandas())
+    sql = registry.oracle_sql()["linked_ids"]
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    pd.testing.assert_frame_equal(got, canonical(con.sql(sql).df()))
