@@ -11,7 +11,7 @@ from boxlake.operators import detections as det
 from boxlake.operators import evaluate, tracks
 from boxlake.operators.linking import Tracker
 from boxlake.plans.fixtures import ctes, frame
-from boxlake.scratch import scratch_dir
+from boxlake.scratch import discard, scratch_dir, stored
 from boxlake.sources.labels import check_videos, read_detections
 from boxlake.streaming import frames
 
@@ -210,14 +210,17 @@ STREAM_BATCHES = 3
 
 
 def _streamed(rows: DataFrame, how) -> DataFrame:
-    """rows written to the shared folder in ranges of frames, streamed through how() a range at a time and read again."""
+    """rows written to the shared folder in ranges of frames, streamed through how() a range at a time and read again. The rows are made once, and dealt to their ranges as they are written."""
     spark, path = rows.sparkSession, scratch_dir(rows.sparkSession)
     top = rows.agg(F.max("frame_number")).first()[0] or 0
+    ends = [(top + 1) * k // STREAM_BATCHES for k in range(1, STREAM_BATCHES)]
+    batch = sum(((F.col("frame_number") >= e).cast("int") for e in ends), F.lit(0))
+    made = stored(rows.withColumn("_batch", batch), f"{path}/made", by=("_batch",))
     for k in range(STREAM_BATCHES):
-        lo, hi = (top + 1) * k // STREAM_BATCHES, (top + 1) * (k + 1) // STREAM_BATCHES
-        rows.filter((F.col("frame_number") >= lo) & (F.col("frame_number") < hi)).write.mode("append").parquet(f"{path}/in")
+        made.filter(F.col("_batch") == k).select(*rows.columns).write.mode("append").parquet(f"{path}/in")
         out = how(spark.readStream.schema(rows.schema).parquet(f"{path}/in"))
         frames.append_to(out, f"{path}/out", f"{path}/log").awaitTermination()  # what is new since the last range
+    discard(spark, [f"{path}/made"])
     return spark.read.schema(out.schema).parquet(f"{path}/out")
 
 

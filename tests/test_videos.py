@@ -352,3 +352,21 @@ def test_ids_of_a_track_that_takes_a_detection_unseen(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
     pd.testing.assert_frame_equal(got, canonical(con.sql(sql).df()))
+
+
+def test_streamed_rows_are_made_once(spark):
+    """A row that is made again for each range would be counted again."""
+    from boxlake.plans import videos
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    rows = spark.createDataFrame([(1, i, f, 0.5 * f, 1.0) for i in (1, 2) for f in range(30)], "video_id long, tracker_id long, frame_number long, cx double, cy double")
+    counted = rows.mapInPandas(count, rows.schema)
+    got = videos._streamed(counted, lambda x: x).toPandas().sort_values(["tracker_id", "frame_number"]).reset_index(drop=True)
+    pd.testing.assert_frame_equal(got, rows.toPandas())
+    assert made.value == 2 * 60  # for the last frame, and to be written
