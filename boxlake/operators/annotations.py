@@ -69,6 +69,11 @@ def _value(path: str) -> Column:
 
 
 def voc_boxes(objects: DataFrame) -> DataFrame:
+    """voc_marked() of the rows that have an object."""
+    return voc_marked(objects.filter(F.col("object").isNotNull()))
+
+
+def voc_marked(objects: DataFrame) -> DataFrame:
     """Objects with status and box (struct, null unless status is ok or invalid_box leaves none).
 
     status: skipped_class, bad_polygon (no fallback to the other element), bad_bndbox, point_only, invalid_box or ok;
@@ -77,7 +82,7 @@ def voc_boxes(objects: DataFrame) -> DataFrame:
     names = [f"{a}{i}" for i in range(1, 5) for a in "xy"]
     polygon = {k: _value(f"object.polygon.{k}") for k in names}
     bndbox = {k: _value(f"object.bndbox.{k}") for k in ("xmin", "ymin", "xmax", "ymax")}
-    rows = objects.filter(F.col("object").isNotNull()).withColumns({f"_{k}": v for k, v in (polygon | bndbox).items()})
+    rows = objects.withColumns({f"_{k}": v for k, v in (polygon | bndbox).items()})
 
     def whole(keys) -> Column:
         out = F.lit(True)
@@ -149,11 +154,17 @@ def voc_metrics() -> Column:
     return F.array_compact(F.array(status, F.when(F.col("converted"), "dronevehicle_bndbox_converted")))
 
 
+def xml_metrics() -> Column:
+    """The counters, as an array, of a row of voc_marked(): an object's, or that of a document that can't be read (one row)."""
+    return F.when(F.col("bad_xml"), F.array(F.lit("dronevehicle_bad_xml"))).when(F.col("object").isNotNull(), voc_metrics())
+
+
 def counted(rows: DataFrame, metric: Column) -> DataFrame:
     """metric, value of the rows' counters (a text or an array of texts); null counts nothing."""
     named = rows.select(metric.alias("metric"))
-    if dict(named.dtypes)["metric"].startswith("array"):
-        named = named.select(F.explode("metric").alias("metric"))
+    several = F.col("metric") if dict(named.dtypes)["metric"].startswith("array") else F.array("metric")
+    # an outer generator: from another one Spark infers a filter on the array, for which it would work out the whole counter again for each column that the counter is made of
+    named = named.select(F.explode_outer(several).alias("metric"))
     return named.filter("metric is not null").groupBy("metric").agg(F.count("*").alias("value"))
 
 

@@ -66,12 +66,10 @@ def reader_stats(s, d):
     """A1: the counters of all three readers."""
     lines, images = frame(s, d, "fx_lines").select("annotation_id", "image_id", "visdrone_line", "yolo_line"), frame(s, d, "fx_images")
     sized = an.boxes_with_image_size(lines, images)
-    one = an.counted(labels.read_visdrone_labels(sized, "visdrone_line"), an.visdrone_metric())
-    two = an.counted(labels.read_yolo_labels(sized, "yolo_line"), an.yolo_metric())
-    xml = labels.read_voc_xml_labels(frame(s, d, "fx_xml").select("xml"), keep=[])
-    three = an.counted(an.voc_boxes(xml.filter(~F.col("bad_xml"))), an.voc_metrics())
-    bad = an.counted(xml.filter("bad_xml"), F.lit("dronevehicle_bad_xml"))
-    return an.union_sources(one, two, three, bad)
+    one = labels.read_visdrone_labels(sized, "visdrone_line").select("yolo_line", "width", "height", an.visdrone_metric().alias("first"))
+    both = labels.read_yolo_labels(one, "yolo_line").select(F.array_compact(F.array("first", an.yolo_metric())).alias("metrics"))
+    xml = an.voc_marked(labels.read_voc_xml_labels(frame(s, d, "fx_xml").select("xml"), keep=[]))
+    return an.union_sources(an.counted(both, F.col("metrics")), an.counted(xml, an.xml_metrics()))
 
 
 _READER_STATS = f"""WITH a AS ({_VISDRONE_LINES.replace('SELECT annotation_id, bad_row, CASE WHEN k THEN class_id END AS class_id', 'SELECT sc, class_id AS ci, k, bad_row, CASE WHEN k THEN class_id END AS class_id')}),

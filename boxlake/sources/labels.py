@@ -73,7 +73,7 @@ def read_visdrone_labels(lines: DataFrame, line: str = "line") -> DataFrame:
     """lines with x, y, w, h, score, class_id and bad_row: comma-separated whole numbers, eight or more fields."""
     parts = F.split(strip(line), ",")
     numbers = F.transform(F.slice(parts, 1, 8), lambda p: _number(p, WHOLE, "bigint"))
-    rows = lines.withColumn("_n", numbers)
+    rows = lines.withColumn("_n", F.explode(F.array(numbers)))  # behind a generator the numbers are read once, and not for each field
     bad = F.col(line).isNull() | (F.size("_n") < 8) | F.exists("_n", lambda v: v.isNull())
     names = ["x", "y", "w", "h", "score", "class_id"]
     rows = rows.withColumn("bad_row", bad)  # a column of its own, so that it is tested once and not per field
@@ -83,7 +83,7 @@ def read_visdrone_labels(lines: DataFrame, line: str = "line") -> DataFrame:
 def read_yolo_labels(lines: DataFrame, line: str = "line") -> DataFrame:
     """lines with class_id, cx, cy, w, h and bad_row: exactly five finite numbers between white space."""
     parts = F.split(strip(line), r"\s+")
-    rows = lines.withColumn("_n", F.transform(parts, lambda p: _number(p, DECIMAL, "double")))
+    rows = lines.withColumn("_n", F.explode(F.array(F.transform(parts, lambda p: _number(p, DECIMAL, "double")))))  # once, as above
     bad = F.col(line).isNull() | (F.size("_n") != 5) | F.exists("_n", lambda v: v.isNull())
     bad = bad | ~all_finite(*(F.get("_n", F.lit(i)) for i in range(5)))
     names = ["class_value", "cx", "cy", "w", "h"]

@@ -148,3 +148,19 @@ def test_bndbox_corners_in_the_wrong_order(spark):
     xml = "<annotation><object><name>car</name><bndbox><xmin>150</xmin><ymin>110</ymin><xmax>110</xmax><ymax>140</ymax></bndbox></object></annotation>"
     rows = an.voc_boxes(labels.read_voc_xml_labels(spark.createDataFrame([(xml,)], "xml string"), keep=[])).first()
     assert (rows.status, rows.converted, rows.box) == ("invalid_box", True, None)
+
+
+def test_a_counter_is_worked_out_once_a_row(spark):
+    from pyspark.sql import functions as F
+
+    from boxlake.operators import annotations
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def metrics(i):
+        calls.add(1)
+        return [None, ["even"], ["even", "fourth"]][2 if i % 4 == 0 else 1 if i % 2 == 0 else 0]
+
+    got = annotations.counted(spark.range(40), metrics("id")).collect()
+    assert sorted(map(tuple, got)) == [("even", 20), ("fourth", 10)] and calls.value == 40
