@@ -9,7 +9,7 @@ from boxlake.functions.images import HASH_SIZE, THUMBNAIL, bits_to_hex, image_si
 from boxlake.operators import annotations as an
 from boxlake.operators import audit, dedup, leakage, splits
 from boxlake.plans.fixtures import ctes, frame
-from boxlake.scratch import scratch_dir
+from boxlake.scratch import discard, scratch_dir, shuffles_freed, stored
 from boxlake.sources import coco, labels, sinks
 
 
@@ -262,12 +262,14 @@ def coco_documents(s, d):
     path = scratch_dir(s)
     sinks.write_coco_json(images, boxes, path)
     back = coco.read_coco(s, {split: f"{path}/split={split}" for split in splits.FRACTIONS})
+    discard(s, [path])
     return back["annotations"].select("split", "annotation_id", "image_id", "category_id", "x", "y", "w", "h", "area")
 
 
 def foreign_documents(s, d):
     """A document of another layout: lists in another order, objects over several lines, nested fields, texts with braces and quotes."""
-    images, boxes, path = frame(s, d, "fx_images"), frame(s, d, "fx_boxes"), scratch_dir(s)
+    images, path, made = frame(s, d, "fx_images"), scratch_dir(s), scratch_dir(s)
+    boxes = stored(frame(s, d, "fx_boxes").select("annotation_id", "image_id", "x", "y", "w", "h"), made, compression="zstd")
     image = F.struct(F.struct(F.lit('say "}, {"').alias("by"), F.array(F.struct(F.lit("[").alias("k"))).alias("tags")).alias("extra"), F.concat(F.lit('a\\"}]'), "file_name").alias("file_name"), F.col("image_id").alias("id"), "height", "width")
     note = F.struct(F.array("x", "y", "w", "h").alias("bbox"), F.struct(F.array(F.lit(1)).alias("counts")).alias("segmentation"), F.col("image_id"), F.col("annotation_id").alias("id"))
 
@@ -278,8 +280,11 @@ def foreign_documents(s, d):
 
     fixed = s.createDataFrame([(0, 0, '{"annotations" : ['), (2, 0, '], "info": {"about": {"a": {}}}, "images":\n['), (4, 0, "]}")], "part int, id bigint, value string")
     rows = lines(boxes, 1, "annotation_id", note).unionByName(lines(images, 3, "image_id", image)).unionByName(fixed)
-    rows.repartitionByRange("part", "id").sortWithinPartitions("part", "id").select("value").write.text(path)
+    with shuffles_freed(s):
+        rows.repartitionByRange("part", "id").sortWithinPartitions("part", "id").select("value").write.text(path)
+    discard(s, [made])
     tables = coco.read_coco(s, {"all": path})
+    discard(s, [path])
     notes = tables["annotations"].groupBy("image_id").agg(F.count("*").alias("boxes"), F.round(F.sum(F.col("x") + F.col("w")), 3).alias("sum"))
     return tables["images"].join(notes, "image_id", "left").select("split", "image_id", "file_name", "width", "height", "boxes", "sum")
 

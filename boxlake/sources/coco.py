@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from boxlake.scratch import stored
+from boxlake.scratch import discard, scratch_dir, stored
 
 ITEMS = {
     "images": "id bigint, file_name string, width int, height int, source_dataset string, sequence_group string, raw_split string",
@@ -141,8 +141,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(made, _CUT)
 
 
-def items(spark: SparkSession, path: str) -> DataFrame:
-    """section and text of each object in the lists of one document; path: a file, or a folder of its parts."""
+def items(spark: SparkSession, path: str, made: list[str] | None = None) -> DataFrame:
+    """section and text of each object in the lists of one document; path: a file, or a folder of its parts. made: is told the folders of tables that the rows are read from."""
     order = W.orderBy(*_PLACE).rowsBetween(W.unboundedPreceding, -1)  # one row a range
     changes = _ranges(spark, path).select("file", "start", "value", "size").mapInArrow(_changes, "file string, start bigint, odd int, flat bigint, inner bigint, size bigint, total bigint")
     # no brace follows the last piece of a file that ends otherwise
@@ -154,7 +154,10 @@ def items(spark: SparkSession, path: str) -> DataFrame:
     step = F.when(F.col("inside") == 0, F.col("flat")).otherwise(F.col("inner"))
     begun = stored(begun.withColumn("step", step).select(*_PLACE, F.col("inside").cast("int").alias("inside"), F.coalesce(F.sum("step").over(order), F.lit(0)).cast("int").alias("depth"), "whole"))
     pieces = _ranges(spark, path).join(F.broadcast(begun), _PLACE)  # a row a split of the scan; the order of pieces stays
-    cut = stored(pieces.select("file", "start", "value", "inside", "depth", "whole").mapInArrow(_cut, "file string, start bigint, kind string, section string, text binary"))
+    place = scratch_dir(spark)
+    cut = stored(pieces.select("file", "start", "value", "inside", "depth", "whole").mapInArrow(_cut, "file string, start bigint, kind string, section string, text binary"), place, compression="zstd")
+    if made is not None:
+        made.append(place)
     left = F.last(F.when(F.col("kind") != "same", F.struct("kind", *_PLACE)), ignorenulls=True).over(order)
     ranges = cut.filter("text is null").select(*_PLACE, F.last("section", ignorenulls=True).over(order).alias("before"), left.alias("left"))
     rows = cut.filter("text is not null").join(F.broadcast(ranges), _PLACE)
@@ -172,11 +175,12 @@ def read_coco(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame
 
     A document without images or annotations has no rows there, and one without categories an empty list. Fields that are missing or of another type are null.
     """
-    rows = None
+    rows, made = None, []
     for split, path in paths.items():
-        one = items(spark, path).withColumn("split", F.lit(split))
+        one = items(spark, path, made).withColumn("split", F.lit(split))
         rows = one if rows is None else rows.unionByName(one)
-    rows = stored(rows.filter(F.col("section").isin(*ITEMS)))
+    rows = stored(rows.filter(F.col("section").isin(*ITEMS)), compression="zstd")
+    discard(spark, made)
 
     def of(section: str) -> DataFrame:
         item = F.explode(F.array(F.from_json("text", ITEMS[section]))).alias("r")

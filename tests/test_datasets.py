@@ -160,3 +160,19 @@ def test_dense_ids(spark):
         own = sorted((r for r in numbered if r.split == s), key=lambda r: r.annotation_id)
         assert [r.annotation_id for r in own] == list(range(1, 451))
         assert [(r.image_id, r.box_no) for r in own] == sorted((r.image_id, r.box_no) for r in own)
+
+
+@pytest.mark.parametrize("name", ["coco_documents", "foreign_documents"])
+def test_documents_leave_only_the_tables_read_from_them(spark, name):
+    import os
+
+    from boxlake.plans import registry
+    from boxlake.scratch import scratch_dir
+
+    base = os.path.dirname(scratch_dir(spark))
+    before = set(os.listdir(base))
+    rows = registry.queries()[name](spark, "/root/testdata/sf0.001")
+    size = lambda path: sum(os.path.getsize(os.path.join(r, f)) for r, _, files in os.walk(path) for f in files)
+    left = sum(size(os.path.join(base, x)) for x in set(os.listdir(base)) - before)
+    read = sum(os.path.getsize(f.removeprefix("file://")) for f in rows.inputFiles())
+    assert 0 < read <= left < 1.5 * read
